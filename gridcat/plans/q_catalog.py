@@ -87,3 +87,141 @@ def catalog_upsert_flagship(spark, sf):
             .join(extent, "collection_id", "left")
             .select("collection_id", "n_items", "n_new_items", "n_assets", "assets_converted",
                     "n_asset_uris", "min_asset_uri", "max_asset_uri", "extent_start", "extent_end"))
+
+
+# ------------------------------------------------------------------ C3 A1 A12
+@query("collection_merge", "C3 A1 A12", views=["v_items", "v_collections"], oracle="""
+, n as (select collection_id, start_ts as n_start, end_ts as n_end from v_collections where side = 'new'),
+r as (select collection_id, start_ts as r_start, end_ts as r_end from v_collections where side = 'remote'),
+c as (select collection_id, count(*) as n_new_items, min(item_ts) as items_start, max(item_ts) as items_end
+      from v_items where side in ('new', 'both') group by 1),
+j as (select coalesce(n.collection_id, r.collection_id) as collection_id, n.collection_id is not null as in_new,
+             r.collection_id is not null as in_remote, n_start, n_end, r_start, r_end
+      from n full outer join r on n.collection_id = r.collection_id)
+select j.collection_id,
+       case when in_new and in_remote and coalesce(n_new_items, 0) > 0 then 'update'
+            when in_new and not in_remote then 'create' else 'unchanged' end as action,
+       case when in_new and in_remote and coalesce(n_new_items, 0) > 0 then least(n_start, n_end, r_start, r_end)
+            when not in_remote then n_start else r_start end as extent_start,
+       case when in_new and in_remote and coalesce(n_new_items, 0) > 0 then greatest(n_start, n_end, r_start, r_end)
+            when not in_remote then n_end else r_end end as extent_end,
+       cast(coalesce(n_new_items, 0) as bigint) as n_new_items, items_start, items_end
+from j left join c on j.collection_id = c.collection_id
+""")
+def collection_merge(spark, sf):
+    """C3 per collection (create / update / unchanged, merged extent) and the
+    A12 extent derived from the batch items themselves."""
+    cols = view(spark, sf, "v_collections")
+    batch, _ = _batch_and_existing(spark, sf)
+    from gridcat.operators.upsert import derive_collection_extent
+    derived = derive_collection_extent(batch).select(
+        "collection_id", F.col("n_items").alias("n_new_items"),
+        F.col("start_ts").alias("items_start"), F.col("end_ts").alias("items_end"))
+    merged = upsert_collections(cols.filter(F.col("side") == "new"), cols.filter(F.col("side") == "remote"),
+                                derived.select("collection_id", "n_new_items"))
+    return merged.join(derived.drop("n_new_items"), "collection_id", "left")
+
+
+# lineitem rows as catalog items: (orderkey, linenumber) repeats, so W1 is real
+LI_ITEMS = """
+select 'COL_' || l_returnflag as collection_id,
+       cast(l_orderkey as string) || '-' || cast(l_linenumber as string) as item_id,
+       case when l_suppkey % 2 = 0 then 'existing' else 'new' end as side,
+       l_shipdate as item_ts, l_partkey as part, l_suppkey as supp, l_extendedprice as price, l_quantity as qty
+from {lineitem}"""
+ITEM_KEYS = ["collection_id", "item_id"]
+ITEM_ORDER = ["item_ts", "part", "supp", "price"]
+
+
+def _li_items(spark, sf):
+    return spark.sql(LI_ITEMS.format(lineitem=f"parquet.`{sf}/lineitem.parquet`"))
+
+
+DUCK_LI = f"""
+, li as ({LI_ITEMS.format(lineitem='lineitem')}),
+ex as (select * exclude (rn) from (select *, row_number() over (partition by collection_id, item_id
+        order by item_ts desc, part desc, supp desc, price desc, side desc, qty desc) as rn
+        from li where side = 'existing') t where rn = 1),
+nw as (select * exclude (rn) from (select *, row_number() over (partition by collection_id, item_id
+        order by item_ts desc, part desc, supp desc, price desc, side desc, qty desc) as rn
+        from li where side = 'new') t where rn = 1)"""
+
+
+@query("item_upsert", "C5 W1 A13", oracle=DUCK_LI.lstrip("\n, ").replace("li as", "with li as", 1) + """
+select * from ex where not exists (select 1 from nw where nw.collection_id = ex.collection_id and nw.item_id = ex.item_id)
+union all select * from nw
+""")
+def item_upsert(spark, sf):
+    """A13 id-keyed maps of both sides (last wins), then C5 upsert by id."""
+    li = _li_items(spark, sf)
+    existing = items_by_id(li.filter(F.col("side") == "existing"), ITEM_KEYS, ITEM_ORDER)
+    new = items_by_id(li.filter(F.col("side") == "new"), ITEM_KEYS, ITEM_ORDER)
+    return upsert_items(existing, new, ITEM_KEYS)
+
+
+@query("item_insert_conflicts", "C4 S15", oracle=DUCK_LI.lstrip("\n, ").replace("li as", "with li as", 1) + """
+select collection_id, item_id, case when exists (select 1 from ex where ex.collection_id = nw.collection_id
+         and ex.item_id = nw.item_id) then 'conflict' else 'inserted' end as status
+from nw
+""")
+def item_insert_conflicts(spark, sf):
+    """C4 plain insert: every new item is either inserted or a conflict."""
+    li = _li_items(spark, sf)
+    existing = items_by_id(li.filter(F.col("side") == "existing"), ITEM_KEYS, ITEM_ORDER)
+    new = items_by_id(li.filter(F.col("side") == "new"), ITEM_KEYS, ITEM_ORDER)
+    inserted, conflicts = insert_items(existing, new, ITEM_KEYS)
+    return (inserted.select(*ITEM_KEYS, F.lit("inserted").alias("status"))
+            .unionByName(conflicts.select(*ITEM_KEYS, F.lit("conflict").alias("status"))))
+
+
+# ------------------------------------------------------------------ A3 A4 A5 S21
+@query("notifications", "A3 A4 A5 S21", views=["v_items", "v_assets"], oracle=f"""
+, {DUCK_BATCH.strip()},
+a as (select b.collection_id, d.item_id, d.asset_key, {DUCK_URI} as uri, d.seq_ts, d.part, d.supp, d.price
+      from dd d join batch b on d.item_id = b.item_id),
+u as (select * from (select uri, seq_ts, part, supp, price, row_number() over (partition by uri
+        order by seq_ts, part, supp, price) as rn from a where asset_key = 'asset') t where rn = 1)
+select 'CON_1' as concept_id, '{JOB_ID}' as job_id, 'ogc' as kind,
+       '{HOST}/stac/collections/' || collection_id || '/items/' || item_id as uri,
+       seq_ts as first_seq_ts, part as first_part, supp as first_supp, price as first_price from a
+union all
+select 'CON_1', '{JOB_ID}', 'uri', uri, seq_ts, part, supp, price from u
+""")
+def notifications(spark, sf):
+    """The product notice of a batch as rows: per-asset endpoints and distinct
+    asset URIs with their first-seen order keys."""
+    batch, _ = _batch_and_existing(spark, sf)
+    assets = _batch_assets(spark, sf, batch)
+    return notification_rows(assets, F.lit("CON_1"), F.lit(JOB_ID), HOST, ASSET_ORDER)
+
+
+# ------------------------------------------------------------------ A6
+@query("ingest_summary", "A6 C4 Q8 Q10", views=["v_items", "v_collections"], oracle="""
+, batch as (select collection_id, item_id from v_items where side in ('new', 'both')),
+existing as (select collection_id, item_id from v_items where side in ('existing', 'both')),
+remote as (select distinct collection_id from v_collections where side = 'remote'),
+per as (select b.collection_id, count(*) as n_items,
+               count(*) filter (where e.item_id is not null and r.collection_id is null) as n_conflicts
+        from batch b left join existing e on b.collection_id = e.collection_id and b.item_id = e.item_id
+        left join remote r on b.collection_id = r.collection_id group by 1)
+select cast(count(*) filter (where n_conflicts = 0) as bigint) as collections_ingested,
+       cast(sum(case when n_conflicts = 0 then n_items else 0 end) as bigint) as items_ingested,
+       cast(sum(n_conflicts) as bigint) as item_conflicts,
+       coalesce(string_agg(case when n_conflicts > 0 then collection_id end, ',' order by collection_id), '')
+         as failed_collections
+from per
+""")
+def ingest_summary_q(spark, sf):
+    """A6 over a run: collections already in the catalog upsert (Q8); new ones
+    use plain insert, and a conflicting bulk insert fails that collection."""
+    batch, existing = _batch_and_existing(spark, sf)
+    batch, existing = batch.select("collection_id", "item_id"), existing.select("collection_id", "item_id")
+    remote = view(spark, sf, "v_collections").filter(F.col("side") == "remote").select("collection_id").distinct()
+    new_colls_batch = batch.join(remote, "collection_id", "left_anti")
+    _, conflicts = insert_items(existing, new_colls_batch, ["collection_id", "item_id"])
+    per = (batch.groupBy("collection_id").agg(F.count("*").alias("n_items"))
+           .join(conflicts.groupBy("collection_id").agg(F.count("*").alias("n_conflicts")), "collection_id", "left")
+           .select("collection_id", "n_items", F.coalesce("n_conflicts", F.lit(0)).alias("n_conflicts"))
+           .withColumn("ok", F.col("n_conflicts") == 0))
+    return ingest_summary(per).select("collections_ingested", "items_ingested", "item_conflicts",
+                                      F.array_join("failed_collections", ",").alias("failed_collections"))
