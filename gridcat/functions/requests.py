@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Step names and the default plan of each input type.
@@ -128,3 +128,34 @@ def grid_spec(extent: Column, resolution=None, nx=None, ny=None) -> Column:
         F.when(ok, F.when(by_res, res).otherwise(w / nxc)).alias("res_x"),
         F.when(ok, F.when(by_res, res).otherwise(h / nyc)).alias("res_y"),
         F.when(ok, out_nx).alias("nx"), F.when(ok, out_ny).alias("ny"), error.alias("error"))
+
+
+# ---------------------------------------------------------------- staged forms
+def with_extent(df: DataFrame, extent: str, out: str = "extent_parsed") -> DataFrame:
+    """X23 as a DataFrame step: the split and the four numbers are columns of
+    their own, so the rule checks reuse them instead of re-parsing the text
+    in every branch (the Column form inlines the parse a dozen times)."""
+    tmp = df.withColumn("_parts", F.split(F.trim(F.col(extent)), "[ ,]+"))
+    tmp = tmp.withColumn("_nums", F.transform(F.slice("_parts", 1, 4), lambda p: p.try_cast("double")))
+    x0, y0, x1, y1 = (F.try_element_at("_nums", F.lit(i)) for i in range(1, 5))
+    tmp = tmp.withColumn("_xy", F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1")))
+    x0, y0, x1, y1 = (F.col(f"_xy.{k}") for k in ("x0", "y0", "x1", "y1"))
+    error = (F.when(F.size("_parts") != 4, F.concat(F.lit("expected 4 fields, got "),
+                                                    F.size("_parts").cast("string")))
+             .when(x0.isNull() | y0.isNull() | x1.isNull() | y1.isNull(), F.lit("non-number field"))
+             .when((x0 < -180) | (x0 > 180) | (x1 < -180) | (x1 > 180), F.lit("longitude outside [-180, 180]"))
+             .when((y0 < -90) | (y0 > 90) | (y1 < -90) | (y1 > 90), F.lit("latitude outside [-90, 90]"))
+             .when(x0 >= x1, F.lit("min longitude >= max longitude"))
+             .when(y0 >= y1, F.lit("min latitude >= max latitude")))
+    tmp = tmp.withColumn("_err", error)
+    ok = F.col("_err").isNull()
+    return tmp.withColumn(out, F.struct(
+        F.when(ok, x0).alias("min_lon"), F.when(ok, y0).alias("min_lat"), F.when(ok, x1).alias("max_lon"),
+        F.when(ok, y1).alias("max_lat"), F.col("_err").alias("error"))).drop("_parts", "_nums", "_xy", "_err")
+
+
+def with_grid_spec(df: DataFrame, extent: str, resolution=None, nx=None, ny=None,
+                   out: str = "grid") -> DataFrame:
+    """X24 as a DataFrame step over a parsed extent column (see ``with_extent``)."""
+    tmp = df.withColumn("_ext", F.col(extent))
+    return tmp.withColumn(out, grid_spec(F.col("_ext"), resolution, nx, ny)).drop("_ext")

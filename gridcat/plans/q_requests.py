@@ -251,7 +251,8 @@ def extent_and_grid_spec_q(spark, sf):
         "k", "extent", "resolution",
         F.when(F.col("resolution").isNull() & (F.col("k") % 3 == 1), F.lit(8)).alias("nx"),
         F.when(F.col("resolution").isNull() & (F.col("k") % 3 == 1), F.lit(4)).alias("ny"))
-    g = R.grid_spec(R.parse_extent("extent"), "resolution", "nx", "ny")
+    e = R.with_grid_spec(R.with_extent(e, "extent"), "extent_parsed", "resolution", "nx", "ny")
+    g = F.col("grid")
     return e.select("k", g["min_lon"].alias("min_lon"), g["min_lat"].alias("min_lat"),
                     g["max_lon"].alias("max_lon"), g["max_lat"].alias("max_lat"),
                     F.round(g["res_x"], 9).alias("res_x"), F.round(g["res_y"], 9).alias("res_y"),
