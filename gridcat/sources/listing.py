@@ -21,22 +21,59 @@ def _c(x) -> Column:
 
 
 # ---------------------------------------------------------------- S1 / S5 / T2
+_LISTING = "bucket string, key string, size long, modified timestamp"
+
+
+def _split_uri(uri: str) -> tuple[str, str]:
+    if "://" in uri:
+        rest = uri.split("://", 1)[1]
+        bucket, _, key = rest.partition("/")
+        return bucket, key
+    return "", uri.lstrip("/")
+
+
+def _list_partition(batches):
+    import pandas as pd
+    from pyarrow import fs as pafs
+
+    for pdf in batches:
+        buckets, keys, sizes, mtimes = [], [], [], []
+        for seed, is_file in zip(pdf["seed"], pdf["is_file"]):
+            fs, base = pafs.FileSystem.from_uri(seed) if "://" in seed else (pafs.LocalFileSystem(), seed)
+            prefix = seed[: len(seed) - len(base)] if "://" in seed else ""
+            infos = [fs.get_file_info(base)] if is_file else \
+                fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))
+            for info in infos:
+                if info.type != pafs.FileType.File:
+                    continue
+                b, k = _split_uri(prefix + info.path if prefix else info.path)
+                buckets.append(b), keys.append(k), sizes.append(info.size), mtimes.append(info.mtime)
+        yield pd.DataFrame({"bucket": buckets, "key": keys, "size": sizes,
+                            "modified": pd.to_datetime(mtimes, utc=True).tz_localize(None)})
+
+
 def list_objects(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Every object below ``root`` (all pages, folders skipped) as
-    ``files(bucket, key, size, modified)``.  Only file metadata is read -
-    ``binaryFile`` skips the content column when it is not selected.
-    ``glob`` (S5) filters file names at the source (``pathGlobFilter``)."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(root).select("path", "length", "modificationTime")
-    path = F.col("path")
-    parsed = F.regexp_extract(path, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/]*)/(.*)$", 1)
-    key = F.when(parsed != "", F.regexp_extract(path, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/]*)/(.*)$", 2)) \
-        .otherwise(F.regexp_replace(path, r"^file:/+", ""))
-    return (df.select(parsed.alias("bucket"), key.alias("key"), F.col("length").alias("size"),
-                      F.col("modificationTime").alias("modified"))
-            .filter(~F.col("key").endswith("/")))
+    """Every object below ``root`` (all pages; folders skipped) as
+    ``files(bucket, key, size, modified)``.  Hidden names such as Zarr's
+    ``.zmetadata`` are objects too (Spark's file sources would skip them).
+
+    The first level under ``root`` is listed on the driver as seeds; each
+    seed is then listed recursively inside the executors (``pyarrow.fs``), so
+    the listing of a large tree is spread over the cluster.  ``glob`` (S5)
+    filters on the file name."""
+    from pyarrow import fs as pafs
+    fs, base = pafs.FileSystem.from_uri(root) if "://" in root else (pafs.LocalFileSystem(), root)
+    prefix = root[: len(root) - len(base)] if "://" in root else ""
+    top = fs.get_file_info(pafs.FileSelector(base, recursive=False, allow_not_found=True))
+    seeds = [(prefix + i.path, i.type == pafs.FileType.File) for i in top
+             if i.type in (pafs.FileType.File, pafs.FileType.Directory)]
+    seed_df = spark.createDataFrame(seeds or [("", True)], "seed string, is_file boolean")
+    if not seeds:
+        seed_df = seed_df.limit(0)
+    n = max(1, min(len(seeds), spark.sparkContext.defaultParallelism * 4))
+    files = seed_df.repartition(n).mapInPandas(_list_partition, _LISTING)
+    files = files.filter(~F.col("key").endswith("/"))
+    return glob_filter(files, glob) if glob else files
 
 
 def glob_to_regex(pattern: str) -> str:
