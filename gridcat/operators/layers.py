@@ -65,24 +65,48 @@ def reconcile(expected: DataFrame, after: DataFrame, before: DataFrame, exp: str
 
 
 # ---------------------------------------------------------------- S19
-def _tables_of(content: bytes) -> list[str]:
+# files up to this size are opened from memory; larger ones are streamed to
+# the task's scratch folder first (a GeoPackage can be many GB)
+_IN_MEMORY_BYTES = 64 << 20
+
+
+def _tables_of(path: str, size: int) -> list[str]:
+    import shutil
     import sqlite3
-    con = sqlite3.connect(":memory:")
-    try:
-        con.deserialize(content)
-        rows = con.execute("select table_name from gpkg_contents order by table_name").fetchall()
-        return [r[0] for r in rows]
-    finally:
-        con.close()
+    import tempfile
+
+    from pyarrow import fs as pafs
+
+    fs, p = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+    query = "select table_name from gpkg_contents order by table_name"
+    if size <= _IN_MEMORY_BYTES:
+        with fs.open_input_stream(p) as fh:
+            data = fh.read()
+        con = sqlite3.connect(":memory:")
+        try:
+            con.deserialize(data)
+            return [r[0] for r in con.execute(query).fetchall()]
+        finally:
+            con.close()
+    scratch = (os.environ.get("SPARK_LOCAL_DIRS") or "").split(",")[0] or None
+    with tempfile.TemporaryDirectory(dir=scratch) as tmp:
+        local = os.path.join(tmp, "layer.gpkg")
+        with fs.open_input_stream(p) as src, open(local, "wb") as dst:
+            shutil.copyfileobj(src, dst, 8 << 20)
+        con = sqlite3.connect(f"file:{local}?mode=ro", uri=True)
+        try:
+            return [r[0] for r in con.execute(query).fetchall()]
+        finally:
+            con.close()
 
 
 def _inventory(batches):
     for pdf in batches:
         out_file, out_table = [], []
-        for path, content in zip(pdf["path"], pdf["content"]):
+        for path, size in zip(pdf["path"], pdf["size"]):
             stem = os.path.splitext(os.path.basename(path))[0]
             try:
-                names = _tables_of(bytes(content))
+                names = _tables_of(path, int(size))
             except Exception:  # unreadable file: fall back to the stem
                 names = []
             for n in names or [stem]:
@@ -94,10 +118,11 @@ def _inventory(batches):
 def gpkg_layers(spark: SparkSession, root: str) -> DataFrame:
     """Table names of every ``.gpkg`` below ``root`` (from the
     ``gpkg_contents`` table); an empty or unreadable file yields its stem.
-    Files are read by ``binaryFile`` and opened in the Python workers, one
-    file at a time - the driver never sees their bytes."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.gpkg")
-             .option("recursiveFileLookup", True).load(root).select("path", "content"))
+    The listing is distributed (``list_objects``) and each file is opened
+    inside a Python worker from its path - no file content ever travels as
+    a row or through the driver."""
+    from gridcat.sources.listing import list_objects
+    files = list_objects(spark, root, glob="*.gpkg", with_path=True).select("path", "size")
     return files.mapInPandas(_inventory, "file string, table_name string")
 
 

@@ -60,3 +60,21 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     tables (lineage cuts, versioned catalog tables in tests)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a cluster run: enough shuffle partitions that one holds
+    about ``target_partition_bytes`` before AQE coalesces them, scan splits of
+    512 MiB, and AQE's skew handling on.  Pass the result as ``extra`` to
+    ``get_session`` (or to spark-submit)."""
+    slots = executors * cores_per_executor
+    partitions = max(slots * 2, min(200_000, input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }

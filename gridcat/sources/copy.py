@@ -75,8 +75,12 @@ def _copy_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"src": pdf["src"], "dst": pdf["dst"], "ok": ok, "error": err, "bytes": size})
 
 
-def copy_objects(plan: DataFrame) -> DataFrame:
+def copy_objects(plan: DataFrame, parallelism: int | None = None) -> DataFrame:
     """Copy every ``(src, dst)`` of a plan; returns one row per object
-    with ``ok``, ``error`` and the bytes copied.  Objects are spread over the
-    executors (each task streams its objects in 8 MiB pieces)."""
-    return plan.select("src", "dst").mapInPandas(_copy_partition, COPY_RESULT)
+    with ``ok``, ``error`` and the bytes copied.  The plan rows are tiny but
+    the work per row is not, so they are spread over an explicit number of
+    tasks (AQE does not coalesce a repartition by number); each task streams
+    its objects in 8 MiB pieces.  Re-running a task rewrites the same
+    targets, so a lost executor only repeats its own copies."""
+    n = parallelism or plan.sparkSession.sparkContext.defaultParallelism * 4
+    return plan.select("src", "dst").repartition(n).mapInPandas(_copy_partition, COPY_RESULT)

@@ -21,7 +21,7 @@ def _c(x) -> Column:
 
 
 # ---------------------------------------------------------------- S1 / S5 / T2
-_LISTING = "bucket string, key string, size long, modified timestamp"
+_LISTING = "bucket string, key string, size long, modified timestamp, path string"
 
 
 def _split_uri(uri: str) -> tuple[str, str]:
@@ -37,7 +37,7 @@ def _list_partition(batches):
     from pyarrow import fs as pafs
 
     for pdf in batches:
-        buckets, keys, sizes, mtimes = [], [], [], []
+        buckets, keys, sizes, mtimes, paths = [], [], [], [], []
         for seed, is_file in zip(pdf["seed"], pdf["is_file"]):
             fs, base = pafs.FileSystem.from_uri(seed) if "://" in seed else (pafs.LocalFileSystem(), seed)
             prefix = seed[: len(seed) - len(base)] if "://" in seed else ""
@@ -46,21 +46,24 @@ def _list_partition(batches):
             for info in infos:
                 if info.type != pafs.FileType.File:
                     continue
-                b, k = _split_uri(prefix + info.path if prefix else info.path)
+                full = prefix + info.path if prefix else info.path
+                b, k = _split_uri(full)
                 buckets.append(b), keys.append(k), sizes.append(info.size), mtimes.append(info.mtime)
+                paths.append(full)
         yield pd.DataFrame({"bucket": buckets, "key": keys, "size": sizes,
-                            "modified": pd.to_datetime(mtimes, utc=True).tz_localize(None)})
+                            "modified": pd.to_datetime(mtimes, utc=True).tz_localize(None), "path": paths})
 
 
-def list_objects(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+def list_objects(spark: SparkSession, root: str, glob: str | None = None, with_path: bool = False) -> DataFrame:
     """Every object below ``root`` (all pages; folders skipped) as
     ``files(bucket, key, size, modified)``.  Hidden names such as Zarr's
     ``.zmetadata`` are objects too (Spark's file sources would skip them).
 
     The first level under ``root`` is listed on the driver as seeds; each
     seed is then listed recursively inside the executors (``pyarrow.fs``), so
-    the listing of a large tree is spread over the cluster.  ``glob`` (S5)
-    filters on the file name."""
+    the listing of a large tree is spread over the cluster (the driver only
+    sees the names of the first level).  ``glob`` (S5) filters on the file
+    name; ``with_path`` keeps the full URI of each object."""
     from pyarrow import fs as pafs
     fs, base = pafs.FileSystem.from_uri(root) if "://" in root else (pafs.LocalFileSystem(), root)
     prefix = root[: len(root) - len(base)] if "://" in root else ""
@@ -73,6 +76,7 @@ def list_objects(spark: SparkSession, root: str, glob: str | None = None) -> Dat
     n = max(1, min(len(seeds), spark.sparkContext.defaultParallelism * 4))
     files = seed_df.repartition(n).mapInPandas(_list_partition, _LISTING)
     files = files.filter(~F.col("key").endswith("/"))
+    files = files if with_path else files.drop("path")
     return glob_filter(files, glob) if glob else files
 
 
