@@ -33,23 +33,24 @@ def to_event_time(df: DataFrame, col: str) -> DataFrame:
 def stage_files(df: DataFrame, path: str, n_files: int, order: str | None = None) -> str:
     """Write a table as ``n_files`` Parquet files so a file stream can pick
     them up; returns the folder.  With ``order`` the files are consecutive
-    slices of that column written one after another, so their modification
-    times follow the column - the order in which a file source takes them,
-    as files arriving over time would be."""
+    equal-width slices of that column written one after another, so their
+    modification times follow the column - the order in which a file source
+    takes them, as files arriving over time would be."""
     if not order:
         df.repartition(n_files).write.mode("overwrite").parquet(path)
         return path
-    key = (F.unix_micros(F.col(order).cast("timestamp")).cast("double")
-           if dict(df.dtypes)[order].startswith("timestamp") else F.col(order))
-    cuts = df.select(key.alias("_k")).approxQuantile("_k", [i / n_files for i in range(1, n_files)], 0.0)
-    bounds = [None, *cuts, None]
-    for i in range(n_files):
-        cond = F.lit(True)
-        if bounds[i] is not None:
-            cond = cond & (key > F.lit(bounds[i]))
-        if bounds[i + 1] is not None:
-            cond = cond & (key <= F.lit(bounds[i + 1]))
-        df.filter(cond).coalesce(1).write.mode("overwrite" if i == 0 else "append").parquet(path)
+    key = (F.unix_micros(F.col(order).cast("timestamp"))
+           if dict(df.dtypes)[order].startswith("timestamp") else F.col(order).cast("double"))
+    src = df.withColumn("_k", key).persist()
+    lo, hi = src.agg(F.min("_k"), F.max("_k")).first()
+    width = ((hi - lo) / n_files) if hi is not None and hi > lo else 1
+    sliced = src.withColumn("_s", F.least(F.floor((F.col("_k") - F.lit(lo)) / F.lit(width)), F.lit(n_files - 1)))
+    try:
+        for i in range(n_files):
+            (sliced.filter(F.col("_s") == i).drop("_k", "_s").coalesce(1).write
+             .mode("overwrite" if i == 0 else "append").parquet(path))
+    finally:
+        src.unpersist()
     return path
 
 

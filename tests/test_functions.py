@@ -188,3 +188,11 @@ def test_unwrap_names(spark):
     out = many(spark, J.unwrap_names, ['{"layers":{"layer":[{"name":"a"}]}}', '{"layers":[{"name":"b"}]}',
                                        '[{"name":"c"}]', '{"other":1}', "oops"])
     assert [[x.name for x in o] for o in out] == [["a"], ["b"], ["c"], [], []]
+
+
+def test_input_type_error_and_default_pattern(spark):
+    from gridcat.sources.listing import default_pattern, file_format
+    assert one(spark, R.input_type_error(F.col("g"), F.col("u")), g=None, u="s3://b/f.txt") == \
+        "unsupported file type: s3://b/f.txt"
+    assert many(spark, default_pattern, [".zarr", ".TIF", None]) == ["*.zarr", "*.tif", "*.nc*"]
+    assert many(spark, file_format, ["a.GPKG", "b.Zip", "c.shp", "d.nc"]) == ["gpkg", "zip", "shp", None]

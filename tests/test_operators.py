@@ -233,3 +233,25 @@ def test_latest_status_and_gate(spark):
     prods = spark.createDataFrame([(10, 1), (11, 2), (12, 3), (13, 4)], "product_id long, job_id long")
     got = {r.product_id: r.action for r in JO.gate_products(prods, latest).collect()}
     assert got == {10: "catalog", 11: "wait", 12: "drop", 13: "hold"}
+
+
+def test_notification_messages_bounded_per_item(spark):
+    a = spark.createDataFrame([("C1", "i1", "asset", "s3://b/x", 1), ("C1", "i1", "aux", "s3://b/y", 2),
+                               ("C1", "i2", "asset", "s3://b/x", 3)],
+                              "collection_id string, item_id string, asset_key string, uri string, seq int")
+    rows_ = NO.notification_rows(a, F.lit("CON"), F.lit("job"), "https://h", ["seq"])
+    assert rows_.filter("kind = 'ogc'").count() == 3 and rows_.filter("kind = 'uri'").count() == 1
+    ok = spark.createDataFrame([("C2",)], "collection_id string")
+    assert NO.notification_rows(a, F.lit("CON"), F.lit("job"), "https://h", ["seq"], ok).count() == 0  # Q11
+    import json
+    msgs = NO.notification_messages(rows_.withColumn("item", F.regexp_extract("uri", "items/(.*)$", 1)), ["item"])
+    parsed = sorted((json.loads(m.message) for m in msgs.collect()), key=lambda d: (len(d["ogc"]), d["uris"]))
+    assert parsed[-1]["ogc"] == ["https://h/stac/collections/C1/items/i1"] * 2
+
+
+def test_collection_extent_with_bbox(spark):
+    items = spark.createDataFrame([("C", D(2020, 1, 1), [0.0, 1.0, 2.0, 3.0]), ("C", D(2021, 1, 1), [-1.0, 2.0, 1.0, 5.0])],
+                                  "collection_id string, item_ts timestamp, bbox array<double>")
+    r = UP.derive_collection_extent(items, bbox="bbox").first()
+    assert (r.start_ts, r.end_ts, r.west, r.south, r.east, r.north) == (D(2020, 1, 1), D(2021, 1, 1), -1.0, 1.0,
+                                                                        2.0, 5.0)
