@@ -55,10 +55,9 @@ def reconcile(expected: DataFrame, after: DataFrame, before: DataFrame, exp: str
                    .when(F.col("_pre"), F.lit("pre-existing")).otherwise(F.lit("missing")).alias("outcome"),
                    name, F.coalesce("n_matches", F.lit(0)).cast("bigint").alias("n_matches"),
                    F.coalesce("ambiguous", F.lit(False)).alias("ambiguous")))
-    # A one-row probe of "anything matched?"; the anti join keeps all new
-    # layers only when the probe is empty (equi join on a constant, 1 row).
-    probe = matched.select(F.lit(1).alias("_k")).limit(1)
-    fallback = (new.withColumn("_k", F.lit(1)).join(F.broadcast(probe), "_k", "left_anti").drop("_k")
+    # U3: "did anything match?" is an uncorrelated EXISTS subquery, run once
+    # and used as a filter - no join at all.
+    fallback = (new.where(~matched.exists())
                 .select(F.lit(None).cast("string").alias(exp), F.lit("published").alias("outcome"), name,
                         F.lit(1).cast("bigint").alias("n_matches"), F.lit(False).alias("ambiguous")))
     return out.unionByName(fallback)
