@@ -13,7 +13,7 @@ from gridcat.plans.registry import query
 from gridcat.plans.views import table, view
 from gridcat.session import scratch_dir
 
-MAP_HOST = "https://maps.example/geoserver"
+MAP_HOST = "https://maps.example/gis"
 WORKSPACE = "gridcat"
 
 _DUCK_URL = (f"'{MAP_HOST}/{WORKSPACE}/ows?service=WFS&version=1.0.0&request=GetFeature&typeName={WORKSPACE}%3A' || "

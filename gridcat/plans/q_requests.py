@@ -287,7 +287,7 @@ def nested_unwrap_q(spark, sf):
 
 # ------------------------------------------------------------------ X25 X26
 STAC_HOST = "https://catalog.example"
-MAP_HOST = "https://maps.example/geoserver"
+MAP_HOST = "https://maps.example/gis"
 WORKSPACE = "gridcat"
 
 

@@ -108,7 +108,7 @@ def test_prefix_rewrite_and_relative(spark):
 def test_product_names_and_variable(spark):
     assert many(spark, U.file_stem, ["a.b.nc", "noext", "x.tif"]) == ["a.b", "noext", "x"]
     assert many(spark, U.variable_from_filename, [
-        "MERRA2_400.tavg1_2d_flx_Nx.20250331_PRECTOT.tif", "data_TEMP_analysis.tif", "plain_name.tif",
+        "REAN2_400.tavg1_2d_flx_Nx.20250331_PRECTOT.tif", "data_TEMP_analysis.tif", "plain_name.tif",
         "single.tif", "s3://b/k/run_SWE.tif"]) == ["PRECTOT", "TEMP", "name", "data", "SWE"]
     assert many(spark, lambda c: U.short_id(c, 7), ["abcdefghij"]) == ["defghij"]
 
