@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from gridcat.functions.uris import PATH_STYLE, VIRTUAL_STYLE, to_object_uri
 from gridcat.operators.notify import distinct_asset_uris, ingest_summary, notification_rows
-from gridcat.operators.upsert import (dedupe_last_wins, insert_items, items_by_id, merge_temporal_extent,
-                                      upsert_collections, upsert_items)
+from gridcat.operators.upsert import (dedupe_last_wins, insert_items, insert_status, merge_temporal_extent,
+                                      upsert_collections, upsert_items, upsert_latest)
 from gridcat.plans.registry import query
 from gridcat.plans.views import view
 
@@ -38,9 +38,11 @@ def _batch_and_existing(spark, sf):
 
 
 def _batch_assets(spark, sf, batch):
-    """Assets of the batch items: W1 dedupe by (item, key), then X2/X3 rewrite."""
-    assets = dedupe_last_wins(view(spark, sf, "v_assets"), ["item_id", "asset_key"], ASSET_ORDER)
-    return (assets.join(batch.select("item_id", "collection_id"), "item_id")
+    """Assets of the batch items: joined to the batch first, then W1 dedupe by
+    (item, key) - the dedupe reuses the join's partitioning on ``item_id``, so
+    the assets are shuffled once - then the X2/X3 rewrite."""
+    assets = view(spark, sf, "v_assets").join(batch.select("item_id", "collection_id"), "item_id")
+    return (dedupe_last_wins(assets, ["item_id", "asset_key"], ASSET_ORDER)
             .withColumn("uri", to_object_uri("href")))
 
 
@@ -152,11 +154,11 @@ select * from ex where not exists (select 1 from nw where nw.collection_id = ex.
 union all select * from nw
 """)
 def item_upsert(spark, sf):
-    """A13 id-keyed maps of both sides (last wins), then C5 upsert by id."""
+    """A13 id-keyed maps of both sides (last wins) and the C5 upsert by id,
+    as one aggregate over both sides."""
     li = _li_items(spark, sf)
-    existing = items_by_id(li.filter(F.col("side") == "existing"), ITEM_KEYS, ITEM_ORDER)
-    new = items_by_id(li.filter(F.col("side") == "new"), ITEM_KEYS, ITEM_ORDER)
-    return upsert_items(existing, new, ITEM_KEYS)
+    return upsert_latest(li.filter(F.col("side") == "existing"), li.filter(F.col("side") == "new"),
+                         ITEM_KEYS, ITEM_ORDER)
 
 
 @query("item_insert_conflicts", "C4 S15", oracle=DUCK_LI.lstrip("\n, ").replace("li as", "with li as", 1) + """
@@ -167,11 +169,7 @@ from nw
 def item_insert_conflicts(spark, sf):
     """C4 plain insert: every new item is either inserted or a conflict."""
     li = _li_items(spark, sf)
-    existing = items_by_id(li.filter(F.col("side") == "existing"), ITEM_KEYS, ITEM_ORDER)
-    new = items_by_id(li.filter(F.col("side") == "new"), ITEM_KEYS, ITEM_ORDER)
-    inserted, conflicts = insert_items(existing, new, ITEM_KEYS)
-    return (inserted.select(*ITEM_KEYS, F.lit("inserted").alias("status"))
-            .unionByName(conflicts.select(*ITEM_KEYS, F.lit("conflict").alias("status"))))
+    return insert_status(li.filter(F.col("side") == "existing"), li.filter(F.col("side") == "new"), ITEM_KEYS)
 
 
 # ------------------------------------------------------------------ A3 A4 A5 S21

@@ -255,3 +255,13 @@ def test_collection_extent_with_bbox(spark):
     r = UP.derive_collection_extent(items, bbox="bbox").first()
     assert (r.start_ts, r.end_ts, r.west, r.south, r.east, r.north) == (D(2020, 1, 1), D(2021, 1, 1), -1.0, 1.0,
                                                                         2.0, 5.0)
+
+
+def test_upsert_latest_and_insert_status(spark):
+    s = "cid string, iid string, seq int, v string"
+    old = spark.createDataFrame([("c", "1", 5, "o1"), ("c", "1", 7, "o1b"), ("c", "2", 1, "o2")], s)
+    new = spark.createDataFrame([("c", "2", 0, "n2"), ("c", "3", 1, "n3"), ("c", "3", 2, "n3b")], s)
+    got = {r.iid: r.v for r in UP.upsert_latest(old, new, ["cid", "iid"], ["seq"]).collect()}
+    assert got == {"1": "o1b", "2": "n2", "3": "n3b"}   # new wins even with a smaller seq
+    st = {r.iid: r.status for r in UP.insert_status(old, new, ["cid", "iid"]).collect()}
+    assert st == {"2": "conflict", "3": "inserted"}
