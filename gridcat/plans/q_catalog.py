@@ -72,7 +72,7 @@ def catalog_upsert_flagship(spark, sf):
     """Merge a batch of items into the catalog; per collection: item counts,
     converted assets, distinct asset URIs and the merged temporal extent."""
     batch, existing = _batch_and_existing(spark, sf)
-    catalog = upsert_items(existing, batch, ["collection_id", "item_id"])
+    catalog = upsert_latest(existing, batch, ["collection_id", "item_id"], ["item_ts"])
     assets = _batch_assets(spark, sf, batch)
     is_asset = F.col("asset_key") == "asset"
     asset_stats = assets.groupBy("collection_id").agg(
