@@ -133,3 +133,25 @@ def combine_grids(grids: Sequence[DataFrame] | DataFrame, value: str = "mean",
           "min": lambda c: F.min(c), "max": lambda c: F.max(c)}
     aggs = [fn[m](value).alias(m) for m in methods]
     return df.groupBy(*keys).agg(*aggs, F.count(value).cast("bigint").alias("n_grids"))
+
+
+# ---------------------------------------------------------------- exact means
+def exact_mean(total_units, n, in_digits: int = 2, out_digits: int = 6) -> Column:
+    """Mean of fixed-point values, rounded half-up to ``out_digits``, exactly.
+
+    ``total_units`` is the integer sum of the values scaled by
+    ``10**in_digits`` (e.g. cents); the rounding is done in integer
+    arithmetic and the result divided once, so the double is the same on any
+    engine and in any summation order (a float ``avg`` is not)."""
+    t = F.col(total_units) if isinstance(total_units, str) else total_units
+    c = F.col(n) if isinstance(n, str) else n
+    num = t.cast("bigint") * F.lit(2 * 10 ** (out_digits - in_digits)) + c
+    den = c * F.lit(2)
+    q = ((num - F.pmod(num, den)) / den).cast("bigint")
+    return F.when(c > 0, q.cast("double") / F.lit(float(10 ** out_digits)))
+
+
+def to_units(value, digits: int = 2) -> Column:
+    """A decimal value with at most ``digits`` decimals as an exact integer."""
+    v = F.col(value) if isinstance(value, str) else value
+    return F.round(v * F.lit(10 ** digits)).cast("bigint")

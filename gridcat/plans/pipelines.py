@@ -46,18 +46,31 @@ def estuary_preprocess(points: DataFrame, grid: G.Grid, step: str = "day", level
 
 
 def gridding_preprocess(spark: SparkSession, points: DataFrame, extent: str, resolution: float,
-                        config: str = "variable", combine: str = "mean") -> DataFrame:
+                        config: str = "variable", combine: str = "mean",
+                        value_digits: int | None = None) -> DataFrame:
     """Validate the extent and resolution (X23, X24), bin the points of
     every configuration (C8, A8), densify each configuration over the grid
-    (C9) and combine the configurations per cell (C12, A7)."""
+    (C9) and combine the configurations per cell (C12, A7).
+
+    ``value_digits``: when the values are fixed-point with that many
+    decimals, the means are computed exactly (integer sums, one rounding to
+    1e-6), so the result does not depend on summation order."""
     spec = spark.range(1).select(grid_spec(parse_extent(F.lit(extent)), F.lit(resolution)).alias("g")).first()["g"]
     if spec["error"] is not None:
         raise ValueError(f"invalid grid request: {spec['error']}")
     grid = G.Grid(spec["min_lon"], spec["min_lat"], spec["max_lon"], spec["max_lat"], spec["res_x"], spec["res_y"])
-    stats = G.bin_mean(points, grid, [config])
+    if value_digits is None:
+        stats = G.bin_mean(points, grid, [config])
+    else:
+        stats = (G.bin_mean(points.withColumn("_u", G.to_units("value", value_digits)), grid, [config], value="_u")
+                 .withColumn("mean", G.exact_mean("total", "n", value_digits, 6)))
     scaffold = G.dense_scaffold(spark, grid, touched=stats.select(config, "iy", "ix"), keys=[config])
     dense = G.densify(stats, scaffold, [config])
-    return G.combine_grids(dense.select("iy", "ix", "mean"), methods=[combine])
+    if value_digits is None or combine != "mean":
+        return G.combine_grids(dense.select("iy", "ix", "mean"), methods=[combine])
+    micro = dense.select("iy", "ix", F.round(F.col("mean") * F.lit(1000000)).cast("bigint").alias("m"))
+    return micro.groupBy("iy", "ix").agg(G.exact_mean(F.sum("m"), F.count("m"), 6, 6).alias("mean"),
+                                         F.count("m").cast("bigint").alias("n_grids"))
 
 
 def array_ingest(arrays: DataFrame, nx: int, keys: Sequence[str], chunk: int = 256, tile: int = 256,

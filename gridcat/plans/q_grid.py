@@ -102,21 +102,36 @@ def raster_tiles(spark, sf):
 G1 = G.Grid(-180.0, -90.0, 180.0, 90.0, 1.0)
 
 
+def _duck_exact(total: str, n: str, in_digits: int = 2, out_digits: int = 6) -> str:
+    """DuckDB form of grid.exact_mean (same integer rounding, one division)."""
+    num = f"(cast({total} as bigint) * {2 * 10 ** (out_digits - in_digits)} + {n})"
+    den = f"(2 * {n})"
+    return (f"case when {n} > 0 then cast(({num} - ((({num} % {den}) + {den}) % {den})) // {den} as double) / "
+            f"cast({10 ** out_digits} as double) end")
+
+
+def _exact_stats(points, grid, keys=("variable",)):
+    """Bin statistics with the exact mean of 2-decimal values (sum of cents)."""
+    s = G.bin_mean(points.withColumn("cents", G.to_units("value")), grid, list(keys), value="cents")
+    return s.withColumn("mean", G.exact_mean("total", "n"))
+
+
 def _duck_bins(res: int, nx: int, ny: int, lat: str = "lat", lon: str = "lon", src: str = "v_cells") -> str:
     return f"""
 select variable, cast(least(floor(({lat} - cast(-90 as double)) / cast({res} as double)), {ny - 1}) as bigint) as iy,
        cast(least(floor(({lon} - cast(-180 as double)) / cast({res} as double)), {nx - 1}) as bigint) as ix,
-       value
+       value, cast(round(value * 100) as bigint) as cents
 from {src} where {lon} >= -180 and {lon} <= 180 and {lat} >= -90 and {lat} <= 90"""
 
 
 @query("point_to_grid", "C8 A8", views=["v_cells"], oracle=f"""
 , b as ({_duck_bins(1, 360, 180)})
-select variable, iy, ix, round(avg(value), 6) as mean, cast(count(value) as bigint) as n from b group by all
+select variable, iy, ix, {_duck_exact("sum(cents)", "count(value)")} as mean, cast(count(value) as bigint) as n
+from b group by all
 """)
 def point_to_grid(spark, sf):
-    s = G.bin_mean(view(spark, sf, "v_cells"), G1)
-    return s.select("variable", "iy", "ix", F.round("mean", 6).alias("mean"), "n")
+    s = _exact_stats(view(spark, sf, "v_cells"), G1)
+    return s.select("variable", "iy", "ix", "mean", "n")
 
 
 # ------------------------------------------------------------------ C9
@@ -125,7 +140,8 @@ G10 = G.Grid(-180.0, -90.0, 180.0, 90.0, 10.0)
 
 @query("dense_grid", "C9", views=["v_cells"], oracle=f"""
 , b as ({_duck_bins(10, 36, 18)}),
-s as (select variable, iy, ix, round(avg(value), 6) as mean, cast(count(value) as bigint) as n from b group by all),
+s as (select variable, iy, ix, {_duck_exact("sum(cents)", "count(value)")} as mean, cast(count(value) as bigint) as n
+      from b group by all),
 scaffold as (select v.variable, cast(gy.iy as bigint) as iy, cast(gx.ix as bigint) as ix
              from (select distinct variable from v_cells) v, generate_series(0, 17) gy(iy), generate_series(0, 35) gx(ix))
 select scaffold.variable, scaffold.iy, scaffold.ix, s.mean, cast(coalesce(s.n, 0) as bigint) as n
@@ -134,8 +150,7 @@ from scaffold left join s on scaffold.variable = s.variable and scaffold.iy = s.
 def dense_grid(spark, sf):
     """Every cell of a 10-degree grid per variable, empty ones with n = 0;
     densified only inside 64x64 blocks that hold data."""
-    stats = G.bin_mean(view(spark, sf, "v_cells"), G10).select(
-        "variable", "iy", "ix", F.round("mean", 6).alias("mean"), "n")
+    stats = _exact_stats(view(spark, sf, "v_cells"), G10).select("variable", "iy", "ix", "mean", "n")
     scaffold = G.dense_scaffold(spark, G10, touched=stats, tile=64)
     return G.densify(stats, scaffold).select("variable", "iy", "ix", "mean", "n")
 
@@ -148,7 +163,8 @@ G05 = G.Grid(-180.0, -90.0, 180.0, 90.0, 0.5)
 , sk as (select variable, lat + lon / cast(180 as double) as lat2, lon + lat / cast(90 as double) as lon2, value
          from v_cells),
 b as ({_duck_bins('0.5', 720, 360, 'lat2', 'lon2', 'sk')})
-select variable, iy, ix, round(avg(value), 6) as mean, cast(count(value) as bigint) as n from b group by all
+select variable, iy, ix, {_duck_exact("sum(cents)", "count(value)")} as mean, cast(count(value) as bigint) as n
+from b group by all
 """)
 def curvilinear_regrid(spark, sf):
     """Points on a skewed (curvilinear) grid - 2-d lat/lon per point - to a
@@ -156,24 +172,33 @@ def curvilinear_regrid(spark, sf):
     c = view(spark, sf, "v_cells")
     sk = c.select("variable", (F.col("lat") + F.col("lon") / F.lit(180.0)).alias("lat"),
                   (F.col("lon") + F.col("lat") / F.lit(90.0)).alias("lon"), "value")
-    s = G.regrid_curvilinear(sk, G05)
-    return s.select("variable", "iy", "ix", F.round("mean", 6).alias("mean"), "n")
+    s = _exact_stats(sk, G05)
+    return s.select("variable", "iy", "ix", "mean", "n")
 
 
 # ------------------------------------------------------------------ C12 A7
 @query("combine_grids", "C12 A7", views=["v_cells"], oracle=f"""
 , b as ({_duck_bins(10, 36, 18)}),
-g as (select variable, iy, ix, avg(value) as mean from b group by all)
-select iy, ix, round(sum(mean), 6) as sum, round(avg(mean), 6) as mean, round(median(mean), 6) as median,
-       round(min(mean), 6) as min, round(max(mean), 6) as max, cast(count(mean) as bigint) as n_grids
+g as (select variable, iy, ix, cast(round({_duck_exact("sum(cents)", "count(value)")} * 1000000) as bigint) as m
+      from b group by all)
+select iy, ix, cast(sum(m) as double) / cast(1000000 as double) as sum,
+       {_duck_exact("sum(m)", "count(m)", 6, 6)} as mean,
+       median(cast(m as double)) / cast(1000000 as double) as median,
+       cast(min(m) as double) / cast(1000000 as double) as min,
+       cast(max(m) as double) / cast(1000000 as double) as max, cast(count(m) as bigint) as n_grids
 from g group by all
 """)
 def combine_grids(spark, sf):
     """Each variable is one gridded output (one config); combine the outputs
     per cell with all five methods."""
-    g = G.bin_mean(view(spark, sf, "v_cells"), G10)
-    c = G.combine_grids(g.select("variable", "iy", "ix", "mean"))
-    return c.select("iy", "ix", *[F.round(m, 6).alias(m) for m in G.COMBINE_METHODS], "n_grids")
+    g = _exact_stats(view(spark, sf, "v_cells"), G10)
+    # per-grid means as exact integers of 1e-6 units, so every combination is exact
+    micro = g.select("iy", "ix", F.round(F.col("mean") * F.lit(1000000)).cast("bigint").alias("m"))
+    c = G.combine_grids(micro.select("iy", "ix", F.col("m").cast("double").alias("mean")),
+                        methods=("sum", "median", "min", "max"))
+    exact = micro.groupBy("iy", "ix").agg(G.exact_mean(F.sum("m"), F.count("m"), 6, 6).alias("mean"))
+    scaled = [(F.col(m) / F.lit(1e6)).alias(m) for m in ("sum", "median", "min", "max")]
+    return c.join(exact, ["iy", "ix"]).select("iy", "ix", *scaled, "mean", "n_grids")
 
 
 # ------------------------------------------------------------------ A10

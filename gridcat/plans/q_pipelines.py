@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridcat.operators import grid as G
 from gridcat.plans import pipelines as P
-from gridcat.plans.q_grid import DUCK_CELLS, NX
+from gridcat.plans.q_grid import DUCK_CELLS, NX, _duck_exact
 from gridcat.plans.registry import query
 from gridcat.plans.views import view
 
@@ -62,16 +62,18 @@ def estuary_preprocess(spark, sf):
 @query("gridding_preprocess", "P3 X23 X24 C8 A8 C9 C12 A7", views=["v_cells"], oracle="""
 , b as (select variable, cast(least(floor((lat + 90) / 10), 17) as bigint) as iy,
                cast(least(floor((lon + 180) / 10), 35) as bigint) as ix, value from v_cells),
-s as (select variable, iy, ix, avg(value) as mean from b group by all),
+s as (select variable, iy, ix, cast(round(value_mean * 1000000) as bigint) as m from (
+        select variable, iy, ix, {exact_cells} as value_mean from b group by all) t),
 scaffold as (select v.variable, cast(gy.iy as bigint) as iy, cast(gx.ix as bigint) as ix
              from (select distinct variable from v_cells) v, generate_series(0, 17) gy(iy), generate_series(0, 35) gx(ix)),
-d as (select scaffold.iy, scaffold.ix, s.mean from scaffold left join s
+d as (select scaffold.iy, scaffold.ix, s.m from scaffold left join s
       on scaffold.variable = s.variable and scaffold.iy = s.iy and scaffold.ix = s.ix)
-select iy, ix, round(avg(mean), 6) as mean, cast(count(mean) as bigint) as n_grids from d group by all
-""")
+select iy, ix, {exact_grids} as mean, cast(count(m) as bigint) as n_grids from d group by all
+""".format(exact_cells=_duck_exact("sum(cast(round(value * 100) as bigint))", "count(value)"),
+           exact_grids=_duck_exact("sum(m)", "count(m)", 6, 6)))
 def gridding_preprocess(spark, sf):
-    out = P.gridding_preprocess(spark, view(spark, sf, "v_cells"), "-180 -90 180 90", 10.0)
-    return out.select("iy", "ix", F.round("mean", 6).alias("mean"), "n_grids")
+    out = P.gridding_preprocess(spark, view(spark, sf, "v_cells"), "-180 -90 180 90", 10.0, value_digits=2)
+    return out.select("iy", "ix", "mean", "n_grids")
 
 
 @query("array_ingest", "P4 S8 S9 S10 S11 S18 A11", views=["v_arrays"], oracle=DUCK_CELLS + """

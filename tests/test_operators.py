@@ -265,3 +265,12 @@ def test_upsert_latest_and_insert_status(spark):
     assert got == {"1": "o1b", "2": "n2", "3": "n3b"}   # new wins even with a smaller seq
     st = {r.iid: r.status for r in UP.insert_status(old, new, ["cid", "iid"]).collect()}
     assert st == {"2": "conflict", "3": "inserted"}
+
+
+def test_exact_mean_is_order_free(spark):
+    # 32 values whose true mean ends in ...0625: a float avg may round either way
+    vals = [(i, 57.0 + (0.01 if i < 13 else 0.0)) for i in range(32)]
+    df = spark.createDataFrame(vals, "i int, value double").withColumn("u", G.to_units("value"))
+    a = df.agg(G.exact_mean(F.sum("u"), F.count("u")).alias("m")).first().m
+    b = df.orderBy(F.desc("i")).agg(G.exact_mean(F.sum("u"), F.count("u")).alias("m")).first().m
+    assert a == b == 57.004063   # 57.0040625 rounded half-up
