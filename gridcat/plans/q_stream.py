@@ -44,7 +44,7 @@ gate as (
 
 def _run_gate(spark, sf, base: str) -> str:
     statuses = view(spark, sf, "v_job_status").withColumn("ts", F.col("ts").cast("timestamp"))
-    ST.stage_files(statuses, f"{base}/in", 4, "ts")
+    ST.stage_files(statuses, f"{base}/in", 2, "ts")
     stream = ST.read_files(spark, f"{base}/in", STATUS_SCHEMA, max_files=1)
     out = f"{base}/gate"
     ST.run_available(ST.job_gate(stream).writeStream.format("parquet").option("path", out).outputMode("append"),
@@ -75,7 +75,7 @@ def stream_new_files(spark, sf):
     (two per trigger) and the running counts per type are kept."""
     base = scratch_dir(spark, f"stream-files-{uuid.uuid4().hex}")
     ev = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    ST.stage_files(ev, f"{base}/in", 6, "ts")
+    ST.stage_files(ev, f"{base}/in", 4, "ts")
     stream = ST.read_files(spark, f"{base}/in", EVENTS_SCHEMA, glob="*.parquet", max_files=2)
     out = f"{base}/counts"
 
@@ -98,7 +98,7 @@ union all select * from nw
 """)
 def stream_upsert(spark, sf):
     """The catalog starts as the existing items (version 0); new items arrive
-    as four files, one per micro-batch, each merged into a new version.  The
+    as two files, one per micro-batch, each merged into a new version.  The
     newest row per id wins, a new item over an existing one - the same table
     as ``item_upsert``, however the items are batched."""
     base = scratch_dir(spark, f"stream-upsert-{uuid.uuid4().hex}")
@@ -106,7 +106,7 @@ def stream_upsert(spark, sf):
     order = ["side", *ITEM_ORDER]  # 'new' sorts after 'existing'
     v0 = dedupe_last_wins(li.filter(F.col("side") == "existing"), ITEM_KEYS, order)
     v0.write.mode("overwrite").parquet(f"{base}/table/v={0:08d}")
-    ST.stage_files(li.filter(F.col("side") == "new"), f"{base}/in", 4, "item_ts")
+    ST.stage_files(li.filter(F.col("side") == "new"), f"{base}/in", 2, "item_ts")
     stream = ST.read_files(spark, f"{base}/in", LI_SCHEMA, max_files=1)
     ST.run_available(stream.writeStream.foreachBatch(ST.upsert_batch(f"{base}/table", ITEM_KEYS, order)),
                      f"{base}/ckpt")
@@ -129,7 +129,7 @@ def stream_product_gate(spark, sf):
     prods = (table(spark, sf, "events").filter(F.col("event_type").isin("view", "click"))
              .select(F.col("event_id").alias("product_id"), F.col("user_id").alias("p_job_id"),
                      F.col("ts").cast("timestamp").alias("p_ts")))
-    ST.stage_files(prods, f"{base}/products", 4, "p_ts")
+    ST.stage_files(prods, f"{base}/products", 2, "p_ts")
     p_schema = T.StructType([T.StructField("product_id", T.LongType()), T.StructField("p_job_id", T.LongType()),
                              T.StructField("p_ts", T.TimestampType())])
     p = ST.read_files(spark, f"{base}/products", p_schema)
