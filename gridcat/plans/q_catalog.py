@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridcat.functions.uris import PATH_STYLE, VIRTUAL_STYLE, to_object_uri
-from gridcat.operators.notify import distinct_asset_uris, ingest_summary, notification_rows
+from gridcat.operators.notify import ingest_summary, notification_rows
 from gridcat.operators.upsert import (dedupe_last_wins, insert_items, insert_status, merge_temporal_extent,
-                                      upsert_collections, upsert_items, upsert_latest)
+                                      upsert_collections, upsert_latest)
 from gridcat.plans.registry import query
 from gridcat.plans.views import view
 
