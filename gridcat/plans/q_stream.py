@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcat.operators.upsert import dedupe_last_wins, latest_version
+from gridcat.operators.upsert import dedupe_last_wins
 from gridcat.plans.q_catalog import DUCK_LI, ITEM_KEYS, ITEM_ORDER, _li_items
 from gridcat.plans.registry import query
 from gridcat.plans.views import table, view
@@ -97,21 +97,21 @@ select * from ex where not exists (select 1 from nw where nw.collection_id = ex.
 union all select * from nw
 """)
 def stream_upsert(spark, sf):
-    """The catalog starts as the existing items (version 0); new items arrive
-    as two files, one per micro-batch, each merged into a new version.  The
-    newest row per id wins, a new item over an existing one - the same table
-    as ``item_upsert``, however the items are batched."""
+    """The catalog starts as the existing items, partitioned by collection;
+    new items arrive as two files, one per micro-batch, and each batch
+    rewrites only the collections it touches.  The newest row per id wins, a
+    new item over an existing one - the same table as ``item_upsert``,
+    however the items are batched."""
     base = scratch_dir(spark, f"stream-upsert-{uuid.uuid4().hex}")
     li = _li_items(spark, sf)
     order = ["side", *ITEM_ORDER]  # 'new' sorts after 'existing'
     v0 = dedupe_last_wins(li.filter(F.col("side") == "existing"), ITEM_KEYS, order)
-    v0.write.mode("overwrite").parquet(f"{base}/table/v={0:08d}")
+    v0.write.mode("overwrite").partitionBy("collection_id").parquet(f"{base}/table/live")
     ST.stage_files(li.filter(F.col("side") == "new"), f"{base}/in", 2, "item_ts")
     stream = ST.read_files(spark, f"{base}/in", LI_SCHEMA, max_files=1)
-    ST.run_available(stream.writeStream.foreachBatch(ST.upsert_batch(f"{base}/table", ITEM_KEYS, order)),
-                     f"{base}/ckpt")
-    v = latest_version(spark, f"{base}/table")
-    return spark.read.parquet(f"{base}/table/v={v:08d}").select(*[f.name for f in LI_SCHEMA.fields])
+    merge = ST.upsert_batch_partitioned(f"{base}/table", ITEM_KEYS, order, "collection_id", LI_SCHEMA)
+    ST.run_available(stream.writeStream.foreachBatch(merge), f"{base}/ckpt")
+    return spark.read.schema(LI_SCHEMA).parquet(f"{base}/table/live").select(*[f.name for f in LI_SCHEMA.fields])
 
 
 @query("stream_product_gate", "T4 C11", views=["v_job_status"], oracle=DUCK_GATE + """
