@@ -18,6 +18,11 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # Broadcast only what the planner has measured small; we never raise this.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Streaming state off-heap in RocksDB with changelog checkpoints: bounded
+    # executor memory however many jobs/keys the gates and dedupes track.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
