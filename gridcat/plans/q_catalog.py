@@ -71,8 +71,15 @@ from ist left join nst using (collection_id) left join ast using (collection_id)
 def catalog_upsert_flagship(spark, sf):
     """Merge a batch of items into the catalog; per collection: item counts,
     converted assets, distinct asset URIs and the merged temporal extent."""
-    batch, existing = _batch_and_existing(spark, sf)
-    catalog = upsert_latest(existing, batch, ["collection_id", "item_id"], ["item_ts"])
+    # one scan of the items: each row enters the merge once per side it is on
+    # (0 = already in the catalog, 1 = in the new batch); the upsert (C5) is
+    # then one aggregate, and its winner is from the batch iff the item is
+    items = view(spark, sf, "v_items")
+    sides = F.filter(F.array(F.when(F.col("side").isin("existing", "both"), F.lit(0)),
+                             F.when(F.col("side").isin("new", "both"), F.lit(1))), lambda x: x.isNotNull())
+    tagged = items.select("collection_id", "item_id", "item_ts", F.explode(sides).alias("_side"))
+    catalog = dedupe_last_wins(tagged, ["collection_id", "item_id"], ["_side", "item_ts"])
+    batch = catalog.filter(F.col("_side") == 1).select("collection_id", "item_id", "item_ts")
     assets = _batch_assets(spark, sf, batch)
     is_asset = F.col("asset_key") == "asset"
     asset_stats = assets.groupBy("collection_id").agg(
@@ -81,11 +88,10 @@ def catalog_upsert_flagship(spark, sf):
         F.count_distinct(F.when(is_asset, F.col("uri"))).cast("bigint").alias("n_asset_uris"),
         F.min(F.when(is_asset, F.col("uri"))).alias("min_asset_uri"),
         F.max(F.when(is_asset, F.col("uri"))).alias("max_asset_uri"))
-    item_stats = catalog.groupBy("collection_id").agg(F.count("*").cast("bigint").alias("n_items"))
-    new_stats = batch.groupBy("collection_id").agg(F.count("*").cast("bigint").alias("n_new_items"))
+    item_stats = catalog.groupBy("collection_id").agg(
+        F.count("*").cast("bigint").alias("n_items"), F.count_if(F.col("_side") == 1).cast("bigint").alias("n_new_items"))
     extent = merge_temporal_extent(view(spark, sf, "v_collections"), "collection_id")
-    return (item_stats.join(new_stats, "collection_id", "left")
-            .join(asset_stats, "collection_id", "left")
+    return (item_stats.join(asset_stats, "collection_id", "left")
             .join(extent, "collection_id", "left")
             .select("collection_id", "n_items", "n_new_items", "n_assets", "assets_converted",
                     "n_asset_uris", "min_asset_uri", "max_asset_uri", "extent_start", "extent_end"))
