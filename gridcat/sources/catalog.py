@@ -37,24 +37,26 @@ def item_features(pages: DataFrame, max_items: int | None = None) -> DataFrame:
     return out.filter(F.col("pos") < max_items) if max_items is not None else out
 
 
-def walk_catalog(links: DataFrame, roots: DataFrame, max_depth: int = 3) -> DataFrame:
+def walk_catalog(links: DataFrame, roots: DataFrame, max_depth: int = 16) -> DataFrame:
     """Catalog -> (sub-catalogs ->) collections -> items.
 
     ``links``: (parent_id, child_id, rel) with rel ``child`` or ``item``;
-    ``roots``: (root_id).  Follows ``child`` links up to ``max_depth`` levels
-    (one equi join per level; catalog trees are shallow) and returns
-    (root_id, collection_id, item_id) for every item reached."""
-    child = links.filter(F.col("rel") == "child").select("parent_id", "child_id")
-    item = links.filter(F.col("rel") == "item").select(F.col("parent_id").alias("collection_id"),
-                                                       F.col("child_id").alias("item_id"))
-    frontier = roots.select("root_id", F.col("root_id").alias("node_id"))
-    reached = frontier
-    for _ in range(max_depth):
-        frontier = (frontier.join(child, frontier["node_id"] == child["parent_id"])
-                    .select("root_id", F.col("child_id").alias("node_id")))
-        reached = reached.unionByName(frontier)
-    return (reached.withColumnRenamed("node_id", "collection_id")
-            .join(item, "collection_id").select("root_id", "collection_id", "item_id"))
+    ``roots``: (root_id).  ``child`` links are followed with a recursive CTE
+    (Spark runs it as a loop, one join of the small node frontier per level,
+    ``max_depth`` guards against cycles); the big item links are joined once
+    at the end.  Returns (root_id, collection_id, item_id)."""
+    spark = links.sparkSession
+    return spark.sql("""
+        with recursive walk(root_id, node_id, depth) as (
+          select root_id, root_id, 0 from {roots}
+          union all
+          select w.root_id, l.child_id, w.depth + 1
+          from walk w join {links} l on l.parent_id = w.node_id and l.rel = 'child'
+          where w.depth < {max_depth})
+        select w.root_id, w.node_id as collection_id, l.child_id as item_id
+        from walk w join {links} l on l.parent_id = w.node_id and l.rel = 'item'
+        """, roots=roots.select("root_id"), links=links.select("parent_id", "child_id", "rel"),
+                     max_depth=int(max_depth))
 
 
 def catalog_counts(walked: DataFrame, converted: str = "converted") -> DataFrame:
