@@ -143,8 +143,7 @@ def bundle_check(spark, sf):
     """Shapefile bundles: which of .shp/.shx/.dbf each stem lacks, and how
     many of its files the case-insensitive format test calls ``shp``."""
     files = view(spark, sf, "v_bundle_files")
-    chk = L.bundle_check(files)
-    shp = (files.withColumn("fmt", L.file_format(F.concat("stem", F.upper("ext"))))
-           .groupBy("stem").agg(F.count_if(F.col("fmt") == "shp").cast("bigint").alias("n_shp")))
-    return chk.join(shp, "stem").select("stem", F.array_join("missing", ",").alias("missing"),
-                                        (F.size("missing") == 0).alias("complete"), "n_shp")
+    n_shp = F.count_if(L.file_format(F.concat("stem", F.upper("ext"))) == "shp").cast("bigint").alias("n_shp")
+    chk = L.bundle_check(files, extra_aggs=[n_shp])
+    return chk.select("stem", F.array_join("missing", ",").alias("missing"),
+                      (F.size("missing") == 0).alias("complete"), "n_shp")

@@ -211,11 +211,12 @@ def ftp_matches(lines: DataFrame, keywords: Sequence[str], line: str = "line") -
 SHAPEFILE_PARTS = [".shp", ".shx", ".dbf"]
 
 
-def bundle_check(files: DataFrame, stem: str = "stem", ext: str = "ext") -> DataFrame:
-    """Per stem, the required shapefile parts that are missing."""
-    return (files.groupBy(stem).agg(F.collect_set(F.lower(ext)).alias("_exts"))
-            .select(stem, F.array_sort(F.array_except(F.array(*map(F.lit, SHAPEFILE_PARTS)), "_exts"))
-                    .alias("missing")))
+def bundle_check(files: DataFrame, stem: str = "stem", ext: str = "ext", extra_aggs=()) -> DataFrame:
+    """Per stem, the required shapefile parts that are missing.
+    ``extra_aggs`` are computed in the same grouping (one shuffle)."""
+    return (files.groupBy(stem).agg(F.collect_set(F.lower(ext)).alias("_exts"), *extra_aggs)
+            .withColumn("missing", F.array_sort(F.array_except(F.array(*map(F.lit, SHAPEFILE_PARTS)), "_exts")))
+            .drop("_exts"))
 
 
 def staged_key(prefix, collection_id, name) -> Column:
