@@ -26,7 +26,13 @@ def time_slices(cells: DataFrame, by: Sequence[str], step: str) -> DataFrame:
 
 def pick_levels(df: DataFrame, by: Sequence[str], level: str = "level") -> DataFrame:
     """Mark the surface (lowest index) and bottom (highest index) level
-    within ``by`` - a partial min/max aggregate joined back."""
+    within ``by`` - a partial min/max aggregate joined back.  With no ``by``
+    the two bounds are uncorrelated scalar subqueries (no join at all)."""
+    if not by:
+        lo = df.select(F.min(level)).scalar()
+        hi = df.select(F.max(level)).scalar()
+        return df.withColumn("level_role", F.when(F.col(level) == lo, F.lit("surface"))
+                             .when(F.col(level) == hi, F.lit("bottom")))
     ext = df.groupBy(*by).agg(F.min(level).alias("_lo"), F.max(level).alias("_hi"))
     return (df.join(ext, list(by))
             .withColumn("level_role", F.when(F.col(level) == F.col("_lo"), F.lit("surface"))

@@ -40,12 +40,15 @@ b as (select variable, level, part, day, floor((lat2 + 90) / 10) as iy, floor((l
       from pts where lon2 >= -180 and lon2 <= 180 and lat2 >= -90 and lat2 <= 90 group by all),
 s as (select b.*, dense_rank() over (partition by variable order by day) as slice from b),
 f as (select variable || '_d' || cast(slice as string) || '_s' || cast(level as string) || '_' || cast(part as string)
-             || '.nc' as name, 's' || cast(level as string) || '_' || cast(part as string) as suffix, n from s),
+             || '.nc' as name, 's' || cast(level as string) || '_' || cast(part as string) as suffix, n, level from s),
+lv as (select min(level) as lo, max(level) as hi from f),
 routes as (select * from (values ('s0_1', 'surface_nowcast'), ('s0_2', 'surface_forecast'),
                                  ('s19_1', 'bottom_nowcast'), ('s19_2', 'bottom_forecast')) r(suffix, collection_suffix))
 select r.suffix, r.collection_suffix, cast(count(distinct f.name) as bigint) as n_files,
-       cast(count(*) as bigint) as n_cells, cast(sum(f.n) as bigint) as n_points
-from f join routes r on f.suffix = r.suffix group by 1, 2
+       cast(count(*) as bigint) as n_cells, cast(sum(f.n) as bigint) as n_points,
+       cast(count(*) filter (where f.level = lv.lo) as bigint) as n_surface_cells,
+       cast(count(*) filter (where f.level = lv.hi and f.level <> lv.lo) as bigint) as n_bottom_cells
+from f join routes r on f.suffix = r.suffix cross join lv group by 1, 2
 """)
 def estuary_preprocess(spark, sf):
     c = view(spark, sf, "v_cells")
@@ -56,7 +59,9 @@ def estuary_preprocess(spark, sf):
     routed = P.estuary_preprocess(pts, G.Grid(-180.0, -90.0, 180.0, 90.0, 10.0), spark=spark)
     return (routed.filter(F.col("collection_suffix").isNotNull()).groupBy("suffix", "collection_suffix")
             .agg(F.count_distinct("name").cast("bigint").alias("n_files"), F.count("*").cast("bigint").alias("n_cells"),
-                 F.sum("n").cast("bigint").alias("n_points")))
+                 F.sum("n").cast("bigint").alias("n_points"),
+                 F.count_if(F.col("level_role") == "surface").cast("bigint").alias("n_surface_cells"),
+                 F.count_if(F.col("level_role") == "bottom").cast("bigint").alias("n_bottom_cells")))
 
 
 @query("gridding_preprocess", "P3 X23 X24 C8 A8 C9 C12 A7", views=["v_cells"], oracle="""
