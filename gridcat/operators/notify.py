@@ -52,16 +52,24 @@ def notification_rows(assets: DataFrame, concept_id, job_id, host: str, order: S
             .select(concept_id.alias("concept_id"), job_id.alias("job_id"), "*"))
 
 
-def notification_messages(rows: DataFrame, page_cols: Sequence[str]) -> DataFrame:
-    """Bounded JSON messages, one per ``page_cols`` group (e.g. per item),
-    each with its URIs in first-seen order.  A failed send is the sink's
-    concern; the rows stay in the notification table."""
+def notification_messages(rows: DataFrame, page_cols: Sequence[str], page_size: int = 10_000) -> DataFrame:
+    """Bounded JSON messages: per ``page_cols`` group (e.g. per item),
+    split into pages of about ``page_size`` URIs by a hash of the URI, each
+    page with its URIs in first-seen order.  A hot group (one item holding a
+    third of all assets) becomes many pages instead of one huge array.  A
+    failed send is the sink's concern; the rows stay in the notification
+    table."""
+    keys = ["concept_id", "job_id", *page_cols]
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    n_pages = F.greatest(F.ceil(F.col("_n") / F.lit(page_size)), F.lit(1)).cast("bigint")
+    paged = (rows.join(counts, keys)
+             .withColumn("page", F.pmod(F.xxhash64("kind", "uri"), n_pages)).drop("_n"))
     order_fields = [c for c in rows.columns if c.startswith("first_")]
     entry = F.struct(*[F.col(c) for c in order_fields], F.col("uri"))
-    grouped = rows.groupBy("concept_id", "job_id", *page_cols).agg(
+    grouped = paged.groupBy(*keys, "page").agg(
         F.array_sort(F.collect_list(F.when(F.col("kind") == "ogc", entry))).alias("_ogc"),
         F.array_sort(F.collect_list(F.when(F.col("kind") == "uri", entry))).alias("_uris"))
-    return grouped.select("concept_id", "job_id", *page_cols, F.to_json(F.struct(
+    return grouped.select(*keys, "page", F.to_json(F.struct(
         F.col("concept_id"), F.transform("_ogc", lambda e: e["uri"]).alias("ogc"),
         F.transform("_uris", lambda e: e["uri"]).alias("uris"), F.col("job_id"))).alias("message"))
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,19 +104,24 @@ def _gate_fn(max_wait_us: int):
         if state.exists and state.get[1]:
             return  # gate already decided for this job
         rows = rows.sort_values(["ts", "status"], kind="stable")
-        us = rows["ts"].astype("datetime64[us]").astype("int64")
-        first_us = state.get[0] if state.exists else int(us.iloc[0])
+        us = rows["ts"].astype("datetime64[us]").astype("int64").to_numpy()
+        first_us = state.get[0] if state.exists else int(us[0])
         deadline = first_us + max_wait_us
-        for t_us, status in zip(us, rows["status"]):
-            if t_us > deadline:
-                state.update((first_us, True))
-                yield out(job, "timeout", deadline)
-                return
-            s = str(status).strip().lower()
-            if s in failed or s in success:
-                state.update((first_us, True))
-                yield out(job, "failed" if s in failed else "succeeded", t_us)
-                return
+        # vectorised: position of the first terminal status and of the first
+        # row past the deadline - whichever comes first decides the gate
+        status = rows["status"].astype(str).str.strip().str.lower().to_numpy()
+        terminal = np.isin(status, list(failed | success))
+        late = us > deadline
+        i_term = int(terminal.argmax()) if terminal.any() else None
+        i_late = int(late.argmax()) if late.any() else None
+        if i_late is not None and (i_term is None or i_late <= i_term):
+            state.update((first_us, True))
+            yield out(job, "timeout", deadline)
+            return
+        if i_term is not None:
+            state.update((first_us, True))
+            yield out(job, "failed" if status[i_term] in failed else "succeeded", us[i_term])
+            return
         state.update((first_us, False))
         deadline_ms = -(-deadline // 1000)
         if deadline_ms > state.getCurrentWatermarkMs():
