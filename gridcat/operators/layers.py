@@ -74,9 +74,8 @@ def _tables_of(path: str, size: int) -> list[str]:
     import sqlite3
     import tempfile
 
-    from pyarrow import fs as pafs
-
-    fs, p = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+    from gridcat.sources.fs import open_fs
+    fs, p = open_fs(path)
     query = "select table_name from gpkg_contents order by table_name"
     if size <= _IN_MEMORY_BYTES:
         with fs.open_input_stream(p) as fh:

@@ -40,17 +40,12 @@ def plan_download(files: DataFrame, prefix: str, target_root: str, scheme: str =
 
 
 def _copy_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs as pafs
+    from gridcat.sources.fs import open_fs
 
-    cache: dict[str, tuple] = {}
+    cache: dict = {}
 
     def resolve(uri: str):
-        scheme = uri.split("://", 1)[0] if "://" in uri else "file"
-        if scheme not in cache:
-            cache[scheme] = pafs.FileSystem.from_uri(uri)[0]
-        fs = cache[scheme]
-        path = pafs.FileSystem.from_uri(uri)[1] if "://" in uri else uri
-        return fs, path
+        return open_fs(uri, cache)
 
     for pdf in batches:
         ok, err, size = [], [], []

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcat.functions.uris import parse_object_uri
+from gridcat.sources.fs import normalize_uri, open_fs
 
 
 def _c(x) -> Column:
@@ -39,7 +40,7 @@ def _list_partition(batches):
     for pdf in batches:
         buckets, keys, sizes, mtimes, paths = [], [], [], [], []
         for seed, is_file in zip(pdf["seed"], pdf["is_file"]):
-            fs, base = pafs.FileSystem.from_uri(seed) if "://" in seed else (pafs.LocalFileSystem(), seed)
+            fs, base = open_fs(seed)
             prefix = seed[: len(seed) - len(base)] if "://" in seed else ""
             infos = [fs.get_file_info(base)] if is_file else \
                 fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))
@@ -65,7 +66,8 @@ def list_objects(spark: SparkSession, root: str, glob: str | None = None, with_p
     sees the names of the first level).  ``glob`` (S5) filters on the file
     name; ``with_path`` keeps the full URI of each object."""
     from pyarrow import fs as pafs
-    fs, base = pafs.FileSystem.from_uri(root) if "://" in root else (pafs.LocalFileSystem(), root)
+    root = normalize_uri(root)
+    fs, base = open_fs(root)
     prefix = root[: len(root) - len(base)] if "://" in root else ""
     top = fs.get_file_info(pafs.FileSelector(base, recursive=False, allow_not_found=True))
     seeds = [(prefix + i.path, i.type == pafs.FileType.File) for i in top

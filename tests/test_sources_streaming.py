@@ -218,3 +218,12 @@ def test_partitioned_upsert_replay(spark, tmp_path):
     got = {(r.cid, r.id): r.v for r in spark.read.schema(schema).parquet(f"{root}/live").collect()}
     assert got == {("A", "x"): "new", ("A", "z"): "new", ("B", "y"): "old"}
     assert sorted(os.listdir(f"{root}/live/cid=B")) == b_files   # untouched partition not rewritten
+
+
+def test_fs_uri_normalisation():
+    from gridcat.sources.fs import normalize_uri, open_fs
+    assert normalize_uri("s3a://b/k") == "s3://b/k" and normalize_uri("s3n://b/k") == "s3://b/k"
+    assert normalize_uri("file:/tmp/x") == "file:///tmp/x"
+    cache = {}
+    assert open_fs("file:///tmp/a", cache)[1] == "/tmp/a" and open_fs("file:///tmp/b", cache)[1] == "/tmp/b"
+    assert len(cache) == 1 and open_fs("/tmp/c")[1] == "/tmp/c"
