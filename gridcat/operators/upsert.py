@@ -143,7 +143,9 @@ def write_item_version(items: DataFrame, root: str, version: int,
     it writes ``root/v=<n>`` and readers take the highest complete version
     (``latest_version``).  The ``_SUCCESS`` marker makes a version visible."""
     path = f"{root}/v={version:08d}"
-    items.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    # rebalance on the partition columns: each partition is written by few
+    # tasks (no small-file explosion) and AQE splits a hot partition
+    items.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
 

@@ -106,7 +106,8 @@ def stream_upsert(spark, sf):
     li = _li_items(spark, sf)
     order = ["side", *ITEM_ORDER]  # 'new' sorts after 'existing'
     v0 = dedupe_last_wins(li.filter(F.col("side") == "existing"), ITEM_KEYS, order)
-    v0.write.mode("overwrite").partitionBy("collection_id").parquet(f"{base}/table/live")
+    v0.hint("rebalance", "collection_id").write.mode("overwrite").partitionBy("collection_id").parquet(
+        f"{base}/table/live")
     ST.stage_files(li.filter(F.col("side") == "new"), f"{base}/in", 2, "item_ts")
     stream = ST.read_files(spark, f"{base}/in", LI_SCHEMA, max_files=1)
     merge = ST.upsert_batch_partitioned(f"{base}/table", ITEM_KEYS, order, "collection_id", LI_SCHEMA)

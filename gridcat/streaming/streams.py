@@ -213,7 +213,7 @@ def upsert_batch_partitioned(root: str, keys: Sequence[str], order: Sequence[str
                     cur = cur.join(touched, partition_col, "left_semi")
                 rows = cur.select(*cols).unionByName(rows)
             dedupe_last_wins(rows, keys, order).write.mode("overwrite").parquet(stage)
-        (spark.read.schema(schema).parquet(stage).write.mode("overwrite")
+        (spark.read.schema(schema).parquet(stage).hint("rebalance", partition_col).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(live))
     return fn
 
