@@ -143,11 +143,23 @@ def _write_gpkg(path: str, tables: list[str], corrupt: bool = False) -> None:
 
 def write_gpkg_files(df: DataFrame, root: str, file_col: str, table_col: str, corrupt_col: str) -> DataFrame:
     """Write one GeoPackage per ``file_col`` group with its table names (used
-    to build S19 inputs from table data).  Runs in the executors."""
+    to build S19 inputs from table data).  Runs in the executors: each file is
+    built in the task's scratch folder and then copied to ``root`` through the
+    filesystem of its URI (local, HDFS or object store)."""
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        os.makedirs(root, exist_ok=True)
+        import shutil
+        import tempfile
+
+        from gridcat.sources.fs import open_fs
         name = pdf[file_col].iloc[0]
         tables = sorted({t for t in pdf[table_col] if t is not None})
-        _write_gpkg(os.path.join(root, name), tables, bool(pdf[corrupt_col].iloc[0]))
+        scratch = (os.environ.get("SPARK_LOCAL_DIRS") or "").split(",")[0] or None
+        with tempfile.TemporaryDirectory(dir=scratch) as tmp:
+            local = os.path.join(tmp, name)
+            _write_gpkg(local, tables, bool(pdf[corrupt_col].iloc[0]))
+            fs, target = open_fs(root.rstrip("/") + "/" + name)
+            fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
+            with open(local, "rb") as src, fs.open_output_stream(target) as dst:
+                shutil.copyfileobj(src, dst, 8 << 20)
         return pd.DataFrame({"file": [name], "n_tables": [len(tables)]})
     return df.groupBy(file_col).applyInPandas(write, "file string, n_tables long")

@@ -66,8 +66,7 @@ def gpkg_inventory(spark, sf):
         F.concat(F.lit("gpkg_"), F.regexp_replace("p_brand", "#", ""), F.lit(".gpkg")).alias("file"),
         F.when(~F.col("p_brand").endswith("0"), F.split_part("p_name", F.lit(" "), F.lit(1))).alias("table_name"),
         F.col("p_brand").endswith("5").alias("corrupt")).distinct()
-    local_root = root[len("file:"):] if root.startswith("file:") else root
-    LY.write_gpkg_files(parts, local_root, "file", "table_name", "corrupt").count()
+    LY.write_gpkg_files(parts, root, "file", "table_name", "corrupt").count()
     return LY.gpkg_layers(spark, root)
 
 
