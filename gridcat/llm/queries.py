@@ -5,10 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, simhash, token_index
+from . import chunk_bpe, decision_list, simhash, token_index, url_filter, warc
 from .common import table, tokenizer_path
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every page's URL."""
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text counts and the learned decision list's verdict on every document."""
+    judged, _ = decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", "rule")
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to dictionary-compressed archives and read back."""
+    back = warc.round_trip(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints and components of every document."""
     found = simhash.groups(table(spark, sf_dir, "documents"))
@@ -26,5 +45,5 @@ def op10_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index.index_round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op8_simhash, op9_chunk_bpe, op10_token_index)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op4_quality_rules, op6_warc, op8_simhash, op9_chunk_bpe, op10_token_index)}
 ORACLES: dict[str, str] = {}
