@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, decision_list, simhash, token_index, url_filter, warc
+from . import chunk_bpe, decision_list, page_diff, preference, simhash, token_index, url_filter, warc
 from .common import table, tokenizer_path
 
 
@@ -15,6 +15,23 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation that has an answer, paired with one whose last answer is stale."""
+    turns = preference.turns_in_order(table(spark, sf_dir, "conversations"))
+    pairs = preference.format_pairs(*preference.stale_answers(turns))
+
+    def spans(mask: str):
+        return F.array_join(F.transform(mask, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+
+    return pairs.select("conv_id", "n_prefix", "prompt", "chosen", "rejected",
+                        spans("chosen_mask").alias("chosen_mask"), spans("rejected_mask").alias("rejected_mask"))
+
+
+def op3_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return page_diff.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text counts and the learned decision list's verdict on every document."""
     judged, _ = decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -45,5 +62,35 @@ def op10_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index.index_round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op4_quality_rules, op6_warc, op8_simhash, op9_chunk_bpe, op10_token_index)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_preference, op3_page_diff, op4_quality_rules, op6_warc, op8_simhash, op9_chunk_bpe, op10_token_index)}
+
+ORACLES = {
+    # turns in order, the place of the last answer, and the answer before it
+    "op2_preference": r"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) AS pos,
+         coalesce(role, 'user') AS role, coalesce(text, '') AS text
+  FROM conversations),
+ans AS (
+  SELECT conv_id, pos, text, lag(text) OVER w AS stale, row_number() OVER (PARTITION BY conv_id ORDER BY pos DESC) AS back
+  FROM t WHERE role = 'assistant' WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+both_ AS (
+  SELECT t.conv_id, t.pos, t.role, t.text, a.pos AS last_at, a.stale,
+         CASE WHEN t.pos = a.pos THEN a.stale ELSE t.text END AS rtext
+  FROM t JOIN ans a ON t.conv_id IS NOT DISTINCT FROM a.conv_id AND a.back = 1 AND t.pos <= a.pos),
+f AS (
+  SELECT *, CASE WHEN rtext IS NULL OR rtext <> text THEN last_at ELSE last_at + 1 END AS first_
+  FROM both_ WHERE pos = last_at),
+m AS (
+  SELECT b.conv_id, b.pos, b.role, f.first_,
+         '<|' || b.role || '|>' || chr(10) || b.text || chr(10) || '<|end|>' || chr(10) AS c,
+         '<|' || b.role || '|>' || chr(10) || b.rtext || chr(10) || '<|end|>' || chr(10) AS r
+  FROM both_ b JOIN f ON b.conv_id IS NOT DISTINCT FROM f.conv_id)
+SELECT conv_id, first_ - 1 AS n_prefix,
+       coalesce(string_agg(c, '' ORDER BY pos) FILTER (pos < first_), '') AS prompt,
+       coalesce(string_agg(c, '' ORDER BY pos) FILTER (pos >= first_), '') AS chosen,
+       coalesce(string_agg(r, '' ORDER BY pos) FILTER (pos >= first_), '') AS rejected,
+       coalesce(max('14-' || length(c)) FILTER (pos >= first_), '') AS chosen_mask,
+       coalesce(max('14-' || length(r)) FILTER (pos >= first_ AND r IS NOT NULL), '') AS rejected_mask
+FROM m GROUP BY conv_id, first_""",
+}
