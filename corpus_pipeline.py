@@ -7,17 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcat.llm import chunk_bpe, simhash
+from gridcat.llm import chunk_bpe, decision_list, decontaminate, simhash, toxicity
 from gridcat.llm.common import stored, table, tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the toxicity threshold."""
+    network = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.drop_toxic(docs.select(*COLUMNS), network)
+
+
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither the base rules nor a learned rule reject."""
+    rules = decision_list.learned(docs, table(spark, sf_dir, "labels"))
+    return decision_list.keep_good(docs, rules).select(*COLUMNS)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays, that of the least doc_id."""
     return simhash.keep_first(docs).select(*COLUMNS)
 
 
+def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what was kept, with the digest of their decoding."""
     done = chunk_bpe.encode_decode(docs, tokenizer_path(), keep=("lang", "source"))
@@ -27,11 +44,14 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("quality rules", drop_poor),
     ("simhash near-dedup", drop_near_copies),
-    ("bpe encoding", encode),
+    ("benchmark decontamination", drop_leaked),
+    ("bpe encoding and decoding", encode),
 ]
 
-# models and the tokenizer have no SQL form; the stages are tested against brute force
+# models, automata and the tokenizer have no SQL form; the stages are tested against brute force
 ORACLE_SQL = None
 
 

@@ -228,6 +228,27 @@ def _prune(rows: DataFrame, rule: tuple[Condition, ...]) -> tuple[tuple[Conditio
     return rule[:k + 1], got[f"p{k}"], got[f"n{k}"]
 
 
+def _labelled(stats: DataFrame, labels: DataFrame, key: str, quality: str) -> DataFrame:
+    known = (labels.where(F.col(quality).isNotNull()).groupBy(key)
+             .agg((F.min(quality) == 0).alias("rejected")))
+    return stats.where(~base_failed()).join(known, key)
+
+
+def learned(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+            quality: str = "quality") -> DecisionList:
+    """The list learned from the rows of ``docs`` that have a label (quality 0: rejected).  Counts,
+    not texts, are joined with the labels."""
+    stats = stored(text_stats(docs, key, text), "text-stats")
+    return learn(_labelled(stats, labels, key, quality), key=key)
+
+
+def keep_good(docs: DataFrame, rules: DecisionList, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that neither the base rules nor ``rules`` reject."""
+    counted = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text).alias("__text"))
+    judged = text_stats(counted, "__row", "__text").where(~base_failed() & rules.matched().isNull())
+    return judged.select("__row.*")
+
+
 def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
           quality: str = "quality") -> tuple[DataFrame, DecisionList]:
     """Counts, ``base_failed``, ``rule`` (number of the learned rule that rejects, or null) and
@@ -237,8 +258,6 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     Repeated rows and null keys are judged like any other; a null key has no label.
     """
     stats = stored(text_stats(docs, key, text), "text-stats")
-    known = (labels.where(F.col(quality).isNotNull()).groupBy(key)
-             .agg((F.min(quality) == 0).alias("rejected")))
-    rules = learn(stats.where(~base_failed()).join(known, key), key=key)
+    rules = learn(_labelled(stats, labels, key, quality), key=key)
     judged = stats.select("*", base_failed().alias("base_failed"), rules.matched().alias("rule"))
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull()), rules

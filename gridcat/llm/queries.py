@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_bpe, decision_list, page_diff, preference, simhash, token_index, url_filter, warc
+from . import (chunk_bpe, decision_list, decontaminate, page_diff, preference, simhash, token_index, toxicity, url_filter,
+               warc)
 from .common import table, tokenizer_path
 
 
@@ -39,12 +40,23 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "rule")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to dictionary-compressed archives and read back."""
     back = warc.round_trip(table(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that stands in it within the error budget."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints and components of every document."""
     found = simhash.groups(table(spark, sf_dir, "documents"))
@@ -62,7 +74,9 @@ def op10_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index.index_round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_preference, op3_page_diff, op4_quality_rules, op6_warc, op8_simhash, op9_chunk_bpe, op10_token_index)}
+QUERIES = {f.__name__: f for f in (
+    op1_url_filter, op2_preference, op3_page_diff, op4_quality_rules, op5_toxicity, op6_warc, op7_decontaminate,
+    op8_simhash, op9_chunk_bpe, op10_token_index)}
 
 ORACLES = {
     # turns in order, the place of the last answer, and the answer before it
