@@ -22,6 +22,10 @@ DEFAULT_STEPS = {
 }
 
 
+# part of a cell that a grid's size may exceed a whole number of cells by
+SIZE_TOLERANCE = 1e-9
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -106,7 +110,8 @@ def parse_extent(extent) -> Column:
 
 def grid_spec(extent: Column, resolution=None, nx=None, ny=None) -> Column:
     """Grid from an extent struct and *either* a resolution (> 0) *or* a
-    size (nx, ny).  -> struct(min_lon, min_lat, max_lon, max_lat, res_x,
+    size (nx, ny).  A resolution gives as many cells as cover the extent, where a
+    remainder within ``SIZE_TOLERANCE`` of a cell is rounding noise.  -> struct(min_lon, min_lat, max_lon, max_lat, res_x,
     res_y, nx, ny, error)."""
     res = _c(resolution) if resolution is not None else F.lit(None).cast("double")
     nxc = _c(nx) if nx is not None else F.lit(None).cast("int")
@@ -121,8 +126,9 @@ def grid_spec(extent: Column, resolution=None, nx=None, ny=None) -> Column:
              .when(by_size & ((nxc <= 0) | (nyc <= 0)), F.lit("size must be > 0"))
              .when(~by_res & ~by_size, F.lit("resolution or size required")))
     ok = error.isNull()
-    out_nx = F.when(by_res, F.ceil(w / res)).otherwise(nxc).cast("int")
-    out_ny = F.when(by_res, F.ceil(h / res)).otherwise(nyc).cast("int")
+    cells = lambda span: F.greatest(F.lit(1), F.ceil(span / res - F.lit(SIZE_TOLERANCE)))
+    out_nx = F.when(by_res, cells(w)).otherwise(nxc).cast("int")
+    out_ny = F.when(by_res, cells(h)).otherwise(nyc).cast("int")
     return F.struct(
         *[F.when(ok, extent[k]).alias(k) for k in ("min_lon", "min_lat", "max_lon", "max_lat")],
         F.when(ok, F.when(by_res, res).otherwise(w / nxc)).alias("res_x"),

@@ -116,8 +116,7 @@ def normalize_href(href, base) -> Column:
     merged = F.when(h.startswith("/"), href_path).otherwise(F.concat(base_dir, href_path))
     resolved = F.concat(origin, _remove_dot_segments(merged), href_tail)
     bucket = F.substring_index(after_scheme, "/", 1)
-    bucket_prefixed = (b.startswith("s3://") & h.contains("/") & ~h.startswith("./")
-                       & h.startswith(bucket) & ~h.startswith("/"))
+    bucket_prefixed = b.startswith("s3://") & (bucket != "") & h.startswith(F.concat(bucket, F.lit("/")))
     return (F.when(h.isNull() | b.isNull(), h)
             .when(absolute, h)
             .when(bucket_prefixed, F.concat(F.lit("s3://"), h))
@@ -175,6 +174,7 @@ def product_names(name, variable, ts) -> dict[str, Column]:
         "zarr_name": F.concat(stem, F.lit(".zarr")),
         "tif_name": F.concat(stem, F.lit("_"), _c(variable), F.lit(".tif")),
         "pre_name": F.concat(stem, F.lit("_preprocessed.nc")),
+        "concat_name": F.concat(F.lit("concat."), stem, F.lit(".zarr")),
         "ondemand_name": F.concat(F.lit("ondemand_"), F.date_format(_c(ts), "yyyyMMddHHmmss"),
                                   F.lit("_"), _c(name)),
     }
@@ -196,9 +196,15 @@ def item_endpoint(host, collection_id, item_id) -> Column:
     return F.concat_ws("/", _c(host), F.lit("stac/collections"), _c(collection_id), F.lit("items"), _c(item_id))
 
 
-def feature_query_url(host, workspace, layer, max_features: int = 10000) -> Column:
-    """WFS GetFeature URL for ``workspace:layer`` (layer name URL-encoded)."""
-    return F.concat(_c(host), F.lit("/"), _c(workspace),
-                    F.lit("/ows?service=WFS&version=1.0.0&request=GetFeature&typeName="),
-                    _c(workspace), F.lit("%3A"), F.url_encode(_c(layer)),
-                    F.lit(f"&outputFormat=application%2Fjson&maxFeatures={max_features}"))
+# The feature-query URL, and the page size the original tool puts in it.
+FEATURE_QUERY = "/ows?service=WFS&version=1.0.0&request=GetFeature&typeName="
+FEATURE_FORMAT = "&outputFormat=application%2Fjson"
+ORIGINAL_MAX_FEATURES = 10000
+
+
+def feature_query_url(host, workspace, layer, max_features: int | None = None) -> Column:
+    """WFS GetFeature URL for ``workspace:layer`` (layer name URL-encoded).
+    By default it asks for every feature; ``max_features`` limits it."""
+    limit = "" if max_features is None else f"&maxFeatures={int(max_features)}"
+    return F.concat(_c(host), F.lit("/"), _c(workspace), F.lit(FEATURE_QUERY),
+                    _c(workspace), F.lit("%3A"), F.url_encode(_c(layer)), F.lit(FEATURE_FORMAT + limit))

@@ -8,12 +8,14 @@ IDs: S8, S9, S10, S11, X17, X18, C13, W7, U4.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridcat.functions.arrays import dense_values
+
 CRS = "EPSG:4326"  # fixed value: the only CRS the original tags rasters with
 
 
@@ -77,19 +79,32 @@ def attach_coords(cells: DataFrame, lat_axis: DataFrame, lon_axis: DataFrame,
 def cells_to_chunks(cells: DataFrame, keys: Sequence[str], cy: int = 256, cx: int = 256,
                     ct: int = 1, t: str | None = None) -> DataFrame:
     """Group cells into chunks of ``ct x cy x cx`` and store each as a dense
-    row-major ``values`` array (NULL where a cell is absent).  A chunk holds at
-    most ``ct*cy*cx`` values, whatever the data size - bounded per group."""
+    row-major ``values`` array (NULL where a cell is absent; the greatest value
+    where a cell repeats).  Rows are dealt by chunk once; repeated cells are
+    settled before they are collected, so a chunk holds at most
+    ``ct*cy*cx`` entries whatever the data size."""
     tc = F.col(t) if t else F.lit(0)
     loc = ((tc % ct) * (cy * cx) + (F.col("y") % cy) * cx + (F.col("x") % cx)).cast("int")
-    grouped = (cells.filter(F.col("value").isNotNull())
-               .groupBy(*keys, (tc / ct).cast("int").alias("t0"), (F.col("y") / cy).cast("int").alias("cy0"),
-                        (F.col("x") / cx).cast("int").alias("cx0"))
-               .agg(F.map_from_entries(F.collect_list(F.struct(loc, F.col("value")))).alias("_m")))
-    n = ct * cy * cx
+    chunk = [*keys, "t0", "cy0", "cx0"]
+    placed = cells.filter(F.col("value").isNotNull()).select(
+        *keys, (tc / ct).cast("int").alias("t0"), (F.col("y") / cy).cast("int").alias("cy0"),
+        (F.col("x") / cx).cast("int").alias("cx0"), loc.alias("loc"), "value")
+    grouped = (placed.repartition(*chunk).groupBy(*chunk, "loc").agg(F.max("value").alias("value"))
+               .groupBy(*chunk).agg(F.collect_list(F.struct("loc", "value")).alias("_e")))
     return grouped.select(
         *keys, (F.col("t0") * ct).alias("t0"), (F.col("cy0") * cy).alias("y0"), (F.col("cx0") * cx).alias("x0"),
-        F.array(F.lit(ct), F.lit(cy), F.lit(cx)).alias("shape"),
-        F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.try_element_at("_m", i)).alias("values"))
+        F.array(F.lit(ct), F.lit(cy), F.lit(cx)).alias("shape"), dense_values("_e", ct * cy * cx).alias("values"))
+
+
+def write_chunks(chunks: DataFrame, path: str, partition_by: Sequence[str] = ("variable",)) -> str:
+    """S9 sink: a chunk store as Parquet partitioned by ``partition_by``."""
+    chunks.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return path
+
+
+def read_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """S10 source: a chunk store; a filter on its partition columns prunes folders."""
+    return spark.read.parquet(path)
 
 
 def chunks_to_cells(chunks: DataFrame, keys: Sequence[str], with_t: bool = False) -> DataFrame:
@@ -107,19 +122,33 @@ def chunks_to_cells(chunks: DataFrame, keys: Sequence[str], with_t: bool = False
 # ---------------------------------------------------------------- S11 / U4 / W7
 def concat_stores(stores: Sequence[DataFrame] | DataFrame, manifest: DataFrame | None = None,
                   keys: Sequence[str] = ("variable", "time", "y", "x"), store_col: str = "store",
-                  tie: Sequence[str] = ()) -> DataFrame:
-    """S11 + U4: union the stores of a manifest; where two stores hold the same
-    cell (``keys``) the store later in the manifest wins.
+                  tie: Sequence[str] = (), on_overlap: str = "last") -> DataFrame:
+    """S11 + U4: union the stores of a manifest.  Where two stores hold the same
+    cell (``keys``) the store later in the manifest wins, or, with
+    ``on_overlap="error"``, the job fails naming the cell.
 
     ``stores``: a list of DataFrames (union by name, missing columns NULL) or
-    one DataFrame with a ``store`` column; ``manifest``: (seq, store) order."""
+    one DataFrame with a ``store`` column; ``manifest``: (seq, store) order.  A
+    store that the manifest lacks fails the job as well, so no cells are lost unseen."""
+    if on_overlap not in ("last", "error"):
+        raise ValueError(f"on_overlap is 'last' or 'error', not {on_overlap!r}")
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stores) \
         if isinstance(stores, (list, tuple)) else stores
     if manifest is not None:
-        df = df.join(manifest.select("seq", store_col), store_col)
+        df = df.join(manifest.select("seq", store_col), store_col, "left").withColumn(
+            "seq", F.when(F.col("seq").isNull(), F.raise_error(F.concat(
+                F.lit("store not in the manifest: "), F.coalesce(F.col(store_col), F.lit("NULL")))).cast("bigint"))
+            .otherwise(F.col("seq")))
     rest = [c for c in df.columns if c not in keys and c not in ("seq", *tie)]
-    win = F.max(F.struct("seq", *tie, *rest)).alias("_w")
-    return df.groupBy(*keys).agg(win).select(*keys, *[F.col(f"_w.{c}").alias(c) for c in ("seq", *tie, *rest)])
+    aggs = [F.max(F.struct("seq", *tie, *rest)).alias("_w")]
+    if on_overlap == "error":
+        aggs.append(F.count("*").alias("_n"))
+    merged = df.groupBy(*keys).agg(*aggs)
+    if on_overlap == "error":
+        cell = F.concat_ws(", ", *(F.col(k).cast("string") for k in keys))
+        merged = merged.filter(F.when(F.col("_n") > 1, F.raise_error(F.concat(
+            F.lit("stores overlap at "), cell)).cast("boolean")).otherwise(F.lit(True)))
+    return merged.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in ("seq", *tie, *rest)])
 
 
 def reindex_time(cells: DataFrame, by: Sequence[str] = ("variable",), time: str = "time",
@@ -133,6 +162,3 @@ def reindex_time(cells: DataFrame, by: Sequence[str] = ("variable",), time: str
     ranked = steps.withColumn(out, (F.dense_rank().over(Window.partitionBy(*by).orderBy(time)) - 1).cast("int"))
     return cells.join(ranked, [*by, time])
 
-
-def rename_map(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(dict(mapping))

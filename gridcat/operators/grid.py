@@ -7,13 +7,16 @@ computed (``floor``), never searched for.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridcat.functions.requests import SIZE_TOLERANCE
+
 DEFAULT_RESOLUTION = 0.005  # degrees; the estuary regrid default
 
 
@@ -33,26 +36,21 @@ class Grid:
 
     @property
     def nx(self) -> int:
-        import math
-        return max(1, math.ceil((self.max_lon - self.min_lon) / self.res_x - 1e-9))
+        return cell_count(self.max_lon - self.min_lon, self.res_x)
 
     @property
     def ny(self) -> int:
-        import math
-        return max(1, math.ceil((self.max_lat - self.min_lat) / self.ry - 1e-9))
+        return cell_count(self.max_lat - self.min_lat, self.ry)
 
     @classmethod
     def from_size(cls, min_lon, min_lat, max_lon, max_lat, nx: int, ny: int) -> "Grid":
         return cls(min_lon, min_lat, max_lon, max_lat, (max_lon - min_lon) / nx, (max_lat - min_lat) / ny)
 
 
-def cell_index(coord, lo: float, res: float, n: int) -> Column:
-    """C8 on one axis: ``floor((coord - lo) / res)``, half-open; the upper edge
-    belongs to the last cell; NULL outside the extent."""
-    c = F.col(coord) if isinstance(coord, str) else coord
-    i = F.floor((c - F.lit(lo)) / F.lit(res))
-    hi = lo + res * n
-    return F.when((c >= F.lit(lo)) & (c <= F.lit(hi)), F.least(i, F.lit(n - 1))).cast("bigint")
+def cell_count(span: float, resolution: float) -> int:
+    """Cells that cover ``span``; a remainder within ``SIZE_TOLERANCE`` of a
+    cell is rounding noise.  The one rule for grids, X24 included."""
+    return max(1, math.ceil(span / resolution - SIZE_TOLERANCE))
 
 
 def assign_cells(points: DataFrame, grid: Grid, lon: str = "lon", lat: str = "lat") -> DataFrame:
@@ -89,23 +87,24 @@ def cell_centers(df: DataFrame, grid: Grid) -> DataFrame:
 
 
 # ---------------------------------------------------------------- C9
-def dense_scaffold(spark: SparkSession, grid: Grid, touched: DataFrame | None = None,
-                   keys: Sequence[str] = ("variable",), tile: int = 256) -> DataFrame:
-    """Every cell of the grid, as ``(keys..., iy, ix)``.
-
-    With ``touched`` (rows of ``keys, iy, ix`` that hold data) only the
-    ``tile x tile`` blocks that contain data are densified - a global 0.005
-    degree grid has 2.6 billion cells, so a full scaffold is opt-in.  Each
-    touched block is generated by one bounded ``explode`` (tile*tile rows).
-    Without ``touched`` the whole grid comes from a distributed ``range``."""
-    if touched is None:
-        return spark.range(grid.nx * grid.ny).select(
-            (F.col("id") / grid.nx).cast("bigint").alias("iy"), (F.col("id") % grid.nx).cast("bigint").alias("ix"))
-    blocks = touched.select(*keys, (F.col("iy") / tile).cast("bigint").alias("by"),
-                            (F.col("ix") / tile).cast("bigint").alias("bx")).distinct()
-    cells = blocks.select(*keys, "by", "bx", F.explode(F.sequence(F.lit(0), F.lit(tile * tile - 1))).alias("o"))
-    out = cells.select(*keys, (F.col("by") * tile + (F.col("o") / tile).cast("bigint")).alias("iy"),
-                       (F.col("bx") * tile + F.col("o") % tile).alias("ix"))
+def dense_scaffold(grid: Grid, key_rows: DataFrame, keys: Sequence[str] = ("variable",),
+                   tile: int = 256) -> DataFrame:
+    """Every cell of the grid for every key of ``key_rows``, as
+    ``(keys..., iy, ix)``; ``tile`` only sizes the work, never the result.
+
+    The distinct keys are exploded to tile numbers (39,551 tiles of 256x256 for
+    a global 0.005 degree grid), dealt by (key, tile), and each tile is one
+    bounded explode - no cross join, no task with more than its share."""
+    across = -(-grid.nx // tile)
+    tiles = across * -(-grid.ny // tile)
+    dealt = (key_rows.select(*keys).distinct()
+             .select(*keys, F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("tile"))
+             .repartition(*keys, "tile"))
+    top, left = F.floor(F.col("tile") / across) * tile, F.col("tile") % across * tile
+    cells = dealt.select(*keys, top.alias("top"), left.alias("left"),
+                         F.explode(F.sequence(F.lit(0), F.lit(tile * tile - 1))).alias("o"))
+    out = cells.select(*keys, (F.col("top") + F.floor(F.col("o") / tile)).cast("bigint").alias("iy"),
+                       (F.col("left") + F.col("o") % tile).cast("bigint").alias("ix"))
     return out.filter((F.col("iy") < grid.ny) & (F.col("ix") < grid.nx))
 
 

@@ -1,38 +1,43 @@
-"""Vector-layer publish reconciliation and GeoPackage inventory.
+"""Vector-layer publish reconciliation.
 
-IDs: U2, U3, C6, C7, S19.  Prefix matching (C7) is an equi join on the
-bounded set of name prefixes, not a nested-loop theta join.
+IDs: U2, U3, C6, C7.  Prefix matching (C7) is an equi join on the
+name prefixes of expected lengths, not a nested-loop theta join.
 """
 
 from __future__ import annotations
 
-import os
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def existing_names(expected: DataFrame, layers: DataFrame, exp: str = "expected", name: str = "layer") -> DataFrame:
+    """Every expected name once with whether a layer of that very name exists."""
+    there = layers.select(F.col(name).alias(exp)).distinct().withColumn("_hit", F.lit(True))
+    return (expected.select(exp).distinct().join(there, exp, "left")
+            .select(exp, F.coalesce("_hit", F.lit(False)).alias("exists")))
+
+
 def new_layers(after: DataFrame, before: DataFrame, name: str = "layer") -> DataFrame:
     """Layers present after the upload and not before (set difference)."""
     return after.select(name).distinct().join(before.select(name).distinct(), name, "left_anti")
 
 
-def name_prefixes(name) -> F.Column:
-    """Every leading substring of a name (bounded by the name's length)."""
-    c = F.col(name) if isinstance(name, str) else name
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1))), lambda i: F.left(c, i))
-
-
 def match_expected(expected: DataFrame, layers: DataFrame, exp: str = "expected", name: str = "layer") -> DataFrame:
     """For each expected table name, the new layer published from it.
 
     Candidates are layers starting with the expected name; the pick is the
     exact name, else ``name + digits`` (an auto-incremented copy), else the
     shortest, then the smallest name; ``ambiguous`` marks more than one
-    candidate.  Joined on exploded prefixes, so it is an equi join."""
-    pref = layers.select(name, F.explode(name_prefixes(name)).alias(exp))
-    cand = expected.select(exp).distinct().join(pref, exp)
+    candidate.  A layer is cut only to the lengths that occur in ``expected``
+    and equi-joined."""
+    names = expected.select(exp).where(F.col(exp).isNotNull()).distinct()
+    lengths = names.select(F.length(exp).alias("n")).distinct()
+    # distinct lengths are few (names are short); the list bounds the explode
+    known = F.array_compact(F.array(*(F.lit(r[0]) for r in lengths.orderBy("n").collect()))) \
+        if not lengths.isEmpty() else F.array().cast("array<int>")
+    fits = F.filter(known, lambda n: n <= F.length(name))
+    pref = layers.select(name, F.explode(F.transform(fits, lambda n: F.left(F.col(name), n))).alias(exp))
+    cand = names.join(pref, exp)
     tail = F.expr(f"substring({name}, length({exp}) + 1)")
     rank = (F.when(F.col(name) == F.col(exp), F.lit(0))
             .when(tail.rlike("^[0-9]+$"), F.lit(1)).otherwise(F.lit(2)))
@@ -61,105 +66,3 @@ def reconcile(expected: DataFrame, after: DataFrame, before: DataFrame, exp: str
                 .select(F.lit(None).cast("string").alias(exp), F.lit("published").alias("outcome"), name,
                         F.lit(1).cast("bigint").alias("n_matches"), F.lit(False).alias("ambiguous")))
     return out.unionByName(fallback)
-
-
-# ---------------------------------------------------------------- S19
-# files up to this size are opened from memory; larger ones are streamed to
-# the task's scratch folder first (a GeoPackage can be many GB)
-_IN_MEMORY_BYTES = 64 << 20
-
-
-def _tables_of(path: str, size: int) -> list[str]:
-    import shutil
-    import sqlite3
-    import tempfile
-
-    from gridcat.sources.fs import open_fs
-    fs, p = open_fs(path)
-    query = "select table_name from gpkg_contents order by table_name"
-    if size <= _IN_MEMORY_BYTES:
-        with fs.open_input_stream(p) as fh:
-            data = fh.read()
-        con = sqlite3.connect(":memory:")
-        try:
-            con.deserialize(data)
-            return [r[0] for r in con.execute(query).fetchall()]
-        finally:
-            con.close()
-    scratch = (os.environ.get("SPARK_LOCAL_DIRS") or "").split(",")[0] or None
-    with tempfile.TemporaryDirectory(dir=scratch) as tmp:
-        local = os.path.join(tmp, "layer.gpkg")
-        with fs.open_input_stream(p) as src, open(local, "wb") as dst:
-            shutil.copyfileobj(src, dst, 8 << 20)
-        con = sqlite3.connect(f"file:{local}?mode=ro", uri=True)
-        try:
-            return [r[0] for r in con.execute(query).fetchall()]
-        finally:
-            con.close()
-
-
-def _inventory(batches):
-    for pdf in batches:
-        out_file, out_table = [], []
-        for path, size in zip(pdf["path"], pdf["size"]):
-            stem = os.path.splitext(os.path.basename(path))[0]
-            try:
-                names = _tables_of(path, int(size))
-            except Exception:  # unreadable file: fall back to the stem
-                names = []
-            for n in names or [stem]:
-                out_file.append(os.path.basename(path))
-                out_table.append(n)
-        yield pd.DataFrame({"file": out_file, "table_name": out_table})
-
-
-def gpkg_layers(spark: SparkSession, root: str) -> DataFrame:
-    """Table names of every ``.gpkg`` below ``root`` (from the
-    ``gpkg_contents`` table); an empty or unreadable file yields its stem.
-    The listing is distributed (``list_objects``) and each file is opened
-    inside a Python worker from its path - no file content ever travels as
-    a row or through the driver."""
-    from gridcat.sources.listing import list_objects
-    files = list_objects(spark, root, glob="*.gpkg", with_path=True).select("path", "size")
-    return files.mapInPandas(_inventory, "file string, table_name string")
-
-
-def _write_gpkg(path: str, tables: list[str], corrupt: bool = False) -> None:
-    import sqlite3
-    if corrupt:
-        with open(path, "wb") as fh:
-            fh.write(b"not a geopackage")
-        return
-    con = sqlite3.connect(path)
-    try:
-        con.execute("create table gpkg_contents (table_name text primary key, data_type text, identifier text)")
-        con.executemany("insert into gpkg_contents values (?, 'features', ?)", [(t, t) for t in tables])
-        for t in tables:
-            con.execute(f'create table "{t}" (fid integer primary key, geom blob)')
-        con.commit()
-    finally:
-        con.close()
-
-
-def write_gpkg_files(df: DataFrame, root: str, file_col: str, table_col: str, corrupt_col: str) -> DataFrame:
-    """Write one GeoPackage per ``file_col`` group with its table names (used
-    to build S19 inputs from table data).  Runs in the executors: each file is
-    built in the task's scratch folder and then copied to ``root`` through the
-    filesystem of its URI (local, HDFS or object store)."""
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        import shutil
-        import tempfile
-
-        from gridcat.sources.fs import open_fs
-        name = pdf[file_col].iloc[0]
-        tables = sorted({t for t in pdf[table_col] if t is not None})
-        scratch = (os.environ.get("SPARK_LOCAL_DIRS") or "").split(",")[0] or None
-        with tempfile.TemporaryDirectory(dir=scratch) as tmp:
-            local = os.path.join(tmp, name)
-            _write_gpkg(local, tables, bool(pdf[corrupt_col].iloc[0]))
-            fs, target = open_fs(root.rstrip("/") + "/" + name)
-            fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
-            with open(local, "rb") as src, fs.open_output_stream(target) as dst:
-                shutil.copyfileobj(src, dst, 8 << 20)
-        return pd.DataFrame({"file": [name], "n_tables": [len(tables)]})
-    return df.groupBy(file_col).applyInPandas(write, "file string, n_tables long")

@@ -45,11 +45,20 @@ def routes_table(spark: SparkSession, routes=ROUTES) -> DataFrame:
 
 
 def route_files(files: DataFrame, routes: DataFrame, name: str = "name") -> DataFrame:
-    """Route each file to the collection whose suffix (``<suffix>.nc``)
-    its name ends with.  The suffix is cut out of the name and equi-joined, so
-    the routing table can be of any size; files without a route stay (NULL)."""
-    suffix = F.regexp_extract(F.col(name), r"_(s[0-9]+_[0-9]+)[.]nc$", 1)
-    return files.withColumn("suffix", F.nullif(suffix, F.lit(""))).join(routes, "suffix", "left")
+    """Route each file to the collection whose ``<suffix>.nc`` its name
+    ends with, whatever the suffix looks like; the longest suffix wins.  A name
+    is cut to each suffix length that occurs in ``routes`` (a handful) and
+    equi-joined, so the routing table can be of any size; files without a
+    route stay (NULL)."""
+    lengths = sorted(r[0] for r in routes.select(F.length("suffix")).distinct().collect() if r[0] is not None)
+    stem = F.when(F.col(name).endswith(".nc"), F.expr(f"left(`{name}`, length(`{name}`) - 3)"))
+    cuts = [F.when(F.length(stem) >= n, F.right(stem, F.lit(n))) for n in lengths]
+    asked = files.select(name).distinct().select(F.col(name).alias("_name"), F.explode(
+        F.array_compact(F.array(*cuts)) if cuts else F.array().cast("array<string>")).alias("suffix"))
+    best = (asked.join(routes, "suffix").groupBy("_name")
+            .agg(F.max(F.struct(F.length("suffix").alias("n"), "suffix", "collection_suffix")).alias("_r")))
+    return (files.join(best, files[name].eqNullSafe(best["_name"]), "left")
+            .select(files["*"], F.col("_r.suffix").alias("suffix"), F.col("_r.collection_suffix").alias("collection_suffix")))
 
 
 def first_per_route(routed: DataFrame, name: str = "name") -> DataFrame:

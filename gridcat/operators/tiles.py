@@ -10,34 +10,57 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridcat.functions.arrays import dense_values
+from gridcat.session import stored
+
 
 def cells_to_tiles(cells: DataFrame, keys: Sequence[str], size: int = 256) -> DataFrame:
     """Fixed-size raster tiles per ``keys`` (e.g. variable, time): each
-    tile is a dense row-major array of ``size*size`` values (NULL = nodata).
-    A tile never holds more than ``size*size`` cells."""
+    tile is a dense row-major array of ``size*size`` values (NULL = nodata; the
+    greatest value where a cell repeats).  A tile never holds more than
+    ``size*size`` cells."""
     loc = ((F.col("y") % size) * size + (F.col("x") % size)).cast("int")
-    g = (cells.groupBy(*keys, (F.col("y") / size).cast("int").alias("ty"), (F.col("x") / size).cast("int").alias("tx"))
-         .agg(F.map_from_entries(F.collect_list(F.struct(loc, F.col("value")))).alias("_m"),
-              F.count("value").cast("bigint").alias("n"), F.sum("value").alias("total"),
-              F.min("value").alias("vmin"), F.max("value").alias("vmax")))
+    tile = [*keys, "ty", "tx"]
+    placed = cells.select(*keys, (F.col("y") / size).cast("int").alias("ty"),
+                          (F.col("x") / size).cast("int").alias("tx"), loc.alias("loc"), "value")
+    g = (placed.repartition(*tile).groupBy(*tile, "loc").agg(F.max("value").alias("value"))
+         .groupBy(*tile).agg(F.collect_list(F.struct("loc", "value")).alias("_e"),
+                             F.count("value").cast("bigint").alias("n"), F.sum("value").alias("total"),
+                             F.min("value").alias("vmin"), F.max("value").alias("vmax")))
     return g.select(*keys, F.lit(0).alias("zoom"), "ty", "tx", F.array(F.lit(size), F.lit(size)).alias("shape"),
-                    F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)),
-                                lambda i: F.try_element_at("_m", i)).alias("values"),
-                    "n", "total", "vmin", "vmax")
+                    dense_values("_e", size * size).alias("values"), "n", "total", "vmin", "vmax")
+
+
+def tiles_to_cells(tiles: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The inverse of ``cells_to_tiles``; nodata cells stay absent."""
+    rows, cols = F.col("shape")[0], F.col("shape")[1]
+    ex = tiles.select(*keys, "ty", "tx", "shape", F.posexplode("values").alias("_p", "value"))
+    return ex.filter(F.col("value").isNotNull()).select(
+        *keys, (F.col("ty") * rows + (F.col("_p") / cols).cast("int")).alias("y"),
+        (F.col("tx") * cols + F.col("_p") % cols).alias("x"), "value")
+
+
+def write_tiles(tiles: DataFrame, path: str, partition_by: Sequence[str] = ("zoom",)) -> str:
+    """S18 sink: tiles as Parquet partitioned by ``partition_by``."""
+    tiles.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return path
 
 
 def overview_levels(cells: DataFrame, keys: Sequence[str], levels: Sequence[int],
                     value: str = "value") -> DataFrame:
     """A10: the overview pyramid - level ``z`` halves the raster ``z`` times.
-    Every level is computed from the base cells with ``y >> z, x >> z`` and
-    carries (sum, count), so its means are exact averages of the base cells
-    (not means of means) and no level depends on another's lineage."""
-    base = cells.filter(F.col(value).isNotNull())
-    out = None
-    for z in levels:
-        lvl = (base.groupBy(*keys, F.shiftright("y", z).alias("y"), F.shiftright("x", z).alias("x"))
-               .agg(F.sum(value).alias("total"), F.count(value).cast("bigint").alias("n"))
-               .withColumn("level", F.lit(z)))
+    The first level is summed from the cells and each further one from the
+    (sum, count) of the level before, a quarter of its rows, so means stay
+    exact averages of the base cells and the base is read once.  Each level is
+    written to the shared folder, since the next level and the result both read it."""
+    below = cells.filter(F.col(value).isNotNull()).select(
+        *keys, "y", "x", F.col(value).alias("total"), F.lit(1).cast("bigint").alias("n"))
+    out, at = None, 0
+    for z in sorted(set(levels)):
+        below = stored(below.groupBy(*keys, F.shiftright("y", z - at).alias("y"), F.shiftright("x", z - at).alias("x"))
+                       .agg(F.sum("total").alias("total"), F.sum("n").alias("n")), f"overview-{z}")
+        at = z
+        lvl = below.withColumn("level", F.lit(z))
         out = lvl if out is None else out.unionByName(lvl)
     return out.withColumn("mean", F.col("total") / F.col("n"))
 

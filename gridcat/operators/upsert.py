@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -99,39 +99,57 @@ def derive_collection_extent(items: DataFrame, group: str = "collection_id",
 
 
 # ---------------------------------------------------------------- C3
+def collection_intervals(collections: DataFrame, key: str = "collection_id",
+                         intervals: str = "extent.temporal.interval") -> DataFrame:
+    """The temporal intervals of collection documents (``array<array<text>>``,
+    an open end NULL or ``..``) as rows ``(key, start_ts, end_ts)``; a
+    collection without any interval is one row of NULLs."""
+    def bound(i: int) -> Column:
+        text = F.get("_i", F.lit(i))
+        return F.when(text != "..", F.try_to_timestamp(text))
+
+    rows = collections.select(F.col(key), F.explode_outer(F.col(intervals)).alias("_i"))
+    return rows.select(key, bound(0).cast("timestamp_ntz").alias("start_ts"),
+                       bound(1).cast("timestamp_ntz").alias("end_ts"))
+
+
 def upsert_collections(new: DataFrame, remote: DataFrame, new_item_counts: DataFrame,
-                       key: str = "collection_id", keep_open: bool = False) -> DataFrame:
-    """Decide per collection what the merge does.
+                       key: str = "collection_id", keep_open: bool = False,
+                       metadata: Sequence[str] = ()) -> DataFrame:
+    """One row per collection with what the merge does.
 
     * in both, with new items -> ``update``: remote metadata, temporal extent
-      = A1 over the two collections (the bbox is not merged);
-    * in both, no new items   -> ``unchanged`` (remote row untouched);
-    * new only                -> ``create`` with the new collection's extent;
+      = A1 over all intervals of both sides (the bbox is not merged);
+    * in both, no new items   -> ``unchanged`` (remote extent and metadata);
+    * new only                -> ``create`` with the new collection's own;
     * remote only             -> ``unchanged``.
 
-    ``new``/``remote``: (key, start_ts, end_ts); ``new_item_counts``: (key, n_new_items).
-    """
-    n = new.select(key, F.col("start_ts").alias("n_start"), F.col("end_ts").alias("n_end"))
-    r = remote.select(key, F.col("start_ts").alias("r_start"), F.col("end_ts").alias("r_end"))
-    j = (n.withColumn("_in_new", F.lit(True))
-         .join(r.withColumn("_in_remote", F.lit(True)), key, "full_outer")
-         .join(new_item_counts, key, "left"))
+    ``new``/``remote``: (key, start_ts, end_ts, ``metadata``...), any number of
+    interval rows per collection, summed up by A1 per side before the join;
+    ``new_item_counts``: (key, n_new_items)."""
+    def side(rows: DataFrame, p: str) -> DataFrame:
+        # an extent of one's own stays open when an interval is; a merged one closes (A1) unless ``keep_open``
+        own = merge_temporal_extent(rows, key, keep_open=True)
+        closed = merge_temporal_extent(rows, key, keep_open=keep_open).withColumnsRenamed(
+            {"extent_start": f"{p}_lo", "extent_end": f"{p}_hi"})
+        described = rows.groupBy(key).agg(F.lit(True).alias(f"_in_{p}"),
+                                          *(F.max(F.col(c)).alias(f"{p}_{c}") for c in metadata))
+        return own.withColumnsRenamed({"extent_start": f"{p}_start", "extent_end": f"{p}_end"}).join(
+            closed, key).join(described, key)
+
+    j = side(new, "n").join(side(remote, "r"), key, "full_outer").join(new_item_counts, key, "left")
     has_items = F.coalesce(F.col("n_new_items"), F.lit(0)) > 0
-    both = F.col("_in_new") & F.col("_in_remote")
-    lo = F.least("n_start", "n_end", "r_start", "r_end")
-    hi = F.greatest("n_start", "n_end", "r_start", "r_end")
+    both, created = F.col("_in_n") & F.col("_in_r"), F.col("_in_r").isNull()
+    lo, hi = F.least("n_lo", "r_lo"), F.greatest("n_hi", "r_hi")
     if keep_open:
-        hi = F.when(F.col("n_end").isNull() | F.col("r_end").isNull(), F.lit(None)).otherwise(hi)
-    action = (F.when(both & has_items, F.lit("update"))
-              .when(F.col("_in_new").isNotNull() & F.col("_in_remote").isNull(), F.lit("create"))
-              .otherwise(F.lit("unchanged")))
+        hi = F.when(F.col("n_hi").isNull() | F.col("r_hi").isNull(), F.lit(None)).otherwise(hi)
+    action = (F.when(both & has_items, F.lit("update")).when(created, F.lit("create")).otherwise(F.lit("unchanged")))
     return j.select(
         key, action.alias("action"),
-        F.when(both & has_items, lo).when(F.col("_in_remote").isNull(), F.col("n_start"))
-        .otherwise(F.col("r_start")).alias("extent_start"),
-        F.when(both & has_items, hi).when(F.col("_in_remote").isNull(), F.col("n_end"))
-        .otherwise(F.col("r_end")).alias("extent_end"),
-        F.coalesce(F.col("n_new_items"), F.lit(0)).cast("bigint").alias("n_new_items"))
+        F.when(both & has_items, lo).when(created, F.col("n_start")).otherwise(F.col("r_start")).alias("extent_start"),
+        F.when(both & has_items, hi).when(created, F.col("n_end")).otherwise(F.col("r_end")).alias("extent_end"),
+        F.coalesce(F.col("n_new_items"), F.lit(0)).cast("bigint").alias("n_new_items"),
+        *(F.when(created, F.col(f"n_{c}")).otherwise(F.col(f"r_{c}")).alias(c) for c in metadata))
 
 
 # ---------------------------------------------------------------- S15

@@ -16,6 +16,7 @@ from gridcat.operators import cells as CE
 from gridcat.operators import grid as G
 from gridcat.operators import slices as SL
 from gridcat.operators import tiles as TI
+from gridcat.session import stored
 
 
 def land_surface_preprocess(cells: DataFrame, coords: Mapping[str, str], variables: str,
@@ -32,17 +33,22 @@ def estuary_preprocess(points: DataFrame, grid: G.Grid, step: str = "day", level
                        part: str = "part", spark: SparkSession | None = None) -> DataFrame:
     """Regrid the curvilinear points (A9) per (variable, level, part, step),
     number the time slices (W5), name one file per slice and level, and route
-    surface/bottom x nowcast/forecast files to their collections (W6, C10)."""
+    surface/bottom x nowcast/forecast files to their collections (W6, C10);
+    files without a route stay, with NULLs.
+
+    The regridded cells are written once: slices and level bounds then come
+    from a few thousand (variable, level, step) rows, not from further passes over the points."""
     keys = ["variable", level, part, step]
-    binned = G.regrid_curvilinear(points, grid, keys)
-    sliced = SL.time_slices(binned, ["variable"], step)
+    binned = stored(G.regrid_curvilinear(points, grid, keys), "regridded")
+    products = binned.select(*keys).distinct()
+    sliced = SL.time_slices(products, ["variable"], step)
     files = sliced.withColumn("name", F.concat_ws(
         "_", F.col("variable"), F.concat(F.lit("d"), F.col("slice").cast("string")),
         F.concat(F.lit("s"), F.col(level).cast("string")),
         F.concat(F.col(part).cast("string"), F.lit(".nc"))))
     files = SL.pick_levels(files, [], level)   # surface/bottom over the whole model
     spark = spark or points.sparkSession
-    return SL.route_files(files, SL.routes_table(spark))
+    return binned.join(SL.route_files(files, SL.routes_table(spark)), keys)
 
 
 def gridding_preprocess(spark: SparkSession, points: DataFrame, extent: str, resolution: float,
@@ -64,7 +70,7 @@ def gridding_preprocess(spark: SparkSession, points: DataFrame, extent: str, res
     else:
         stats = (G.bin_mean(points.withColumn("_u", G.to_units("value", value_digits)), grid, [config], value="_u")
                  .withColumn("mean", G.exact_mean("total", "n", value_digits, 6)))
-    scaffold = G.dense_scaffold(spark, grid, touched=stats.select(config, "iy", "ix"), keys=[config])
+    scaffold = G.dense_scaffold(grid, points, keys=[config])
     dense = G.densify(stats, scaffold, [config])
     if value_digits is None or combine != "mean":
         return G.combine_grids(dense.select("iy", "ix", "mean"), methods=[combine])
@@ -80,10 +86,11 @@ def array_ingest(arrays: DataFrame, nx: int, keys: Sequence[str], chunk: int = 2
     Returns ``(tiles, items)``."""
     cells = CE.array_to_cells(arrays, "values", nx, keep=[*keys, *([store] if store else [])])
     chunk_keys = [*keys, *([store] if store else [])]
-    chunks = CE.cells_to_chunks(cells, chunk_keys, cy=chunk, cx=chunk)
+    # the store is written once; the tiles and the items both read it
+    chunks = stored(CE.cells_to_chunks(cells, chunk_keys, cy=chunk, cx=chunk), "chunk-store")
     back = CE.chunks_to_cells(chunks, chunk_keys)
     if store:
-        manifest = back.select(store).distinct().withColumn("seq", F.col(store))
+        manifest = chunks.select(store).distinct().withColumn("seq", F.col(store))
         back = CE.concat_stores(back, manifest, keys=[*keys, "y", "x"], store_col=store).drop("seq", store)
     tiles = TI.cells_to_tiles(back, keys, size=tile)
     items = TI.derive_items(back.withColumnsRenamed({"y": "lat", "x": "lon"}), keys)

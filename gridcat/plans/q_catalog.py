@@ -209,10 +209,9 @@ per as (select b.collection_id, count(*) as n_items,
         from batch b left join existing e on b.collection_id = e.collection_id and b.item_id = e.item_id
         left join remote r on b.collection_id = r.collection_id group by 1)
 select cast(count(*) filter (where n_conflicts = 0) as bigint) as collections_ingested,
-       cast(sum(case when n_conflicts = 0 then n_items else 0 end) as bigint) as items_ingested,
-       cast(sum(n_conflicts) as bigint) as item_conflicts,
-       coalesce(string_agg(case when n_conflicts > 0 then collection_id end, ',' order by collection_id), '')
-         as failed_collections
+       cast(count(*) filter (where n_conflicts > 0) as bigint) as collections_failed,
+       cast(coalesce(sum(case when n_conflicts = 0 then n_items else 0 end), 0) as bigint) as items_ingested,
+       cast(coalesce(sum(n_conflicts), 0) as bigint) as item_conflicts
 from per
 """)
 def ingest_summary_q(spark, sf):
@@ -227,5 +226,4 @@ def ingest_summary_q(spark, sf):
            .join(conflicts.groupBy("collection_id").agg(F.count("*").alias("n_conflicts")), "collection_id", "left")
            .select("collection_id", "n_items", F.coalesce("n_conflicts", F.lit(0)).alias("n_conflicts"))
            .withColumn("ok", F.col("n_conflicts") == 0))
-    return ingest_summary(per).select("collections_ingested", "items_ingested", "item_conflicts",
-                                      F.array_join("failed_collections", ",").alias("failed_collections"))
+    return ingest_summary(per)

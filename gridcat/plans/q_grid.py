@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gridcat.operators import cells as CE
@@ -10,6 +12,7 @@ from gridcat.operators import slices as SL
 from gridcat.operators import tiles as TI
 from gridcat.plans.registry import query
 from gridcat.plans.views import view
+from gridcat.session import scratch_dir
 
 NX = 8  # v_arrays are 8x8 grids
 
@@ -48,13 +51,32 @@ def array_to_cells_q(spark, sf):
 
 
 # ------------------------------------------------------------------ S9 S10
-@query("chunk_roundtrip", "S9 S10", views=["v_arrays"], oracle=DUCK_CELLS + """
-select dataset_id, variable, y, x, value from cells where value is not null
+def _mosaic(cells):
+    """The 8x8 arrays laid out as blocks of big rasters, four time steps, so
+    that the default 256x256 chunks and tiles are filled."""
+    d = F.col("dataset_id")
+    return cells.select("variable", (d % 4).cast("int").alias("t"),
+                        (F.col("y") + NX * (F.floor(d / 4) % 32) + 256 * F.floor(d / 4096)).cast("int").alias("y"),
+                        (F.col("x") + NX * (F.floor(d / 128) % 32)).cast("int").alias("x"), "value")
+
+
+DUCK_MOSAIC = DUCK_CELLS + """
+, mosaic as (select variable, cast(dataset_id % 4 as integer) as t,
+                    cast(y + 8 * ((dataset_id // 4) % 32) + 256 * (dataset_id // 4096) as integer) as y,
+                    cast(x + 8 * ((dataset_id // 128) % 32) as integer) as x, max(value) as value
+             from cells where value is not null group by all)"""
+
+
+@query("chunk_roundtrip", "S9 S10", views=["v_arrays"], oracle=DUCK_MOSAIC + """
+select variable, t, y, x, value from mosaic
 """)
 def chunk_roundtrip(spark, sf):
-    """cells -> 4x4 chunks -> cells is lossless."""
-    chunks = CE.cells_to_chunks(_cells(spark, sf), ["dataset_id", "variable"], cy=4, cx=4)
-    return CE.chunks_to_cells(chunks, ["dataset_id", "variable"]).select("dataset_id", "variable", "y", "x", "value")
+    """cells -> chunks of 2 x 256 x 256 -> partitioned store -> cells is
+    lossless; a repeated cell keeps its greatest value."""
+    chunks = CE.cells_to_chunks(_mosaic(_cells(spark, sf)), ["variable"], ct=2, t="t")
+    path = CE.write_chunks(chunks, scratch_dir(spark, f"chunks-{uuid.uuid4().hex}"))
+    back = CE.chunks_to_cells(CE.read_chunks(spark, path), ["variable"], with_t=True)
+    return back.select("variable", "t", "y", "x", "value")
 
 
 # ------------------------------------------------------------------ S11 S12 W7 U4
@@ -88,14 +110,18 @@ def store_concat(spark, sf):
 
 
 # ------------------------------------------------------------------ S18
-@query("raster_tiles", "S18", views=["v_arrays"], oracle=DUCK_CELLS + """
-select dataset_id, variable, cast(y // 4 as integer) as ty, cast(x // 4 as integer) as tx,
-       cast(count(value) as bigint) as n, round(sum(value), 6) as total, min(value) as vmin, max(value) as vmax
-from cells group by all
+@query("raster_tiles", "S18", views=["v_arrays"], oracle=DUCK_MOSAIC + """
+, s as (select variable, t, cast(y // 256 as integer) as ty, cast(x // 256 as integer) as tx,
+               cast(count(*) as bigint) as n, min(value) as vmin, max(value) as vmax from mosaic group by all)
+select m.variable, m.t, m.y, m.x, m.value, s.n, s.vmin, s.vmax
+from mosaic m join s on s.variable = m.variable and s.t = m.t and s.ty = m.y // 256 and s.tx = m.x // 256
 """)
 def raster_tiles(spark, sf):
-    t = TI.cells_to_tiles(_cells(spark, sf), ["dataset_id", "variable"], size=4)
-    return t.select("dataset_id", "variable", "ty", "tx", "n", F.round("total", 6).alias("total"), "vmin", "vmax")
+    """256x256 tiles written as a partitioned store and read back: every value
+    at its place, with the statistics of its tile."""
+    tiles = TI.cells_to_tiles(_mosaic(_cells(spark, sf)), ["variable", "t"])
+    path = TI.write_tiles(tiles, scratch_dir(spark, f"tiles-{uuid.uuid4().hex}"))
+    return TI.tiles_to_cells(spark.read.parquet(path), ["variable", "t", "n", "vmin", "vmax"])
 
 
 # ------------------------------------------------------------------ C8 A8
@@ -139,20 +165,19 @@ G10 = G.Grid(-180.0, -90.0, 180.0, 90.0, 10.0)
 
 
 @query("dense_grid", "C9", views=["v_cells"], oracle=f"""
-, b as ({_duck_bins(10, 36, 18)}),
+, b as ({_duck_bins(1, 360, 180)}),
 s as (select variable, iy, ix, {_duck_exact("sum(cents)", "count(value)")} as mean, cast(count(value) as bigint) as n
       from b group by all),
 scaffold as (select v.variable, cast(gy.iy as bigint) as iy, cast(gx.ix as bigint) as ix
-             from (select distinct variable from v_cells) v, generate_series(0, 17) gy(iy), generate_series(0, 35) gx(ix))
+             from (select distinct variable from v_cells) v, generate_series(0, 179) gy(iy), generate_series(0, 359) gx(ix))
 select scaffold.variable, scaffold.iy, scaffold.ix, s.mean, cast(coalesce(s.n, 0) as bigint) as n
 from scaffold left join s on scaffold.variable = s.variable and scaffold.iy = s.iy and scaffold.ix = s.ix
 """)
 def dense_grid(spark, sf):
-    """Every cell of a 10-degree grid per variable, empty ones with n = 0;
-    densified only inside 64x64 blocks that hold data."""
-    stats = _exact_stats(view(spark, sf, "v_cells"), G10).select("variable", "iy", "ix", "mean", "n")
-    scaffold = G.dense_scaffold(spark, G10, touched=stats, tile=64)
-    return G.densify(stats, scaffold).select("variable", "iy", "ix", "mean", "n")
+    """Every cell of a 1-degree grid per variable, empty ones with n = 0."""
+    cells = view(spark, sf, "v_cells")
+    stats = _exact_stats(cells, G1).select("variable", "iy", "ix", "mean", "n")
+    return G.densify(stats, G.dense_scaffold(G1, cells)).select("variable", "iy", "ix", "mean", "n")
 
 
 # ------------------------------------------------------------------ A9
@@ -185,20 +210,22 @@ select iy, ix, cast(sum(m) as double) / cast(1000000 as double) as sum,
        {_duck_exact("sum(m)", "count(m)", 6, 6)} as mean,
        median(cast(m as double)) / cast(1000000 as double) as median,
        cast(min(m) as double) / cast(1000000 as double) as min,
-       cast(max(m) as double) / cast(1000000 as double) as max, cast(count(m) as bigint) as n_grids
+       cast(max(m) as double) / cast(1000000 as double) as max,
+       case when count(m) > 0 then true end as mean_agrees, cast(count(m) as bigint) as n_grids
 from g group by all
 """)
 def combine_grids(spark, sf):
     """Each variable is one gridded output (one config); combine the outputs
-    per cell with all five methods."""
+    per cell with all five methods, one aggregate for all."""
     g = _exact_stats(view(spark, sf, "v_cells"), G10)
-    # per-grid means as exact integers of 1e-6 units, so every combination is exact
+    # per-grid means as exact integers of 1e-6 units, so every combination is
+    # exact; the mean is the operator's own, rounded as fixed-point values are
     micro = g.select("iy", "ix", F.round(F.col("mean") * F.lit(1000000)).cast("bigint").alias("m"))
-    c = G.combine_grids(micro.select("iy", "ix", F.col("m").cast("double").alias("mean")),
-                        methods=("sum", "median", "min", "max"))
-    exact = micro.groupBy("iy", "ix").agg(G.exact_mean(F.sum("m"), F.count("m"), 6, 6).alias("mean"))
+    c = G.combine_grids(micro.select("iy", "ix", F.col("m").cast("double").alias("mean")))
     scaled = [(F.col(m) / F.lit(1e6)).alias(m) for m in ("sum", "median", "min", "max")]
-    return c.join(exact, ["iy", "ix"]).select("iy", "ix", *scaled, "mean", "n_grids")
+    exact = G.exact_mean(F.round("sum").cast("bigint"), F.col("n_grids"), 6, 6)
+    return c.select("iy", "ix", *scaled, exact.alias("mean"),
+                    (F.abs(F.col("mean") / F.lit(1e6) - exact) < 1e-6).alias("mean_agrees"), "n_grids")
 
 
 # ------------------------------------------------------------------ A10
@@ -248,17 +275,18 @@ routes as (select * from (values ('s0_1', 'surface_nowcast'), ('s0_2', 'surface_
 select r.suffix, r.collection_suffix, min(f.name) as first_file, cast(count(*) as bigint) as n_files,
        cast(count(*) filter (where f.level = lv.lo) as bigint) as n_surface,
        cast(count(*) filter (where f.level = lv.hi) as bigint) as n_bottom
-from f join lv on f.part_no = lv.part_no join routes r on ends_with(f.name, '_' || r.suffix || '.nc')
+from f join lv on f.part_no = lv.part_no left join routes r on ends_with(f.name, '_' || r.suffix || '.nc')
 group by 1, 2
 """)
 def level_route(spark, sf):
     """Sliced files named ``..._s<level>_<1|2>.nc`` routed to the four
     surface/bottom x nowcast/forecast collections; surface and bottom are also
-    derived from the data (lowest/highest level per part)."""
+    derived from the data (lowest/highest level per part).  Files without a
+    route are one row with NULLs."""
     f = view(spark, sf, "v_arrays").select(F.expr(_FILE).alias("name"), "level", "part_no")
     f = SL.pick_levels(f, ["part_no"], "level")
     routed = SL.route_files(f, SL.routes_table(spark))
-    return (routed.filter(F.col("collection_suffix").isNotNull()).groupBy("suffix", "collection_suffix")
+    return (routed.groupBy("suffix", "collection_suffix")
             .agg(F.min("name").alias("first_file"), F.count("*").cast("bigint").alias("n_files"),
                  F.count_if(F.col("level_role") == "surface").cast("bigint").alias("n_surface"),
                  F.count_if(F.col("level_role") == "bottom").cast("bigint").alias("n_bottom")))

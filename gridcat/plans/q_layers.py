@@ -2,23 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from gridcat.functions.uris import feature_query_url
 from gridcat.operators import jobs as JO
 from gridcat.operators import layers as LY
+from gridcat.plans.q_requests import MAP_HOST, WORKSPACE, duck_feature_url
 from gridcat.plans.registry import query
 from gridcat.plans.views import table, view
-from gridcat.session import scratch_dir
-
-MAP_HOST = "https://maps.example/gis"
-WORKSPACE = "gridcat"
-
-_DUCK_URL = (f"'{MAP_HOST}/{WORKSPACE}/ows?service=WFS&version=1.0.0&request=GetFeature&typeName={WORKSPACE}%3A' || "
-             "replace(url_encode({layer}), '%20', '+') || '&outputFormat=application%2Fjson&maxFeatures=10000'")
-
 
 @query("layer_reconcile", "U2 U3 C7 X26 (P6)", views=["v_layers_after", "v_expected_layers"], oracle=f"""
 , nl as (select distinct layer from v_layers_after where not in_before),
@@ -34,10 +25,10 @@ select ex.expected,
        case when p.layer is not null then 'published' when pre.layer is not null then 'pre-existing'
             else 'missing' end as outcome,
        p.layer, cast(coalesce(p.n, 0) as bigint) as n_matches, coalesce(p.n > 1, false) as ambiguous,
-       case when p.layer is not null then {_DUCK_URL.format(layer='p.layer')} end as feature_url
+       case when p.layer is not null then {duck_feature_url('p.layer')} end as feature_url
 from ex left join p on ex.expected = p.expected left join pre on pre.layer = ex.expected
 union all
-select null, 'published', layer, 1, false, {_DUCK_URL.format(layer='layer')} from nl where not exists (select 1 from p)
+select null, 'published', layer, 1, false, {duck_feature_url('layer')} from nl where not exists (select 1 from p)
 """)
 def layer_reconcile(spark, sf):
     """Expected table names vs. layers found after publishing: which layer
@@ -50,26 +41,6 @@ def layer_reconcile(spark, sf):
         F.lit(MAP_HOST), F.lit(WORKSPACE), F.col("layer"))))
 
 
-@query("gpkg_inventory", "S19", oracle="""
-with f as (select distinct p_brand, 'gpkg_' || replace(p_brand, '#', '') as stem, split_part(p_name, ' ', 1) as t
-           from part)
-select distinct stem || '.gpkg' as file,
-       case when ends_with(p_brand, '5') or ends_with(p_brand, '0') then stem else t end as table_name
-from f
-""")
-def gpkg_inventory(spark, sf):
-    """One GeoPackage per brand holding one table per first word of its part
-    names (brands ending in 5 are corrupt files, in 0 empty ones), written by
-    the executors; then the inventory reads them back."""
-    root = scratch_dir(spark, f"gpkg-{uuid.uuid4().hex}")
-    parts = table(spark, sf, "part").select(
-        F.concat(F.lit("gpkg_"), F.regexp_replace("p_brand", "#", ""), F.lit(".gpkg")).alias("file"),
-        F.when(~F.col("p_brand").endswith("0"), F.split_part("p_name", F.lit(" "), F.lit(1))).alias("table_name"),
-        F.col("p_brand").endswith("5").alias("corrupt")).distinct()
-    LY.write_gpkg_files(parts, root, "file", "table_name", "corrupt").count()
-    return LY.gpkg_layers(spark, root)
-
-
 @query("latest_job_status", "W4 X22 C11", views=["v_job_status"], oracle="""
 , l as (select job_id, status from (select *, row_number() over (partition by job_id order by ts desc, status desc)
           as rn from v_job_status) t where rn = 1),

@@ -48,7 +48,7 @@ select r.suffix, r.collection_suffix, cast(count(distinct f.name) as bigint) as
        cast(count(*) as bigint) as n_cells, cast(sum(f.n) as bigint) as n_points,
        cast(count(*) filter (where f.level = lv.lo) as bigint) as n_surface_cells,
        cast(count(*) filter (where f.level = lv.hi and f.level <> lv.lo) as bigint) as n_bottom_cells
-from f join routes r on f.suffix = r.suffix cross join lv group by 1, 2
+from f left join routes r on f.suffix = r.suffix cross join lv group by 1, 2
 """)
 def estuary_preprocess(spark, sf):
     c = view(spark, sf, "v_cells")
@@ -57,7 +57,7 @@ def estuary_preprocess(spark, sf):
                    (F.col("lat") + F.col("lon") / F.lit(180.0)).alias("lat"),
                    (F.col("lon") + F.col("lat") / F.lit(90.0)).alias("lon"), "value")
     routed = P.estuary_preprocess(pts, G.Grid(-180.0, -90.0, 180.0, 90.0, 10.0), spark=spark)
-    return (routed.filter(F.col("collection_suffix").isNotNull()).groupBy("suffix", "collection_suffix")
+    return (routed.groupBy("suffix", "collection_suffix")
             .agg(F.count_distinct("name").cast("bigint").alias("n_files"), F.count("*").cast("bigint").alias("n_cells"),
                  F.sum("n").cast("bigint").alias("n_points"),
                  F.count_if(F.col("level_role") == "surface").cast("bigint").alias("n_surface_cells"),

@@ -241,8 +241,8 @@ select k, case when error is null then x0 end as min_lon, case when error is nul
        case when error is null then x1 end as max_lon, case when error is null then y1 end as max_lat,
        case when error is null then round(coalesce(resolution, (x1 - x0) / nx), 9) end as res_x,
        case when error is null then round(coalesce(resolution, (y1 - y0) / ny), 9) end as res_y,
-       case when error is null then cast(coalesce(ceil((x1 - x0) / resolution), nx) as integer) end as nx,
-       case when error is null then cast(coalesce(ceil((y1 - y0) / resolution), ny) as integer) end as ny,
+       case when error is null then cast(case when resolution is not null then greatest(1, ceil((x1 - x0) / resolution - 1e-9)) else nx end as integer) end as nx,
+       case when error is null then cast(case when resolution is not null then greatest(1, ceil((y1 - y0) / resolution - 1e-9)) else ny end as integer) end as ny,
        error
 from g
 """)
@@ -291,11 +291,15 @@ MAP_HOST = "https://maps.example/gis"
 WORKSPACE = "gridcat"
 
 
+def duck_feature_url(layer: str) -> str:
+    """DuckDB form of X26 over a layer expression."""
+    return (f"'{MAP_HOST}/{WORKSPACE}{U.FEATURE_QUERY}{WORKSPACE}%3A' || "
+            f"replace(url_encode({layer}), '%20', '+') || '{U.FEATURE_FORMAT}'")
+
+
 @query("feature_urls", "X25 X26", oracle=f"""
 select p_partkey, '{STAC_HOST}/stac/collections/' || p_brand || '/items/' || cast(p_partkey as string) as item_uri,
-       '{MAP_HOST}/{WORKSPACE}/ows?service=WFS&version=1.0.0&request=GetFeature&typeName={WORKSPACE}%3A' ||
-       replace(url_encode(p_name || '_' || cast(p_partkey as string)), '%20', '+') ||
-       '&outputFormat=application%2Fjson&maxFeatures=10000' as feature_url
+       {duck_feature_url("p_name || '_' || cast(p_partkey as string)")} as feature_url
 from part
 """)
 def feature_urls_q(spark, sf):

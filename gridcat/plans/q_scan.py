@@ -13,13 +13,19 @@ HREF_RE = 'href="([^"]*)"'
 MAX_ITEMS = 5
 
 
-# ------------------------------------------------------------------ S13 C1 A2
-@query("catalog_walk", "S13 C1 A2", oracle="""
+# ------------------------------------------------------------------ C1 A2
+DEPTH = 24  # sub-collections below each nation, one inside the other
+
+
+@query("catalog_walk", "C1 A2", oracle=f"""
 with recursive links as (
-  select 'cat-' || r_name as parent_id, 'col-' || n_name as child_id, 'child' as rel
+  select 'cat-' || r_name as parent_id, 'col-' || n_name || '-0' as child_id, 'child' as rel
   from nation join region on n_regionkey = r_regionkey
   union all
-  select 'col-' || n_name, 'item-' || cast(c_custkey as string), 'item'
+  select distinct 'col-' || n_name || '-' || cast(d as string), 'col-' || n_name || '-' || cast(d + 1 as string), 'child'
+  from nation, range(0, {DEPTH}) t(d)
+  union all
+  select 'col-' || n_name || '-' || cast(c_custkey % {DEPTH + 1} as string), 'item-' || cast(c_custkey as string), 'item'
   from customer join nation on c_nationkey = n_nationkey),
 walk(root_id, node_id) as (
   select 'cat-' || r_name, 'cat-' || r_name from region
@@ -27,36 +33,43 @@ walk(root_id, node_id) as (
   select w.root_id, l.child_id from walk w join links l on l.parent_id = w.node_id and l.rel = 'child'),
 items as (
   select w.root_id, w.node_id as collection_id, l.child_id as item_id,
-         cast(substr(l.child_id, 6) as bigint) % 3 <> 2 as converted
-  from walk w join links l on l.parent_id = w.node_id and l.rel = 'item')
+         case when cast(substr(l.child_id, 6) as bigint) % 3 = 2 then 0
+              when cast(substr(l.child_id, 6) as bigint) % 2 = 0 then 2 else 1 end as assets
+  from walk w left join links l on l.parent_id = w.node_id and l.rel = 'item' where w.node_id <> w.root_id)
 select root_id, collection_id, cast(count(distinct collection_id) as bigint) as n_collections,
-       cast(count(item_id) as bigint) as n_items, cast(count(*) filter (where converted) as bigint) as assets_converted
+       cast(count(item_id) as bigint) as n_items,
+       cast(coalesce(sum(case when item_id is not null then assets end), 0) as bigint) as assets_converted
 from items group by rollup (root_id, collection_id)
 """)
 def catalog_walk(spark, sf):
-    """region -> nation -> customer as catalog -> collection -> item; every
-    item carries one asset whose href may be an object-store URL."""
+    """region -> nation -> 24 nested sub-collections, customers as items
+    on every level; items carry one or two assets whose href may be an
+    object-store URL, and collections may be empty."""
     region, nation, customer = (table(spark, sf, t) for t in ("region", "nation", "customer"))
-    child = (nation.join(region, nation.n_regionkey == region.r_regionkey)
-             .select(F.concat(F.lit("cat-"), "r_name").alias("parent_id"),
-                     F.concat(F.lit("col-"), "n_name").alias("child_id"), F.lit("child").alias("rel")))
+
+    def col_id(depth):
+        return F.concat(F.lit("col-"), F.col("n_name"), F.lit("-"), depth.cast("string"))
+
+    top = (nation.join(region, nation.n_regionkey == region.r_regionkey)
+           .select(F.concat(F.lit("cat-"), "r_name").alias("parent_id"), col_id(F.lit(0)).alias("child_id")))
+    nested = nation.select("n_name", F.explode(F.sequence(F.lit(0), F.lit(DEPTH - 1))).alias("d")).select(
+        col_id(F.col("d")).alias("parent_id"), col_id(F.col("d") + 1).alias("child_id"))
+    key = F.col("c_custkey")
     items = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-    item_links = items.select(F.concat(F.lit("col-"), "n_name").alias("parent_id"),
-                              F.concat(F.lit("item-"), F.col("c_custkey").cast("string")).alias("child_id"),
-                              F.lit("item").alias("rel"))
-    href = (F.when(F.col("c_custkey") % 3 == 0,
-                   F.concat(F.lit("https://b"), F.col("c_nationkey").cast("string"), F.lit(".s3.amazonaws.com/c/"),
-                            F.col("c_custkey").cast("string"), F.lit(".tif")))
-            .when(F.col("c_custkey") % 3 == 1,
-                  F.concat(F.lit("https://s3.amazonaws.com/b"), F.col("c_nationkey").cast("string"), F.lit("/c/"),
-                           F.col("c_custkey").cast("string"), F.lit(".tif")))
-            .otherwise(F.concat(F.lit("s3://b"), F.col("c_nationkey").cast("string"), F.lit("/c/"),
-                                F.col("c_custkey").cast("string"), F.lit(".tif"))))
-    assets = items.select(F.concat(F.lit("item-"), F.col("c_custkey").cast("string")).alias("item_id"),
-                          (to_object_uri(href) != href).alias("converted"))
+    item_id = F.concat(F.lit("item-"), key.cast("string"))
+    item_links = items.select(col_id(key % (DEPTH + 1)).alias("parent_id"), item_id.alias("child_id"))
+    links = (top.unionByName(nested).withColumn("rel", F.lit("child"))
+             .unionByName(item_links.withColumn("rel", F.lit("item"))))
+    name = F.concat(key.cast("string"), F.lit("-"), F.col("n").cast("string"), F.lit(".tif"))
+    bucket = F.concat(F.lit("b"), F.col("c_nationkey").cast("string"))
+    href = (F.when(key % 3 == 0, F.concat(F.lit("https://"), bucket, F.lit(".s3.amazonaws.com/c/"), name))
+            .when(key % 3 == 1, F.concat(F.lit("https://s3.amazonaws.com/"), bucket, F.lit("/c/"), name))
+            .otherwise(F.concat(F.lit("s3://"), bucket, F.lit("/c/"), name)))
+    assets = items.select("*", F.explode(F.sequence(F.lit(1), F.when(key % 2 == 0, 2).otherwise(1))).alias("n")).select(
+        item_id.alias("item_id"), (to_object_uri(href) != href).alias("converted"))
     roots = region.select(F.concat(F.lit("cat-"), "r_name").alias("root_id"))
-    walked = walk_catalog(child.unionByName(item_links), roots, max_depth=2).join(assets, "item_id")
-    return catalog_counts(walked)
+    walked = walk_catalog(links, roots).where("collection_id <> root_id")
+    return catalog_counts(walked, assets)
 
 
 # ------------------------------------------------------------------ S14 C2 L2
@@ -109,12 +122,9 @@ union all select page_id, 's3bucket', pos, 'b' || h, 's3://b' || h from h
 """
 
 
-def _as_link(fn):
-    return lambda h: F.struct(F.lit("child").alias("rel"), fn(h).alias("href"))
-
-
-def _as_asset(fn):
-    return lambda h, i: F.struct(i.alias("k"), F.struct(fn(h).alias("href")).alias("v"))
+LINK_FORMS = {"root": lambda h: h, "dot": lambda h: F.concat(F.lit("."), h),
+              "dotdot": lambda h: F.concat(F.lit(".."), h), "abs": lambda h: F.concat(F.lit("s3://b"), h)}
+ASSET_FORMS = {"s3rel": lambda h: F.substring(h, 2, 1 << 30), "s3bucket": lambda h: F.concat(F.lit("b"), h)}
 
 
 @query("normalize_href", "X4 X5 X6", oracle=_DUCK_NORM)
@@ -124,26 +134,22 @@ def normalize_href_q(spark, sf):
     pages = table(spark, sf, "pages").select(
         "page_id", "url", F.regexp_extract_all("html", F.lit(HREF_RE), F.lit(1)).alias("hrefs"))
     s3_base = F.concat(F.lit("s3://b/cat/"), F.col("page_id").cast("string"), F.lit("/collection.json"))
-    forms = {"root": lambda h: h, "dot": lambda h: F.concat(F.lit("."), h),
-             "dotdot": lambda h: F.concat(F.lit(".."), h), "abs": lambda h: F.concat(F.lit("s3://b"), h)}
-    parts = []
-    for form, fn in forms.items():
-        links = F.transform("hrefs", _as_link(fn))
-        pairs = F.arrays_zip(links.alias("raw"), normalize_links(links, F.col("url")).alias("norm"))
-        parts.append(pages.select("page_id", F.lit(form).alias("form"), F.posexplode(pairs).alias("pos", "z"))
-                     .select("page_id", "form", F.col("pos").cast("bigint").alias("pos"),
-                             F.col("z.raw.href").alias("href_in"), F.col("z.norm.href").alias("abs_href")))
-    s3forms = {"s3rel": lambda h: F.substring(h, 2, 1 << 30), "s3bucket": lambda h: F.concat(F.lit("b"), h)}
-    for form, fn in s3forms.items():
-        assets = F.map_from_entries(F.transform("hrefs", _as_asset(fn)))
-        parts.append(pages.select("page_id", F.lit(form).alias("form"),
-                                  F.explode(F.map_zip_with(assets, normalize_assets(assets, s3_base),
-                                                           lambda k, a, b: F.struct(a["href"].alias("i"),
-                                                                                    b["href"].alias("o"))))
-                                  .alias("pos", "z"))
-                     .select("page_id", "form", F.col("pos").cast("bigint").alias("pos"),
-                             F.col("z.i").alias("href_in"), F.col("z.o").alias("abs_href")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # one scan: each href becomes its six forms, then links and assets are normalised
+    links = F.flatten(F.transform("hrefs", lambda h, i: F.transform(
+        F.array(*(F.struct(F.lit(form).alias("form"), fn(h).alias("href")) for form, fn in LINK_FORMS.items())),
+        lambda x: F.struct(i.alias("pos"), x["form"].alias("form"), F.lit("child").alias("rel"),
+                           x["href"].alias("href_in"), x["href"].alias("href")))))
+    assets = F.map_from_entries(F.flatten(F.transform("hrefs", lambda h, i: F.transform(
+        F.array(*(F.struct(F.lit(form).alias("form"), fn(h).alias("href")) for form, fn in ASSET_FORMS.items())),
+        lambda x: F.struct(F.struct(i.alias("pos"), x["form"].alias("form")).alias("k"),
+                           F.struct(x["href"].alias("href_in"), x["href"].alias("href")).alias("v"))))))
+    done = pages.select("page_id", normalize_links(links, F.col("url")).alias("links"),
+                        normalize_assets(assets, s3_base).alias("assets"))
+    rows = F.concat(
+        F.transform("links", lambda l: F.struct(l["form"].alias("form"), l["pos"].alias("pos"),
+                                                l["href_in"].alias("href_in"), l["href"].alias("abs_href"))),
+        F.transform(F.map_entries("assets"), lambda e: F.struct(
+            e["key"]["form"].alias("form"), e["key"]["pos"].alias("pos"), e["value"]["href_in"].alias("href_in"),
+            e["value"]["href"].alias("abs_href"))))
+    return done.select("page_id", F.explode(rows).alias("r")).select(
+        "page_id", "r.form", F.col("r.pos").cast("bigint").alias("pos"), "r.href_in", "r.abs_href")

@@ -1,9 +1,9 @@
 """Driver queries for the streaming operators.
 
-Each query stages its input table as Parquet files in a fresh folder under
-the shared checkpoint location, runs the stream with ``availableNow`` into a
-file sink (never the driver-memory sink) and returns the sink as a batch
-DataFrame.  Oracles are the equivalent batch SQL.
+Each query streams the given tables' own files (or, where rows have to be
+reshaped first, a table written by all tasks at once) with ``availableNow``
+into a file sink (never the driver-memory sink) and returns the sink as a
+batch DataFrame.  Oracles are the equivalent batch SQL.
 """
 
 from __future__ import annotations
@@ -16,13 +16,9 @@ from pyspark.sql import types as T
 from gridcat.operators.upsert import dedupe_last_wins
 from gridcat.plans.q_catalog import DUCK_LI, ITEM_KEYS, ITEM_ORDER, _li_items
 from gridcat.plans.registry import query
-from gridcat.plans.views import table, view
 from gridcat.session import scratch_dir
 from gridcat.streaming import streams as ST
 
-STATUS_SCHEMA = T.StructType([T.StructField("job_id", T.LongType()), T.StructField("status", T.StringType()),
-                              T.StructField("ts", T.TimestampType())])
-
 # batch form of T1 (first terminal status within 48 h of the first status, else timeout)
 DUCK_GATE = """
 , s as (select job_id, status, ts, lower(trim(status)) as ls from v_job_status),
@@ -42,17 +38,30 @@ gate as (
      or f.last_ts > f.first_ts + interval 48 hours or w.wm > f.first_ts + interval 48 hours)"""
 
 
+EVENTS_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+                              T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+                              T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
+_STATUS = """case event_type when 'click' then 'accepted' when 'signup' then 'queued' when 'view' then 'running'
+                 when 'error' then 'Failed' else 'Succeeded' end"""
+
+
+def _events(spark, sf):
+    """The events table, a file or a folder of files, as a stream of its files."""
+    return ST.to_event_time(ST.read_files(spark, f"{sf}/events.parquet*", EVENTS_SCHEMA), "ts")
+
+
+def _statuses(spark, sf):
+    return _events(spark, sf).select(F.col("user_id").alias("job_id"), F.expr(_STATUS).alias("status"), "ts")
+
+
 def _run_gate(spark, sf, base: str) -> str:
-    statuses = view(spark, sf, "v_job_status").withColumn("ts", F.col("ts").cast("timestamp"))
-    ST.stage_files(statuses, f"{base}/in", 2, "ts")
-    stream = ST.read_files(spark, f"{base}/in", STATUS_SCHEMA, max_files=1)
     out = f"{base}/gate"
-    ST.run_available(ST.job_gate(stream).writeStream.format("parquet").option("path", out).outputMode("append"),
-                     f"{base}/ckpt-gate")
+    gate = ST.job_gate(_statuses(spark, sf))
+    ST.run_available(gate.writeStream.format("parquet").option("path", out).outputMode("append"), f"{base}/ckpt-gate")
     return out
 
 
-@query("stream_job_gate", "T1 T5", views=["v_job_status"], oracle=DUCK_GATE + """
+@query("stream_job_gate", "T1", views=["v_job_status"], oracle=DUCK_GATE + """
 select job_id, outcome, ts from gate
 """)
 def stream_job_gate(spark, sf):
@@ -62,21 +71,13 @@ def stream_job_gate(spark, sf):
             .select("job_id", "outcome", F.col("ts").cast("timestamp_ntz").alias("ts")))
 
 
-EVENTS_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType()),
-                              T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
-                              T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
-
-
 @query("stream_new_files", "T2 S5", oracle="""
 select event_type, cast(count(*) as bigint) as n from events group by 1
 """)
 def stream_new_files(spark, sf):
-    """Events arrive as files; each file matching ``*.parquet`` is taken once
-    (two per trigger) and the running counts per type are kept."""
+    """The events' files are each taken once and the running counts per type are kept."""
     base = scratch_dir(spark, f"stream-files-{uuid.uuid4().hex}")
-    ev = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    ST.stage_files(ev, f"{base}/in", 4, "ts")
-    stream = ST.read_files(spark, f"{base}/in", EVENTS_SCHEMA, glob="*.parquet", max_files=2)
+    stream = _events(spark, sf)
     out = f"{base}/counts"
 
     def sink(df, _batch_id):
@@ -89,7 +90,9 @@ def stream_new_files(spark, sf):
 LI_SCHEMA = T.StructType([T.StructField("collection_id", T.StringType()), T.StructField("item_id", T.StringType()),
                           T.StructField("side", T.StringType()), T.StructField("item_ts", T.TimestampNTZType()),
                           T.StructField("part", T.LongType()), T.StructField("supp", T.LongType()),
-                          T.StructField("price", T.DoubleType()), T.StructField("qty", T.DoubleType())])
+                          T.StructField("price", T.DoubleType()), T.StructField("qty", T.DoubleType()),
+                          T.StructField("bucket", T.IntegerType())])
+UPSERT_BUCKETS = 8
 
 
 @query("stream_upsert", "T3", oracle=DUCK_LI.lstrip("\n, ").replace("li as", "with li as", 1) + """
@@ -97,22 +100,21 @@ select * from ex where not exists (select 1 from nw where nw.collection_id = ex.
 union all select * from nw
 """)
 def stream_upsert(spark, sf):
-    """The catalog starts as the existing items, partitioned by collection;
-    new items arrive as two files, one per micro-batch, and each batch
-    rewrites only the collections it touches.  The newest row per id wins, a
+    """The catalog starts as the existing items, partitioned by collection and
+    item bucket; new items arrive as files, two per micro-batch, and each batch
+    rewrites only the partitions it touches.  The newest row per id wins, a
     new item over an existing one - the same table as ``item_upsert``,
     however the items are batched."""
     base = scratch_dir(spark, f"stream-upsert-{uuid.uuid4().hex}")
-    li = _li_items(spark, sf)
-    order = ["side", *ITEM_ORDER]  # 'new' sorts after 'existing'
+    li = ST.with_bucket(_li_items(spark, sf), "item_id", UPSERT_BUCKETS)
+    order, parts = ["side", *ITEM_ORDER], ["collection_id", "bucket"]  # 'new' sorts after 'existing'
     v0 = dedupe_last_wins(li.filter(F.col("side") == "existing"), ITEM_KEYS, order)
-    v0.hint("rebalance", "collection_id").write.mode("overwrite").partitionBy("collection_id").parquet(
-        f"{base}/table/live")
-    ST.stage_files(li.filter(F.col("side") == "new"), f"{base}/in", 2, "item_ts")
-    stream = ST.read_files(spark, f"{base}/in", LI_SCHEMA, max_files=1)
-    merge = ST.upsert_batch_partitioned(f"{base}/table", ITEM_KEYS, order, "collection_id", LI_SCHEMA)
+    v0.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(f"{base}/table/live")
+    li.filter(F.col("side") == "new").repartition(4, "item_id").write.parquet(f"{base}/in")
+    stream = ST.read_files(spark, f"{base}/in", LI_SCHEMA, max_files=2)
+    merge = ST.upsert_batch_partitioned(f"{base}/table", ITEM_KEYS, order, parts, LI_SCHEMA)
     ST.run_available(stream.writeStream.foreachBatch(merge), f"{base}/ckpt")
-    return spark.read.schema(LI_SCHEMA).parquet(f"{base}/table/live").select(*[f.name for f in LI_SCHEMA.fields])
+    return spark.read.schema(LI_SCHEMA).parquet(f"{base}/table/live").select(*[f.name for f in LI_SCHEMA.fields[:-1]])
 
 
 @query("stream_product_gate", "T4 C11", views=["v_job_status"], oracle=DUCK_GATE + """
@@ -127,13 +129,8 @@ def stream_product_gate(spark, sf):
     join with watermarks on both sides."""
     base = scratch_dir(spark, f"stream-pgate-{uuid.uuid4().hex}")
     gate_path = _run_gate(spark, sf, base)
-    prods = (table(spark, sf, "events").filter(F.col("event_type").isin("view", "click"))
-             .select(F.col("event_id").alias("product_id"), F.col("user_id").alias("p_job_id"),
-                     F.col("ts").cast("timestamp").alias("p_ts")))
-    ST.stage_files(prods, f"{base}/products", 2, "p_ts")
-    p_schema = T.StructType([T.StructField("product_id", T.LongType()), T.StructField("p_job_id", T.LongType()),
-                             T.StructField("p_ts", T.TimestampType())])
-    p = ST.read_files(spark, f"{base}/products", p_schema)
+    p = (_events(spark, sf).filter(F.col("event_type").isin("view", "click"))
+         .select(F.col("event_id").alias("product_id"), F.col("user_id").alias("p_job_id"), F.col("ts").alias("p_ts")))
     g = (ST.read_files(spark, gate_path, ST.GATE_SCHEMA).filter(F.col("outcome") == "succeeded")
          .select(F.col("job_id").alias("g_job_id"), F.col("ts").alias("g_ts")))
     joined = ST.product_gate(p, g).select("product_id", F.col("p_job_id").alias("job_id"), "p_ts", "g_ts")
@@ -143,3 +140,16 @@ def stream_product_gate(spark, sf):
     return (spark.read.parquet(out)
             .select("product_id", "job_id", F.col("p_ts").cast("timestamp_ntz").alias("p_ts"),
                     F.col("g_ts").cast("timestamp_ntz").alias("g_ts")))
+
+
+@query("stream_status_dedupe", "T5", views=["v_job_status"], oracle="""
+select distinct job_id, status from v_job_status
+""")
+def stream_status_dedupe(spark, sf):
+    """Statuses with repeats dropped inside the watermark: the (job, status)
+    pairs that come through are those of the table."""
+    base = scratch_dir(spark, f"stream-dedupe-{uuid.uuid4().hex}")
+    out = f"{base}/out"
+    ST.run_available(ST.dedupe_statuses(_statuses(spark, sf)).writeStream.format("parquet").option("path", out)
+                     .outputMode("append"), f"{base}/ckpt")
+    return spark.read.parquet(out).select("job_id", "status").distinct()

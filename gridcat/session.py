@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every gridcat job relies on; a cluster may override the sizing ones.
 DEFAULT_CONF = {
@@ -16,7 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Broadcast only what the planner has measured small; we never raise this.
+    # The planner may broadcast a side it has measured below this; no code forces more.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     # Streaming state off-heap in RocksDB with changelog checkpoints: bounded
     # executor memory however many jobs/keys the gates and dedupes track.
@@ -50,10 +51,15 @@ def get_session(master: str | None = None, app: str = "gridcat",
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local tests) create one."""
+    ``spark.checkpoint.dir``.  Where it is unset a ``local`` master gets a
+    temporary folder; on a cluster that is an error, since each executor would
+    write to its own disk."""
     conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) \
         or spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="gridcat-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", conf_dir)
@@ -68,7 +74,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint location for written intermediate
     tables (lineage cuts, versioned catalog tables in tests)."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+    return f"{base.rstrip('/')}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` to a fresh shared folder and read it back."""
+    path = scratch_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
@@ -78,7 +91,7 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     512 MiB, and AQE's skew handling on.  Pass the result as ``extra`` to
     ``get_session`` (or to spark-submit)."""
     slots = executors * cores_per_executor
-    partitions = max(slots * 2, min(200_000, input_bytes // target_partition_bytes))
+    partitions = max(slots * 2, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(int(partitions)),
         "spark.sql.files.maxPartitionBytes": str(512 << 20),

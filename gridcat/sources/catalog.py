@@ -5,11 +5,14 @@ read from JSON with fixed schemas; the tree is walked with equi joins."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridcat import schemas
 from gridcat.functions.uris import normalize_href
+from gridcat.session import scratch_dir
 
 _KINDS = {"catalog": schemas.CATALOG, "collection": schemas.COLLECTION, "item": schemas.ITEM,
           "item_page": schemas.ITEM_PAGE}
@@ -37,35 +40,55 @@ def item_features(pages: DataFrame, max_items: int | None = None) -> DataFrame:
     return out.filter(F.col("pos") < max_items) if max_items is not None else out
 
 
-def walk_catalog(links: DataFrame, roots: DataFrame, max_depth: int = 16) -> DataFrame:
-    """Catalog -> (sub-catalogs ->) collections -> items.
+def walk_nodes(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """Every catalog and collection below each root, at any depth, as
+    ``(root_id, node_id)``; roots included, a node reached twice (or through a cycle) once.
 
-    ``links``: (parent_id, child_id, rel) with rel ``child`` or ``item``;
-    ``roots``: (root_id).  ``child`` links are followed with a recursive CTE
-    (Spark runs it as a loop, one join of the small node frontier per level,
-    ``max_depth`` guards against cycles); the big item links are joined once
-    at the end.  Returns (root_id, collection_id, item_id)."""
+    Semi-naive: each level is one equi join of the last frontier with the
+    ``child`` links and one anti join with what was visited; the frontier is
+    written to the shared folder and the loop ends when it is empty."""
     spark = links.sparkSession
-    return spark.sql("""
-        with recursive walk(root_id, node_id, depth) as (
-          select root_id, root_id, 0 from {roots}
-          union all
-          select w.root_id, l.child_id, w.depth + 1
-          from walk w join {links} l on l.parent_id = w.node_id and l.rel = 'child'
-          where w.depth < {max_depth})
-        select w.root_id, w.node_id as collection_id, l.child_id as item_id
-        from walk w join {links} l on l.parent_id = w.node_id and l.rel = 'item'
-        """, roots=roots.select("root_id"), links=links.select("parent_id", "child_id", "rel"),
-                     max_depth=int(max_depth))
-
-
-def catalog_counts(walked: DataFrame, converted: str = "converted") -> DataFrame:
-    """A2: collections, items and converted assets per root and collection,
-    with root totals and a grand total from one ``rollup`` pass."""
-    return (walked.rollup("root_id", "collection_id")
+    child = links.where("rel = 'child'").select(F.col("parent_id").alias("node_id"), "child_id")
+    base = scratch_dir(spark, f"walk-{uuid.uuid4().hex}")
+    frontier = roots.select("root_id", F.col("root_id").alias("node_id")).where("root_id is not null").distinct()
+    schema, level = frontier.schema, 0
+    frontier.write.parquet(f"{base}/level={level}")
+    while True:
+        visited = spark.read.schema(schema).parquet(*(f"{base}/level={i}" for i in range(level + 1)))
+        last = spark.read.schema(schema).parquet(f"{base}/level={level}")
+        found = (last.join(child, "node_id").select("root_id", F.col("child_id").alias("node_id")).distinct()
+                 .join(visited, ["root_id", "node_id"], "left_anti"))
+        count = Observation()
+        found.observe(count, F.count(F.lit(1)).alias("n")).write.parquet(f"{base}/level={level + 1}")
+        if not count.get["n"]:
+            return visited
+        level += 1
+
+
+def walk_catalog(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """Catalog -> (sub-catalogs ->) collections -> items, at any depth.
+
+    ``links``: (parent_id, child_id, rel) with rel ``child`` or ``item``;
+    ``roots``: (root_id).  The nodes are walked first (``walk_nodes``), the big
+    item links joined once.  Returns (root_id, collection_id, item_id); a node
+    without items is one row with a NULL item."""
+    items = links.where("rel = 'item'").select(F.col("parent_id").alias("node_id"), F.col("child_id").alias("item_id"))
+    return (walk_nodes(links, roots).join(items, "node_id", "left")
+            .select("root_id", F.col("node_id").alias("collection_id"), "item_id"))
+
+
+def catalog_counts(walked: DataFrame, assets: DataFrame, converted: str = "converted") -> DataFrame:
+    """A2: nodes, items and converted assets per root and collection, with root
+    totals and a grand total from one ``rollup`` pass.
+
+    ``walked``: see ``walk_catalog`` (nodes without items included);
+    ``assets``: (item_id, converted), any number per item.  Assets are summed
+    per item before the join, so an item counts once however many it has."""
+    per_item = assets.groupBy("item_id").agg(F.count_if(F.col(converted)).cast("bigint").alias("_assets"))
+    return (walked.join(per_item, "item_id", "left").rollup("root_id", "collection_id")
             .agg(F.count_distinct("collection_id").cast("bigint").alias("n_collections"),
                  F.count("item_id").cast("bigint").alias("n_items"),
-                 F.count_if(F.col(converted)).cast("bigint").alias("assets_converted")))
+                 F.coalesce(F.sum("_assets"), F.lit(0)).cast("bigint").alias("assets_converted")))
 
 
 def normalize_catalog(nodes: DataFrame, base: str = "self_href") -> DataFrame:
@@ -77,5 +100,5 @@ def normalize_catalog(nodes: DataFrame, base: str = "self_href") -> DataFrame:
     return out
 
 
-__all__ = ["read_stac", "link_by_rel", "item_features", "walk_catalog", "catalog_counts",
+__all__ = ["read_stac", "link_by_rel", "item_features", "walk_nodes", "walk_catalog", "catalog_counts",
            "normalize_catalog", "normalize_href"]

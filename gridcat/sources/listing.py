@@ -8,12 +8,14 @@ listing of billions of keys joins a job table without a cartesian product.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcat.functions.uris import parse_object_uri
+from gridcat.session import scratch_dir
 from gridcat.sources.fs import normalize_uri, open_fs
 
 
@@ -22,37 +24,27 @@ def _c(x) -> Column:
 
 
 # ---------------------------------------------------------------- S1 / S5 / T2
-_LISTING = "bucket string, key string, size long, modified timestamp, path string"
+_ENTRIES = "path string, is_file boolean, size long, modified timestamp"
+_ENTRIES_A_BATCH = 10_000
 
 
-def _split_uri(uri: str) -> tuple[str, str]:
-    if "://" in uri:
-        rest = uri.split("://", 1)[1]
-        bucket, _, key = rest.partition("/")
-        return bucket, key
-    return "", uri.lstrip("/")
-
-
-def _list_partition(batches):
+def _list_folders(batches):
+    """Entries directly inside each folder, in bounded batches."""
     import pandas as pd
     from pyarrow import fs as pafs
 
     for pdf in batches:
-        buckets, keys, sizes, mtimes, paths = [], [], [], [], []
-        for seed, is_file in zip(pdf["seed"], pdf["is_file"]):
-            fs, base = open_fs(seed)
-            prefix = seed[: len(seed) - len(base)] if "://" in seed else ""
-            infos = [fs.get_file_info(base)] if is_file else \
-                fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))
-            for info in infos:
-                if info.type != pafs.FileType.File:
-                    continue
-                full = prefix + info.path if prefix else info.path
-                b, k = _split_uri(full)
-                buckets.append(b), keys.append(k), sizes.append(info.size), mtimes.append(info.mtime)
-                paths.append(full)
-        yield pd.DataFrame({"bucket": buckets, "key": keys, "size": sizes,
-                            "modified": pd.to_datetime(mtimes, utc=True).tz_localize(None), "path": paths})
+        for folder in pdf["path"]:
+            fs, base = open_fs(folder)
+            prefix = folder[: len(folder) - len(base)] if "://" in folder else ""
+            found = fs.get_file_info(pafs.FileSelector(base, recursive=False, allow_not_found=True))
+            for at in range(0, len(found), _ENTRIES_A_BATCH):
+                part = [i for i in found[at:at + _ENTRIES_A_BATCH]
+                        if i.type in (pafs.FileType.File, pafs.FileType.Directory)]
+                yield pd.DataFrame({
+                    "path": [prefix + i.path for i in part], "is_file": [i.type == pafs.FileType.File for i in part],
+                    "size": [i.size if i.size is not None else 0 for i in part],
+                    "modified": pd.to_datetime([i.mtime for i in part], utc=True).tz_localize(None)})
 
 
 def list_objects(spark: SparkSession, root: str, glob: str | None = None, with_path: bool = False) -> DataFrame:
@@ -60,24 +52,27 @@ def list_objects(spark: SparkSession, root: str, glob: str | None = None, with_p
     ``files(bucket, key, size, modified)``.  Hidden names such as Zarr's
     ``.zmetadata`` are objects too (Spark's file sources would skip them).
 
-    The first level under ``root`` is listed on the driver as seeds; each
-    seed is then listed recursively inside the executors (``pyarrow.fs``), so
-    the listing of a large tree is spread over the cluster (the driver only
-    sees the names of the first level).  ``glob`` (S5) filters on the file
-    name; ``with_path`` keeps the full URI of each object."""
-    from pyarrow import fs as pafs
-    root = normalize_uri(root)
-    fs, base = open_fs(root)
-    prefix = root[: len(root) - len(base)] if "://" in root else ""
-    top = fs.get_file_info(pafs.FileSelector(base, recursive=False, allow_not_found=True))
-    seeds = [(prefix + i.path, i.type == pafs.FileType.File) for i in top
-             if i.type in (pafs.FileType.File, pafs.FileType.Directory)]
-    seed_df = spark.createDataFrame(seeds or [("", True)], "seed string, is_file boolean")
-    if not seeds:
-        seed_df = seed_df.limit(0)
-    n = max(1, min(len(seeds), spark.sparkContext.defaultParallelism * 4))
-    files = seed_df.repartition(n).mapInPandas(_list_partition, _LISTING)
-    files = files.filter(~F.col("key").endswith("/"))
+    Folders are listed level by level inside the executors (``pyarrow.fs``),
+    each level written to the shared folder and its sub-folders dealt anew, so no list
+    of a tree is held by the driver or by one task.  ``glob`` (S5) filters on
+    the file name; ``with_path`` keeps the full URI of each object."""
+    base = scratch_dir(spark, f"listing-{uuid.uuid4().hex}")
+    folders = spark.createDataFrame([(normalize_uri(root),)], "path string")
+    level, levels = 0, []
+    while True:
+        path = f"{base}/level={level}"
+        folders.repartition("path").mapInPandas(_list_folders, _ENTRIES).write.parquet(path)
+        levels.append(path)
+        folders = spark.read.schema(_ENTRIES).parquet(path).where("not is_file").select("path")
+        if folders.isEmpty():
+            break
+        level += 1
+    entries = spark.read.schema(_ENTRIES).parquet(*levels).where("is_file")
+    rest = F.when(F.col("path").contains("://"), F.substring_index("path", "://", -1))
+    bucket = F.coalesce(F.substring_index(rest, "/", 1), F.lit(""))
+    key = F.coalesce(F.expr("substring(_rest, length(substring_index(_rest, '/', 1)) + 2)"), F.ltrim(F.col("path"), F.lit("/")))
+    files = (entries.withColumn("_rest", rest).select(bucket.alias("bucket"), key.alias("key"), "size", "modified", "path")
+             .filter(~F.col("key").endswith("/")))
     files = files if with_path else files.drop("path")
     return glob_filter(files, glob) if glob else files
 
@@ -130,21 +125,6 @@ def file_format(key) -> Column:
 
 
 # ---------------------------------------------------------------- S2 / S3 / S4 / U1
-def ancestors(key) -> Column:
-    """All folder prefixes of a key, each ending in ``/`` (``a/b/c`` ->
-    ``['', 'a/', 'a/b/']``).  Bounded by the key's depth."""
-    parts = F.split(_c(key), "/")
-    n = F.size(parts)
-    return F.transform(F.sequence(F.lit(0), n - 1),
-                       lambda i: F.when(i == 0, F.lit(""))
-                       .otherwise(F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/"))))
-
-
-def first_object_result(results) -> Column:
-    """The first entry of a result list that starts with ``s3``."""
-    return F.try_element_at(F.filter(_c(results), lambda x: x.startswith("s3")), F.lit(1))
-
-
 def job_prefixes(jobs: DataFrame, result_uri: str = "result") -> DataFrame:
     """(job_id, bucket, prefix) of each job's object result, the prefix ending
     in ``/``; jobs without a result are dropped (S4)."""
@@ -156,9 +136,15 @@ def job_prefixes(jobs: DataFrame, result_uri: str = "result") -> DataFrame:
 
 
 def files_under_jobs(files: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Keys below each job's prefix - an equi join on (bucket, ancestor
-    folder) instead of a ``startswith`` theta join."""
-    exploded = files.select("*", F.explode(ancestors("key")).alias("prefix"))
+    """Keys below each job's prefix - an equi join on (bucket, ancestor folder)
+    instead of a ``startswith`` theta join.  Only ancestors at depths that occur
+    among the jobs' prefixes are tried (their distinct depths are a handful), so no
+    file is sent to a top folder that no job names; AQE splits a hot one."""
+    depth = F.size(F.split("prefix", "/")) - 1
+    depths = [r[0] for r in jobs.select(depth.alias("d")).distinct().collect()] or [0]
+    folders = F.size(F.split("key", "/")) - 1
+    cuts = [F.when(folders >= d, F.concat(F.substring_index("key", "/", d), F.lit("/" if d else ""))) for d in sorted(depths)]
+    exploded = files.select("*", F.explode(F.array_compact(F.array(*cuts))).alias("prefix"))
     return exploded.join(jobs, ["bucket", "prefix"]).drop("prefix")
 
 
@@ -216,9 +202,11 @@ SHAPEFILE_PARTS = [".shp", ".shx", ".dbf"]
 def bundle_check(files: DataFrame, stem: str = "stem", ext: str = "ext", extra_aggs=()) -> DataFrame:
     """Per stem, the required shapefile parts that are missing.
     ``extra_aggs`` are computed in the same grouping (one shuffle)."""
-    return (files.groupBy(stem).agg(F.collect_set(F.lower(ext)).alias("_exts"), *extra_aggs)
-            .withColumn("missing", F.array_sort(F.array_except(F.array(*map(F.lit, SHAPEFILE_PARTS)), "_exts")))
-            .drop("_exts"))
+    there = [F.max(F.lower(ext) == part).alias(f"_{i}") for i, part in enumerate(SHAPEFILE_PARTS)]
+    absent = [F.when(~F.coalesce(F.col(f"_{i}"), F.lit(False)), F.lit(part)) for i, part in enumerate(SHAPEFILE_PARTS)]
+    return (files.groupBy(stem).agg(*there, *extra_aggs)
+            .withColumn("missing", F.array_sort(F.array_compact(F.array(*absent))))
+            .drop(*(f"_{i}" for i in range(len(SHAPEFILE_PARTS)))))
 
 
 def staged_key(prefix, collection_id, name) -> Column:

@@ -4,7 +4,7 @@
                              or ``timeout`` when none arrives within ``max_wait``
                              (``applyInPandasWithState`` + event-time timeout);
 * T2 ``file_counts``       - new files matching a glob, each file once;
-* T3 ``upsert_stream``     - idempotent continuous upsert, one version per batch;
+* T3 ``upsert_batch_partitioned`` - idempotent continuous upsert of touched partitions;
 * T4 ``product_gate``      - stream-stream join of products with job successes,
                              bounded in time on both sides;
 * T5 ``dedupe_statuses``   - duplicates inside the watermark dropped.
@@ -15,7 +15,7 @@ inputs are cast on the way in and outputs cast back.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -31,34 +31,11 @@ def to_event_time(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, F.col(col).cast("timestamp"))
 
 
-def stage_files(df: DataFrame, path: str, n_files: int, order: str | None = None) -> str:
-    """Write a table as ``n_files`` Parquet files so a file stream can pick
-    them up; returns the folder.  With ``order`` the files are consecutive
-    equal-width slices of that column written one after another, so their
-    modification times follow the column - the order in which a file source
-    takes them, as files arriving over time would be."""
-    if not order:
-        df.repartition(n_files).write.mode("overwrite").parquet(path)
-        return path
-    key = (F.unix_micros(F.col(order).cast("timestamp"))
-           if dict(df.dtypes)[order].startswith("timestamp") else F.col(order).cast("double"))
-    src = df.withColumn("_k", key).persist()
-    lo, hi = src.agg(F.min("_k"), F.max("_k")).first()
-    width = ((hi - lo) / n_files) if hi is not None and hi > lo else 1
-    sliced = src.withColumn("_s", F.least(F.floor((F.col("_k") - F.lit(lo)) / F.lit(width)), F.lit(n_files - 1)))
-    try:
-        for i in range(n_files):
-            (sliced.filter(F.col("_s") == i).drop("_k", "_s").coalesce(1).write
-             .mode("overwrite" if i == 0 else "append").parquet(path))
-    finally:
-        src.unpersist()
-    return path
-
-
 def read_files(spark: SparkSession, path: str, schema: T.StructType, glob: str = "*.parquet",
                max_files: int | None = None) -> DataFrame:
-    """A file stream; the checkpoint records which files were taken, so
-    every file is processed exactly once across restarts."""
+    """A file stream over a folder, a glob or one file; the checkpoint
+    records which files were taken, so every file is processed exactly once
+    across restarts."""
     r = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
@@ -87,8 +64,28 @@ GATE_SCHEMA = T.StructType([T.StructField("job_id", T.LongType()), T.StructField
 _STATE = T.StructType([T.StructField("first_us", T.LongType()), T.StructField("done", T.BooleanType())])
 
 
+def first_and_terminal(pdfs: Iterator[pd.DataFrame]) -> tuple[int | None, tuple[int, str] | None]:
+    """Running minima over the chunks of one job: its first time and its first
+    terminal ``(time, status)``, ties by status.  Repeats and order do not matter,
+    and no more than one chunk is held."""
+    first, terminal = None, None
+    ends = list(FAILED_STATES) + list(SUCCESS_STATES)
+    for rows in pdfs:
+        if not len(rows):
+            continue
+        us = rows["ts"].astype("datetime64[us]").astype("int64").to_numpy()
+        first = int(us.min()) if first is None else min(first, int(us.min()))
+        status = rows["status"].astype(str).str.strip().str.lower().to_numpy()
+        over = np.isin(status, ends)
+        if over.any():
+            at = us[over].min()
+            best = (int(at), min(status[over & (us == at)]))
+            terminal = best if terminal is None else min(terminal, best)
+    return first, terminal
+
+
 def _gate_fn(max_wait_us: int):
-    failed, success = set(FAILED_STATES), set(SUCCESS_STATES)
+    failed = set(FAILED_STATES)
 
     def out(job, outcome, t_us):
         return pd.DataFrame({"job_id": [job], "outcome": [outcome], "ts": [pd.Timestamp(int(t_us), unit="us")]})
@@ -100,46 +97,33 @@ def _gate_fn(max_wait_us: int):
             state.update((first_us, True))
             yield out(job, "timeout", first_us + max_wait_us)
             return
-        rows = pd.concat(list(pdfs), ignore_index=True)
-        if state.exists and state.get[1]:
-            return  # gate already decided for this job
-        rows = rows.sort_values(["ts", "status"], kind="stable")
-        us = rows["ts"].astype("datetime64[us]").astype("int64").to_numpy()
-        first_us = state.get[0] if state.exists else int(us[0])
+        first, terminal = first_and_terminal(pdfs)
+        if first is None or state.exists and state.get[1]:
+            return  # nothing new, or the gate of this job is decided
+        first_us = min(state.get[0], first) if state.exists else first
         deadline = first_us + max_wait_us
-        # vectorised: position of the first terminal status and of the first
-        # row past the deadline - whichever comes first decides the gate
-        status = rows["status"].astype(str).str.strip().str.lower().to_numpy()
-        terminal = np.isin(status, list(failed | success))
-        late = us > deadline
-        i_term = int(terminal.argmax()) if terminal.any() else None
-        i_late = int(late.argmax()) if late.any() else None
-        if i_late is not None and (i_term is None or i_late <= i_term):
-            state.update((first_us, True))
-            yield out(job, "timeout", deadline)
-            return
-        if i_term is not None:
+        if terminal and terminal[0] <= deadline:
             state.update((first_us, True))
-            yield out(job, "failed" if status[i_term] in failed else "succeeded", us[i_term])
+            yield out(job, "failed" if terminal[1] in failed else "succeeded", terminal[0])
             return
-        state.update((first_us, False))
         deadline_ms = -(-deadline // 1000)
-        if deadline_ms > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(deadline_ms)
-        else:
+        if terminal or deadline_ms <= state.getCurrentWatermarkMs():
             state.update((first_us, True))
             yield out(job, "timeout", deadline)
+            return
+        state.update((first_us, False))
+        state.setTimeoutTimestamp(deadline_ms)
     return fn
 
 
 def job_gate(statuses: DataFrame, max_wait_hours: int = 48, watermark: str = "1 hour",
              ts: str = "ts") -> DataFrame:
-    """T1 (+T5): per job, the first terminal status (``failed``/``succeeded``)
+    """Per job, the first terminal status (``failed``/``succeeded``)
     within ``max_wait`` of its first status, else ``timeout`` at the deadline.
     State per job is two values; a timer fires once the watermark passes
-    the deadline of a job that went silent."""
-    deduped = dedupe_statuses(statuses, watermark, ts=ts)
-    return deduped.groupBy("job_id").applyInPandasWithState(
+    the deadline of a job that went silent.  Repeated statuses change nothing,
+    so no dedupe is needed before it (T5 stands on its own)."""
+    return statuses.withWatermark(ts, watermark).groupBy("job_id").applyInPandasWithState(
         _gate_fn(max_wait_hours * 3600 * 1_000_000), GATE_SCHEMA, _STATE, "append", "EventTimeTimeout")
 
 
@@ -150,71 +134,72 @@ def file_counts(stream: DataFrame, key: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- T3
-def upsert_batch(root: str, keys: Sequence[str], order: Sequence[str]):
-    """``foreachBatch`` body.  Version ``batch_id`` of the table is read,
-    the batch is merged (newest by ``order`` wins per key, W1 + C5) and
-    written as version ``batch_id + 1``; a replayed batch rewrites the same
-    version from the same input, so retries are idempotent."""
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        cur = spark.read.parquet(f"{root}/v={batch_id:08d}")
-        merged = dedupe_last_wins(cur.unionByName(batch.select(*cur.columns)), keys, order)
-        merged.write.mode("overwrite").parquet(f"{root}/v={batch_id + 1:08d}")
-    return fn
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def _has_success(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _hadoop(spark, f"{path}/_SUCCESS")
+    return fs.exists(p)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
 
+def _drop(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
 
-# a micro-batch touching more partitions than this is pruned by a semi join
-# (dynamic partition pruning) instead of a literal IN list
-MAX_LISTED_PARTITIONS = 10_000
 
+def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Adds ``bucket``, the hash bucket of ``key``: a second partition column that
+    splits a large collection, so that a batch rewrites only the buckets it touches."""
+    return df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
 
-def upsert_batch_partitioned(root: str, keys: Sequence[str], order: Sequence[str], partition_col: str,
-                             schema: T.StructType):
+
+def upsert_batch_partitioned(root: str, keys: Sequence[str], order: Sequence[str], partition_by: Sequence[str],
+                             schema: T.StructType, fail_after_stage: Callable[[int], bool] | None = None):
     """T3 without rewriting the table: ``foreachBatch`` body for a live table
-    at ``root/live`` partitioned by ``partition_col`` (a part of ``keys``,
-    e.g. the collection).
+    at ``root/live`` partitioned by ``partition_by``, columns that follow from
+    ``keys`` (e.g. the collection and a hash bucket of the id).
 
-    1. the partitions the batch touches are read (partition pruning), merged
-       with the batch - newest by ``order`` wins per key - and written to
-       ``root/_staging/batch=<id>``;
+    1. the partitions the batch touches are read (a semi join on the partition
+       columns, pruned at run time), merged with the batch - newest by
+       ``order`` wins per key - and written to a stage of this stream's own,
+       ``root/_staging/<query id>/batch=<id>``;
     2. the staged rows replace exactly those partitions (dynamic partition
-       overwrite); untouched partitions are never read or written.
-
-    A replayed batch finds its staged result complete and only repeats step
-    2, which rewrites the same partitions with the same rows - idempotent.
-    Readers see each partition replaced whole, not a snapshot across
-    partitions (that needs a table format with MERGE)."""
+       overwrite); untouched partitions are never read or written;
+    3. the stage is dropped.
+
+    The query id belongs to the checkpoint, so a second stream with a new
+    checkpoint never meets the stages of the first.  A batch replayed after a crash
+    in step 2 finds its staged rows complete and repeats the swap; one replayed after
+    step 3 merges the same rows again - the same table either way.  Readers
+    see each partition replaced whole, not a snapshot across partitions (that
+    needs a table format with MERGE); one writer at a time.
+    ``fail_after_stage(batch_id)`` lets a test crash between the steps."""
     live, cols = f"{root}/live", [f.name for f in schema.fields]
+    partition_by = list(partition_by)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stage = f"{root}/_staging/batch={batch_id:08d}"
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        stage = f"{root}/_staging/{query_id}/batch={batch_id:08d}"
         if not _has_success(spark, stage):
             rows = batch.select(*cols)
             if _exists(spark, live):
-                cur = spark.read.schema(schema).parquet(live)
-                touched = rows.select(partition_col).distinct()
-                listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-                if len(listed) <= MAX_LISTED_PARTITIONS:
-                    cur = cur.filter(F.col(partition_col).isin([r[0] for r in listed]))
-                else:
-                    cur = cur.join(touched, partition_col, "left_semi")
+                touched = rows.select(*partition_by).distinct()
+                cur = spark.read.schema(schema).parquet(live).join(touched, partition_by, "left_semi")
                 rows = cur.select(*cols).unionByName(rows)
             dedupe_last_wins(rows, keys, order).write.mode("overwrite").parquet(stage)
-        (spark.read.schema(schema).parquet(stage).hint("rebalance", partition_col).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(live))
+        if fail_after_stage and fail_after_stage(batch_id):
+            raise RuntimeError("stopped between the stage and the swap")
+        (spark.read.schema(schema).parquet(stage).hint("rebalance", *partition_by).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(live))
+        _drop(spark, stage)
     return fn
 
 

@@ -75,7 +75,8 @@ def test_ingest_summary(spark):
     per = spark.createDataFrame([("A", True, 5, 0), ("B", False, 3, 2), ("C", True, 1, 0)],
                                 "collection_id string, ok boolean, n_items long, n_conflicts long")
     r = NO.ingest_summary(per).first()
-    assert (r.collections_ingested, r.items_ingested, r.item_conflicts, r.failed_collections) == (2, 6, 2, ["B"])
+    assert (r.collections_ingested, r.collections_failed, r.items_ingested, r.item_conflicts) == (2, 1, 6, 2)
+    assert rows(NO.failed_collections(per)) == [{"collection_id": "B", "n_items": 3, "n_conflicts": 2}]
 
 
 def test_distinct_asset_uris_first_seen(spark):
@@ -146,11 +147,12 @@ def test_bin_mean_and_dense(spark):
     pts = spark.createDataFrame([("v", 0.5, 0.5, 1.0), ("v", 0.6, 0.4, 3.0), ("v", 3.5, 1.5, None)],
                                 "variable string, lon double, lat double, value double")
     stats = G.bin_mean(pts, g)
-    dense = G.densify(stats, G.dense_scaffold(spark, g, touched=stats, tile=2))
+    dense = G.densify(stats, G.dense_scaffold(g, pts, tile=2))
     assert dense.count() == 8
     r = {(x.iy, x.ix): (x.mean, x.n) for x in dense.collect()}
     assert r[(0, 0)] == (2.0, 2) and r[(1, 3)] == (None, 0) and r[(0, 1)] == (None, 0)
-    assert G.dense_scaffold(spark, g).count() == 8
+    for tile in (1, 3, 256):   # the tile sizes the work, never the result
+        assert rows(G.dense_scaffold(g, pts, tile=tile)) == rows(G.dense_scaffold(g, pts))
 
 
 def test_combine_methods(spark):
@@ -214,15 +216,6 @@ def test_layer_fallback(spark):
     assert {(r.expected, r.outcome, r.layer) for r in out} == {("zzz", "missing", None), (None, "published", "a")}
 
 
-def test_gpkg_inventory(spark, tmp_path):
-    root = str(tmp_path / "gpkg")
-    src = spark.createDataFrame([("one.gpkg", "roads", False), ("one.gpkg", "rivers", False),
-                                 ("empty.gpkg", None, False), ("bad.gpkg", None, True)],
-                                "file string, t string, corrupt boolean")
-    LY.write_gpkg_files(src, root, "file", "t", "corrupt").count()
-    got = sorted((r.file, r.table_name) for r in LY.gpkg_layers(spark, root).collect())
-    assert got == [("bad.gpkg", "bad"), ("empty.gpkg", "empty"), ("one.gpkg", "rivers"), ("one.gpkg", "roads")]
-
 
 # ---------------------------------------------------------------- W4 C11
 def test_latest_status_and_gate(spark):
@@ -274,3 +267,77 @@ def test_exact_mean_is_order_free(spark):
     a = df.agg(G.exact_mean(F.sum("u"), F.count("u")).alias("m")).first().m
     b = df.orderBy(F.desc("i")).agg(G.exact_mean(F.sum("u"), F.count("u")).alias("m")).first().m
     assert a == b == 57.004063   # 57.0040625 rounded half-up
+
+
+# ---------------------------------------------------------------- rules that hold off the fixture
+def test_chunk_assembly_is_linear_and_settles_repeats(spark):
+    import time
+    n = 256
+    cells = spark.range(n * n).where("id % 7 <> 3").select(
+        F.lit("d").alias("dataset_id"), F.lit("v").alias("variable"), (F.col("id") / n).cast("int").alias("y"),
+        (F.col("id") % n).cast("int").alias("x"), F.col("id").cast("double").alias("value"))
+    repeated = cells.unionByName(cells.where("x % 5 = 0")
+                                 .withColumn("value", F.col("value") - 0.5))
+    t0 = time.time()
+    chunks = CE.cells_to_chunks(repeated, ["dataset_id", "variable"]).collect()
+    assert time.time() - t0 < 20 and len(chunks) == 1
+    got = chunks[0]["values"]
+    assert got == [None if i % 7 == 3 else float(i) for i in range(n * n)]
+
+
+def test_concat_overlap_and_unlisted_store_fail(spark):
+    s = "store string, variable string, time int, y int, x int, value double"
+    a = spark.createDataFrame([("A", "v", 10, 0, 0, 1.0)], s)
+    b = spark.createDataFrame([("B", "v", 10, 0, 0, 9.0)], s)
+    manifest = spark.createDataFrame([(0, "A"), (1, "B")], "seq int, store string")
+    with pytest.raises(Exception, match="stores overlap"):
+        CE.concat_stores([a, b], manifest, on_overlap="error").collect()
+    with pytest.raises(Exception, match="store not in the manifest"):
+        CE.concat_stores([a, b], manifest.where("seq = 0")).collect()
+
+
+def test_upsert_collections_sums_intervals_and_keeps_metadata(spark):
+    s = "collection_id string, start_ts timestamp, end_ts timestamp, title string"
+    new = spark.createDataFrame([("A", D(2018, 1, 1), D(2019, 1, 1), "new"), ("A", D(2020, 1, 1), D(2021, 1, 1), "new"),
+                                 ("N", None, None, "fresh")], s)
+    remote = spark.createDataFrame([("A", D(2015, 1, 1), D(2016, 1, 1), "old")], s)
+    counts = spark.createDataFrame([("A", 2)], "collection_id string, n_new_items long")
+    out = rows(UP.upsert_collections(new, remote, counts, metadata=["title"]), order=lambda r: r["collection_id"])
+    assert [(r["collection_id"], r["action"], r["extent_start"], r["extent_end"], r["title"]) for r in out] == [
+        ("A", "update", D(2015, 1, 1), D(2021, 1, 1), "old"), ("N", "create", None, None, "fresh")]
+
+
+def test_collection_intervals_from_documents(spark):
+    docs = spark.createDataFrame([("A", [["2020-01-01T00:00:00Z", None], ["2018-01-01T00:00:00Z", "2019-01-01T00:00:00Z"]]),
+                                  ("B", None)], "collection_id string, i array<array<string>>")
+    out = rows(UP.collection_intervals(docs, intervals="i"))
+    assert sorted((r["collection_id"], str(r["start_ts"]), str(r["end_ts"])) for r in out) == [
+        ("A", "2018-01-01 00:00:00", "2019-01-01 00:00:00"), ("A", "2020-01-01 00:00:00", "None"), ("B", "None", "None")]
+
+
+def test_routes_of_any_shape(spark):
+    files = spark.createDataFrame([("x_mid_1.nc",), ("as0_1.nc",), ("y_s0_1.nc",), ("other.nc",), ("s0_1.txt",), (None,)],
+                                  "name string")
+    routes = spark.createDataFrame([("mid_1", "m"), ("s0_1", "surface"), ("y_s0_1", "longer")],
+                                   "suffix string, collection_suffix string")
+    got = {r["name"]: r["collection_suffix"] for r in SL.route_files(files, routes).collect()}
+    assert got == {"x_mid_1.nc": "m", "as0_1.nc": "surface", "y_s0_1.nc": "longer", "other.nc": None, "s0_1.txt": None,
+                   None: None}
+
+
+def test_grid_size_rule_is_one(spark):
+    from gridcat.functions.requests import grid_spec, parse_extent
+    spec = spark.range(1).select(grid_spec(parse_extent(F.lit("-0.2 -0.2 0.1 0.1")), F.lit(0.1)).alias("g")).first().g
+    grid = G.Grid(-0.2, -0.2, 0.1, 0.1, 0.1)
+    assert (spec.nx, spec.ny) == (grid.nx, grid.ny) == (3, 3)
+
+
+def test_notification_pages_split_a_hot_item(spark):
+    assets = spark.range(3000).select(
+        F.lit("c").alias("collection_id"), F.lit("hot").alias("item_id"), F.concat(F.lit("a"), "id").alias("asset_key"),
+        F.concat(F.lit("s3://b/"), "id").alias("uri"), F.col("id").alias("seq"))
+    notice = NO.notification_rows(assets, F.lit("C"), F.lit("J"), "https://h", ["seq"], keep=["collection_id", "item_id"])
+    pages = NO.notification_messages(notice, ["collection_id", "item_id"], page_size=100)
+    sizes = [r.n for r in pages.select(F.size(F.from_json("message", "ogc array<string>")["ogc"]).alias("n")).collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 200
+    assert NO.endpoint_uris(assets, "https://h", distinct=True).count() == 1

@@ -5,13 +5,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from gridcat.plans import queries
 from gridcat.plans.views import BASE_TABLES
 from tools.oracle_check import digest
 
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = queries.queries()
+ORACLES = queries.oracle_sql()
 
 
 @pytest.fixture(scope="module")

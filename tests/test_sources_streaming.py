@@ -4,6 +4,8 @@ import datetime as dt
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,9 +51,6 @@ def test_list_objects_and_discovery(spark, tmp_path):
 def test_glob_and_helpers(spark):
     assert L.glob_to_regex("*.nc*") == r"^[^/]*\.nc[^/]*$"
     df = spark.createDataFrame([(["x", "s3://a", "s3://b"],), (["x"],)], "r array<string>")
-    assert [r.f for r in df.select(L.first_object_result("r").alias("f")).collect()] == ["s3://a", None]
-    k = spark.createDataFrame([("a/b/c.txt",)], "key string").select(L.ancestors("key").alias("a")).first().a
-    assert k == ["", "a/", "a/b/"]
     st = spark.createDataFrame([("/pre/", "/COL/", "f.nc"), ("", "C", "g.nc")], "p string, c string, n string")
     assert [r.k for r in st.select(L.staged_key("p", "c", "n").alias("k")).collect()] == ["pre/COL/f.nc", "C/g.nc"]
 
@@ -128,11 +127,20 @@ def test_catalog_json_walk(spark, tmp_path):
     links = spark.createDataFrame([("root", "c1", "child"), ("c1", "i1", "item"), ("c1", "i2", "item"),
                                    ("root", "sub", "child"), ("sub", "c2", "child"), ("c2", "i3", "item")],
                                   "parent_id string, child_id string, rel string")
-    walked = CA.walk_catalog(links, spark.createDataFrame([("root",)], "root_id string"), max_depth=3)
-    assert sorted(r.item_id for r in walked.collect()) == ["i1", "i2", "i3"]
-    counts = CA.catalog_counts(walked.withColumn("converted", F.col("item_id") != "i2"))
+    walked = CA.walk_catalog(links, spark.createDataFrame([("root",)], "root_id string"))
+    assert sorted(r.item_id for r in walked.collect() if r.item_id) == ["i1", "i2", "i3"]
+    assets = spark.createDataFrame([("i1", True), ("i1", True), ("i2", False), ("i3", True)], "item_id string, converted boolean")
+    counts = CA.catalog_counts(walked, assets)
     total = counts.filter(F.col("root_id").isNull()).first()
-    assert (total.n_collections, total.n_items, total.assets_converted) == (2, 3, 2)
+    assert (total.n_collections, total.n_items, total.assets_converted) == (4, 3, 3)   # root and sub hold no items
+
+
+def test_walk_has_no_depth_bound_and_survives_cycles(spark):
+    links = spark.createDataFrame([(f"n{i}", f"n{i + 1}", "child") for i in range(30)] + [("n30", "n0", "child"),
+                                                                                      ("n30", "deep", "item")],
+                                  "parent_id string, child_id string, rel string")
+    walked = CA.walk_catalog(links, spark.createDataFrame([("n0",)], "root_id string"))
+    assert walked.count() == 31 and [r.item_id for r in walked.where("item_id is not null").collect()] == ["deep"]
 
 
 # ---------------------------------------------------------------- T1 T2 T3 T5
@@ -140,6 +148,34 @@ SCHEMA = T.StructType([T.StructField("job_id", T.LongType()), T.StructField("sta
                        T.StructField("ts", T.TimestampType())])
 
 
+def stage_files(df, path, n_files, order=None):
+    """``n_files`` files of consecutive slices by ``order``, written one after
+    another, so a file stream takes them as files that arrive over time."""
+    rows_ = sorted(df.collect(), key=lambda r: r[order]) if order else df.collect()
+    size = -(-len(rows_) // n_files)
+    for i in range(n_files):
+        part = df.sparkSession.createDataFrame(rows_[i * size:(i + 1) * size], df.schema)
+        part.coalesce(1).write.mode("append").parquet(path)
+
+
+def test_job_gate_late_and_repeated_statuses(spark, tmp_path):
+    """Several batches; a repeat of the first status and an out-of-order one change nothing, and a
+    row behind the watermark does not reopen a decided gate."""
+    h, t0 = dt.timedelta(hours=1), D(2024, 1, 1)
+    batches = [[(1, "accepted", t0 + h), (2, "accepted", t0)],
+               [(1, "accepted", t0), (1, "accepted", t0 + h), (1, "Succeeded", t0 + 3 * h)],
+               [(1, "Failed", t0 + 2 * h), (9, "running", t0 + 100 * h)],
+               [(2, "Succeeded", t0 + h), (9, "running", t0 + 101 * h)]]
+    for part in batches:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    stream = ST.read_files(spark, str(tmp_path / "in"), SCHEMA, max_files=1)
+    ST.run_available(ST.job_gate(stream).writeStream.format("parquet").option("path", out).outputMode("append"),
+                     str(tmp_path / "ck"))
+    got = sorted((r.job_id, r.outcome, r.ts) for r in spark.read.parquet(out).collect())
+    assert got == [(1, "succeeded", t0 + 3 * h), (2, "timeout", t0 + 48 * h)]
+
+
 def test_job_gate_stream(spark, tmp_path):
     h = dt.timedelta(hours=1)
     t0 = D(2024, 1, 1)
@@ -150,7 +186,7 @@ def test_job_gate_stream(spark, tmp_path):
             (4, "accepted", t0), (4, "Succeeded", t0 + 60 * h),     # success after the deadline
             (9, "running", t0 + 100 * h)]                          # late-dated row moves the watermark
     df = spark.createDataFrame(data, SCHEMA)
-    ST.stage_files(df, str(tmp_path / "in"), 3, "ts")
+    stage_files(df, str(tmp_path / "in"), 3, "ts")
     stream = ST.read_files(spark, str(tmp_path / "in"), SCHEMA, max_files=1)
     out = str(tmp_path / "out")
     ST.run_available(ST.job_gate(stream, max_wait_hours=48).writeStream.format("parquet")
@@ -166,7 +202,7 @@ def test_job_gate_stream(spark, tmp_path):
 def test_file_stream_each_file_once(spark, tmp_path):
     schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
     src = str(tmp_path / "in")
-    ST.stage_files(spark.createDataFrame([("a", i) for i in range(10)] + [("b", 1)], schema), src, 3, "v")
+    stage_files(spark.createDataFrame([("a", i) for i in range(10)] + [("b", 1)], schema), src, 3, "v")
     counts = str(tmp_path / "counts")
 
     def sink(df, _):
@@ -179,25 +215,44 @@ def test_file_stream_each_file_once(spark, tmp_path):
     assert {r.k: r.n for r in spark.read.parquet(counts).collect()} == {"a": 10, "b": 1}
 
 
-def test_upsert_stream_idempotent(spark, tmp_path):
-    schema = "id string, seq int, v string"
-    root = str(tmp_path / "tbl")
-    spark.createDataFrame([("x", 0, "old"), ("y", 0, "old")], schema).write.parquet(f"{root}/v=00000000")
-    batch = spark.createDataFrame([("x", 5, "new"), ("z", 1, "new")], schema)
-    fn = ST.upsert_batch(root, ["id"], ["seq"])
-    fn(batch, 0)
-    fn(batch, 0)  # a replayed batch rewrites the same version
-    assert latest_version(spark, root) == 1
-    got = {r.id: r.v for r in spark.read.parquet(f"{root}/v=00000001").collect()}
-    assert got == {"x": "new", "y": "old", "z": "new"}
-    assert dedupe_last_wins(spark.read.parquet(f"{root}/v=00000001"), ["id"], ["seq"]).count() == 3
+def _upsert_schema():
+    return T.StructType([T.StructField("cid", T.StringType()), T.StructField("id", T.StringType()),
+                         T.StructField("seq", T.IntegerType()), T.StructField("v", T.StringType())])
+
+
+def _upsert_stream(spark, src, root, ck, schema, **kw):
+    fn = ST.upsert_batch_partitioned(root, ["cid", "id"], ["seq"], ["cid"], schema, **kw)
+    ST.run_available(ST.read_files(spark, src, schema, max_files=1).writeStream.foreachBatch(fn), ck)
+
+
+def test_upsert_stream_with_a_second_checkpoint_loses_nothing(spark, tmp_path):
+    schema, root = _upsert_schema(), str(tmp_path / "tbl")
+    spark.createDataFrame([("A", "x", 0, "old")], schema).write.partitionBy("cid").parquet(f"{root}/live")
+    for run, rows_ in enumerate(([("A", "x", 5, "first"), ("A", "y", 1, "first")], [("A", "x", 9, "second"), ("A", "q", 1, "second")])):
+        src = str(tmp_path / f"in{run}")
+        spark.createDataFrame(rows_, schema).write.parquet(src)
+        _upsert_stream(spark, src, root, str(tmp_path / f"ck{run}"), schema)
+    got = {r.id: (r.seq, r.v) for r in spark.read.schema(schema).parquet(f"{root}/live").collect()}
+    assert got == {"x": (9, "second"), "y": (1, "first"), "q": (1, "second")}
+    assert not [f for _, _, fs in os.walk(f"{root}/_staging") for f in fs]      # stages are dropped
+
+
+def test_upsert_stream_replays_after_a_crash_before_the_swap(spark, tmp_path):
+    schema, root, src, ck = _upsert_schema(), str(tmp_path / "tbl"), str(tmp_path / "in"), str(tmp_path / "ck")
+    spark.createDataFrame([("A", "x", 0, "old"), ("B", "y", 0, "old")], schema).write.partitionBy("cid").parquet(f"{root}/live")
+    spark.createDataFrame([("A", "x", 5, "new"), ("A", "z", 1, "new")], schema).write.parquet(src)
+    with pytest.raises(Exception):
+        _upsert_stream(spark, src, root, ck, schema, fail_after_stage=lambda batch: True)
+    _upsert_stream(spark, src, root, ck, schema)
+    got = {(r.cid, r.id): r.v for r in spark.read.schema(schema).parquet(f"{root}/live").collect()}
+    assert got == {("A", "x"): "new", ("A", "z"): "new", ("B", "y"): "old"}
 
 
 def test_dedupe_within_watermark(spark, tmp_path):
     t0 = D(2024, 1, 1)
     df = spark.createDataFrame([(1, "running", t0), (1, "running", t0 + dt.timedelta(minutes=10)),
                                 (1, "Succeeded", t0 + dt.timedelta(minutes=20))], SCHEMA)
-    ST.stage_files(df, str(tmp_path / "in"), 1)
+    stage_files(df, str(tmp_path / "in"), 1)
     s = ST.dedupe_statuses(ST.read_files(spark, str(tmp_path / "in"), SCHEMA))
     out = str(tmp_path / "out")
     ST.run_available(s.writeStream.format("parquet").option("path", out).outputMode("append"), str(tmp_path / "ck"))
@@ -211,7 +266,7 @@ def test_partitioned_upsert_replay(spark, tmp_path):
     spark.createDataFrame([("A", "x", 0, "old"), ("B", "y", 0, "old")], schema) \
         .write.partitionBy("cid").parquet(f"{root}/live")
     b_files = sorted(os.listdir(f"{root}/live/cid=B"))
-    fn = ST.upsert_batch_partitioned(root, ["cid", "id"], ["seq"], "cid", schema)
+    fn = ST.upsert_batch_partitioned(root, ["cid", "id"], ["seq"], ["cid"], schema)
     batch = spark.createDataFrame([("A", "x", 5, "new"), ("A", "z", 1, "new")], schema)
     fn(batch, 0)
     fn(batch, 0)  # replay: same staged rows, same partitions
