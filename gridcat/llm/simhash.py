@@ -23,6 +23,7 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import stored
 from .components import components
@@ -59,7 +60,7 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED)
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
                  seed: int = SEED) -> DataFrame:
     """``(key, fp)`` per row; ``fp`` is the fingerprint's 64 bits as a signed long."""
-    kind = docs.schema[key].dataType.simpleString()
+    schema = StructType([StructField(key, docs.schema[key].dataType), StructField("fp", LongType())])
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -68,7 +69,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
             fps = np.array([fingerprint(t, words, seed) for t in batch.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=[key, "fp"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, fp bigint")
+    return docs.select(key, text).mapInArrow(run, schema)
 
 
 def _signed(value: int) -> int:
@@ -128,6 +129,14 @@ def near_pairs(fps: DataFrame, max_bits: int = MAX_BITS, segments=SEGMENTS, hot_
     return found.unionByName(chained.where("a < b")).distinct()
 
 
+def _rooted(classes: DataFrame, max_bits: int) -> DataFrame:
+    """``(fp, root)`` for every distinct fingerprint of ``classes``; one that
+    is linked to no other is its own root."""
+    linked = stored(components(near_pairs(classes.select("fp"), max_bits)), "fingerprint-roots")
+    alone = classes.join(linked, classes.fp == linked.node, "left_anti").select("fp", F.col("fp").alias("root"))
+    return linked.select(F.col("node").alias("fp"), "root").unionByName(alone)
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS,
            words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
     """One row per row of ``docs``: ``key``, ``fp`` and ``component``, the least
@@ -139,25 +148,27 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits: i
     """
     marked = stored(fingerprints(docs, key, text, words, seed), "fingerprints")
     classes = stored(marked.groupBy("fp").agg(F.min(key).alias("first")), "fingerprint-classes")
-    roots = stored(components(near_pairs(classes.select("fp"), max_bits)), "fingerprint-roots")
-    linked = (classes.join(roots, classes.fp == roots.node)
-              .select("fp", "first", "root"))
-    names = linked.groupBy("root").agg(F.min("first").alias("component"))
-    named = linked.join(names, "root").select("fp", "component")
-    alone = (classes.join(roots, classes.fp == roots.node, "left_anti")
-             .select("fp", F.col("first").alias("component")))
-    return marked.join(named.unionByName(alone), "fp").select(key, "fp", "component")
-
-
-def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **parameters) -> DataFrame:
-    """The rows of ``docs`` whose key names their component: one document of
-    each group stays.  Rows repeating that key with an equal fingerprint are
-    copies too, so one of them stays; rows with a null key stay only where
-    their whole group has none."""
-    marked = groups(docs, key, text, **parameters).where(F.col(key).eqNullSafe(F.col("component")))
-    kept = marked.select(key).distinct()
-    chosen = docs.join(kept, docs[key].eqNullSafe(kept[key]), "left_semi")
-    return chosen.dropDuplicates([key])
+    rooted = classes.join(_rooted(classes, max_bits), "fp")
+    names = rooted.groupBy("root").agg(F.min("first").alias("component"))
+    named = rooted.join(names, "root").select("fp", "component")
+    return marked.join(named, "fp").select(key, "fp", "component")
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS,
+               words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
+    """One row of each component, all columns of ``docs``: that of the least
+    key (null keys last), of equal keys the first read.
+
+    ``docs`` has to be a stored table: rows are told apart by their place in
+    it, so that repeated keys and repeated rows lose nothing but copies.
+    """
+    placed = docs.withColumn("__place", F.monotonically_increasing_id())
+    sort = F.struct(F.col(key).isNull().alias("absent"), F.col(key).alias("key"), F.col("__place").alias("place"))
+    marked = stored(fingerprints(placed.withColumn("__sort", sort), "__sort", text, words, seed), "fingerprints")
+    classes = stored(marked.groupBy("fp").agg(F.min("__sort").alias("first")), "fingerprint-classes")
+    kept = (classes.join(_rooted(classes, max_bits), "fp").groupBy("root").agg(F.min("first").alias("f"))
+            .select(F.col("f.place").alias("__place")))
+    return placed.join(kept, "__place", "left_semi").drop("__place")
 
 
 def hex_digits(fp: Column) -> Column:

@@ -183,21 +183,22 @@ def fit(labelled: DataFrame, label: str = "label", url: str = "url", max_rows: i
 def judge(urls: DataFrame, rules: tuple[Rule, ...] = RULES, labelled: DataFrame | None = None,
           url: str = "url") -> DataFrame:
     """``urls`` with ``host``, ``path``, ``rule`` (text of the rule that decides, else
-    null) and ``verdict`` (``allow`` or ``block``).
+    null) and ``verdict`` (``allow`` or ``block``), which replace columns of those names.
 
     A rule decides where one fits, the trees elsewhere.  Without ``labelled`` the trees learn from the
-    URLs that a rule judged.  Columns of ``urls`` that clash with the features
-    are replaced.  Null and malformed URLs have empty host and path and are judged by
+    URLs that a rule judged.  Null and malformed URLs have empty host and path and are judged by
     the trees; an empty table gives no rows.
     """
-    named = urls.withColumns({"host": host(F.col(url)), "path": path(F.col(url))})
-    ruled = named.withColumns({"rule": first_rule(rules, F.col("host"), F.col("path"), lambda r: r.text),
+    asked = urls.select(F.struct(*urls.columns).alias("__row"), F.col(url).alias("__url")).withColumns(
+        {"host": host(F.col("__url")), "path": path(F.col("__url"))})
+    ruled = asked.withColumns({"rule": first_rule(rules, F.col("host"), F.col("path"), lambda r: r.text),
                                "ruled": first_rule(rules, F.col("host"), F.col("path"), lambda r: r.verdict)})
     if labelled is None:
-        labelled = ruled.select(F.col(url), F.when(F.col("ruled").isNotNull(),
-                                                   (F.col("ruled") == "block").cast("int")).alias("label"))
-    model = fit(labelled, url=url)
-    asked = model.predict(features(ruled, url))
+        label = F.when(F.col("ruled").isNotNull(), (F.col("ruled") == "block").cast("int"))
+        model = fit(ruled.select("__url", label.alias("label")), url="__url")
+    else:
+        model = fit(labelled, url=url)
+    guessed = model.predict(features(ruled, "__url"))
     guess = F.when(F.col("blocked") == 1, F.lit("block")).otherwise(F.lit("allow"))
-    keep = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict")]
-    return asked.select(*keep, "host", "path", "rule", F.coalesce("ruled", guess).alias("verdict"))
+    keep = [F.col(f"__row.{c}") for c in urls.columns if c not in ("host", "path", "rule", "verdict")]
+    return guessed.select(*keep, "host", "path", "rule", F.coalesce("ruled", guess).alias("verdict"))

@@ -73,16 +73,18 @@ def parse_record(data: bytes) -> dict:
             "payload": payload if kind == "response" else None}
 
 
-def train_dictionary(pages: DataFrame, html: str = "html", records: int = SAMPLE_RECORDS,
+def train_dictionary(pages: DataFrame, page_id: str = "page_id", html: str = "html", records: int = SAMPLE_RECORDS,
                      characters: int = SAMPLE_BYTES, size: int = DICTIONARY_BYTES) -> bytes:
-    """A dictionary from at most ``records`` records, chosen by hash, and the
-    first ``characters`` of each: the sample is bounded; what is written is not.
+    """A dictionary from the records, heads included, of at most ``records`` pages, chosen by hash,
+    and the first ``characters`` of each: the sample is bounded; what is written is not.
     Empty when there are too few samples to train on."""
     n = pages.count()
     part = F.pmod(F.xxhash64(html, F.lit("sample")), F.lit(1 << 20))
     wanted = min(1 << 20, -(-(1 << 20) * 2 * records // max(n, 1)))
-    sample = [r[0].encode() for r in pages.where(F.col(html).isNotNull() & (part < wanted))
-              .select(F.substring(html, 1, characters)).limit(records).collect() if r[0]]
+    chosen = pages.where(F.col(html).isNotNull() & (part < wanted)).select(
+        page_id, "url", F.substring(html, 1, characters).alias("html")).limit(records).collect()
+    sample = [record_bytes(page, url, body, "response", None, len(body), hashlib.sha1(body).hexdigest())
+              for page, url, body in ((r[0], r[1], r[2].encode()) for r in chosen)]
     if not sample:
         return b""
     try:
@@ -149,7 +151,7 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", html: str = "
     empty) under ``folder``, one archive per task, and return the list of records
     ``(page_id, file, offset, length)``, stored once: a retried task's spare file is never listed."""
     folder = _file_uri(folder)
-    dictionary = train_dictionary(pages, html)
+    dictionary = train_dictionary(pages, page_id, html)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -163,7 +165,7 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", html: str = "
                 store, base = open_store(folder)
                 name = f"pages-{uuid.uuid4().hex}.warc.zst"
                 store.create_dir(base, recursive=True)
-                out = store.open_output_stream(f"{base}/{name}")
+                out = store.open_output_stream(f"{base}/{name}", compression=None)
                 lead = struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary
                 out.write(lead)
                 at = len(lead)
@@ -203,7 +205,7 @@ def read(spark, files: DataFrame, folder: str, payloads: bool = False) -> DataFr
         for batch in batches:
             for file in batch.column(0).to_pylist():
                 held, size = [], 0
-                with store.open_input_stream(f"{base}/{file}") as source:
+                with store.open_input_stream(f"{base}/{file}", compression=None) as source:
                     for data in frames(source):
                         held.append(parse_record(data))
                         size += len(data) if payloads else 400
