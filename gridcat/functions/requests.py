@@ -51,7 +51,9 @@ def input_type_error(granule_id, input_uri) -> Column:
 
 def step_plan(steps, input_type) -> Column:
     """``all`` -> the default plan of the input type; otherwise the
-    comma-separated list, trimmed (check it with ``invalid_steps``)."""
+    comma-separated list, trimmed (check it with ``invalid_steps``).  A folder
+    (``s3_folder``) has no plan of its own: ``listing.expand_folders`` turns it
+    into one request per file, each with the plan of its type."""
     s, t = _c(steps), _c(input_type)
     plans = F.create_map(*[x for k, v in DEFAULT_STEPS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     explicit = F.transform(F.split(s, ","), lambda x: F.trim(x))

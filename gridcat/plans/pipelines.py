@@ -12,11 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcat.functions.requests import grid_spec, parse_extent, selects_variable
+from gridcat.functions.uris import feature_query_url, normalize_links, to_object_uri
 from gridcat.operators import cells as CE
 from gridcat.operators import grid as G
 from gridcat.operators import slices as SL
 from gridcat.operators import tiles as TI
+from gridcat.operators.layers import reconcile
+from gridcat.operators.notify import failed_collections, ingest_summary, notification_rows
+from gridcat.operators.upsert import collection_intervals, insert_status, upsert_collections, upsert_items
 from gridcat.session import stored
+from gridcat.sources.catalog import item_features, link_by_rel, walk_catalog
 
 
 def land_surface_preprocess(cells: DataFrame, coords: Mapping[str, str], variables: str,
@@ -95,3 +100,87 @@ def array_ingest(arrays: DataFrame, nx: int, keys: Sequence[str], chunk: int = 2
     tiles = TI.cells_to_tiles(back, keys, size=tile)
     items = TI.derive_items(back.withColumnsRenamed({"y": "lat", "x": "lon"}), keys)
     return tiles, items
+
+
+def read_catalog(documents: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The tables behind catalog documents (S13) and item pages (S14):
+    ``(links, collections, assets)``.
+
+    ``documents``: catalogs and collections (id, links, and for collections ``extent`` and ``title``);
+    ``pages``: item pages with ``features``.  A document's ``self`` link (its file where it has none) is
+    the base of its relative hrefs (X4, X5); documents refer to each other by href, turned into
+    ids by one equi join.  ``links`` is what ``walk_catalog`` takes; ``assets`` has one row per asset of an item,
+    its href rewritten to an object URI where it is one (X2, X3)."""
+    base = F.coalesce(link_by_rel("links", "self"), F.col("self_href"))
+    # small JSON files are opened once, not by every plan that follows
+    docs = stored(documents.withColumn("base", base).withColumn("links", normalize_links("links", F.col("base"))),
+                  "documents")
+    hrefs = docs.select(F.col("id").alias("parent_id"), F.explode("links").alias("l")).select(
+        "parent_id", F.col("l.rel").alias("rel"), F.col("l.href").alias("href"))
+    child = (hrefs.where("rel = 'child'").join(docs.select(F.col("base").alias("href"), F.col("id").alias("child_id")), "href")
+             .select("parent_id", "child_id", "rel"))
+    features = stored(item_features(pages).select(
+        F.col("feature.collection").alias("collection_id"), F.col("feature.id").alias("item_id"),
+        F.to_timestamp("feature.properties.datetime").cast("timestamp_ntz").alias("item_ts"),
+        F.col("feature.assets").alias("assets")), "features")
+    items = features.select(F.col("collection_id").alias("parent_id"), F.col("item_id").alias("child_id"),
+                            F.lit("item").alias("rel"))
+    collections = (collection_intervals(docs.where("type = 'Collection'"), "id").withColumnRenamed("id", "collection_id")
+                   .join(docs.select(F.col("id").alias("collection_id"), "title"), "collection_id"))
+    assets = features.select("collection_id", "item_id", "item_ts", F.explode("assets").alias("asset_key", "a")).select(
+        "collection_id", "item_id", "item_ts", "asset_key", F.col("a.href").alias("href"),
+        to_object_uri(F.col("a.href")).alias("uri"))
+    return child.unionByName(items), collections, assets
+
+
+def catalog_ingest(links: DataFrame, roots: DataFrame, collections: DataFrame, assets: DataFrame,
+                   remote_collections: DataFrame, remote_items: DataFrame, concept_id: str, job_id: str, host: str,
+                   mode: str = "auto", include_failed: bool = False, distinct: bool = False) -> dict[str, DataFrame]:
+    """P5: walk (C1) -> insert or upsert of items (C4, C5) -> collections (C3,
+    A1) -> product notice (A4, A5) -> summary (A6).
+
+    ``mode``: ``upsert`` replaces items that exist; ``insert`` fails a
+    collection whose new items hold an id that exists; ``auto`` (Q8) upserts
+    into collections the remote has and inserts into new ones.  Returns the
+    tables ``items`` (the catalog after the run), ``collections``, ``notice``, ``per_collection``,
+    ``summary`` and ``failed``."""
+    if mode not in ("auto", "insert", "upsert"):
+        raise ValueError(f"mode is 'auto', 'insert' or 'upsert', not {mode!r}")
+    keys = ["collection_id", "item_id"]
+    new = stored(walk_catalog(links, roots).where("item_id is not null").select(*keys).distinct(), "walked-items")
+    known = remote_collections.select("collection_id").distinct().withColumn("_known", F.lit(True))
+    inserts = {"insert": F.lit(True), "upsert": F.lit(False), "auto": F.col("_known").isNull()}[mode]
+    status = insert_status(remote_items.select(*keys), new, keys)
+    per = stored(
+        status.groupBy("collection_id").agg(F.count("*").alias("n_items"),
+                                            F.count_if(F.col("status") == "conflict").alias("_hits"))
+        .join(known, "collection_id", "left")
+        .select("collection_id", "n_items", F.when(inserts, F.col("_hits")).otherwise(F.lit(0)).alias("n_conflicts"))
+        .withColumn("ok", F.col("n_conflicts") == 0), "per-collection")
+    taken = new.join(per.where("ok").select("collection_id"), "collection_id", "left_semi")
+    counts = taken.groupBy("collection_id").agg(F.count("*").alias("n_new_items"))
+    announced = assets.join(new, keys, "left_semi")
+    return {
+        "items": upsert_items(remote_items.select(*keys), taken, keys),
+        "collections": upsert_collections(collections, remote_collections, counts, metadata=["title"]),
+        "notice": notification_rows(announced, F.lit(concept_id), F.lit(job_id), host, ["item_ts", "asset_key", "uri"],
+                                    per.where("ok"), include_failed, distinct, keep=["collection_id"]),
+        "per_collection": per,
+        "summary": ingest_summary(per),
+        "failed": failed_collections(per),
+    }
+
+
+def publish_layers(tables: DataFrame, after: DataFrame, before: DataFrame, host: str, workspace: str) -> DataFrame:
+    """The tables of uploaded files, ``(file, table)``, against the layers
+    found afterwards: which layer each became (U2, C7), which were there
+    already (C6), the fallback when no name matched (U3), and the
+    feature-query URL of what is published (X26).  One row per file and table;
+    fallback layers belong to no file."""
+    outcome = reconcile(tables.select(F.col("table").alias("expected")), after, before)
+    named = tables.select("file", F.col("table").alias("expected")).distinct()
+    rows = named.join(outcome.where("expected is not null"), "expected", "left").unionByName(
+        outcome.where("expected is null").withColumn("file", F.lit(None).cast("string")))
+    url = feature_query_url(F.lit(host), F.lit(workspace), F.col("layer"))
+    return rows.select("file", F.col("expected").alias("table"), "outcome", "layer", "ambiguous",
+                       F.when(F.col("outcome") == "published", url).alias("feature_url"))

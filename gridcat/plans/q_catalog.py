@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gridcat.functions.uris import PATH_STYLE, VIRTUAL_STYLE, to_object_uri
-from gridcat.operators.notify import ingest_summary, notification_rows
-from gridcat.operators.upsert import (dedupe_last_wins, insert_items, insert_status, merge_temporal_extent,
-                                      upsert_collections, upsert_latest)
+from gridcat.operators.notify import failed_collections, ingest_summary, notification_messages, notification_rows
+from gridcat.operators.upsert import (dedupe_last_wins, insert_items, insert_status, latest_version,
+                                      merge_temporal_extent, upsert_collections, upsert_latest, write_item_version)
+from gridcat.plans.pipelines import catalog_ingest, read_catalog
 from gridcat.plans.registry import query
-from gridcat.plans.views import view
+from gridcat.plans.views import table, view
+from gridcat.session import scratch_dir
+from gridcat.sources.catalog import read_stac
 
 ASSET_ORDER = ["seq_ts", "part", "supp", "price"]
 HOST = "https://catalog.example"
@@ -167,7 +172,7 @@ def item_upsert(spark, sf):
                          ITEM_KEYS, ITEM_ORDER)
 
 
-@query("item_insert_conflicts", "C4 S15", oracle=DUCK_LI.lstrip("\n, ").replace("li as", "with li as", 1) + """
+@query("item_insert_conflicts", "C4", oracle=DUCK_LI.lstrip("\n, ").replace("li as", "with li as", 1) + """
 select collection_id, item_id, case when exists (select 1 from ex where ex.collection_id = nw.collection_id
          and ex.item_id = nw.item_id) then 'conflict' else 'inserted' end as status
 from nw
@@ -178,6 +183,26 @@ def item_insert_conflicts(spark, sf):
     return insert_status(li.filter(F.col("side") == "existing"), li.filter(F.col("side") == "new"), ITEM_KEYS)
 
 
+@query("item_versions", "S15 C5 W1", oracle=DUCK_LI.lstrip("\n, ").replace("li as", "with li as", 1) + """
+select cast(1 as bigint) as version, * from (
+  select * from ex where not exists (select 1 from nw where nw.collection_id = ex.collection_id and nw.item_id = ex.item_id)
+  union all select * from nw) t
+""")
+def item_versions(spark, sf):
+    """The existing items written as version 0 and the upsert over them as
+    version 1; readers take the highest complete version."""
+    root = scratch_dir(spark, f"items-{uuid.uuid4().hex}")
+    li = _li_items(spark, sf)
+    first = write_item_version(dedupe_last_wins(li.filter(F.col("side") == "existing"), ITEM_KEYS, ITEM_ORDER), root, 0)
+    cols = ["collection_id", "item_id", "side", "item_ts", "part", "supp", "price", "qty"]
+    merged = upsert_latest(spark.read.parquet(first).select(*cols), li.filter(F.col("side") == "new").select(*cols),
+                           ITEM_KEYS, ITEM_ORDER)
+    write_item_version(merged, root, 1)
+    version = latest_version(spark, root)
+    return (spark.read.parquet(f"{root}/v={version:08d}")
+            .select(F.lit(version).cast("bigint").alias("version"), *cols))
+
+
 # ------------------------------------------------------------------ A3 A4 A5 S21
 @query("notifications", "A3 A4 A5 S21", views=["v_items", "v_assets"], oracle=f"""
 , {DUCK_BATCH.strip()},
@@ -199,7 +224,50 @@ def notifications(spark, sf):
     return notification_rows(assets, F.lit("CON_1"), F.lit(JOB_ID), HOST, ASSET_ORDER)
 
 
+PAGE = 50
+
+
+@query("notification_pages", "S21 A4 Q12", views=["v_items", "v_assets"], oracle=f"""
+, {DUCK_BATCH.strip()},
+a as (select b.collection_id, d.item_id, d.asset_key, {DUCK_URI} as uri from dd d join batch b on d.item_id = b.item_id)
+select collection_id, 'ogc' as kind, '{HOST}/stac/collections/' || collection_id || '/items/' || item_id as uri,
+       cast(count(*) as bigint) as n, true as bounded from a group by collection_id, item_id
+union all
+select collection_id, 'uri', uri, cast(1 as bigint), true from (
+  select distinct collection_id, uri from a where asset_key = 'asset') t
+""")
+def notification_pages(spark, sf):
+    """The notice of each collection as JSON messages of about 50 URIs,
+    parsed again: every URI is there as often as announced, and no page is
+    beyond twice its size, however many URIs a collection has."""
+    batch, _ = _batch_and_existing(spark, sf)
+    assets = _batch_assets(spark, sf, batch)
+    rows = notification_rows(assets, F.lit("CON_1"), F.lit(JOB_ID), HOST, ASSET_ORDER, keep=["collection_id"])
+    pages = notification_messages(rows, ["collection_id"], PAGE)
+    parsed = pages.select("collection_id", F.from_json("message", "ogc array<string>, uris array<string>").alias("m"))
+    each = F.concat(F.transform("m.ogc", lambda u: F.struct(F.lit("ogc").alias("kind"), u.alias("uri"))),
+                    F.transform("m.uris", lambda u: F.struct(F.lit("uri").alias("kind"), u.alias("uri"))))
+    size = F.size("m.ogc") + F.size("m.uris")
+    return (parsed.select("collection_id", (size <= 2 * PAGE).alias("bounded"), F.explode(each).alias("e"))
+            .groupBy("collection_id", "e.kind", "e.uri")
+            .agg(F.count("*").cast("bigint").alias("n"), F.min("bounded").alias("bounded")))
+
+
 # ------------------------------------------------------------------ A6
+def _per_collection(spark, sf):
+    """Items, conflicts and success of each collection of the batch."""
+    batch, existing = _batch_and_existing(spark, sf)
+    batch, existing = batch.select("collection_id", "item_id"), existing.select("collection_id", "item_id")
+    remote = view(spark, sf, "v_collections").filter(F.col("side") == "remote").select("collection_id").distinct()
+    new_colls_batch = batch.join(remote, "collection_id", "left_anti")
+    _, conflicts = insert_items(existing, new_colls_batch, ["collection_id", "item_id"])
+    per = (batch.groupBy("collection_id").agg(F.count("*").alias("n_items"))
+           .join(conflicts.groupBy("collection_id").agg(F.count("*").alias("n_conflicts")), "collection_id", "left")
+           .select("collection_id", "n_items", F.coalesce("n_conflicts", F.lit(0)).alias("n_conflicts"))
+           .withColumn("ok", F.col("n_conflicts") == 0))
+    return per
+
+
 @query("ingest_summary", "A6 C4 Q8 Q10", views=["v_items", "v_collections"], oracle="""
 , batch as (select collection_id, item_id from v_items where side in ('new', 'both')),
 existing as (select collection_id, item_id from v_items where side in ('existing', 'both')),
@@ -217,13 +285,112 @@ from per
 def ingest_summary_q(spark, sf):
     """A6 over a run: collections already in the catalog upsert (Q8); new ones
     use plain insert, and a conflicting bulk insert fails that collection."""
-    batch, existing = _batch_and_existing(spark, sf)
-    batch, existing = batch.select("collection_id", "item_id"), existing.select("collection_id", "item_id")
-    remote = view(spark, sf, "v_collections").filter(F.col("side") == "remote").select("collection_id").distinct()
-    new_colls_batch = batch.join(remote, "collection_id", "left_anti")
-    _, conflicts = insert_items(existing, new_colls_batch, ["collection_id", "item_id"])
-    per = (batch.groupBy("collection_id").agg(F.count("*").alias("n_items"))
-           .join(conflicts.groupBy("collection_id").agg(F.count("*").alias("n_conflicts")), "collection_id", "left")
-           .select("collection_id", "n_items", F.coalesce("n_conflicts", F.lit(0)).alias("n_conflicts"))
-           .withColumn("ok", F.col("n_conflicts") == 0))
-    return ingest_summary(per)
+    return ingest_summary(_per_collection(spark, sf))
+
+
+@query("ingest_failures", "A6", views=["v_items", "v_collections"], oracle="""
+, batch as (select collection_id, item_id from v_items where side in ('new', 'both')),
+existing as (select collection_id, item_id from v_items where side in ('existing', 'both')),
+remote as (select distinct collection_id from v_collections where side = 'remote'),
+per as (select b.collection_id, count(*) as n_items,
+               count(*) filter (where e.item_id is not null and r.collection_id is null) as n_conflicts
+        from batch b left join existing e on b.collection_id = e.collection_id and b.item_id = e.item_id
+        left join remote r on b.collection_id = r.collection_id group by 1)
+select collection_id, cast(n_items as bigint) as n_items, cast(n_conflicts as bigint) as n_conflicts from per where n_conflicts > 0
+""")
+def ingest_failures(spark, sf):
+    """The collections that a run did not take, a row each."""
+    return failed_collections(_per_collection(spark, sf))
+
+
+# ------------------------------------------------------------------ P5
+_CAT = "s3://catalog/"
+_DAY = "date_add(date '2020-01-01', cast(c_custkey % 700 as int))"
+
+
+def _write_documents(docs, path):
+    """One JSON document per file, written by the tasks."""
+    docs.repartition("id").write.option("maxRecordsPerFile", 1).json(path)
+
+
+@query("catalog_ingest", "P5 S13 S14 C1 C2 C3 C4 C5 X4 X5 A1 A4 A5 A6", oracle=f"""
+with it as (select 'col-' || n_name as collection_id, 'item-' || cast(c_custkey as string) as item_id, c_custkey as k,
+                   n_nationkey as nk, cast(date '2020-01-01' + cast(c_custkey % 700 as integer) as timestamp) as ts
+            from customer join nation on c_nationkey = n_nationkey),
+remote_c as (select 'col-' || n_name as collection_id from nation where n_nationkey % 3 = 0),
+remote_i as (select collection_id, item_id from it where k % 11 = 0 and nk % 2 = 0),
+per as (select it.collection_id, count(*) as n_items, it.collection_id in (select collection_id from remote_c) as known,
+               count(*) filter (where it.item_id in (select item_id from remote_i)) as hits from it group by 1),
+ok as (select collection_id, n_items, known, case when known then 0 else hits end as n_conflicts from per),
+ext as (select collection_id, min(ts) as lo, max(ts) as hi from it group by 1),
+notice as (select collection_id, count(*) * 2 as n_ogc, count(*) as n_uri from it group by 1)
+select o.collection_id, cast(o.n_items as bigint) as n_items, cast(n_conflicts as bigint) as n_conflicts,
+       case when known and n_conflicts = 0 then 'update' when not known then 'create' else 'unchanged' end as action,
+       'Items of ' || substr(o.collection_id, 5) as title,
+       case when known then timestamp '2019-01-01' else lo end as extent_start, hi as extent_end,
+       case when n_conflicts = 0 then cast(n_ogc as bigint) else 0 end as n_ogc,
+       case when n_conflicts = 0 then cast(n_uri as bigint) else 0 end as n_uri,
+       cast((select count(*) from ok where n_conflicts > 0) as bigint) as collections_failed,
+       cast((select sum(n_items) from ok where n_conflicts = 0) as bigint) as items_ingested
+from ok o join ext using (collection_id) join notice using (collection_id)
+""")
+def catalog_ingest_q(spark, sf):
+    """Regions, nations and customers as catalog, collection and item-page
+    documents in object files, read, walked and merged into a remote catalog:
+    per collection what became of it, and the run's summary."""
+    region, nation, customer = (table(spark, sf, t) for t in ("region", "nation", "customer"))
+    base = scratch_dir(spark, f"catalog-{uuid.uuid4().hex}")
+
+    def link(rel, href):
+        return F.struct(F.lit(rel).alias("rel"), href.alias("href"))
+
+    cid = F.concat(F.lit("col-"), "n_name")
+    joined = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    catalogs = joined.groupBy("r_name").agg(F.collect_list(link("child", F.concat(F.lit("../collections/"), cid, F.lit(".json"))))
+                                            .alias("children"))
+    rid = F.concat(F.lit("cat-"), "r_name")
+    _write_documents(catalogs.select(
+        F.lit("Catalog").alias("type"), rid.alias("id"),
+        F.concat(F.array(link("self", F.concat(F.lit(_CAT + "catalogs/"), rid, F.lit(".json")))), "children").alias("links")),
+        f"{base}/catalogs")
+    items = customer.join(nation, customer.c_nationkey == nation.n_nationkey).withColumn("day", F.expr(_DAY))
+    first_last = items.groupBy("n_name").agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    _write_documents(first_last.select(
+        F.lit("Collection").alias("type"), cid.alias("id"), F.concat(F.lit("Items of "), "n_name").alias("title"),
+        F.array(link("self", F.concat(F.lit(_CAT + "collections/"), cid, F.lit(".json"))),
+                link("items", F.lit("./items.json"))).alias("links"),
+        F.struct(F.struct(F.array(F.array(stamp("lo"), stamp("lo")), F.array(stamp("hi"), stamp("hi"))).alias("interval"))
+                 .alias("temporal")).alias("extent")), f"{base}/collections")
+    key = F.col("c_custkey").cast("string")
+    asset = lambda ext: F.struct(F.concat(F.lit("https://b.s3.amazonaws.com/"), key, F.lit(ext)).alias("href"))
+    feature = F.struct(
+        F.concat(F.lit("item-"), key).alias("id"), cid.alias("collection"),
+        F.struct(stamp("day").alias("datetime")).alias("properties"),
+        F.create_map(F.lit("asset"), asset(".tif"), F.lit("preview"), asset(".png")).alias("assets"))
+    # item pages of a bounded number of features, as a catalog service pages them
+    pages = items.groupBy(cid.alias("id"), F.pmod(F.xxhash64("c_custkey"), F.lit(4)).alias("page")).agg(
+        F.collect_list(feature).alias("features"))
+    pages.select(F.lit("FeatureCollection").alias("type"), "id", "features").repartition("id").write.option(
+        "maxRecordsPerFile", 1).json(f"{base}/pages")
+
+    documents = read_stac(spark, f"{base}/catalogs", "collection").unionByName(
+        read_stac(spark, f"{base}/collections", "collection"))
+    links, collections, assets = read_catalog(documents, read_stac(spark, f"{base}/pages", "item_page"))
+    remote_collections = nation.where("n_nationkey % 3 = 0").select(
+        cid.alias("collection_id"), F.lit("2019-01-01").cast("timestamp_ntz").alias("start_ts"),
+        F.lit("2019-06-01").cast("timestamp_ntz").alias("end_ts"), F.concat(F.lit("Items of "), "n_name").alias("title"))
+    remote_items = items.where("c_custkey % 11 = 0 and n_nationkey % 2 = 0").select(
+        cid.alias("collection_id"), F.concat(F.lit("item-"), key).alias("item_id"))
+    roots = region.select(rid.alias("root_id"))
+    out = catalog_ingest(links, roots, collections, assets, remote_collections, remote_items, "CON_1", JOB_ID, HOST)
+    notice = out["notice"].groupBy("collection_id").agg(
+        F.count_if(F.col("kind") == "ogc").alias("n_ogc"), F.count_if(F.col("kind") == "uri").alias("n_uri"))
+    merged = (out["per_collection"].join(out["collections"], "collection_id").join(notice, "collection_id", "left"))
+    totals = out["summary"]
+    return merged.select(
+        "collection_id", F.col("n_items").cast("bigint").alias("n_items"), F.col("n_conflicts").cast("bigint").alias("n_conflicts"),
+        "action", "title", "extent_start", "extent_end", F.coalesce("n_ogc", F.lit(0)).cast("bigint").alias("n_ogc"),
+        F.coalesce("n_uri", F.lit(0)).cast("bigint").alias("n_uri"),
+        totals.select("collections_failed").scalar().alias("collections_failed"),
+        totals.select("items_ingested").scalar().alias("items_ingested"))

@@ -80,7 +80,7 @@ def chunk_roundtrip(spark, sf):
 
 
 # ------------------------------------------------------------------ S11 S12 W7 U4
-@query("store_concat", "S11 S12 W7 U4", views=["v_arrays"], oracle="""
+@query("store_concat", "S11 W7 U4", views=["v_arrays"], oracle="""
 , c as (select 'store-' || cast(variable_id as string) as store, variable_id as seq, dataset_id,
                'v' || cast(dataset_id % 3 as string) as variable, cast(dataset_id % 10 as integer) as day,
                cast(i // 8 as integer) as y, cast(i % 8 as integer) as x, cast(values_f[i + 1] as double) as value

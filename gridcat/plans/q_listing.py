@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from gridcat.functions import requests as R
 from gridcat.plans.registry import query
 from gridcat.plans.views import table, view
+from gridcat.session import scratch_dir
 from gridcat.sources import listing as L
 
 # one job per supplier; every tenth has no object result
@@ -26,7 +30,7 @@ def _jobs(spark, sf):
     return spark.sql(JOBS.format(supplier=f"parquet.`{sf}/supplier.parquet`"))
 
 
-@query("list_by_suffix", "S1 S2 U1 O5", views=["v_listing"], oracle=DUCK_JP + """
+@query("list_by_suffix", "S2 U1 O5", views=["v_listing"], oracle=DUCK_JP + """
 select distinct 's3://' || f.bucket || '/' || f.key as uri
 from v_listing f join jp on f.bucket = jp.bucket and starts_with(f.key, jp.prefix)
 where ends_with(f.key, '.nc4')
@@ -114,7 +118,7 @@ def ftp_filter(spark, sf):
     return L.ftp_matches(view(spark, sf, "v_ftp_lines"), FTP_KEYWORDS).select("k", "name")
 
 
-@query("existence_check", "X29 C6", views=["v_listing"], oracle="""
+@query("existence_check", "X29", views=["v_listing"], oracle="""
 , c as (select 'bucket' || cast((p_partkey % 100) % 3 as string) as bucket,
                   'out/job' || cast(p_partkey % 100 as string) || '/a' || cast(p_partkey as string) || '.nc4' as key
            from part)
@@ -147,3 +151,49 @@ def bundle_check(spark, sf):
     chk = L.bundle_check(files, extra_aggs=[n_shp])
     return chk.select("stem", F.array_join("missing", ",").alias("missing"),
                       (F.size("missing") == 0).alias("complete"), "n_shp")
+
+
+@query("object_listing", "S1 S5", oracle="""
+select distinct 'nation=' || cast(c_nationkey as string) || '/segment=' || c_mktsegment as folder, cast(1 as bigint) as n
+from customer
+""")
+def object_listing(spark, sf):
+    """Customers written as objects, one per nation and segment, and listed
+    level by level: the folders found and their number of objects."""
+    root = scratch_dir(spark, f"objects-{uuid.uuid4().hex}")
+    rows = table(spark, sf, "customer").select(
+        "c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"))
+    rows.repartition("nation", "segment").write.partitionBy("nation", "segment").parquet(root)
+    found = L.list_objects(spark, root, "*.parquet")
+    folder = F.regexp_extract("key", "(nation=[^/]*/segment=[^/]*)/[^/]*$", 1)
+    return found.groupBy(F.url_decode(folder).alias("folder")).agg(F.count("*").cast("bigint").alias("n"))
+
+
+@query("manifest_roundtrip", "S12", oracle="""
+select cast(s_suppkey as integer) as seq, 's3://bucket' || cast(s_suppkey % 3 as string) || '/store-' || cast(s_suppkey as string) || '.zarr'
+         as store_uri from supplier
+""")
+def manifest_roundtrip(spark, sf):
+    """Store URIs written as a manifest and read back."""
+    stores = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("int").alias("seq"), F.concat(
+        F.lit("s3://bucket"), (F.col("s_suppkey") % 3).cast("string"), F.lit("/store-"), F.col("s_suppkey").cast("string"),
+        F.lit(".zarr")).alias("uri"))
+    path = scratch_dir(spark, f"manifest-{uuid.uuid4().hex}")
+    L.write_manifest(stores, path)
+    return L.read_manifest(spark, path)
+
+
+@query("folder_requests", "X8 X9 S1 S5", views=["v_listing"], oracle=DUCK_JP + """
+select jp.job_id, 's3://' || f.bucket || '/' || f.key as input_s3, 's3_netcdf' as input_type,
+       'netcdf2zarr,zarr2cog,catalog' as plan
+from v_listing f join jp on f.bucket = jp.bucket and starts_with(f.key, jp.prefix)
+where regexp_matches(regexp_extract(f.key, '([^/]*)$', 1), '^[^/]*[.]nc[^/]*$')
+""")
+def folder_requests(spark, sf):
+    """Folder requests turned into one request per file, typed and planned."""
+    folders = _jobs(spark, sf).where("result is not null").select(
+        "job_id", F.concat("result", F.lit("/")).alias("input_s3"))
+    each = L.expand_folders(folders, view(spark, sf, "v_listing"))
+    typed = each.withColumn("input_type", R.detect_input_type(F.lit(None).cast("string"), "input_s3"))
+    return typed.select("job_id", "input_s3", "input_type",
+                        F.array_join(R.step_plan(F.lit("all"), "input_type"), ",").alias("plan"))

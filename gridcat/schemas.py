@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-S, D, L, I, TS, B = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType(), T.TimestampType(), T.BooleanType()
+S, D = T.StringType(), T.DoubleType()
 
 
 def _f(name, typ, nullable=True):
@@ -36,42 +36,7 @@ ITEM = T.StructType([
 
 ITEM_PAGE = T.StructType([_f("type", S), _f("features", T.ArrayType(ITEM))])
 
-LISTING = T.StructType([_f("bucket", S), _f("key", S), _f("size", L), _f("modified", TS)])
-
 GRANULE = T.StructType([_f("Granule", T.StructType([
     _f("GranuleUR", S),
     _f("OnlineAccessURLs", T.StructType([_f("OnlineAccessURL", T.ArrayType(T.StructType([_f("URL", S)])))])),
 ]))])
-
-JOB_RECORD = T.StructType([
-    _f("status", S), _f("error_details", S), _f("response_code", S),
-    _f("job_info", T.StructType([_f("job_payload", T.StructType([_f("payload_task_id", S)]))])),
-])
-
-JOB_STATUS = T.StructType([_f("job_id", L), _f("status", S), _f("ts", TS)])
-
-REQUEST = T.StructType([
-    _f("granule_id", S), _f("input_s3", S), _f("collection_id", S), _f("concept_id", S),
-    _f("variables", S), _f("steps", S), _f("enable_concat", B), _f("on_demand", B), _f("upsert", B),
-])
-
-DENSE_ARRAY = T.StructType([
-    _f("dataset_id", S), _f("variable", S), _f("dims", T.ArrayType(S)), _f("shape", T.ArrayType(I)),
-    _f("values", T.ArrayType(D)),
-])
-
-CELLS = T.StructType([
-    _f("dataset_id", S), _f("variable", S), _f("time", TS), _f("level", I),
-    _f("lat", D), _f("lon", D), _f("value", D),
-])
-
-CHUNKS = T.StructType([
-    _f("dataset_id", S), _f("variable", S), _f("t0", I), _f("y0", I), _f("x0", I),
-    _f("shape", T.ArrayType(I)), _f("values", T.ArrayType(D)),
-])
-
-NOTIFICATION = T.StructType([
-    _f("concept_id", S), _f("ogc", T.ArrayType(S)), _f("uris", T.ArrayType(S)), _f("job_id", S),
-])
-
-LAYER_NAMES = T.ArrayType(T.StructType([_f("name", S)]))

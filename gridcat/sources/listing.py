@@ -61,7 +61,8 @@ def list_objects(spark: SparkSession, root: str, glob: str | None = None, with_p
     level, levels = 0, []
     while True:
         path = f"{base}/level={level}"
-        folders.repartition("path").mapInPandas(_list_folders, _ENTRIES).write.parquet(path)
+        # a name is a few bytes, its folder may be large: a fixed number keeps AQE from merging the tasks
+        folders.repartition(4 * spark.sparkContext.defaultParallelism, "path").mapInPandas(_list_folders, _ENTRIES).write.parquet(path)
         levels.append(path)
         folders = spark.read.schema(_ENTRIES).parquet(path).where("not is_file").select("path")
         if folders.isEmpty():
@@ -162,6 +163,27 @@ def store_roots(files: DataFrame, jobs: DataFrame, ext: str = ".zarr") -> DataFr
     return hits.select("job_id", F.concat(F.lit("s3://"), "bucket", F.lit("/"), "parent").alias("uri")).distinct()
 
 
+def expand_folders(requests: DataFrame, files: DataFrame, pattern: str = "*.nc*", uri: str = "input_s3") -> DataFrame:
+    """S1 + S5 for folder inputs (X9 ``s3_folder``): one request per matching
+    file below the folder, its ``input_s3`` the file; the folder goes along as
+    ``folder``.  A folder without a match gives no row."""
+    p = parse_object_uri(uri)
+    asked = requests.select("*", p["bucket"].alias("bucket"), p["key"].alias("prefix")).withColumnRenamed(uri, "folder")
+    hits = files_under_jobs(glob_filter(files, pattern).select("bucket", "key"), asked)
+    return hits.withColumn(uri, F.concat(F.lit("s3://"), "bucket", F.lit("/"), "key")).drop("bucket", "key")
+
+
+def granule_fields(records: DataFrame) -> DataFrame:
+    """Name, first access URL and a violation message of granule search
+    records (``schemas.GRANULE``); both fields are required."""
+    g = F.col("Granule")
+    first = F.get(g["OnlineAccessURLs"]["OnlineAccessURL"], F.lit(0))["URL"]
+    missing = F.array_compact(F.array(F.when(g["GranuleUR"].isNull(), F.lit("GranuleUR")),
+                                      F.when(first.isNull(), F.lit("OnlineAccessURL"))))
+    return records.select("*", g["GranuleUR"].alias("granule_ur"), first.alias("url"), F.when(
+        F.size(missing) > 0, F.concat(F.lit("missing: "), F.array_join(missing, ", "))).alias("violation"))
+
+
 def pick_one(df: DataFrame, group: Sequence[str], by: str) -> DataFrame:
     """One deterministic row per group (smallest ``by``), with the count -
     a partial aggregate, so a hot group is combined map-side."""

@@ -282,3 +282,20 @@ def test_fs_uri_normalisation():
     cache = {}
     assert open_fs("file:///tmp/a", cache)[1] == "/tmp/a" and open_fs("file:///tmp/b", cache)[1] == "/tmp/b"
     assert len(cache) == 1 and open_fs("/tmp/c")[1] == "/tmp/c"
+
+
+def test_granule_fields_are_required(spark):
+    from gridcat import schemas
+    recs = spark.createDataFrame([(("G1", ([("u1",), ("u2",)],)),), ((None, ([],)),)], schemas.GRANULE)
+    got = [(r.granule_ur, r.url, r.violation) for r in L.granule_fields(recs).collect()]
+    assert got == [("G1", "u1", None), (None, None, "missing: GranuleUR, OnlineAccessURL")]
+
+
+def test_checkpoint_folder_has_to_be_shared(monkeypatch):
+    from types import SimpleNamespace
+    from gridcat import session
+    conf = SimpleNamespace(get=lambda *a: None)
+    fake = SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077"), conf=conf)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(fake)
+    assert int(session.cluster_conf(100 << 40, 1000, 8)["spark.sql.shuffle.partitions"]) == 409_600

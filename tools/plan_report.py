@@ -17,10 +17,10 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from gridcat.plans import queries  # noqa: E402
 from gridcat.session import get_session  # noqa: E402
 
-SIDE_EFFECT = {"stream_job_gate", "stream_new_files", "stream_upsert", "stream_product_gate", "gpkg_inventory"}
+SIDE_EFFECT = {"stream_job_gate", "stream_new_files", "stream_upsert", "stream_product_gate", "stream_status_dedupe"}
 
 
 def summarise(plan: str) -> dict:
@@ -48,7 +48,7 @@ def main() -> None:
     spark = get_session("local[8]", shuffle_partitions=16)
     print("| query | shuffles | broadcasts | scans (columns read) | joins | aggregates | window | explode | python |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in sorted(entry.queries().items()):
+    for name, fn in sorted(queries.queries().items()):
         if name in SIDE_EFFECT:
             continue
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
