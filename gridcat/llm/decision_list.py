@@ -12,7 +12,7 @@ only.  The result is an ordered chain of ``when`` conditions.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,7 +23,8 @@ from .common import let, stored
 SPACES = "\t\n\x0b\f\r"          # besides the blank, what separates words
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-FEATURES = ("n_words", "mean_word", "symbol_share", "dup_lines", "repeat_share", "mark_share", "digit_share")
+FEATURES = ("n_words", "mean_word", "symbol_share", "dup_lines", "repeat_share", "stutter_share", "mark_share",
+            "digit_share")
 CUTS = 32                         # threshold candidates per feature
 MAX_RULES, MAX_CONDITIONS = 8, 4
 MIN_PRECISION, MIN_COVER = 0.8, 5
@@ -68,17 +69,25 @@ def repeat_words(words: Column, window: int = WINDOW) -> Column:
     return F.when(F.size(words) > window, let(hashed, lambda each: let(windows(each), among))).otherwise(F.lit(0))
 
 
+def stutters(words: Column) -> Column:
+    """Words equal to the word before them."""
+    pairs = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: a == b)
+    return F.size(F.filter(pairs, lambda same: same))
+
+
 def text_stats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and whole-text counts, all bigint: n_words, word_chars (code
     points in words), n_symbols, n_dup_lines (lines with a word that equal an earlier line),
-    n_repeat_words, n_marks (sentence ends), n_digits.  Null text: all zero."""
+    n_repeat_words, n_stutters (words equal to the one before), n_marks (sentence ends), n_digits.
+    Null text: all zero."""
     def count_of(characters: str) -> Column:
         return F.length("__text") - F.length(F.translate(F.col("__text"), characters, ""))
 
     counted = docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("__text")).select(
         key,
         let(words_of(F.col("__text")), lambda words: F.struct(
-            F.size(words).alias("n_words"), repeat_words(words).alias("n_repeat_words"))).alias("w"),
+            F.size(words).alias("n_words"), repeat_words(words).alias("n_repeat_words"),
+            F.when(F.size(words) > 1, stutters(words)).otherwise(F.lit(0)).alias("n_stutters"))).alias("w"),
         let(F.filter(F.split("__text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")),
             lambda lines: F.size(lines) - F.size(F.array_distinct(lines))).alias("n_dup_lines"),
         F.length(F.translate(F.col("__text"), " " + SPACES, "")).alias("word_chars"),
@@ -86,7 +95,7 @@ def text_stats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         count_of("0123456789").alias("n_digits"))
     return counted.select(key, *(F.col(c).cast("bigint").alias(n) for n, c in {
         "n_words": "w.n_words", "word_chars": "word_chars", "n_symbols": "n_symbols", "n_dup_lines": "n_dup_lines",
-        "n_repeat_words": "w.n_repeat_words", "n_marks": "n_marks", "n_digits": "n_digits"}.items()))
+        "n_repeat_words": "w.n_repeat_words", "n_stutters": "w.n_stutters", "n_marks": "n_marks", "n_digits": "n_digits"}.items()))
 
 
 def base_failed() -> Column:
@@ -104,6 +113,7 @@ def feature(name: str) -> Column:
         "symbol_share": F.col("n_symbols") / chars,
         "dup_lines": F.col("n_dup_lines").cast("double"),
         "repeat_share": F.col("n_repeat_words") / words,
+        "stutter_share": F.col("n_stutters") / words,
         "mark_share": F.col("n_marks") / words,
         "digit_share": F.col("n_digits") / chars,
     }[name]
@@ -171,7 +181,19 @@ def learn(labelled: DataFrame, label: str = "rejected", key: str = "doc_id", max
         if p < 1 or p / (p + n) < min_precision:
             break
         rules.append(rule)
-    return DecisionList(tuple(rules))
+    return DecisionList(_centred(rules, labelled))
+
+
+def _centred(rules: list[tuple[Condition, ...]], labelled: DataFrame) -> tuple[tuple[Condition, ...], ...]:
+    """Each threshold moved half way to the next greater value among the labelled rows, which changes
+    no labelled row's side and leaves texts between the classes the widest room."""
+    used = {(c.feature, c.threshold) for rule in rules for c in rule}
+    if not used:
+        return ()
+    names = sorted(used)
+    above = labelled.agg(*(F.min(F.when(feature(f) > t, feature(f))).alias(f"a{i}") for i, (f, t) in enumerate(names))).first()
+    moved = {x: x[1] if above[i] is None else (x[1] + above[i]) / 2 for i, x in enumerate(names)}
+    return tuple(tuple(replace(c, threshold=moved[c.feature, c.threshold]) for c in rule) for rule in rules)
 
 
 def _binned(labelled: DataFrame, label: str, key: str, steps: dict[str, list[float]]) -> DataFrame:

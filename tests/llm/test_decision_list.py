@@ -40,7 +40,9 @@ def test_counts(spark):
     texts += ["a b c d e", "a b c d e a b c d e", "x " * 3000, "same line\n" * 50, "\n\n \n", "w"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for r in L.text_stats(docs).collect():
+        words = re.findall(r"[^\x20\x09-\x0D]+", texts[r.doc_id])
         assert counts(r) == plain_counts(texts[r.doc_id]), repr(texts[r.doc_id])
+        assert r.n_stutters == sum(a == b for a, b in zip(words, words[1:]))
     for r in L.text_stats(awkward_docs(spark).withColumn("k", F.monotonically_increasing_id()), key="k").collect():
         assert r.n_words >= 0
     by = {r.doc_id: r for r in L.text_stats(awkward_docs(spark).where("doc_id in (1, 2, 4, 5)")).collect()}
@@ -67,6 +69,11 @@ def test_learned_list_is_a_conjunction(spark, labelled):
     assert 1 <= len(rules.rules) <= 3 and any(len(r) >= 2 for r in rules.rules)
     wrong = stats.where(rules.matched().isNotNull() != F.col("rejected")).count()
     assert wrong <= 6
+    # thresholds stand half way between the labelled values beside them
+    for c in (c for rule in rules.rules for c in rule):
+        near = stats.agg(F.max(F.when(L.feature(c.feature) <= c.threshold, L.feature(c.feature))).alias("a"),
+                         F.min(F.when(L.feature(c.feature) > c.threshold, L.feature(c.feature))).alias("b")).first()
+        assert near.b is None or c.threshold == pytest.approx((near.a + near.b) / 2)
     assert str(rules).startswith("if ") and str(rules).endswith("else: keep")
 
 
