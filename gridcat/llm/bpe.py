@@ -11,38 +11,68 @@ unit seen before needs no second call of the library.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 
 import numpy as np
 
 # Python counts U+001C..U+001F as white space and the library does not; a text
 # holding one goes to the library whole.
-_ODD = re.compile("[\x1c-\x1f]")
+_ODD = "\x1c\x1d\x1e\x1f"
 _UNIT = re.compile(r"\s*\S+|\s+")
-# letters end where sentence punctuation starts, whatever surrounds them
-_STOPPED = re.compile(r"(.*[A-Za-z])([.,;:!?]+)", re.S)
+# sentence punctuation: a token of its own after an ASCII letter, whatever surrounds them
+_STOPS = ".,;:!?"
+_LATIN_END = "\u0250"    # letters before this are letters in every Unicode version
 _LONG_UNIT = 64
+# the byte alphabet: printable bytes stand for themselves, the others follow from U+0100 on
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LETTER = {b: chr(b) for b in _PLAIN} | {
+    b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(_PLAIN))}
+_ALPHABET = {b: ord(c) for b, c in _LETTER.items()}
+_BLANK = _LETTER[32]
+
+
+def odd(text: str) -> bool:
+    """Whether white space is not certain in ``text``."""
+    return any(c in text for c in _ODD)
 
 
 class _Units(dict):
-    """unit -> packed ids; a missing unit is encoded by the library.  Holds at
-    most ``limit`` units and starts over beyond that, so memory is bounded."""
+    """unit -> packed ids; a missing unit is encoded by the library.  Two
+    generations of at most ``limit`` units each: a full one becomes the elder, whose
+    units come back when met again, so memory is bounded and frequent units stay."""
 
-    def __init__(self, tokenizer, dtype: str, limit: int):
+    def __init__(self, tokenizer, code: str, limit: int):
         super().__init__()
-        self.tokenizer, self.dtype, self.limit = tokenizer, dtype, limit
+        self.tokenizer, self.model, self.code, self.limit = tokenizer, tokenizer.model, code, limit
+        self.elder: dict[str, bytes] = {}
 
     def __missing__(self, unit: str) -> bytes:
-        stopped = _STOPPED.fullmatch(unit) if len(unit) <= _LONG_UNIT else None
-        if stopped:
-            packed = self[stopped[1]] + self[stopped[2]]
-        else:
-            packed = np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, self.dtype).tobytes()
-        if len(unit) <= _LONG_UNIT:
-            if len(self) >= self.limit:
-                self.clear()
-            self[unit] = packed
+        if len(unit) > _LONG_UNIT:
+            return self._encoded(unit)
+        packed = self.elder.get(unit)
+        if packed is None:
+            core = unit.rstrip(_STOPS)
+            if core != unit and core[-1:].isascii() and core[-1:].isalpha():
+                packed = self[core] + self[unit[len(core):]]
+            else:
+                packed = self._encoded(unit)
+        if len(self) >= self.limit:
+            self.elder = dict(self)
+            self.clear()
+        self[unit] = packed
         return packed
 
+    def _encoded(self, unit: str) -> bytes:
+        # a word of letters, with or without a blank, is one token of the
+        # pre-tokenizer, so the model's merges alone decide
+        word = unit[1:] if unit[0] == " " else unit
+        if word.isalpha() and (word.isascii() or max(word) < _LATIN_END):
+            tokens = self.model.tokenize(_BLANK + word if word.isascii() and word is not unit
+                                         else unit.encode().decode("latin-1").translate(_ALPHABET))
+            return array(self.code, [t.id for t in tokens]).tobytes()
+        return array(self.code, self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
+
 
 class Bpe:
     """Encoder and decoder of one vocabulary file.  Ids travel packed as
@@ -57,14 +87,16 @@ class Bpe:
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = "<u2" if self.size <= 1 << 16 else "<u4"
         self.width = int(self.dtype[-1])
-        self.units = _Units(self.tokenizer, self.dtype, cached_units)
+        if sys.byteorder != "little":
+            raise RuntimeError("packed ids are little-endian")
+        self.units = _Units(self.tokenizer, "H" if self.width == 2 else "I", cached_units)
         self._pieces: list[bytes] | None = None
 
     def encode(self, text: str) -> bytes:
         """Packed ids of ``text``, as ``encode(text, add_special_tokens=False)`` gives them."""
         if not text:
             return b""
-        if _ODD.search(text):
+        if odd(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         return b"".join(map(self.units.__getitem__, _UNIT.findall(text)))
 
@@ -75,9 +107,7 @@ class Bpe:
     def pieces(self) -> list[bytes]:
         """Bytes of each id, from the vocabulary's byte alphabet."""
         if self._pieces is None:
-            kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
-            rest = [b for b in range(256) if b not in set(kept)]
-            byte_of = {chr(b): b for b in kept} | {chr(256 + i): b for i, b in enumerate(rest)}
+            byte_of = {c: b for b, c in _LETTER.items()}
             special = {i: t.content.encode() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
             self._pieces = [special[i] if i in special else bytes(byte_of[c] for c in self.tokenizer.id_to_token(i))
                             for i in range(self.size)]

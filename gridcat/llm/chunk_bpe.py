@@ -113,7 +113,7 @@ class ChunkEncoder:
 
     def encode(self, text: str) -> bytes:
         data = text.encode()
-        if bpe._ODD.search(text):   # breaks are not certain here
+        if bpe.odd(text):   # breaks are not certain here
             return self.bpe.encode(text)
         ends = cuts(data)
         if len(ends) < 2:
