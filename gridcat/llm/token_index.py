@@ -237,7 +237,8 @@ def read_documents(located: DataFrame, files: DataFrame, folder: str, dtype: str
                 got.append(measure(source.read_at(n * width, offset * width)))
             yield pdf.drop(columns="file").assign(**{value.split()[0]: got})
 
-    return rows.repartition("shard", F.floor(F.col("offset") / (1 << 20))).mapInPandas(
+    # the rows are few bytes and the payloads are not: a fixed number keeps them from being read in one task
+    return rows.repartition(max(1, files.count()), "shard", F.floor(F.col("offset") / (1 << 20))).mapInPandas(
         run, f"`{key}` {kind}, copy bigint, shard int, offset bigint, n bigint, {value}")
 
 
