@@ -4,6 +4,9 @@ Both conversations of a pair share their longest common turn prefix, which is
 rendered once as the prompt.  What follows is rendered apart for each side,
 with a mask of the spans a model learns from: the assistant's turns, end
 mark included.
+
+A conversation meets in one row once, since its rendering is one string; all
+that follows is array expressions in that row.
 """
 
 from __future__ import annotations
@@ -12,19 +15,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROLE_OPEN, ROLE_CLOSE, TURN_END = "<|", "|>\n", "\n<|end|>\n"
+NO_TURNS = "array<struct<role:string,text:string>>"
 
 
-def turns_in_order(conversations: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role",
-                   text: str = "text") -> DataFrame:
-    """``(key, at, role, text)``: turns numbered from 1 by turn, then role and text where
-    turns tie (null first).  Null role is ``user``, null text empty.
-
-    A conversation's turns meet in one row, as its rendering is one string."""
+def in_rows(conversations: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role",
+            text: str = "text") -> DataFrame:
+    """``(key, turns)``: the turns ``(role, text)`` of each conversation in order of turn, then
+    of role and text where turns tie (null first).  Null role is ``user``, null text empty.  Null
+    keys form one conversation."""
     each = F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("user")).alias("role"),
                     F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = conversations.groupBy(key).agg(F.sort_array(F.collect_list(each)).alias("turns"))
-    return rows.select(key, F.posexplode("turns").alias("at", "t")).select(
-        key, (F.col("at") + 1).alias("at"), F.col("t.role").alias("role"), F.col("t.text").alias("text"))
+    rows = conversations.groupBy(key).agg(F.sort_array(F.collect_list(each)).alias("t"))
+    return rows.select(key, F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+                       .alias("turns"))
+
+
+def pair(chosen: DataFrame, rejected: DataFrame, key: str = "conv_id") -> DataFrame:
+    """``(key, chosen, rejected)`` from two tables of ``in_rows``.  A key that one side
+    lacks pairs with an empty conversation; null keys pair with each other."""
+    a = chosen.select(F.col(key).alias("ka"), F.col("turns").alias("chosen"))
+    b = rejected.select(F.col(key).alias("kb"), F.col("turns").alias("rejected"))
+    none = F.array().cast(NO_TURNS)
+    return a.join(b, F.col("ka").eqNullSafe(F.col("kb")), "full").select(
+        F.coalesce("ka", "kb").alias(key), F.coalesce("chosen", none).alias("chosen"),
+        F.coalesce("rejected", none).alias("rejected"))
+
+
+def stale_answers(rows: DataFrame, key: str = "conv_id") -> DataFrame:
+    """Pairs from plain conversations (``in_rows``): chosen ends with the last assistant turn;
+    rejected answers there with the assistant turn before it, or with nothing if
+    there is none.  Conversations without an assistant turn have no pair."""
+    places = F.filter(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i)), lambda i: i.isNotNull())
+    marked = rows.withColumn("places", places).where(F.size("places") > 0).withColumn("last", F.element_at("places", -1))
+    stale = F.filter(F.slice("turns", 1, F.col("last")), lambda t: t["role"] == "assistant")
+    return marked.select(
+        key, F.slice("turns", 1, F.col("last") + 1).alias("chosen"),
+        F.concat(F.slice("turns", 1, F.col("last")),
+                 F.slice(stale, F.greatest(F.size("places") - 1, F.lit(1)), 1)).alias("rejected"))
 
 
 def rendered(role: Column, text: Column) -> Column:
@@ -49,43 +76,22 @@ def _mask(turns: Column) -> Column:
     return F.aggregate(turns, start, step, lambda s: s["spans"])
 
 
-def format_pairs(chosen: DataFrame, rejected: DataFrame, key: str = "conv_id") -> DataFrame:
-    """Pairs of ``chosen`` and ``rejected`` turns (key, at, role, text; see
-    ``turns_in_order``) by key: ``key, n_prefix, prompt, chosen, rejected, chosen_mask, rejected_mask``.
+def format_pairs(pairs: DataFrame, key: str = "conv_id") -> DataFrame:
+    """``key, n_prefix, prompt, chosen, rejected, chosen_mask, rejected_mask`` for each row of
+    ``pairs`` (``key``, ``chosen``, ``rejected``).
 
-    The prefix ends before the first place where role or text differ or one side ends; it is found by
-    one equi join over (key, place), without pairing turns.  A key that one side lacks pairs with an empty conversation; two equal
-    conversations have empty completions.  Null keys pair with each other.
+    The prefix ends before the first place where role or text differ or one side ends.  Two equal
+    conversations have empty completions.
     """
-    a = chosen.select(F.col(key).alias("ka"), F.col("at").alias("aa"), F.struct("role", "text").alias("a"))
-    b = rejected.select(F.col(key).alias("kb"), F.col("at").alias("ab"), F.struct("role", "text").alias("b"))
-    both = a.join(b, F.col("ka").eqNullSafe(F.col("kb")) & (F.col("aa") == F.col("ab")), "full").select(
-        F.coalesce("ka", "kb").alias(key), F.coalesce("aa", "ab").alias("at"), "a", "b")
-    differs = ~F.col("a").eqNullSafe(F.col("b"))
-    rows = both.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("at", "a", "b"))).alias("turns"),
-        F.coalesce(F.min(F.when(differs, F.col("at"))), F.max("at") + 1).alias("first"))
-
-    def part(side: str, common: bool) -> Column:
-        chosen_ = F.filter("turns", lambda t: (t["at"] < F.col("first") if common else t["at"] >= F.col("first"))
-                           & t[side].isNotNull())
-        return F.transform(chosen_, lambda t: t[side])
-
-    return (rows.withColumns({"p": part("a", True), "c": part("a", False), "r": part("b", False)})
-            .select(key, (F.col("first") - 1).cast("bigint").alias("n_prefix"), _joined(F.col("p")).alias("prompt"),
-                    _joined(F.col("c")).alias("chosen"), _joined(F.col("r")).alias("rejected"),
-                    _mask(F.col("c")).alias("chosen_mask"), _mask(F.col("r")).alias("rejected_mask")))
+    same = F.zip_with("chosen", "rejected", lambda a, b: a.eqNullSafe(b))
+    differs = F.array_position(same, F.lit(False))
+    cut = pairs.withColumn("n_prefix", F.when(differs > 0, differs - 1).otherwise(F.size(same)).cast("int"))
 
+    def rest(side: str) -> Column:
+        return F.slice(side, F.col("n_prefix") + 1, F.size(side))
 
-def stale_answers(turns: DataFrame, key: str = "conv_id") -> tuple[DataFrame, DataFrame]:
-    """A chosen and a rejected side from plain conversations: chosen ends with
-    the last assistant turn; rejected answers there with the assistant turn
-    before it, or with nothing if there is none.  Conversations without an assistant turn have no pair."""
-    answers = turns.where("role = 'assistant'").groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("at", "text")), asc=False).alias("all"))
-    ends = answers.select(F.col(key).alias("k"), F.col("all")[0]["at"].alias("end"),
-                          F.get("all", F.lit(1))["text"].alias("stale"))
-    chosen = turns.join(ends, F.col(key).eqNullSafe(F.col("k"))).where(F.col("at") <= F.col("end"))
-    rejected = chosen.where((F.col("at") < F.col("end")) | F.col("stale").isNotNull()).withColumn(
-        "text", F.when(F.col("at") == F.col("end"), F.col("stale")).otherwise(F.col("text")))
-    return tuple(side.select(key, "at", "role", "text") for side in (chosen, rejected))
+    return (cut.select(key, "n_prefix", F.slice("chosen", 1, F.col("n_prefix")).alias("p"), rest("chosen").alias("c"),
+                       rest("rejected").alias("r"))
+            .select(key, F.col("n_prefix").cast("bigint").alias("n_prefix"), _joined(F.col("p")).alias("prompt"),
+                    _joined(F.col("c")).alias("chosen"), _joined(F.col("r")).alias("rejected"),
+                    _mask(F.col("c")).alias("chosen_mask"), _mask(F.col("r")).alias("rejected_mask")))

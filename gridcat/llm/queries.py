@@ -18,8 +18,8 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation that has an answer, paired with one whose last answer is stale."""
-    turns = preference.turns_in_order(table(spark, sf_dir, "conversations"))
-    pairs = preference.format_pairs(*preference.stale_answers(turns))
+    rows = preference.in_rows(table(spark, sf_dir, "conversations"))
+    pairs = preference.format_pairs(preference.stale_answers(rows))
 
     def spans(mask: str):
         return F.array_join(F.transform(mask, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")

@@ -15,8 +15,8 @@ def show(turns):
 
 
 def pairs(spark, chosen, rejected):
-    a, b = (P.turns_in_order(spark.createDataFrame(x, SCHEMA)) for x in (chosen, rejected))
-    return {r.conv_id: r for r in P.format_pairs(a, b).collect()}
+    a, b = (P.in_rows(spark.createDataFrame(x, SCHEMA)) for x in (chosen, rejected))
+    return {r.conv_id: r for r in P.format_pairs(P.pair(a, b)).collect()}
 
 
 def test_prefix_and_masks(spark):
@@ -36,15 +36,18 @@ def test_prefix_and_masks(spark):
 def test_nulls_ties_and_repeats(spark):
     rows = [(1, None, None, None), (1, 5, "assistant", "b"), (1, 5, "assistant", "a"), (None, 1, "user", "u"),
             (None, 2, "assistant", "v"), (1, 5, "assistant", "a")]
-    turns = P.turns_in_order(spark.createDataFrame([(*r, "extra") for r in rows], SCHEMA + ", at string"))
-    got = sorted((str(r.conv_id), r.at, r.role, r.text) for r in turns.collect())
-    assert got == [("1", 1, "user", ""), ("1", 2, "assistant", "a"), ("1", 3, "assistant", "a"), ("1", 4, "assistant", "b"),
-                   ("None", 1, "user", "u"), ("None", 2, "assistant", "v")]
-    both = {r.conv_id: r for r in P.format_pairs(*P.stale_answers(turns)).collect()}
+    turns = P.in_rows(spark.createDataFrame([(*r, "extra") for r in rows], SCHEMA + ", turns string"))
+    got = {r.conv_id: [tuple(t) for t in r.turns] for r in turns.collect()}
+    assert got == {1: [("user", ""), ("assistant", "a"), ("assistant", "a"), ("assistant", "b")],
+                   None: [("user", "u"), ("assistant", "v")]}
+    both = {r.conv_id: r for r in P.format_pairs(P.stale_answers(turns)).collect()}
     assert both[1].n_prefix == 3 and both[1].rejected == show([("assistant", "a")])
     assert both[None].rejected == "" and both[None].chosen == show([("assistant", "v")])
     empty = spark.createDataFrame([], SCHEMA)
-    assert P.format_pairs(*P.stale_answers(P.turns_in_order(empty))).count() == 0
+    assert P.format_pairs(P.stale_answers(P.in_rows(empty))).count() == 0
+    assert P.format_pairs(P.pair(P.in_rows(empty), P.in_rows(empty))).count() == 0
+    paired = pairs(spark, [(None, 1, "user", "u"), (None, 2, "assistant", "v")], [(None, 1, "user", "u")])
+    assert paired[None].n_prefix == 1 and paired[None].rejected == ""
 
 
 def test_op2_query_against_sql(spark):
