@@ -130,14 +130,18 @@ def plan_records(pages: DataFrame, page_id: str = "page_id", html: str = "html",
     """``pages`` with ``payload_bytes``, ``payload_digest``, ``record_type`` and
     ``refers_to``.  Of records with equal payloads of at least ``min_bytes``, that with the
     largest page id is the response (null ids count as least; of equal ids the last read).
-    Hot payloads: one aggregate with partial maxima and one equi join that adaptive execution splits."""
+    Hot payloads: one aggregate with partial maxima, then one equi join."""
     body = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
     marked = pages.select(
         page_id, "url", html, F.octet_length(F.coalesce(F.col(html), F.lit(""))).cast("bigint").alias("payload_bytes"),
         F.sha1(body).alias("payload_digest"), F.monotonically_increasing_id().alias("__at"))
-    holders = (marked.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest")
-               .agg(F.max(F.struct(page_id, "__at")).alias("h"), F.count("*").alias("__n")).where("__n > 1")
-               .select("payload_digest", F.col(f"h.{page_id}").alias("__holder"), F.col("h.__at").alias("__holder_at")))
+    # stored, so the planner knows its size: few shared payloads leave the html where it is, many are
+    # joined by a shuffle whose hot keys adaptive execution splits
+    holders = stored(
+        marked.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest")
+        .agg(F.max(F.struct(page_id, "__at")).alias("h"), F.count("*").alias("__n")).where("__n > 1")
+        .select("payload_digest", F.col(f"h.{page_id}").alias("__holder"), F.col("h.__at").alias("__holder_at")),
+        "payload-holders")
     planned = marked.join(holders, "payload_digest", "left")
     revisit = F.col("__holder_at").isNotNull() & (F.col("__holder_at") != F.col("__at"))
     return planned.select(
@@ -218,7 +222,9 @@ def read(spark, files: DataFrame, folder: str, payloads: bool = False) -> DataFr
 
     schema = ("page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, "
               "refers_to bigint") + (", payload binary" if payloads else "")
-    return files.select("file").distinct().repartition("file").mapInArrow(run, schema)
+    archives = files.select("file").distinct()
+    # the names are few bytes and the archives are not: a fixed number keeps them from being read in one task
+    return archives.repartition(max(1, archives.count()), F.xxhash64("file")).mapInArrow(run, schema)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
