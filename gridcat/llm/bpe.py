@@ -78,7 +78,7 @@ class Bpe:
     """Encoder and decoder of one vocabulary file.  Ids travel packed as
     little-endian unsigned integers, two bytes each when the vocabulary fits."""
 
-    def __init__(self, path: str, cached_units: int = 500_000):
+    def __init__(self, path: str, cached_units: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -120,11 +120,12 @@ class Bpe:
         return b"".join([pieces[i] for i in self.ids(packed).tolist()]).decode("utf-8", "replace")
 
 
-_LOADED: dict[str, Bpe] = {}
+CACHED_UNITS = 500_000     # of each generation
+_LOADED: dict[tuple[str, int], Bpe] = {}
 
 
-def load(path: str) -> Bpe:
+def load(path: str, cached_units: int = CACHED_UNITS) -> Bpe:
     """The worker's encoder of ``path``; reused by the tasks that follow."""
-    if path not in _LOADED:
-        _LOADED[path] = Bpe(path)
-    return _LOADED[path]
+    if (path, cached_units) not in _LOADED:
+        _LOADED[path, cached_units] = Bpe(path, cached_units)
+    return _LOADED[path, cached_units]

@@ -29,7 +29,8 @@ from . import bpe
 CHUNK_BITS = 9          # a cut every 512 bytes on average
 MIN_CHUNK, MAX_CHUNK = 128, 4096
 _WINDOW_STEPS = 4       # the rolling hash sees 2**4 bytes
-CACHED_BYTES = 48 << 20
+CACHED_BYTES = 16 << 20   # of chunks and their ids
+CACHED_UNITS = 150_000    # of the words inside chunks that are new
 
 # a place that the pre-tokenizer never reaches over: white space after a
 # non-space character (see bpe)
@@ -154,7 +155,7 @@ def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        encoder = ChunkEncoder(bpe.load(path))
+        encoder = ChunkEncoder(bpe.load(path, CACHED_UNITS))
         for batch in batches:
             texts = batch.column(batch.schema.names.index("__text")).to_pylist()
             packed = [encoder.encode(t) for t in texts]
@@ -179,7 +180,7 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        encoder = ChunkEncoder(bpe.load(path))
+        encoder = ChunkEncoder(bpe.load(path, CACHED_UNITS))
         decimal = [str(i) for i in range(encoder.bpe.size)]
         for batch in batches:
             counts, ids_sha, text_sha = [], [], []
