@@ -75,16 +75,17 @@ def insert_status(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> D
 # ---------------------------------------------------------------- A1 / A12
 def merge_temporal_extent(intervals: DataFrame, group: Sequence[str] | str,
                           start: str = "start_ts", end: str = "end_ts",
-                          keep_open: bool = False) -> DataFrame:
+                          keep_open: bool = False, extra_aggs: Sequence[Column] = ()) -> DataFrame:
     """A1: min and max over every non-null bound of all intervals per group;
     ``(NULL, NULL)`` when there is none.  ``keep_open`` keeps an open (NULL)
-    end instead of closing the range, which the original tool does not."""
+    end instead of closing the range, which the original tool does not.
+    ``extra_aggs`` are computed in the same grouping (one shuffle)."""
     group = [group] if isinstance(group, str) else list(group)
     lo = F.least(F.min(start), F.min(end))
     hi = F.greatest(F.max(start), F.max(end))
     if keep_open:
         hi = F.when(F.count_if(F.col(end).isNull()) > 0, F.lit(None)).otherwise(hi)
-    return intervals.groupBy(*group).agg(lo.alias("extent_start"), hi.alias("extent_end"))
+    return intervals.groupBy(*group).agg(lo.alias("extent_start"), hi.alias("extent_end"), *extra_aggs)
 
 
 def derive_collection_extent(items: DataFrame, group: str = "collection_id",
@@ -129,18 +130,17 @@ def upsert_collections(new: DataFrame, remote: DataFrame, new_item_counts: DataF
     ``new_item_counts``: (key, n_new_items)."""
     def side(rows: DataFrame, p: str) -> DataFrame:
         # an extent of one's own stays open when an interval is; a merged one closes (A1) unless ``keep_open``
-        own = merge_temporal_extent(rows, key, keep_open=True)
-        closed = merge_temporal_extent(rows, key, keep_open=keep_open).withColumnsRenamed(
-            {"extent_start": f"{p}_lo", "extent_end": f"{p}_hi"})
-        described = rows.groupBy(key).agg(F.lit(True).alias(f"_in_{p}"),
-                                          *(F.max(F.col(c)).alias(f"{p}_{c}") for c in metadata))
-        return own.withColumnsRenamed({"extent_start": f"{p}_start", "extent_end": f"{p}_end"}).join(
-            closed, key).join(described, key)
+        extent = merge_temporal_extent(rows, key, extra_aggs=[
+            F.max(F.col("end_ts").isNull()).alias("_open"), *(F.max(F.col(c)).alias(f"{p}_{c}") for c in metadata)])
+        own_end = F.when(~F.col("_open"), F.col("extent_end"))
+        return extent.select(
+            key, F.lit(True).alias(f"_in_{p}"), F.col("extent_start").alias(f"{p}_start"), own_end.alias(f"{p}_end"),
+            (own_end if keep_open else F.col("extent_end")).alias(f"{p}_hi"), *(f"{p}_{c}" for c in metadata))
 
     j = side(new, "n").join(side(remote, "r"), key, "full_outer").join(new_item_counts, key, "left")
     has_items = F.coalesce(F.col("n_new_items"), F.lit(0)) > 0
     both, created = F.col("_in_n") & F.col("_in_r"), F.col("_in_r").isNull()
-    lo, hi = F.least("n_lo", "r_lo"), F.greatest("n_hi", "r_hi")
+    lo, hi = F.least("n_start", "r_start"), F.greatest("n_hi", "r_hi")
     if keep_open:
         hi = F.when(F.col("n_hi").isNull() | F.col("r_hi").isNull(), F.lit(None)).otherwise(hi)
     action = (F.when(both & has_items, F.lit("update")).when(created, F.lit("create")).otherwise(F.lit("unchanged")))

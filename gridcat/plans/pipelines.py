@@ -51,7 +51,8 @@ def estuary_preprocess(points: DataFrame, grid: G.Grid, step: str = "day", level
         "_", F.col("variable"), F.concat(F.lit("d"), F.col("slice").cast("string")),
         F.concat(F.lit("s"), F.col(level).cast("string")),
         F.concat(F.col(part).cast("string"), F.lit(".nc"))))
-    files = SL.pick_levels(files, [], level)   # surface/bottom over the whole model
+    # a row per product, read by the level bounds, the routing and the join
+    files = SL.pick_levels(stored(files, "products"), [], level)   # surface/bottom over the whole model
     spark = spark or points.sparkSession
     return binned.join(SL.route_files(files, SL.routes_table(spark)), keys)
 
