@@ -5,7 +5,8 @@ with the longer common path prefix, which in this order is the nearest of all by
 that measure.  The text lines of both are aligned by longest common subsequence, and lines that both share
 are template text and deleted.  Markup says more where it can: lines inside
 menus, headers, adverts and the like go even when no neighbour has them, and
-lines inside an article element stay even when a neighbour quotes them.
+lines inside an article element stay where a neighbour only quotes them: they go
+if they are also on at least half of the host's pages.
 
 The sort is by range partitions, so a hot host is cut into many; the rows at
 partition edges get their neighbours from a table of one row per partition.
@@ -44,6 +45,8 @@ MAIN_WORDS = frozenset("article main".split())
 EXEMPT = frozenset("html body article main".split())
 
 COPY_SHARE = 0.9      # a neighbour with this share of a page's own text is a copy of it, not its template
+COMMON_SHARE = 0.5    # lines on this share of a host's distinct pages are its furniture, not quotes ...
+COMMON_PAGES = 3      # ... if so many pages have them, and the hosts with them do so on average
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
                   r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
@@ -213,8 +216,8 @@ def _common_prefix(a: str, b: str) -> int:
 
 def shared_lines(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``(host, digest, shared)`` for each distinct html of a host: for every line
-    whether the nearest neighbour of another html has it aligned.  Equal html of one host is
-    one class, placed at its smallest path, so that copies never delete each other."""
+    1 if the nearest neighbour of another html has it aligned, 2 if it is also common on the host, else 0.
+    Equal html of one host is one class, placed at its smallest path, so that copies never delete each other."""
     keyed = pages.select(url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"),
                          F.coalesce(F.col(html), F.lit("")).alias("html")).withColumn("digest", F.sha1("html"))
 
@@ -232,6 +235,15 @@ def shared_lines(pages: DataFrame, url: str = "url", html: str = "html") -> Data
     classes = parsed.groupBy("host", "digest").agg(F.min("path").alias("path"), F.any_value("lines").alias("lines"))
     place = ["host", "path", "digest"]
     blocks = stored(classes.repartitionByRange(*place).withColumn("block", F.spark_partition_id()), "page-lines")
+    # lines common on a host, at most twice as many as its pages have on average, and not rare on the other hosts with them
+    counts = blocks.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").agg(
+        F.count("*").alias("held"))
+    sizes = blocks.groupBy("host").agg(F.count("*").alias("n"))
+    counts = stored(counts.join(sizes, "host"), "line-counts")
+    often = F.col("held") >= COMMON_SHARE * F.col("n")
+    spread = counts.groupBy("line").agg(F.sum("held").alias("held"), F.sum("n").alias("n")).where(often).select("line")
+    common = counts.where((F.col("held") >= COMMON_PAGES) & often).join(spread, "line").groupBy("host").agg(
+        F.collect_list("line").alias("common"))
     # each block borrows the last row of the block before and the first of the one after
     row = F.struct(*place, "lines")
     ends = blocks.groupBy("block").agg(F.min(row).alias("first"), F.max(row).alias("last"))
@@ -247,29 +259,33 @@ def shared_lines(pages: DataFrame, url: str = "url", html: str = "html") -> Data
     def compare(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        host, common = None, frozenset()
         for batch in batches:
             out = []
             for r in batch.to_pylist():
+                if r["host"] != host:
+                    host, common = r["host"], frozenset(r["common"] or ())
                 near = [x for x in (r["p"], r["n"]) if x and x["host"] == r["host"]]
                 mine, hit = r["lines"], set()
                 if near:
                     best = max(near, key=lambda x: _common_prefix(x["path"], r["path"]))
                     hit = aligned(mine, best["lines"])
-                out.append([i in hit for i in range(len(mine))])
+                out.append([(1 + (x in common)) * (i in hit) for i, x in enumerate(mine)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.bool_()))], names=["host", "digest", "shared"])
+                [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int8()))], names=["host", "digest", "shared"])
 
-    return around.select("host", "digest", "path", "lines", "p", "n").mapInArrow(
-        compare, "host string, digest string, shared array<boolean>")
+    return around.join(common, "host", "left").select("host", "digest", "path", "lines", "p", "n", "common").mapInArrow(
+        compare, "host string, digest string, shared array<tinyint>")
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``(key, url, text, n_chars, n_shared)`` per row of ``pages``: the main text,
     its blocks joined by a blank line, and the number of lines that the neighbour shares.
 
-    Kept are the lines inside an article where the page marks one, else the lines that are
-    neither furniture nor shared; where the neighbour holds nearly all of a page's own text it is a copy
-    and deletes nothing.  Null or empty html gives an empty text, a null URL belongs to the empty
+    Kept are the lines inside an article where the page marks one, without those that the neighbour
+    shares and that are common on the host (an article of nearly nothing else is a copied one and stays whole).
+    Elsewhere the lines are kept that are neither furniture nor shared; where the neighbour holds nearly all
+    of a page's own text it is a copy and deletes nothing.  Null or empty html gives an empty text, a null URL belongs to the empty
     host.  Repeated rows and null keys are kept.
     """
     kind = pages.schema[key].dataType.simpleString()
@@ -296,15 +312,18 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
         return F.aggregate(F.filter("marked", which), F.lit(0), lambda n, x: n + F.length(x["text"]))
 
     own = length_of(lambda x: x["kind"] > CHROME_LINE)
-    same = length_of(lambda x: (x["kind"] > CHROME_LINE) & x["shared"])
+    same = length_of(lambda x: (x["kind"] > CHROME_LINE) & (x["shared"] > 0))
+    article = length_of(lambda x: x["kind"] == MAIN_LINE)
+    furniture = length_of(lambda x: (x["kind"] == MAIN_LINE) & (x["shared"] == 2))
     has_main = F.exists("marked", lambda x: x["kind"] == MAIN_LINE)
     is_copy = F.col("same") >= COPY_SHARE * F.col("own")
-    kept = F.filter("marked", lambda x: (x["kind"] == MAIN_LINE) | (
-        (x["kind"] == PLAIN_LINE) & ~F.col("has_main") & (~x["shared"] | F.col("is_copy"))))
+    is_copied = F.col("furniture") >= COPY_SHARE * F.col("article")
+    kept = F.filter("marked", lambda x: (x["kind"] == MAIN_LINE) & ((x["shared"] < 2) | F.col("is_copied")) | (
+        (x["kind"] == PLAIN_LINE) & ~F.col("has_main") & ((x["shared"] == 0) | F.col("is_copy"))))
     text = F.array_join(F.transform(kept, lambda x: x["text"]), "\n\n")
     return (joined.select(key, url, marked.alias("marked"))
-            .withColumns({"own": own, "same": same, "has_main": has_main})
-            .withColumn("is_copy", is_copy)
+            .withColumns({"own": own, "same": same, "article": article, "furniture": furniture, "has_main": has_main})
+            .withColumns({"is_copy": is_copy, "is_copied": is_copied})
             .select(key, url, text.alias("text"),
-                    F.size(F.filter("marked", lambda x: x["shared"])).cast("bigint").alias("n_shared"))
+                    F.size(F.filter("marked", lambda x: x["shared"] > 0)).cast("bigint").alias("n_shared"))
             .select(key, url, "text", F.length("text").cast("bigint").alias("n_chars"), "n_shared"))

@@ -75,6 +75,26 @@ def test_shared_lines_go_where_no_article_is_marked(spark):
     assert D.extract(pages.limit(0)).count() == 0
 
 
+def test_furniture_inside_an_article_goes_and_quotes_stay(spark):
+    quote = prose(500, 12)        # on three of nine pages that lie side by side
+    rows = [(i, f"http://a/x{i}", f"<article><p>Filed under news of today</p><p>{prose(i, 12)}</p>"
+                                  f"{f'<p>{quote}</p>' if 3 <= i < 6 else ''}<p>Tell your friends</p></article>") for i in range(9)]
+    copied = [prose(600 + i, 12) for i in range(30)]      # near copies alone on a host, each with a line of its own
+    rows += [(20 + i, f"http://b/x{i}", f"<article>{''.join(f'<p>{x}</p>' for x in [*copied, f'copy {i}'])}</article>")
+             for i in range(4)]
+    # a passage on three of four pages of a small host, and on a page each of others
+    rows += [(30 + i, f"http://c/x{i}", f"<article><p>{quote if i else 'none'}</p><p>{prose(30 + i, 12)}</p></article>")
+             for i in range(4)]
+    rows += [(40 + i, f"http://d{i // 4}/x{i}", f"<article><p>{prose(40 + i, 12)}</p><p>{'' if i % 4 else quote}</p></article>")
+             for i in range(12)]
+    got = {r.page_id: r.text for r in D.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[30 + i] == f"{quote}\n\n{prose(30 + i, 12)}" for i in range(1, 4))
+    for i in range(9):
+        assert got[i] == "\n\n".join([prose(i, 12)] + [quote] * (3 <= i < 6)), i
+    for i in range(4):
+        assert got[20 + i] == "\n\n".join([*copied, f"copy {i}"])
+
+
 def test_near_copy_deletes_nothing(spark):
     body = [prose(i, 10) for i in range(30)]
     rows = [(1, "http://a/x1", site(1, body)), (2, "http://a/x2", site(1, body + ["one more line"]))]
