@@ -285,7 +285,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     Kept are the lines inside an article where the page marks one, without those that the neighbour
     shares and that are common on the host (an article of nearly nothing else is a copied one and stays whole).
     Elsewhere the lines are kept that are neither furniture nor shared; where the neighbour holds nearly all
-    of a page's own text it is a copy and deletes nothing.  Null or empty html gives an empty text, a null URL belongs to the empty
+    of a page's own text it is a copy and deletes only what is common on the host.  Null or empty html gives an empty text, a null URL belongs to the empty
     host.  Repeated rows and null keys are kept.
     """
     kind = pages.schema[key].dataType.simpleString()
@@ -319,7 +319,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     is_copy = F.col("same") >= COPY_SHARE * F.col("own")
     is_copied = F.col("furniture") >= COPY_SHARE * F.col("article")
     kept = F.filter("marked", lambda x: (x["kind"] == MAIN_LINE) & ((x["shared"] < 2) | F.col("is_copied")) | (
-        (x["kind"] == PLAIN_LINE) & ~F.col("has_main") & ((x["shared"] == 0) | F.col("is_copy"))))
+        (x["kind"] == PLAIN_LINE) & ~F.col("has_main") & ((x["shared"] == 0) | (x["shared"] == 1) & F.col("is_copy"))))
     text = F.array_join(F.transform(kept, lambda x: x["text"]), "\n\n")
     return (joined.select(key, url, marked.alias("marked"))
             .withColumns({"own": own, "same": same, "article": article, "furniture": furniture, "has_main": has_main})

@@ -95,6 +95,19 @@ def test_furniture_inside_an_article_goes_and_quotes_stay(spark):
         assert got[20 + i] == "\n\n".join([*copied, f"copy {i}"])
 
 
+def test_short_text_in_a_long_template(spark):
+    template = [prose(700 + i, 15) for i in range(10)]
+    body = [*(prose(i, 12) for i in range(6))]
+    rows = [(i, f"http://a/x{i}", "".join(f"<div>{x}</div>" for x in [*template[:5], body[i], *template[5:]])) for i in range(6)]
+    assert all(sum(map(len, template)) >= D.COPY_SHARE * (sum(map(len, template)) + len(x)) for x in body)
+    copied = [prose(800 + i, 10) for i in range(30)]      # two near copies among other pages of a host
+    rows += [(10, "http://b/x1", site(1, copied)), (11, "http://b/x2", site(2, [*copied, "one more line"]))]
+    rows += [(12 + i, f"http://b/y{i}", site(i, [prose(900 + i, 12)])) for i in range(4)]
+    got = {r.page_id: r.text for r in D.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(6)] == body
+    assert got[10] == "\n\n".join(copied) and got[11] == "\n\n".join([*copied, "one more line"])
+
+
 def test_near_copy_deletes_nothing(spark):
     body = [prose(i, 10) for i in range(30)]
     rows = [(1, "http://a/x1", site(1, body)), (2, "http://a/x2", site(1, body + ["one more line"]))]
