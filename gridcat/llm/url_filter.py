@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .common import let, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-MAX_TRAIN_ROWS = 20_000      # labelled rows the trees are fitted on, about; suffixes are counted on as many
+MAX_TRAIN_ROWS = 20_000      # labelled rows the trees are fitted on, about; suffixes are counted on all others
 TREES, DEPTH, SEED = 10, 4, 7
 PRIOR = 4.0                  # rows by which a rate is drawn to the mean
 
@@ -152,30 +152,31 @@ def fit(labelled: DataFrame, label: str = "label", url: str = "url", max_rows: i
         trees: int = TREES, depth: int = DEPTH) -> UrlModel:
     """Fit on labelled URLs (``label`` 1: block, 0: allow; null: not used).
 
-    About twice ``max_rows`` rows are taken by hash of the URL: one half for the suffix statistics,
-    the other for the trees.
+    The trees are fitted on about ``max_rows`` rows taken by hash of the URL, at most half of them; the suffix
+    statistics are counted on all others.
     """
     from pyspark.ml.classification import GBTClassifier
 
     known = labelled.where(F.col(label).isNotNull())
     n = known.count()
     part = F.pmod(F.xxhash64(F.coalesce(F.col(url), F.lit(""))), F.lit(1 << 20))
-    wanted = min(1 << 20, -(-(1 << 20) * 2 * max_rows // max(n, 1)))
-    rows = stored(features(known.where(part < wanted).select(F.col(url), F.col(label).cast("int").alias("label"),
-                                                             (part % 2).alias("half")), url), "url-features")
-    means = {r["half"]: r for r in rows.groupBy("half").agg(F.avg("label").alias("m"), F.count("*").alias("n")).collect()}
+    wanted = min(1 << 19, -(-(1 << 20) * max_rows // max(n, 1)))
+    known = known.select(F.col(url), F.col(label).cast("int").alias("label"), (part < wanted).alias("fitted"))
+    means = {r["fitted"]: r for r in known.groupBy("fitted").agg(F.avg("label").alias("m"), F.count("*").alias("n")).collect()}
     total = sum(r["n"] for r in means.values())
     base = sum(r["m"] * r["n"] for r in means.values()) / total if total else 0.0
     default = int(base > 0.5)
-    if len(means) < 2 or not 0 < means[1]["m"] < 1:
+    if len(means) < 2 or not 0 < means[True]["m"] < 1:
         return UrlModel({}, base, None, default)
-    counted = rows.where("half = 0")
+    names = ("top", "domain", "host", "segment")
+    counted = stored(features(known.where("not fitted"), url).groupBy(*(f"k_{name}" for name in names)).agg(
+        F.sum("label").alias("hits"), F.count("*").alias("n")), "url-counts")
     rates = {
         name: stored(counted.groupBy(f"k_{name}").agg(
-            ((F.sum("label") + PRIOR * base) / (F.count("*") + PRIOR)).alias(f"{name}_rate")), f"{name}-rates")
-        for name in ("top", "domain", "host", "segment")}
+            ((F.sum("hits") + PRIOR * base) / (F.sum("n") + PRIOR)).alias(f"{name}_rate")), f"{name}-rates")
+        for name in names}
     model = UrlModel(rates, base, None, default)
-    train = _assembled(model.with_rates(rows.where("half = 1"))).select("features", "label")
+    train = _assembled(model.with_rates(features(known.where("fitted"), url))).select("features", "label")
     model.trees = GBTClassifier(maxIter=trees, maxDepth=depth, seed=SEED, maxBins=32).fit(stored(train, "url-train"))
     return model
 

@@ -74,6 +74,22 @@ def test_trees_learn_labelled_urls(spark):
     assert right >= 195
 
 
+def test_rates_are_counted_on_all_other_rows(spark):
+    """Every labelled row is either one the trees see or counted, however few the trees see."""
+    rows = [(f"http://h{i % 200}.example/{i}", i % 200 // 100) for i in range(4000)]
+    model = U.fit(spark.createDataFrame(rows, "url string, label int"), max_rows=400, trees=2)
+    part = "pmod(xxhash64(url), 1048576) >= ceil(1048576 * 400 / 4000)"
+    counted = spark.createDataFrame(rows, "url string, label int").where(part).collect()
+    n, hit = Counter(), Counter()
+    for url, label in counted:
+        n[url.split("/")[2]] += 1
+        hit[url.split("/")[2]] += label
+    assert len(counted) > 3400
+    got = {r.k_host: r.host_rate for r in model.rates["host"].collect()}
+    assert set(got) == set(n)
+    assert all(math.isclose(got[h], (hit[h] + U.PRIOR * 0.5) / (n[h] + U.PRIOR)) for h in n)
+
+
 def test_one_class_alone(spark):
     train = spark.createDataFrame([("http://a.b/c", 1)] * 3, "url string, label int")
     asked = spark.createDataFrame([(1, "http://x.y/z"), (2, None)], "page_id long, url string")
