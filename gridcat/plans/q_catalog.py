@@ -308,9 +308,21 @@ _CAT = "s3://catalog/"
 _DAY = "date_add(date '2020-01-01', cast(c_custkey % 700 as int))"
 
 
-def _write_documents(docs, path):
-    """One JSON document per file, written by the tasks."""
-    docs.repartition("id").write.option("maxRecordsPerFile", 1).json(path)
+ITEM_PAGE = 1000
+
+
+def _write_documents(docs, path, *keys):
+    """One JSON document per file, written by the tasks, which share them out by ``keys``."""
+    docs.repartition(*(keys or ["id"])).drop("page").write.option("maxRecordsPerFile", 1).json(path)
+
+
+def _item_pages(items):
+    """``(id, page, features)`` of ``(id, c_custkey, feature)``: pages of about
+    ``ITEM_PAGE`` features, as many as the counted items of a collection need."""
+    counts = items.groupBy("id").agg(F.count("*").alias("_n"))
+    n_pages = F.ceil(F.col("_n") / F.lit(ITEM_PAGE)).cast("bigint")
+    paged = items.join(counts, "id").withColumn("page", F.pmod(F.xxhash64("c_custkey"), n_pages))
+    return paged.groupBy("id", "page").agg(F.collect_list("feature").alias("features"))
 
 
 @query("catalog_ingest", "P5 S13 S14 C1 C2 C3 C4 C5 X4 X5 A1 A4 A5 A6", oracle=f"""
@@ -368,11 +380,8 @@ def catalog_ingest_q(spark, sf):
         F.concat(F.lit("item-"), key).alias("id"), cid.alias("collection"),
         F.struct(stamp("day").alias("datetime")).alias("properties"),
         F.create_map(F.lit("asset"), asset(".tif"), F.lit("preview"), asset(".png")).alias("assets"))
-    # item pages of a bounded number of features, as a catalog service pages them
-    pages = items.groupBy(cid.alias("id"), F.pmod(F.xxhash64("c_custkey"), F.lit(4)).alias("page")).agg(
-        F.collect_list(feature).alias("features"))
-    pages.select(F.lit("FeatureCollection").alias("type"), "id", "features").repartition("id").write.option(
-        "maxRecordsPerFile", 1).json(f"{base}/pages")
+    _write_documents(_item_pages(items.select(cid.alias("id"), "c_custkey", feature.alias("feature"))).select(
+        F.lit("FeatureCollection").alias("type"), "id", "features", "page"), f"{base}/pages", "id", "page")
 
     documents = read_stac(spark, f"{base}/catalogs", "collection").unionByName(
         read_stac(spark, f"{base}/collections", "collection"))

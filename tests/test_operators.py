@@ -341,3 +341,13 @@ def test_notification_pages_split_a_hot_item(spark):
     sizes = [r.n for r in pages.select(F.size(F.from_json("message", "ogc array<string>")["ogc"]).alias("n")).collect()]
     assert sum(sizes) == 3000 and max(sizes) < 200
     assert NO.endpoint_uris(assets, "https://h", distinct=True).count() == 1
+
+
+def test_item_pages_grow_in_number_with_the_collection(spark):
+    from gridcat.plans.q_catalog import ITEM_PAGE, _item_pages
+    items = spark.range(8 * ITEM_PAGE).select(
+        F.when(F.col("id") < 10, "small").otherwise("hot").alias("id"), F.col("id").alias("c_custkey"),
+        F.struct(F.col("id").cast("string").alias("id")).alias("feature"))
+    pages = _item_pages(items).select("id", F.size("features").alias("n"), "features").collect()
+    assert max(r.n for r in pages) < 1.5 * ITEM_PAGE and sum(r.id == "small" for r in pages) == 1
+    assert sorted(int(f.id) for r in pages for f in r.features) == list(range(8 * ITEM_PAGE))
