@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chunk_bpe, decision_list, decontaminate, page_diff, preference, simhash, token_index, toxicity, url_filter,
-               warc)
+from . import (chunk_bpe, decision_list, decontaminate, fim, merkle, page_diff, preference, simhash, token_index, toxicity,
+               url_filter, warc)
 from .common import table, tokenizer_path
 
 
@@ -74,9 +74,21 @@ def op10_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index.index_round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document against the manifest's root, some with line breaks deleted since."""
+    docs = table(spark, sf_dir, "documents")
+    altered, where = merkle.without_breaks(docs)
+    return merkle.verify(docs, altered=altered, where=where)
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of every document, and the text restored from it, as digests."""
+    return fim.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_preference, op3_page_diff, op4_quality_rules, op5_toxicity, op6_warc, op7_decontaminate,
-    op8_simhash, op9_chunk_bpe, op10_token_index)}
+    op8_simhash, op9_chunk_bpe, op10_token_index, op11_merkle, op12_fim)}
 
 ORACLES = {
     # turns in order, the place of the last answer, and the answer before it
