@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chunk_bpe, decision_list, decontaminate, fim, merkle, page_diff, preference, simhash, token_index, toxicity,
-               url_filter, warc)
+from . import (chunk_bpe, decision_list, decontaminate, fim, merkle, ngram_join, page_diff, preference, simhash,
+               token_index, toxicity, url_filter, warc)
 from .common import table, tokenizer_path
 
 
@@ -86,9 +86,15 @@ def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of the documents whose five-word shingles are alike to 80 percent."""
+    found = ngram_join.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_preference, op3_page_diff, op4_quality_rules, op5_toxicity, op6_warc, op7_decontaminate,
-    op8_simhash, op9_chunk_bpe, op10_token_index, op11_merkle, op12_fim)}
+    op8_simhash, op9_chunk_bpe, op10_token_index, op11_merkle, op12_fim, op13_ngram_join)}
 
 ORACLES = {
     # turns in order, the place of the last answer, and the answer before it
