@@ -25,6 +25,7 @@ PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
 #: sentinels in output order, each before the part of this rank in the text
 ORDERS = {"psm": ((PREFIX, 0), (SUFFIX, 2), (MIDDLE, 1)), "spm": ((SUFFIX, 2), (PREFIX, 0), (MIDDLE, 1))}
 PIECE_UNITS = 4096
+PARTITION_BYTES = 16 << 20      # of text that is sorted by a task, about
 _BLOCK = 1 << 22
 
 
@@ -177,11 +178,11 @@ def sorted_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", seed
     """The pieces of all documents (an RDD), each document's together and in output order.
 
     Rows are told apart by their place in the input, so repeated keys and rows stay apart and a
-    hot key is spread like any others.  A null text counts as empty, a null key is named by
+    hot key is spread like any other.  Partitions are sized by the bytes of the texts.  A null text counts as empty, a null key is named by
     nothing.  ``docs`` has to be a stored table, whose places a retried task finds again.
     """
-    spark = docs.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    n = partitions or max(1, -(-total // PARTITION_BYTES))
     rows = docs.select(F.monotonically_increasing_id(), F.col(key), F.col(text).cast("binary")).rdd
 
     def cut(found: Iterator[Row]) -> Iterator[tuple]:
