@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,39 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Texts:
+    """The strings of an Arrow column, made one at a time, so that a batch of long texts is
+    not held a second time as Python objects."""
+
+    def __init__(self, column):
+        self.column = column
+
+    def __len__(self) -> int:
+        return len(self.column)
+
+    def __iter__(self) -> Iterator[str | None]:
+        for value in self.column:
+            yield value.as_py()
+
+
+@contextlib.contextmanager
+def worker_memory():
+    """Around a task's work: gives what the allocators keep back to the system at the
+    end, since Spark goes on using the Python worker for the tasks of later stages."""
+    try:
+        yield
+    finally:
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):     # a C library that has no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def let(value: Column, body) -> Column:
     """Bind ``value`` once for use in ``body``: a lambda variable is evaluated
     a single time, whereas an inlined expression would be evaluated again for

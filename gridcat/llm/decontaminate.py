@@ -5,7 +5,8 @@ into ``k + 1`` pieces, one piece that stands there unchanged.  Each task finds
 all exact piece hits in a text with one Aho-Corasick automaton, and verifies the
 places they point to with Myers' bit-parallel edit distance.  Items are a
 query set against all documents: they go out in blocks of bounded size, one pass over
-the documents each, and documents are never shuffled.
+the documents each, and documents are never shuffled.  Short items take part exactly,
+as whole words.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Texts
+
 EDIT_SHARE = 0.05       # error budget: edits per character of an item
-MIN_CHARS = 24          # shorter items (normalised) are ordinary phrases, no evidence of a leak
+EXACT_BELOW = 24        # items shorter than this (normalised) have to stand in a text as they are, as whole words
 BLOCK_BYTES = 4 << 20   # of item text that is sent to the tasks at a time
 
 _WORD = re.compile(r"[^\W_]+")
@@ -35,6 +38,7 @@ class Item:
     item_id: int
     pattern: str
     budget: int
+    whole: bool = False     # only between word borders
 
     def pieces(self) -> Iterator[tuple[str, int]]:
         """The pattern cut into budget + 1 even pieces, with their places."""
@@ -44,12 +48,15 @@ class Item:
             yield self.pattern[a:b], a
 
 
-def prepared(rows: list, edit_share: float = EDIT_SHARE, min_chars: int = MIN_CHARS) -> list[Item]:
+def prepared(rows: list, edit_share: float = EDIT_SHARE, exact_below: int = EXACT_BELOW) -> list[Item]:
+    """Items with their error budgets.  One of fewer than ``exact_below`` characters has budget 0 and
+    matches whole words only; one without any word has nothing to match."""
     items = []
     for item_id, text in rows:
         pattern = normalised(text or "")
-        if len(pattern) >= max(1, min_chars):
-            items.append(Item(item_id, pattern, int(len(pattern) * edit_share)))
+        if pattern:
+            short = len(pattern) < exact_below
+            items.append(Item(item_id, pattern, 0 if short else int(len(pattern) * edit_share), short))
     return items
 
 
@@ -125,12 +132,21 @@ class Matcher:
             return []
         plain = normalised(text)
         starts: dict[int, list[int]] = {}
+        words: dict[int, int] = {}      # short items: the first place between word borders
         for last, (length, owners) in self.automaton.iter(plain):
+            start = last - length + 1
+            alone = (not start or plain[start - 1] == " ") and (last + 1 == len(plain) or plain[last + 1] == " ")
             for n, at in owners:
-                starts.setdefault(n, []).append(last - length + 1 - at)
+                if not self.items[n].whole:
+                    starts.setdefault(n, []).append(start - at)
+                elif alone:
+                    words.setdefault(n, start)
         found = []
-        for n in sorted(starts):
-            match = best_match(self.items[n], plain, starts[n])
+        for n in sorted(starts.keys() | words.keys()):
+            if n in words:
+                match = (0, words[n], words[n] + len(self.items[n].pattern))
+            else:
+                match = best_match(self.items[n], plain, starts[n])
             if match:
                 found.append((self.items[n].item_id, match[0], match[1], match[2]))
         if found:
@@ -171,12 +187,12 @@ def blocks(items: DataFrame, item_id: str = "item_id", text: str = "text",
 
 
 def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_id: str = "item_id",
-            item_text: str = "text", edit_share: float = EDIT_SHARE, min_chars: int = MIN_CHARS) -> DataFrame:
+            item_text: str = "text", edit_share: float = EDIT_SHARE, exact_below: int = EXACT_BELOW) -> DataFrame:
     """``(key, item_id, distance, start, end)`` for every document and item that stands
     in it within its error budget: the least distance and its first place.
 
     Null, empty and unmatched texts give no row; repeated documents give theirs each.  No
-    items, or none long enough, give an empty result.
+    items, or none with a word, give an empty result.
     """
     kind, item_kind = (df.schema[c].dataType.simpleString() for df, c in ((docs, key), (items, item_id)))
     schema = f"`{key}` {kind}, `{item_id}` {item_kind}, distance int, start int, end int"
@@ -188,7 +204,7 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
             matcher = Matcher(block)
             for batch in batches:
                 rows, hits = [], []
-                for at, t in enumerate(batch.column(1).to_pylist()):
+                for at, t in enumerate(Texts(batch.column(1))):
                     for hit in matcher.find(t):
                         rows.append(at)
                         hits.append(hit)
@@ -205,13 +221,13 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
 
     found = None
     for rows in blocks(items, item_id, item_text):
-        part = finder(prepared(rows, edit_share, min_chars))
+        part = finder(prepared(rows, edit_share, exact_below))
         found = part if found is None else found.unionByName(part)
     return found
 
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-          edit_share: float = EDIT_SHARE, min_chars: int = MIN_CHARS) -> DataFrame:
+          edit_share: float = EDIT_SHARE, exact_below: int = EXACT_BELOW) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item within its error budget."""
     place = docs.columns.index(text)
 
@@ -221,12 +237,12 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str =
 
             matcher = Matcher(block)
             for batch in batches:
-                yield batch.filter(pa.array([not matcher.find(t) for t in batch.column(place).to_pylist()], pa.bool_()))
+                yield batch.filter(pa.array([not matcher.find(t) for t in Texts(batch.column(place))], pa.bool_()))
 
         return run
 
     for rows in blocks(items, item_id, item_text):
-        block = prepared(rows, edit_share, min_chars)
+        block = prepared(rows, edit_share, exact_below)
         if block:
             docs = docs.mapInArrow(keeper(block), docs.schema)
     return docs

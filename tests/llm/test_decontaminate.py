@@ -64,7 +64,7 @@ def test_spans_point_into_the_original():
 
 
 def test_matches_and_clean_in_blocks(spark, monkeypatch):
-    items = spark.createDataFrame([(i, prose(900 + i, 20)) for i in range(8)] + [(50, None), (51, "short"), (52, ""), (3, prose(903, 20))],
+    items = spark.createDataFrame([(i, prose(900 + i, 20)) for i in range(8)] + [(50, None), (51, "absent"), (52, ""), (53, "-!"), (3, prose(903, 20))],
                                   "item_id long, text string")
     docs = awkward_docs(spark)
     leak = spark.createDataFrame([(20, prose(1, 30) + " " + prose(903, 20), "s", 0, 0, "r", "h"), (21, prose(905, 20) + " " + prose(907, 20), "s", 0, 0, "r", "h")],
@@ -81,6 +81,20 @@ def test_matches_and_clean_in_blocks(spark, monkeypatch):
     assert D.matches(both.limit(0), items).count() == 0
 
 
+def test_short_items(spark):
+    """Items of 1, 5 and 23 characters match as they are, as whole words, and not otherwise."""
+    long_one = "a phrase of 23 letters!"
+    assert len(long_one) == 23
+    items = spark.createDataFrame([(1, "Q"), (5, "2+2=4"), (23, long_one), (7, "Capital of France?"), (8, "z"), (9, "paris")],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(1, "Plan Q it is"), (2, "quick, as 2 2 4x is not"), (3, "so (2+2=4)."), (4, "Capital of France?"),
+                                  (5, f"x {long_one.upper()} y"), (6, "a phrase of 24 letters"), (7, "parish q2"), (8, None),
+                                  (9, "q q Q, 2 2 4")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.distance, r.start, r.end) for r in D.matches(docs, items).collect())
+    assert got == [(1, 1, 0, 5, 6), (3, 5, 0, 4, 9), (4, 7, 0, 0, 17), (5, 23, 0, 2, 24), (9, 1, 0, 0, 1), (9, 5, 0, 7, 12)]
+    assert sorted(r.doc_id for r in D.clean(docs, items).collect()) == [2, 6, 7, 8]
+
+
 def test_op7_query(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
     items = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()
