@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gridcat import schemas
 from gridcat.functions.uris import normalize_href
-from gridcat.session import scratch_dir
+from gridcat.session import scratch_dir, stored
 
 _KINDS = {"catalog": schemas.CATALOG, "collection": schemas.COLLECTION, "item": schemas.ITEM,
           "item_page": schemas.ITEM_PAGE}
@@ -44,25 +44,30 @@ def walk_nodes(links: DataFrame, roots: DataFrame) -> DataFrame:
     """Every catalog and collection below each root, at any depth, as
     ``(root_id, node_id)``; roots included, a node reached twice (or through a cycle) once.
 
-    Semi-naive: each level is one equi join of the last frontier with the
-    ``child`` links and one anti join with what was visited; the frontier is
-    written to the shared folder and the loop ends when it is empty."""
+    Pointer doubling: a node knows its ancestors at distance ``d`` and the roots it
+    met nearer than ``d``.  One equi join of that table with itself, at the ancestor,
+    doubles ``d``; so a tree of depth 24 takes five rounds, and each is written to the
+    shared folder, read by the next.  It ends when no node has an ancestor that
+    far, or when a round met no new root (then no further one can, cycles or not)."""
     spark = links.sparkSession
-    child = links.where("rel = 'child'").select(F.col("parent_id").alias("node_id"), "child_id")
     base = scratch_dir(spark, f"walk-{uuid.uuid4().hex}")
-    frontier = roots.select("root_id", F.col("root_id").alias("node_id")).where("root_id is not null").distinct()
-    schema, level = frontier.schema, 0
-    frontier.write.parquet(f"{base}/level={level}")
+    up = links.where("rel = 'child'").select(F.col("child_id").alias("node_id"), F.col("parent_id").alias("far_id"))
+    met = roots.where("root_id is not null").select(F.col("root_id").alias("node_id"), F.col("root_id").alias("far_id"))
+    state = up.withColumn("met", F.lit(False)).unionByName(met.withColumn("met", F.lit(True))).distinct()
+    schema, known, level = state.schema, 0, 0
     while True:
-        visited = spark.read.schema(schema).parquet(*(f"{base}/level={i}" for i in range(level + 1)))
-        last = spark.read.schema(schema).parquet(f"{base}/level={level}")
-        found = (last.join(child, "node_id").select("root_id", F.col("child_id").alias("node_id")).distinct()
-                 .join(visited, ["root_id", "node_id"], "left_anti"))
         count = Observation()
-        found.observe(count, F.count(F.lit(1)).alias("n")).write.parquet(f"{base}/level={level + 1}")
-        if not count.get["n"]:
-            return visited
-        level += 1
+        path = f"{base}/round={level}"
+        state.observe(count, F.count_if(F.col("met")).alias("met"), F.count_if(~F.col("met")).alias("up")).write.parquet(path)
+        state = spark.read.schema(schema).parquet(path)
+        found = count.get
+        if not found["up"] or level and found["met"] == known:
+            return state.where("met").select(F.col("far_id").alias("root_id"), "node_id")
+        known, level = found["met"], level + 1
+        at = state.select(F.col("node_id").alias("at_id"), F.col("far_id").alias("next_id"), F.col("met").alias("next_met"))
+        jumped = state.where("not met").join(at, F.col("far_id") == F.col("at_id")).select(
+            "node_id", F.col("next_id").alias("far_id"), F.col("next_met").alias("met"))
+        state = state.where("met").unionByName(jumped).distinct()
 
 
 def walk_catalog(links: DataFrame, roots: DataFrame) -> DataFrame:
@@ -79,16 +84,26 @@ def walk_catalog(links: DataFrame, roots: DataFrame) -> DataFrame:
 
 def catalog_counts(walked: DataFrame, assets: DataFrame, converted: str = "converted") -> DataFrame:
     """A2: nodes, items and converted assets per root and collection, with root
-    totals and a grand total from one ``rollup`` pass.
+    totals and a grand total.
 
     ``walked``: see ``walk_catalog`` (nodes without items included);
     ``assets``: (item_id, converted), any number per item.  Assets are summed
-    per item before the join, so an item counts once however many it has."""
+    per item before the join, so an item counts once however many it has.  Items are read
+    once, into one row a root and collection; the totals are summed from these rows, where a
+    root's collections are distinct already, and the grand total's from one row a collection."""
     per_item = assets.groupBy("item_id").agg(F.count_if(F.col(converted)).cast("bigint").alias("_assets"))
-    return (walked.join(per_item, "item_id", "left").rollup("root_id", "collection_id")
-            .agg(F.count_distinct("collection_id").cast("bigint").alias("n_collections"),
-                 F.count("item_id").cast("bigint").alias("n_items"),
-                 F.coalesce(F.sum("_assets"), F.lit(0)).cast("bigint").alias("assets_converted")))
+    sums = [F.sum(c).cast("bigint").alias(c) for c in ("n_items", "assets_converted")]
+    nodes = F.count("collection_id").cast("bigint").alias("n_collections")
+    rows = stored(walked.join(per_item, "item_id", "left").groupBy("root_id", "collection_id").agg(
+        F.count("item_id").cast("bigint").alias("n_items"),
+        F.coalesce(F.sum("_assets"), F.lit(0)).cast("bigint").alias("assets_converted")), "catalog-counts")
+    none = {c: F.lit(None).cast(walked.schema[c].dataType) for c in ("root_id", "collection_id")}
+    single = rows.select("root_id", "collection_id", F.col("collection_id").isNotNull().cast("bigint").alias("n_collections"),
+                         "n_items", "assets_converted")
+    per_root = rows.groupBy("root_id").agg(nodes, *sums).withColumn("collection_id", none["collection_id"])
+    total = rows.groupBy("collection_id").agg(*sums).agg(nodes, *sums, F.count("*").alias("_rows")).where("_rows > 0")
+    return single.unionByName(per_root).unionByName(
+        total.drop("_rows").withColumns(none))
 
 
 def normalize_catalog(nodes: DataFrame, base: str = "self_href") -> DataFrame:
