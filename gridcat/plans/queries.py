@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridcat.plans import q_catalog, q_grid, q_layers, q_listing, q_pipelines, q_requests, q_scan, q_stream  # noqa: F401  (registers queries)
+from gridcat.plans import q_blocks, q_catalog, q_grid, q_layers, q_listing, q_pipelines, q_requests, q_scan, q_stream  # noqa: F401  (registers queries)
 from gridcat.plans.registry import REGISTRY
 
 
