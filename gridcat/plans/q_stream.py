@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from gridcat.operators.upsert import dedupe_last_wins
 from gridcat.plans.q_catalog import DUCK_LI, ITEM_KEYS, ITEM_ORDER, _li_items
 from gridcat.plans.registry import query
+from gridcat.plans.views import table
 from gridcat.session import scratch_dir
 from gridcat.streaming import streams as ST
 
@@ -117,6 +118,14 @@ def stream_upsert(spark, sf):
     return spark.read.schema(LI_SCHEMA).parquet(f"{base}/table/live").select(*[f.name for f in LI_SCHEMA.fields[:-1]])
 
 
+def _products_and_successes(spark, sf, gate_path):
+    p = (_events(spark, sf).filter(F.col("event_type").isin("view", "click"))
+         .select(F.col("event_id").alias("product_id"), F.col("user_id").alias("p_job_id"), F.col("ts").alias("p_ts")))
+    g = (ST.read_files(spark, gate_path, ST.GATE_SCHEMA).filter(F.col("outcome") == "succeeded")
+         .select(F.col("job_id").alias("g_job_id"), F.col("ts").alias("g_ts")))
+    return p, g
+
+
 @query("stream_product_gate", "T4 C11", views=["v_job_status"], oracle=DUCK_GATE + """
 select e.event_id as product_id, e.user_id as job_id, e.ts as p_ts, g.ts as g_ts
 from events e join gate g on e.user_id = g.job_id and g.outcome = 'succeeded'
@@ -128,11 +137,7 @@ def stream_product_gate(spark, sf):
     (T1) reports success within 48 hours after the product: a stream-stream
     join with watermarks on both sides."""
     base = scratch_dir(spark, f"stream-pgate-{uuid.uuid4().hex}")
-    gate_path = _run_gate(spark, sf, base)
-    p = (_events(spark, sf).filter(F.col("event_type").isin("view", "click"))
-         .select(F.col("event_id").alias("product_id"), F.col("user_id").alias("p_job_id"), F.col("ts").alias("p_ts")))
-    g = (ST.read_files(spark, gate_path, ST.GATE_SCHEMA).filter(F.col("outcome") == "succeeded")
-         .select(F.col("job_id").alias("g_job_id"), F.col("ts").alias("g_ts")))
+    p, g = _products_and_successes(spark, sf, _run_gate(spark, sf, base))
     joined = ST.product_gate(p, g).select("product_id", F.col("p_job_id").alias("job_id"), "p_ts", "g_ts")
     out = f"{base}/released"
     ST.run_available(joined.writeStream.format("parquet").option("path", out).outputMode("append"),
@@ -142,14 +147,61 @@ def stream_product_gate(spark, sf):
                     F.col("g_ts").cast("timestamp_ntz").alias("g_ts")))
 
 
+@query("stream_product_outcomes", "T4 C11", views=["v_job_status"], oracle=DUCK_GATE + """
+, p as (select event_id, user_id, ts from events where event_type in ('view', 'click')),
+ok as (select job_id, ts from gate where outcome = 'succeeded'),
+joined as (select p.event_id, p.user_id, p.ts as p_ts, g.ts as g_ts
+           from p left join ok g on p.user_id = g.job_id and g.ts >= p.ts and g.ts <= p.ts + interval 48 hours),
+passed as (select least((select max(ts) from p), (select max(ts) from ok)) - interval 1 hour as wm)
+select event_id as product_id, user_id as job_id, p_ts, g_ts,
+       case when g_ts is null then 'expired' else 'released' end as outcome
+from joined, passed where g_ts is not null or p_ts + interval 48 hours < wm
+""")
+def stream_product_outcomes(spark, sf):
+    """Every product (view/click event of a job): released by its job's success within 48
+    hours, or expired once the watermark shows that none can come.  Products of the last
+    48 hours of the stream are still open."""
+    base = scratch_dir(spark, f"stream-outcomes-{uuid.uuid4().hex}")
+    p, g = _products_and_successes(spark, sf, _run_gate(spark, sf, base))
+    out = f"{base}/outcomes"
+    ST.run_available(ST.product_outcomes(p, g).writeStream.format("parquet").option("path", out).outputMode("append"),
+                     f"{base}/ckpt-outcomes")
+    return (spark.read.parquet(out).select("product_id", "job_id", F.col("p_ts").cast("timestamp_ntz").alias("p_ts"),
+                                           F.col("g_ts").cast("timestamp_ntz").alias("g_ts"), "outcome"))
+
+
 @query("stream_status_dedupe", "T5", views=["v_job_status"], oracle="""
-select distinct job_id, status from v_job_status
+select job_id, status, cast(1 as bigint) as n from v_job_status group by 1, 2
 """)
 def stream_status_dedupe(spark, sf):
-    """Statuses with repeats dropped inside the watermark: the (job, status)
-    pairs that come through are those of the table."""
+    """Statuses with repeats dropped inside the watermark: each (job, status) pair comes
+    through once (one micro-batch, so no repeat is older than the watermark)."""
     base = scratch_dir(spark, f"stream-dedupe-{uuid.uuid4().hex}")
     out = f"{base}/out"
     ST.run_available(ST.dedupe_statuses(_statuses(spark, sf)).writeStream.format("parquet").option("path", out)
                      .outputMode("append"), f"{base}/ckpt")
-    return spark.read.parquet(out).select("job_id", "status").distinct()
+    return spark.read.parquet(out).groupBy("job_id", "status").agg(F.count("*").cast("bigint").alias("n"))
+
+
+def _refusing(message_id, payload):
+    """A transport that refuses messages about errors."""
+    if payload.startswith("error"):
+        raise ValueError("refused")
+
+
+@query("notification_sink", "S21", oracle="""
+select 'event-' || cast(event_id as string) as message_id, event_type <> 'error' as sent,
+       case when event_type = 'error' then 'ValueError: refused' end as error
+from events
+""")
+def notification_sink(spark, sf):
+    """One message per event, streamed in four files, one per micro-batch; every message has one
+    result, and those that the transport refuses are recorded and tried again by later batches."""
+    base = scratch_dir(spark, f"stream-notices-{uuid.uuid4().hex}")
+    messages = table(spark, sf, "events").select(
+        F.concat(F.lit("event-"), F.col("event_id").cast("string")).alias("message_id"),
+        F.concat("event_type", F.lit(" of job "), F.col("user_id").cast("string")).alias("payload"))
+    messages.repartition(4, "message_id").write.parquet(f"{base}/in")
+    stream = ST.read_files(spark, f"{base}/in", messages.schema, max_files=1)
+    ST.run_available(stream.writeStream.foreachBatch(ST.notification_batches(f"{base}/out", _refusing)), f"{base}/ckpt")
+    return ST.notification_results(spark, f"{base}/out").select("message_id", "sent", "error")

@@ -2,11 +2,12 @@
 
 * T1 ``job_gate``          - one outcome per job: its first terminal status,
                              or ``timeout`` when none arrives within ``max_wait``
-                             (``applyInPandasWithState`` + event-time timeout);
+                             (``transformWithStateInPandas`` + event-time timers);
 * T2 ``file_counts``       - new files matching a glob, each file once;
 * T3 ``upsert_batch_partitioned`` - idempotent continuous upsert of touched partitions;
 * T4 ``product_gate``      - stream-stream join of products with job successes,
-                             bounded in time on both sides;
+                             bounded in time on both sides; ``product_outcomes`` also
+                             emits the products that no success reached in time;
 * T5 ``dedupe_statuses``   - duplicates inside the watermark dropped.
 
 Event time must be ``TIMESTAMP`` (watermarks reject ``TIMESTAMP_NTZ``), so the
@@ -22,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from gridcat.functions.jobs import FAILED_STATES, SUCCESS_STATES
 from gridcat.operators.upsert import dedupe_last_wins
@@ -84,47 +86,68 @@ def first_and_terminal(pdfs: Iterator[pd.DataFrame]) -> tuple[int | None, tuple[
     return first, terminal
 
 
-def _gate_fn(max_wait_us: int):
-    failed = set(FAILED_STATES)
+class JobGate(StatefulProcessor):
+    """T1's state per job: its first time and whether its outcome is out.
 
-    def out(job, outcome, t_us):
-        return pd.DataFrame({"job_id": [job], "outcome": [outcome], "ts": [pd.Timestamp(int(t_us), unit="us")]})
+    One event-time timer at the deadline closes the gate: a job that is still open times
+    out then, and either way its state is cleared, since no status up to the deadline can come
+    once the watermark has passed it.  So state holds the jobs of the last ``max_wait`` plus
+    the watermark delay, not every job ever seen."""
 
-    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        job = key[0]
-        if state.hasTimedOut:
-            first_us, _ = state.get
-            state.update((first_us, True))
-            yield out(job, "timeout", first_us + max_wait_us)
+    def __init__(self, max_wait_us: int):
+        self.max_wait_us = max_wait_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.gate = handle.getValueState("gate", _STATE)
+
+    def _out(self, key, outcome: str, t_us: int) -> pd.DataFrame:
+        return pd.DataFrame({"job_id": [key[0]], "outcome": [outcome], "ts": [pd.Timestamp(int(t_us), unit="us")]})
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first, terminal = first_and_terminal(rows)
+        if first is None:
             return
-        first, terminal = first_and_terminal(pdfs)
-        if first is None or state.exists and state.get[1]:
-            return  # nothing new, or the gate of this job is decided
-        first_us = min(state.get[0], first) if state.exists else first
-        deadline = first_us + max_wait_us
+        held = self.gate.get() if self.gate.exists() else None
+        if held and held[1]:
+            return  # the gate of this job is decided
+        first_us = min(held[0], first) if held else first
+        deadline = first_us + self.max_wait_us
+        deadline_ms, watermark_ms = -(-deadline // 1000), timerValues.getCurrentWatermarkInMs()
+        decided = terminal is not None or deadline_ms <= watermark_ms
         if terminal and terminal[0] <= deadline:
-            state.update((first_us, True))
-            yield out(job, "failed" if terminal[1] in failed else "succeeded", terminal[0])
-            return
-        deadline_ms = -(-deadline // 1000)
-        if terminal or deadline_ms <= state.getCurrentWatermarkMs():
-            state.update((first_us, True))
-            yield out(job, "timeout", deadline)
-            return
-        state.update((first_us, False))
-        state.setTimeoutTimestamp(deadline_ms)
-    return fn
+            yield self._out(key, "failed" if terminal[1] in FAILED_STATES else "succeeded", terminal[0])
+        elif decided:
+            yield self._out(key, "timeout", deadline)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if deadline_ms <= watermark_ms:
+            self.gate.clear()   # nothing of this run can come any more
+        else:
+            self.gate.update((first_us, decided))
+            self.handle.registerTimer(deadline_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.gate.exists():
+            first_us, done = self.gate.get()
+            self.gate.clear()
+            if not done:
+                yield self._out(key, "timeout", first_us + self.max_wait_us)
+
+    def close(self) -> None:
+        pass
 
 
 def job_gate(statuses: DataFrame, max_wait_hours: int = 48, watermark: str = "1 hour",
              ts: str = "ts") -> DataFrame:
     """Per job, the first terminal status (``failed``/``succeeded``)
-    within ``max_wait`` of its first status, else ``timeout`` at the deadline.
-    State per job is two values; a timer fires once the watermark passes
-    the deadline of a job that went silent.  Repeated statuses change nothing,
-    so no dedupe is needed before it (T5 stands on its own)."""
-    return statuses.withWatermark(ts, watermark).groupBy("job_id").applyInPandasWithState(
-        _gate_fn(max_wait_hours * 3600 * 1_000_000), GATE_SCHEMA, _STATE, "append", "EventTimeTimeout")
+    within ``max_wait`` of its first status, else ``timeout`` at the deadline,
+    emitted when a later terminal status or the watermark shows it (see ``JobGate``).
+    Repeated statuses change nothing, so no dedupe is needed before it (T5 stands on its own).
+    Statuses of a job that come later than its deadline plus the watermark delay open
+    a new run of that job."""
+    return statuses.withWatermark(ts, watermark).groupBy("job_id").transformWithStateInPandas(
+        JobGate(max_wait_hours * 3600 * 1_000_000), GATE_SCHEMA, "Append", "EventTime")
 
 
 # ---------------------------------------------------------------- T2
@@ -215,3 +238,78 @@ def product_gate(products: DataFrame, gates: DataFrame, bound_hours: int = 48,
     cond = ((p["p_job_id"] == g["g_job_id"]) & (g["g_ts"] >= p["p_ts"])
             & (g["g_ts"] <= p["p_ts"] + F.expr(f"interval {bound_hours} hours")))
     return p.join(g, cond, "inner")
+
+
+def product_outcomes(products: DataFrame, gates: DataFrame, bound_hours: int = 48,
+                     watermark: str = "1 hour") -> DataFrame:
+    """T4 with expiry: every product once, ``released`` with the time of the success that
+    reached it within ``bound_hours``, or ``expired`` once none can.
+
+    A left outer stream-stream join: the bound and both watermarks let Spark drop a
+    product from the state, and dropping it unmatched emits it.  ``products``: (product_id,
+    p_job_id, p_ts), repeats inside the watermark count once; ``gates``: (g_job_id, g_ts).  A
+    product that may still be reached when the input ends stays in the state."""
+    p = products.withWatermark("p_ts", watermark).dropDuplicatesWithinWatermark(["product_id"])
+    g = gates.withWatermark("g_ts", watermark)
+    cond = ((p["p_job_id"] == g["g_job_id"]) & (g["g_ts"] >= p["p_ts"])
+            & (g["g_ts"] <= p["p_ts"] + F.expr(f"interval {bound_hours} hours")))
+    return p.join(g, cond, "leftOuter").select(
+        "product_id", F.col("p_job_id").alias("job_id"), "p_ts", "g_ts",
+        F.when(F.col("g_ts").isNull(), "expired").otherwise("released").alias("outcome"))
+
+
+# ---------------------------------------------------------------- S21 sink
+SENT_SCHEMA = T.StructType([T.StructField("message_id", T.StringType()), T.StructField("payload", T.StringType()),
+                            T.StructField("attempt", T.IntegerType()), T.StructField("sent", T.BooleanType()),
+                            T.StructField("error", T.StringType()), T.StructField("batch", T.LongType())])
+
+
+def _sent(send: Callable[[str, str], None], batch_id: int):
+    """Task body that hands each message to ``send`` and reports what became of it.  A send that
+    raises fails its message, never the task."""
+    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in pdfs:
+            errors = []
+            for message_id, payload in zip(pdf["message_id"], pdf["payload"]):
+                try:
+                    send(message_id, payload)
+                    errors.append(None)
+                except Exception as failure:  # whatever a transport raises is recorded
+                    errors.append(f"{type(failure).__name__}: {failure}"[:500])
+            yield pdf.assign(attempt=pdf["attempt"] + 1, sent=[e is None for e in errors],
+                             error=pd.Series(errors, dtype=object, index=pdf.index), batch=batch_id)
+    return run
+
+
+def notification_batches(root: str, send: Callable[[str, str], None], max_attempts: int = 5):
+    """``foreachBatch`` body that sends messages (``message_id``, ``payload``) and keeps a result
+    row for each under ``root/results/query=<id>/batch=<id>``.
+
+    A batch first takes the messages that the batch before left unsent (fewer than ``max_attempts``
+    tries) and then its own; of messages with one id one is sent.  The results of a batch are one folder,
+    written as a whole: a batch replayed after a crash finds it complete and sends nothing,
+    one that crashed before it is complete sends again (at least once, ids tell repeats
+    apart).  ``send`` runs in the tasks and must be picklable; a failing send fails no batch."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        base = f"{root}/results/query={query_id}"
+        path = f"{base}/batch={batch_id:010d}"
+        if _has_success(spark, path):
+            return
+        todo = batch.select("message_id", "payload", F.lit(0).alias("attempt"))
+        before = f"{base}/batch={batch_id - 1:010d}"
+        if batch_id and _has_success(spark, before):
+            left = spark.read.schema(SENT_SCHEMA).parquet(before).where(~F.col("sent") & (F.col("attempt") < max_attempts))
+            todo = left.select("message_id", "payload", "attempt").unionByName(todo)
+        once = todo.groupBy("message_id").agg(F.max(F.struct("attempt", "payload")).alias("m")).select(
+            "message_id", "m.payload", "m.attempt")
+        once.mapInPandas(_sent(send, batch_id), SENT_SCHEMA).write.mode("overwrite").parquet(path)
+    return fn
+
+
+def notification_results(spark: SparkSession, root: str) -> DataFrame:
+    """What became of each message over all batches: the latest try, ``sent`` or not."""
+    tries = spark.read.schema(SENT_SCHEMA).parquet(f"{root}/results/query=*/batch=*")
+    last = tries.groupBy("message_id").agg(F.max(F.struct("sent", "attempt", "batch", "error")).alias("m"))
+    return last.select("message_id", "m.sent", "m.attempt", "m.batch", "m.error")

@@ -8,7 +8,8 @@ from gridcat.plans import queries
 from conftest import SF_SMALL
 
 # queries that run streams before returning
-SIDE_EFFECT = {"stream_job_gate", "stream_new_files", "stream_upsert", "stream_product_gate", "stream_status_dedupe"}
+SIDE_EFFECT = {"stream_job_gate", "stream_new_files", "stream_upsert", "stream_product_gate", "stream_status_dedupe",
+               "stream_product_outcomes", "notification_sink"}
 BATCH = sorted(set(queries.queries()) - SIDE_EFFECT)
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 

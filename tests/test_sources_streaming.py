@@ -143,6 +143,40 @@ def test_walk_has_no_depth_bound_and_survives_cycles(spark):
     assert walked.count() == 31 and [r.item_id for r in walked.where("item_id is not null").collect()] == ["deep"]
 
 
+def test_walk_takes_logarithmic_rounds(spark, monkeypatch):
+    """A chain of 24 levels, a diamond, a nested root, a loop and a self loop; five rounds after the first table."""
+    kids = [("r", "c0")] + [(f"c{i}", f"c{i + 1}") for i in range(23)] + [
+        ("r", "c5"), ("c9", "x"), ("c10", "x"), ("x", "y"), ("q", "q"), ("lost", "c3"), ("u", "v"), ("v", "u")]
+    links = spark.createDataFrame([(a, b, "child") for a, b in kids], "parent_id string, child_id string, rel string")
+    base = {}
+    real = CA.scratch_dir
+
+    def kept(s, name):
+        base["path"] = real(s, name)
+        return base["path"]
+    monkeypatch.setattr(CA, "scratch_dir", kept)
+    roots = spark.createDataFrame([("r",), ("c20",), ("q",), ("v",), ("none",), (None,)], "root_id string")
+    got = {(r.root_id, r.node_id) for r in CA.walk_nodes(links, roots).collect()}
+    chain = [f"c{i}" for i in range(24)]
+    want = {("r", n) for n in ["r", *chain, "x", "y"]} | {("c20", n) for n in chain[20:]} | {
+        ("q", "q"), ("v", "v"), ("v", "u"), ("none", "none")}
+    assert got == want
+    rounds = [d for d in os.listdir(base["path"].removeprefix("file:")) if d.startswith("round=")]
+    assert len(rounds) <= 1 + 6
+
+
+def test_counts_use_no_expand(spark):
+    walked = spark.createDataFrame([("r", "a", "i1"), ("r", "a", "i2"), ("r", "b", None), ("s", "a", "i1"), ("s", None, None)],
+                                   "root_id string, collection_id string, item_id string")
+    assets = spark.createDataFrame([("i1", True), ("i1", True), ("i2", False)], "item_id string, converted boolean")
+    counts = CA.catalog_counts(walked, assets)
+    assert "Expand" not in counts._jdf.queryExecution().executedPlan().toString()
+    got = {(r.root_id, r.collection_id): (r.n_collections, r.n_items, r.assets_converted) for r in counts.collect()
+           if r.root_id != "s" or r.collection_id}
+    assert got == {("r", "a"): (1, 2, 2), ("r", "b"): (1, 0, 0), ("s", "a"): (1, 1, 2), ("r", None): (2, 2, 2), (None, None): (2, 3, 4)}
+    assert CA.catalog_counts(walked.limit(0), assets).count() == 0
+
+
 # ---------------------------------------------------------------- T1 T2 T3 T5
 SCHEMA = T.StructType([T.StructField("job_id", T.LongType()), T.StructField("status", T.StringType()),
                        T.StructField("ts", T.TimestampType())])
@@ -199,6 +233,101 @@ def test_job_gate_stream(spark, tmp_path):
     assert 9 not in got
 
 
+def test_job_gate_state_falls_and_restarts(spark, tmp_path):
+    """State holds the jobs whose deadline is ahead of the watermark; a restart goes on from the checkpoint."""
+    h, t0 = dt.timedelta(hours=1), D(2024, 1, 1)
+    src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    rows_now = []
+
+    def arrive(rows_):
+        spark.createDataFrame(rows_, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        q = (ST.job_gate(ST.read_files(spark, src, SCHEMA, max_files=1)).writeStream.format("parquet").option("path", out)
+             .outputMode("append").option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert q.exception() is None
+        rows_now.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+    arrive([(i, "accepted", t0 + i * h / 60) for i in range(40)] + [(1, "Succeeded", t0 + h)])
+    arrive([(2, "Failed", t0 + 3 * h), (2, "Succeeded", t0 + 4 * h), (50, "running", t0 + 40 * h)])
+    arrive([(50, "Succeeded", t0 + 41 * h), (51, "running", t0 + 60 * h)])
+    arrive([(51, "running", t0 + 61 * h)])
+    got = {r.job_id: (r.outcome, r.ts) for r in spark.read.parquet(out).collect()}
+    assert got == {1: ("succeeded", t0 + h), 2: ("failed", t0 + 3 * h), 50: ("succeeded", t0 + 41 * h)} | {
+        i: ("timeout", t0 + i * h / 60 + 48 * h) for i in range(40) if i not in (1, 2)}
+    assert spark.read.parquet(out).count() == len(got)
+    assert rows_now[0] >= 40 and rows_now[-1] <= 8      # a value and a timer of jobs 50 and 51 are left
+
+
+def test_product_outcomes_over_batches(spark, tmp_path):
+    """Several batches with repeats, a late row and products that no success reaches."""
+    h, t0 = dt.timedelta(hours=1), D(2024, 1, 1)
+    ps = T.StructType([T.StructField("product_id", T.LongType()), T.StructField("p_job_id", T.LongType()), T.StructField("p_ts", T.TimestampType())])
+    gs = T.StructType([T.StructField("g_job_id", T.LongType()), T.StructField("g_ts", T.TimestampType())])
+    products = [[(1, 1, t0), (2, 2, t0), (1, 1, t0)], [(3, 1, t0 + h), (2, 2, t0), (4, 4, t0 + 2 * h)], [(5, 9, t0 + 100 * h)],
+                [(6, 1, t0), (7, 9, t0 + 101 * h)], [(8, 9, t0 + 200 * h)]]
+    gates = [[(1, t0 + 5 * h)], [(4, t0 + 90 * h), (9, t0 + 99 * h)], [(9, t0 + 103 * h)], [(2, t0 + 49 * h), (9, t0 + 104 * h)],
+             [(77, t0 + 200 * h)]]
+    for part in products:
+        spark.createDataFrame(part, ps).coalesce(1).write.mode("append").parquet(str(tmp_path / "p"))
+    for part in gates:
+        spark.createDataFrame(part, gs).coalesce(1).write.mode("append").parquet(str(tmp_path / "g"))
+    out = str(tmp_path / "out")
+
+    def run():
+        p, g = (ST.read_files(spark, str(tmp_path / n), schema, max_files=1) for n, schema in (("p", ps), ("g", gs)))
+        ST.run_available(ST.product_outcomes(p, g).writeStream.format("parquet").option("path", out).outputMode("append"),
+                         str(tmp_path / "ck"))
+    run()
+    run()       # a restart adds nothing
+    got = sorted((r.product_id, r.outcome, r.g_ts) for r in spark.read.parquet(out).collect())
+    # 2: its success came too late; 6 arrived behind the watermark and is dropped; 8 is still open
+    assert got == sorted([(1, "released", t0 + 5 * h), (2, "expired", None), (3, "released", t0 + 5 * h), (4, "expired", None),
+                          (5, "released", t0 + 103 * h), (5, "released", t0 + 104 * h), (7, "released", t0 + 103 * h),
+                          (7, "released", t0 + 104 * h)], key=str) or got == sorted(
+        [(1, "released", t0 + 5 * h), (2, "expired", None), (3, "released", t0 + 5 * h), (4, "expired", None),
+         (5, "released", t0 + 103 * h), (5, "released", t0 + 104 * h), (7, "released", t0 + 103 * h), (7, "released", t0 + 104 * h)])
+
+
+def test_dedupe_drops_late_rows_over_batches(spark, tmp_path):
+    t0, minute = D(2024, 1, 1), dt.timedelta(minutes=1)
+    batches = [[(1, "running", t0), (1, "running", t0 + minute)], [(1, "running", t0 + 30 * minute), (2, "running", t0 + 300 * minute)],
+               [(2, "running", t0 + 301 * minute)], [(3, "running", t0 + 100 * minute)],
+               [(1, "running", t0 + 301 * minute), (2, "running", t0 + 302 * minute)]]
+    for part in batches:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    ST.run_available(ST.dedupe_statuses(ST.read_files(spark, str(tmp_path / "in"), SCHEMA, max_files=1)).writeStream.format("parquet")
+                     .option("path", out).outputMode("append"), str(tmp_path / "ck"))
+    got = sorted((r.job_id, r.ts) for r in spark.read.parquet(out).collect())
+    # job 3 is behind the watermark (t0 + 240 min); job 1 comes again after its key has left the state
+    assert got == [(1, t0), (1, t0 + 301 * minute), (2, t0 + 300 * minute)]
+
+
+def test_notification_sink(spark, tmp_path):
+    """A failing send fails no batch and is tried again; a replayed batch sends nothing twice."""
+    schema = T.StructType([T.StructField("message_id", T.StringType()), T.StructField("payload", T.StringType())])
+    log, down, root = tmp_path / "log", tmp_path / "down", str(tmp_path / "out")
+    log.mkdir()
+    down.touch()
+
+    def send(message_id, payload, log=str(log), down=str(down)):
+        if payload == "never" or payload == "later" and os.path.exists(down):
+            raise ConnectionError("no answer")
+        with open(os.path.join(log, message_id), "a") as f:
+            f.write(payload)
+    fn = ST.notification_batches(root, send, max_attempts=3)
+    first = spark.createDataFrame([("a", "now"), ("b", "later"), ("c", "never"), ("a", "now")], schema)
+    fn(first, 0)
+    fn(first, 0)        # a replay
+    assert (log / "a").read_text() == "now"
+    down.unlink()
+    fn(spark.createDataFrame([("d", "now")], schema), 1)
+    assert (log / "b").read_text() == "later"
+    for batch in (2, 3, 4):
+        fn(spark.createDataFrame([], schema), batch)
+    got = {r.message_id: (r.sent, r.attempt, r.error) for r in ST.notification_results(spark, root).collect()}
+    assert got == {"a": (True, 1, None), "b": (True, 2, None), "c": (False, 3, "ConnectionError: no answer"), "d": (True, 1, None)}
+
+
 def test_file_stream_each_file_once(spark, tmp_path):
     schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
     src = str(tmp_path / "in")
