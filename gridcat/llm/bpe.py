@@ -6,6 +6,9 @@ pattern reaches over such a place, its only lookahead (``\\s+(?!\\S)``) never
 starts before one, and a special token holds no white space.  So encoding the
 units apart and joining the ids gives exactly the ids of the whole text, and a
 unit seen before needs no second call of the library.
+
+Where no white space stands before a blank, splitting at the blanks gives the
+units, without the blank that each of them begins with.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ import numpy as np
 # holding one goes to the library whole.
 _ODD = "\x1c\x1d\x1e\x1f"
 _UNIT = re.compile(r"\s*\S+|\s+")
+# white space before a blank; without it every blank starts a unit, and blanks alone cut most of the text
+_GAP = re.compile(r"\s ")
 # sentence punctuation: a token of its own after an ASCII letter, whatever surrounds them
 _STOPS = ".,;:!?"
 _LATIN_END = "\u0250"    # letters before this are letters in every Unicode version
@@ -38,30 +43,42 @@ def odd(text: str) -> bool:
 
 
 class _Units(dict):
-    """unit -> packed ids; a missing unit is encoded by the library.  Two
+    """Unit without its ``lead`` -> packed ids; a missing unit is encoded.  Two
     generations of at most ``limit`` units each: a full one becomes the elder, whose
     units come back when met again, so memory is bounded and frequent units stay."""
 
-    def __init__(self, tokenizer, code: str, limit: int):
+    def __init__(self, tokenizer, code: str, limit: int, lead: str = "", plain: _Units | None = None):
         super().__init__()
         self.tokenizer, self.model, self.code, self.limit = tokenizer, tokenizer.model, code, limit
+        self.lead, self.plain = lead, self if plain is None else plain
         self.elder: dict[str, bytes] = {}
 
     def __missing__(self, unit: str) -> bytes:
         if len(unit) > _LONG_UNIT:
-            return self._encoded(unit)
+            return self._encoded(self.lead + unit)
         packed = self.elder.get(unit)
         if packed is None:
             core = unit.rstrip(_STOPS)
             if core != unit and core[-1:].isascii() and core[-1:].isalpha():
-                packed = self[core] + self[unit[len(core):]]
+                packed = self[core] + self.plain[unit[len(core):]]
+            elif not self.lead and unit[:1] == "\n" and unit[1:2].isascii() and unit[1:2].isalpha():
+                packed = self["\n"] + self[unit[1:]]       # a line break before a letter is a token of its own
+            elif self.lead and (at := unit.find("\n")) > 0:      # the end of a line and the start of another
+                return self[unit[:at]] + b"".join(map(self.plain.__getitem__, _UNIT.findall(unit[at:])))
             else:
-                packed = self._encoded(unit)
+                packed = self._encoded(self.lead + unit)
+        self.keep(unit, packed)
+        return packed
+
+    def keep(self, unit: str, packed: bytes) -> None:
         if len(self) >= self.limit:
             self.elder = dict(self)
             self.clear()
         self[unit] = packed
-        return packed
+
+    def forget(self) -> None:
+        self.clear()
+        self.elder.clear()
 
     def _encoded(self, unit: str) -> bytes:
         # a word of letters, with or without a blank, is one token of the
@@ -89,7 +106,9 @@ class Bpe:
         self.width = int(self.dtype[-1])
         if sys.byteorder != "little":
             raise RuntimeError("packed ids are little-endian")
-        self.units = _Units(self.tokenizer, "H" if self.width == 2 else "I", cached_units)
+        code = "H" if self.width == 2 else "I"
+        self.units = _Units(self.tokenizer, code, cached_units)
+        self.spaced = _Units(self.tokenizer, code, cached_units, " ", self.units)     # units that follow a blank
         self._pieces: list[bytes] | None = None
 
     def encode(self, text: str) -> bytes:
@@ -98,7 +117,15 @@ class Bpe:
             return b""
         if odd(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        return b"".join(map(self.units.__getitem__, _UNIT.findall(text)))
+        if _GAP.search(text):
+            return b"".join(map(self.units.__getitem__, _UNIT.findall(text)))
+        first, *parts = text.split(" ")
+        return b"".join([*map(self.units.__getitem__, _UNIT.findall(first)), *map(self.spaced.__getitem__, parts)])
+
+    def forget(self) -> None:
+        """Drop the units met so far; the vocabulary stays."""
+        self.units.forget()
+        self.spaced.forget()
 
     def ids(self, packed: bytes) -> np.ndarray:
         return np.frombuffer(packed, self.dtype)

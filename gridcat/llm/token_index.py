@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import shared_dir, stored
+from .common import Texts, shared_dir, stored
 
 END_ID = 2
 SHARD_BYTES = 16 << 20      # of text per shard
@@ -46,7 +46,7 @@ def _file_uri(uri: str) -> str:
 def write_shards(docs: DataFrame, path: str, folder: str, key: str = "doc_id", text: str = "text",
                  end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode and write ``docs`` in ascending ``key`` order under ``folder``.
-    Returns the manifest ``(key, copy, shard, file, offset, n)``, offset and n in ids,
+    Returns the stored manifest ``(key, copy, shard, file, offset, n)``, offset and n in ids,
     n including the end id.  A null text is empty and a null key sorts first.
 
     A task writes under a name of its own and the manifest, stored once, names the file
@@ -80,7 +80,7 @@ def write_shards(docs: DataFrame, path: str, folder: str, key: str = "doc_id", t
                 store.create_dir(base, recursive=True)
                 out = store.open_output_stream(f"{base}/{name}")
             offsets, counts, copies = [], [], []
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for k, t in zip(batch.column(0).to_pylist(), Texts(batch.column(1))):
                 packed = encoder.encode(t) + end
                 out.write(packed)
                 copy = copy + 1 if k == last else 0
@@ -95,18 +95,24 @@ def write_shards(docs: DataFrame, path: str, folder: str, key: str = "doc_id", t
                 names=[key, "copy", "shard", "file", "offset", "n"])
         if out is not None:
             out.close()
+        encoder.forget()
 
     manifest = stored(dealt.mapInArrow(
         run, f"`{key}` {kind}, copy bigint, shard int, file string, offset bigint, n bigint"), "manifest")
-    # a key that goes on in the next shard goes on counting there
+    # a key that goes on in the next shard goes on counting there; the shards' first and last keys tell if any does
+    ends = stored(manifest.groupBy("shard").agg(F.min(F.struct(key)).alias("low"), F.max(F.struct(key)).alias("high")),
+                  "shard-ends")
+    if ends.join(ends.select(F.col("shard").alias("next"), F.col("low").alias("first")),
+                 F.col("high").eqNullSafe(F.col("first")) & (F.col("shard") < F.col("next"))).isEmpty():
+        return manifest
     spans = manifest.groupBy(key, "shard").agg(F.count("*").alias("here"))
     before = F.sum("here").over(Window.partitionBy(key).orderBy("shard")) - F.col("here")
     crossing = spans.select(F.col(key).alias("__key"), F.col("shard").alias("__shard"), before.alias("before")).where(
         "before > 0")
     same = manifest[key].eqNullSafe(F.col("__key")) & (manifest["shard"] == F.col("__shard"))
-    return (manifest.join(crossing, same, "left")
-            .select(key, (F.col("copy") + F.coalesce("before", F.lit(0))).alias("copy"),
-                    "shard", "file", "offset", "n"))
+    return stored(manifest.join(crossing, same, "left")
+                  .select(key, (F.col("copy") + F.coalesce("before", F.lit(0))).alias("copy"),
+                          "shard", "file", "offset", "n"), "manifest")
 
 
 def shard_starts(manifest: DataFrame) -> DataFrame:
@@ -253,7 +259,7 @@ def index_round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str
     document through the index: ``(key, start, n_tokens, ids_crc32)``."""
     spark = docs.sparkSession
     folder = shared_dir(spark, "token-shards")
-    manifest = stored(write_shards(docs, path, folder, key, text, end_id), "manifest")
+    manifest = write_shards(docs, path, folder, key, text, end_id)
     index, buckets = build_index(manifest, key)
     located = lookup(index, buckets, manifest.select(key, "copy"), key)
     dtype = bpe.load(path).dtype
