@@ -10,7 +10,6 @@ from gridcat.functions import uris as U
 from gridcat.plans.registry import query
 from gridcat.plans.views import table, view
 
-PATH, VIRT = U.PATH_STYLE, U.VIRTUAL_STYLE
 
 
 # ------------------------------------------------------------------ X1 X7
@@ -39,22 +38,23 @@ def parse_object_uri_q(spark, sf):
 
 
 # ------------------------------------------------------------------ X2 X3
-_DUCK_X2 = (f"case when regexp_matches(href, '{PATH}') then 's3://' || regexp_extract(href, '{PATH}', 1) || '/' || "
-            f"regexp_extract(href, '{PATH}', 2) when regexp_matches(href, '{VIRT}') then 's3://' || "
-            f"regexp_extract(href, '{VIRT}', 1) || '/' || regexp_extract(href, '{VIRT}', 2) end")
-_PS, _VS = U.PATH_STYLE_STRICT, U.VIRTUAL_STYLE_STRICT
-_DUCK_X2_STRICT = (f"case when regexp_matches(href, '{_PS}') then 's3://' || regexp_extract(href, '{_PS}', 1) || '/' || "
-                   f"regexp_extract(href, '{_PS}', 2) when regexp_matches(href, '{_VS}') then 's3://' || "
-                   f"regexp_extract(href, '{_VS}', 1) || '/' || regexp_extract(href, '{_VS}', 2) end")
+# by host name and the first slashes, with no pattern of the library's
+_DUCK_HOST = "case when starts_with(href, 'https://') then split_part(substr(href, 9), '/', 1) end"
 
 
 @query("http_to_object_uri", "X2 X3 Q1 Q2", views=["v_assets"], oracle=f"""
-select item_id, asset_key, href, {_DUCK_X2} as object_uri,
-       starts_with(href, 'https://') and contains(href, '.s3.') as needs_conversion,
-       coalesce({_DUCK_X2}, href) as rewritten,
-       case when starts_with(href, 'https://') and contains(href, '.s3.') then {_DUCK_X2_STRICT} else href end
-         as rewritten_strict
-from v_assets
+, h as (select *, {_DUCK_HOST} as host from v_assets),
+p as (select *, substr(href, 10 + length(host)) as rest, split_part(host, '.s3.', 1) as sub from h),
+u as (select *, case when host = 's3.amazonaws.com' or starts_with(host, 's3.') and ends_with(host, '.amazonaws.com')
+                     then 's3://' || rest
+                     when contains(host, '.s3.') and ends_with(host, '.amazonaws.com') then 's3://' || sub || '/' || rest end as uri,
+             case when host = 's3.amazonaws.com' then 's3://' || rest
+                  when host = sub || '.s3.amazonaws.com' then 's3://' || sub || '/' || rest end as narrow
+      from p)
+select item_id, asset_key, href, uri as object_uri, starts_with(href, 'https://') and contains(href, '.s3.') as needs_conversion,
+       coalesce(uri, href) as rewritten,
+       case when starts_with(href, 'https://') and contains(href, '.s3.') then narrow else href end as rewritten_strict
+from u
 """)
 def http_to_object_uri_q(spark, sf):
     a = view(spark, sf, "v_assets")
