@@ -88,6 +88,19 @@ def stream_new_files(spark, sf):
     return spark.read.parquet(out).select("event_type", "n")
 
 
+@query("stream_file_rows", "T2 S5", oracle="""
+select event_id, event_type, 'events.parquet' as file from events
+""")
+def stream_file_rows(spark, sf):
+    """Every event once, with the name of the file that it came in, appended to a file sink; the stream
+    runs twice over one checkpoint, and the second run finds nothing new."""
+    base = scratch_dir(spark, f"stream-rows-{uuid.uuid4().hex}")
+    for _ in range(2):
+        rows = ST.with_file(_events(spark, sf)).select("event_id", "event_type", "file")
+        ST.run_available(rows.writeStream.format("parquet").option("path", f"{base}/rows").outputMode("append"), f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/rows")
+
+
 LI_SCHEMA = T.StructType([T.StructField("collection_id", T.StringType()), T.StructField("item_id", T.StringType()),
                           T.StructField("side", T.StringType()), T.StructField("item_ts", T.TimestampNTZType()),
                           T.StructField("part", T.LongType()), T.StructField("supp", T.LongType()),

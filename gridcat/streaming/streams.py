@@ -3,7 +3,8 @@
 * T1 ``job_gate``          - one outcome per job: its first terminal status,
                              or ``timeout`` when none arrives within ``max_wait``
                              (``transformWithStateInPandas`` + event-time timers);
-* T2 ``file_counts``       - new files matching a glob, each file once;
+* T2 ``read_files``        - new files matching a glob, each file once: their rows with the
+                             file's name (``with_file``) or running counts (``file_counts``);
 * T3 ``upsert_batch_partitioned`` - idempotent continuous upsert of touched partitions;
 * T4 ``product_gate``      - stream-stream join of products with job successes,
                              bounded in time on both sides; ``product_outcomes`` also
@@ -151,6 +152,12 @@ def job_gate(statuses: DataFrame, max_wait_hours: int = 48, watermark: str = "1
 
 
 # ---------------------------------------------------------------- T2
+def with_file(stream: DataFrame, column: str = "file") -> DataFrame:
+    """The rows of a file stream with the name of the file each came in; the checkpoint takes
+    every file once, so a row and its file come once however often the stream restarts."""
+    return stream.select("*", F.col("_metadata.file_name").alias(column))
+
+
 def file_counts(stream: DataFrame, key: str) -> DataFrame:
     """Running count per ``key`` over every file ingested so far."""
     return stream.groupBy(key).agg(F.count("*").cast("bigint").alias("n"))

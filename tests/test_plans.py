@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 
 # queries that run streams before returning
 SIDE_EFFECT = {"stream_job_gate", "stream_new_files", "stream_upsert", "stream_product_gate", "stream_status_dedupe",
-               "stream_product_outcomes", "notification_sink"}
+               "stream_product_outcomes", "notification_sink", "stream_file_rows"}
 BATCH = sorted(set(queries.queries()) - SIDE_EFFECT)
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 

@@ -344,6 +344,30 @@ def test_file_stream_each_file_once(spark, tmp_path):
     assert {r.k: r.n for r in spark.read.parquet(counts).collect()} == {"a": 10, "b": 1}
 
 
+def test_file_rows_name_their_file_once(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    want = set()
+
+    def arrive(lo, hi):
+        before = set(os.listdir(src)) if os.path.exists(src) else set()
+        spark.createDataFrame([("a", i) for i in range(lo, hi)], schema).coalesce(1).write.mode("append").parquet(src)
+        (new,) = [f for f in set(os.listdir(src)) - before if f.endswith(".parquet")]
+        want.update((i, new) for i in range(lo, hi))
+
+    def run():
+        rows_ = ST.with_file(ST.read_files(spark, src, schema, max_files=1))
+        ST.run_available(rows_.writeStream.format("parquet").option("path", out).outputMode("append"), ck)
+    arrive(0, 4)
+    arrive(4, 6)
+    run()
+    run()
+    arrive(6, 7)
+    run()
+    got = [(r.v, r.file) for r in spark.read.parquet(out).collect()]
+    assert len(got) == 7 and set(got) == want
+
+
 def _upsert_schema():
     return T.StructType([T.StructField("cid", T.StringType()), T.StructField("id", T.StringType()),
                          T.StructField("seq", T.IntegerType()), T.StructField("v", T.StringType())])
