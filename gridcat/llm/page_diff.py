@@ -279,8 +279,9 @@ def shared_lines(pages: DataFrame, url: str = "url", html: str = "html") -> Data
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """``(key, url, text, n_chars, n_shared)`` per row of ``pages``: the main text,
-    its blocks joined by a blank line, and the number of lines that the neighbour shares.
+    """``(key, url, text, n_chars, n_shared, n_differenced)`` per row of ``pages``: the main text,
+    its blocks joined by a blank line, the number of lines that the neighbour shares, and of
+    those that were deleted for that alone, which markup had kept.
 
     Kept are the lines inside an article where the page marks one, without those that the neighbour
     shares and that are common on the host (an article of nearly nothing else is a copied one and stays whole).
@@ -320,10 +321,12 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     is_copied = F.col("furniture") >= COPY_SHARE * F.col("article")
     kept = F.filter("marked", lambda x: (x["kind"] == MAIN_LINE) & ((x["shared"] < 2) | F.col("is_copied")) | (
         (x["kind"] == PLAIN_LINE) & ~F.col("has_main") & ((x["shared"] == 0) | (x["shared"] == 1) & F.col("is_copy"))))
+    by_markup = lambda x: (x["kind"] == MAIN_LINE) | (x["kind"] == PLAIN_LINE) & ~F.col("has_main")
     text = F.array_join(F.transform(kept, lambda x: x["text"]), "\n\n")
     return (joined.select(key, url, marked.alias("marked"))
             .withColumns({"own": own, "same": same, "article": article, "furniture": furniture, "has_main": has_main})
             .withColumns({"is_copy": is_copy, "is_copied": is_copied})
             .select(key, url, text.alias("text"),
-                    F.size(F.filter("marked", lambda x: x["shared"] > 0)).cast("bigint").alias("n_shared"))
-            .select(key, url, "text", F.length("text").cast("bigint").alias("n_chars"), "n_shared"))
+                    F.size(F.filter("marked", lambda x: x["shared"] > 0)).cast("bigint").alias("n_shared"),
+                    (F.size(F.filter("marked", by_markup)) - F.size(kept)).cast("bigint").alias("n_differenced"))
+            .select(key, url, "text", F.length("text").cast("bigint").alias("n_chars"), "n_shared", "n_differenced"))

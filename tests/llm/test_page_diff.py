@@ -63,12 +63,12 @@ def test_shared_lines_go_where_no_article_is_marked(spark):
              (None, "http://d/", "<p>null key</p>")]
     pages = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, digest string, kind int")
     got = D.extract(pages)
-    assert got.count() == len(rows) and got.columns == ["page_id", "url", "text", "n_chars", "n_shared"]
+    assert got.count() == len(rows) and got.columns == ["page_id", "url", "text", "n_chars", "n_shared", "n_differenced"]
     by = {r.page_id: r for r in got.collect()}
     for i in [*range(12), 100, 101]:
         body = [prose(i % 100 if i < 100 else 0, 12), prose(100 + (i if i < 100 else 0), 9)]
         assert by[i].text == "\n\n".join(body), i
-        assert by[i].n_shared == 3 and by[i].n_chars == len(by[i].text)
+        assert by[i].n_shared == by[i].n_differenced == 3 and by[i].n_chars == len(by[i].text)
     assert by[102].text == "Our site\n\nHome\n\nalone on its host\n\nImprint of us"      # no neighbour, nothing to compare
     assert (by[103].text, by[104].text, by[103].n_chars) == ("", "", 0)
     assert by[105].text == "Home\n\nquoted" and by[None].text == "null key"
