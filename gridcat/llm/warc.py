@@ -27,7 +27,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 MIN_SHARED_BYTES = 1000        # smaller payloads are always written out
 DICTIONARY_BYTES = 64 << 10
-SAMPLE_RECORDS, SAMPLE_BYTES = 1000, 8 << 10   # records the dictionary is trained on, and characters of each
+SAMPLE_RECORDS, SAMPLE_BYTES = 1000, 8 << 10   # records the dictionary is trained on, and characters of a piece of each
 LEVEL = 3
 DATE = "2024-01-01T00:00:00Z"
 _CHUNK = 1 << 20
@@ -76,13 +76,15 @@ def parse_record(data: bytes) -> dict:
 def train_dictionary(pages: DataFrame, page_id: str = "page_id", html: str = "html", records: int = SAMPLE_RECORDS,
                      characters: int = SAMPLE_BYTES, size: int = DICTIONARY_BYTES) -> bytes:
     """A dictionary from the records, heads included, of at most ``records`` pages, chosen by hash,
-    and the first ``characters`` of each: the sample is bounded; what is written is not.
-    Empty when there are too few samples to train on."""
+    and a piece of ``characters`` of each, at a place chosen by hash: the sample is bounded; what is
+    written is not.  Empty when there are too few samples to train on."""
     n = pages.count()
     part = F.pmod(F.xxhash64(html, F.lit("sample")), F.lit(1 << 20))
     wanted = min(1 << 20, -(-(1 << 20) * 2 * records // max(n, 1)))
+    start = F.pmod(F.xxhash64(html, F.lit("piece")), F.greatest(F.length(html) - characters, F.lit(0)) + 1) + 1
     chosen = pages.where(F.col(html).isNotNull() & (part < wanted)).select(
-        page_id, "url", F.substring(html, 1, characters).alias("html")).limit(records).collect()
+        page_id, "url", F.substring(html, start.cast("int"), F.lit(characters)).alias("html"), part.alias("part")).orderBy(
+        "part", page_id, "html").limit(records).collect()
     sample = [record_bytes(page, url, body, "response", None, len(body), hashlib.sha1(body).hexdigest())
               for page, url, body in ((r[0], r[1], r[2].encode()) for r in chosen)]
     if not sample:
