@@ -25,12 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
+from .common import Texts, worker_memory
 
 CHUNK_BITS = 9          # a cut every 512 bytes on average
 MIN_CHUNK, MAX_CHUNK = 128, 4096
 _WINDOW_STEPS = 4       # the rolling hash sees 2**4 bytes
 CACHED_BYTES = 16 << 20   # of chunks and their ids
 CACHED_UNITS = 150_000    # of the words inside chunks that are new
+ROWS_AT_ONCE = 256
 
 # a place that the pre-tokenizer never reaches over: white space after a
 # non-space character (see bpe)
@@ -155,17 +157,21 @@ def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        encoder = ChunkEncoder(bpe.load(path, CACHED_UNITS))
-        for batch in batches:
-            texts = batch.column(batch.schema.names.index("__text")).to_pylist()
-            packed = [encoder.encode(t) for t in texts]
-            joined = np.frombuffer(b"".join(packed), encoder.bpe.dtype).astype(np.int32)
-            ends = np.cumsum([0, *(len(p) // encoder.bpe.width for p in packed)]).astype(np.int32)
-            decoded = pa.array([encoder.bpe.decode(p) for p in packed], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(batch.num_columns - 1)),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(joined)), decoded],
-                names=[*batch.schema.names[:-1], "ids", "decoded"])
+        with worker_memory():
+            encoder = ChunkEncoder(bpe.load(path, CACHED_UNITS))
+            for whole in batches:
+                for at in range(0, whole.num_rows, ROWS_AT_ONCE):      # ids and decoded texts of a few rows at a time
+                    batch = whole.slice(at, ROWS_AT_ONCE)
+                    packed = [encoder.encode(t) for t in Texts(batch.column(batch.schema.names.index("__text")))]
+                    joined = np.frombuffer(b"".join(packed), encoder.bpe.dtype).astype(np.int32)
+                    ends = np.cumsum([0, *(len(p) // encoder.bpe.width for p in packed)]).astype(np.int32)
+                    decoded = pa.array([encoder.bpe.decode(p) for p in packed], pa.string())
+                    yield pa.RecordBatch.from_arrays(
+                        [*(batch.column(i) for i in range(batch.num_columns - 1)),
+                         pa.ListArray.from_arrays(pa.array(ends), pa.array(joined)), decoded],
+                        names=[*batch.schema.names[:-1], "ids", "decoded"])
+            encoder.bpe.forget()
+            del encoder
 
     return _dealt(docs, key, text, keep).mapInArrow(run, f"{out}, ids array<int>, decoded string")
 
@@ -180,20 +186,23 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        encoder = ChunkEncoder(bpe.load(path, CACHED_UNITS))
-        decimal = [str(i) for i in range(encoder.bpe.size)]
-        for batch in batches:
-            counts, ids_sha, text_sha = [], [], []
-            for t in batch.column(batch.schema.names.index("__text")).to_pylist():
-                packed = encoder.encode(t)
-                ids = encoder.bpe.ids(packed).tolist()
-                counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(",".join([decimal[i] for i in ids]).encode()).hexdigest())
-                text_sha.append(hashlib.sha256(encoder.bpe.decode(packed).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(batch.num_columns - 1)),
-                 pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
-                names=[*batch.schema.names[:-1], "n_tokens", "ids_sha256", "decoded_sha256"])
+        with worker_memory():
+            encoder = ChunkEncoder(bpe.load(path, CACHED_UNITS))
+            decimal = [str(i) for i in range(encoder.bpe.size)]
+            for batch in batches:
+                counts, ids_sha, text_sha = [], [], []
+                for t in Texts(batch.column(batch.schema.names.index("__text"))):
+                    packed = encoder.encode(t)
+                    ids = encoder.bpe.ids(packed).tolist()
+                    counts.append(len(ids))
+                    ids_sha.append(hashlib.sha256(",".join([decimal[i] for i in ids]).encode()).hexdigest())
+                    text_sha.append(hashlib.sha256(encoder.bpe.decode(packed).encode()).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i) for i in range(batch.num_columns - 1)),
+                     pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
+                    names=[*batch.schema.names[:-1], "n_tokens", "ids_sha256", "decoded_sha256"])
+            encoder.bpe.forget()
+            del encoder
 
     return _dealt(docs, key, text, keep).mapInArrow(
         run, f"{out}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import stored
+from .common import Texts, stored, worker_memory
 from .components import components
 
 MAX_BITS = 2
@@ -65,9 +65,10 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
-            fps = np.array([fingerprint(t, words, seed) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=[key, "fp"])
+        with worker_memory():
+            for batch in batches:
+                fps = np.array([fingerprint(t, words, seed) for t in Texts(batch.column(1))], np.uint64)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=[key, "fp"])
 
     return docs.select(key, text).mapInArrow(run, schema)
 
