@@ -7,9 +7,9 @@ the allowances sum to more than H: allowance 1 asks for equal subsets, 2 for
 subsets that are equal after one deletion, 0 asks for nothing.
 
 Allowances are allotted by cost.  Every set first indexes all its segments'
-subsets.  Sets that the most similar leader among their partners already links to
-one component need no further look, so the cost of an index entry is its number of pairs
-across components; cheap entries (a bounded mean per row) are paired, dear ones
+subsets.  In a few rounds each set is linked to the leader with which it shares most entries, a
+pair a set.  What that connects needs no further look, so the cost of an index entry is its number of
+pairs across components; cheap entries (a bounded mean per row) are paired, dear ones
 get allowance 0.  A set whose cheap segments still sum to more than H has met all
 its partners.  The few others index their one-deletion neighbourhoods too and
 allot 2, 1 or 0 the same way, and only pairs of sets that are short even then
@@ -28,17 +28,21 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import Texts, stored
 from .components import components
 
 WORDS = 5
 SHARE = 80              # percent: linked where 100 * intersection >= SHARE * union
 BAND_RATIO = 175        # percent: largest size of a band to its smallest
 SPARE = 10              # percent of segments beyond those the pigeonhole needs
+LEADER_ROUNDS = 3       # rounds that link every set to a leader of its entries, before pairs are priced
 MEAN_PAIRS = 32         # pairs a row of an index entry that is paired, on average
 BROADCAST_BYTES = 8 << 20
+DIRECT_BYTES = 64 << 20     # of sets that are sent for pairs without asking first which pairs matter
 _SKETCH_BITS = 512
 _BLOCK_ROWS = 1 << 20   # signatures that a task groups at a time
+_BLOCK_SHINGLES = 1 << 16
+SEARCH_ROWS = 1 << 20     # signatures that a task searches, about
 _SEEN = 200_000         # sets that a task remembers, so that most copies are left out before the shuffle
 _CHUNK = 1 << 16
 
@@ -79,10 +83,12 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     # difference of two, moved back to place 0
     at_end = np.empty(len(ends), np.uint64)
     n_chunks = (len(raw) - 1) // _CHUNK + 1
-    far, far_back = (_powers(f, n_chunks + 1) for f in (_FAR, _FAR_BACK))
     with np.errstate(over="ignore"):
+        far, far_back = (_powers(f, n_chunks + 1) for f in (_FAR, _FAR_BACK))
+        if n_chunks == 1:
+            at_end = np.cumsum(_BYTES[raw] * _POWERS[:len(raw)], dtype=np.uint64)[ends - 1]
         total, done = np.uint64(0), 0
-        for chunk in range(n_chunks):
+        for chunk in range(n_chunks if n_chunks > 1 else 0):
             part = raw[chunk * _CHUNK:(chunk + 1) * _CHUNK]
             sums = np.cumsum(_BYTES[part] * _POWERS[:len(part)], dtype=np.uint64) * far[chunk] + total
             upto = np.searchsorted(ends, chunk * _CHUNK + len(part), "right")
@@ -91,12 +97,16 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
         if len(parts) < words:
             return _mixed(at_end[-1:])
         starts = np.concatenate([[0], ends[:-1] + 1])
-        gap = ends[:-1]
-        blank = _BYTES[32] * (_POWERS[gap % _CHUNK] * far[gap // _CHUNK])
-        at_start = np.concatenate([np.zeros(1, np.uint64), at_end[:-1] + blank])
-        n = len(parts) - words + 1
-        back = _BACK[starts[:n] % _CHUNK] * far_back[starts[:n] // _CHUNK]
-        return np.unique(_mixed((at_end[words - 1:] - at_start[:n]) * back))
+        gap, n = ends[:-1], len(parts) - words + 1
+        if n_chunks == 1:
+            power, back = _POWERS[gap], _BACK[starts[:n]]
+        else:
+            power = _POWERS[gap % _CHUNK] * far[gap // _CHUNK]
+            back = _BACK[starts[:n] % _CHUNK] * far_back[starts[:n] // _CHUNK]
+        at_start = np.concatenate([np.zeros(1, np.uint64), at_end[:-1] + _BYTES[32] * power])
+        found = _mixed((at_end[words - 1:] - at_start[:n]) * back)
+        found.sort()
+        return found[np.concatenate([[True], found[1:] != found[:-1]])]
 
 
 class Scheme:
@@ -142,6 +152,28 @@ def subsets(found: np.ndarray, band: int, segments: int) -> tuple[np.ndarray, np
         return _mixed(body + _salts(band, place[starts])), place[starts].astype(np.int64), starts
 
 
+def subsets_of(sets: list[np.ndarray], scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of the segments that hold shingles, for all roles of several sets, and
+    the place of each one's set among them."""
+    roles = [(i, band, segments) for i, found in enumerate(sets) for band, segments, _ in scheme.roles(len(found))]
+    owner, band, segments = (np.array(c, np.int64) for c in zip(*roles))
+    found = np.concatenate([sets[i] for i, _, _ in roles])
+    role = np.repeat(np.arange(len(roles)), [len(sets[i]) for i, _, _ in roles])
+    place = ((found >> np.uint64(32)) * segments.astype(np.uint64)[role]) >> np.uint64(32)
+    heads = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (role[1:] != role[:-1])]))
+    of = role[heads]
+    with np.errstate(over="ignore"):
+        body = np.add.reduceat(_mixed(found, 1), heads)
+        salts = _mixed(place[heads] + (band.astype(np.uint64) << np.uint64(40))[of], 2)
+        return _mixed(body + salts), owner[of]
+
+
+def segments_held(found: np.ndarray, segments: int) -> int:
+    """Number of segments that hold shingles."""
+    place = ((found >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
+    return 1 + int(np.count_nonzero(place[1:] != place[:-1]))
+
+
 def neighbourhoods(found: np.ndarray, band: int, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Signatures of all segments' subsets, empty ones included, and of these after one deletion: with the
     segments' places and whether one was deleted."""
@@ -164,13 +196,34 @@ def sketch(found: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(found: np.ndarray) -> bytes:
+    """``sketch`` with at least two bits a shingle, a power of two of them."""
+    bits = max(_SKETCH_BITS, 1 << (2 * len(found) - 1).bit_length())
+    odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def least_differences(a: bytes, b: bytes) -> int:
+    """Shingles that two sets differ in at least, by their wide sketches; the longer is folded."""
+    x, y = (np.frombuffer(v, np.uint8) for v in (a, b))
+    if len(x) < len(y):
+        x, y = y, x
+    if len(x) > len(y):
+        x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _name(found: np.ndarray) -> bytes:
     return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
 
+def _start(name: bytes) -> int:
+    return int.from_bytes(name[:8], "little", signed=True)
+
+
 def marked(docs: DataFrame, key: str, text: str, words: int, share: int) -> DataFrame:
-    """``(__key, n, s, sketch, spare)`` per row: size and name of the set (null if empty), sketch, and how many
-    of its segments may be dear."""
+    """``(__key, n, s, s1, sketch, spare, place)`` per row: size and name of the set (null if empty), sketch, how
+    many of its segments may be dear, and the row's place in ``docs``."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:
@@ -178,31 +231,35 @@ def marked(docs: DataFrame, key: str, text: str, words: int, share: int) -> Data
 
         scheme = Scheme(share)
         for batch in batches:
-            sizes, names, sketches, spares = [], [], [], []
-            for t in batch.column(1).to_pylist():
+            sizes, names, starts, sketches, spares = [], [], [], [], []
+            for t in Texts(batch.column(1)):
                 found = shingles(t, words)
                 sizes.append(len(found))
                 names.append(_name(found) if len(found) else None)
+                starts.append(_start(names[-1]) if len(found) else None)
                 sketches.append(sketch(found))
-                spares.append(min((len(subsets(found, b, m)[0]) - need for b, m, need in scheme.roles(len(found))),
-                                  default=0) if len(found) else 0)
+                spares.append(min(segments_held(found, m) - need for _, m, need in scheme.roles(len(found)))
+                              if len(found) else 0)
             width = _SKETCH_BITS // 64
             flat = np.concatenate(sketches) if sketches else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()),
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(starts, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, width, dtype=np.int32)), pa.array(flat)),
-                 pa.array(spares, pa.int32())], names=["__key", "n", "s", "sketch", "spare"])
+                 pa.array(spares, pa.int32()),
+                 batch.column(2)], names=["__key", "n", "s", "s1", "sketch", "spare", "place"])
 
-    return docs.select(key, text).mapInArrow(
-        run, f"__key {kind}, n bigint, s binary, sketch array<bigint>, spare int")
+    return docs.select(key, text, F.monotonically_increasing_id()).mapInArrow(
+        run, f"__key {kind}, n bigint, s binary, s1 bigint, sketch array<bigint>, spare int, place bigint")
 
 
-def shared_subsets(docs: DataFrame, text: str, words: int, share: int) -> DataFrame:
-    """``(sig, s)`` of all segment subsets that two or more different sets have.
+def shared_subsets(docs: DataFrame, text: str, words: int, share: int, partitions: int) -> DataFrame:
+    """``(sig, s1)`` of all segment subsets that two or more different sets have; ``s1`` is the
+    first half of a set's name.  Only linked sets alike in it could be missed, at odds of 2 ** -64 a
+    pair; sets alike in it by chance only add candidates.
 
     A task groups the signatures of a block of texts itself; of those that it meets twice it
     sends one into the search, so a signature brings there at most a row a block however many
-    sets have it.  The search is a sorted stream that holds a row at a time.
+    sets have it, and the search's ``partitions`` are even: a task sorts its share as two arrays.
     """
 
     def emit(batches: Iterator) -> Iterator:
@@ -210,76 +267,87 @@ def shared_subsets(docs: DataFrame, text: str, words: int, share: int) -> DataFr
 
         scheme, seen = Scheme(share), set()
         sigs, names, held = [], [], 0
+        sets, owners, shingles_held = [], [], 0
 
         def flushed():
+            # rows stay in the order of the sets, which repeats names side by side in the shuffle files
             sig, name = np.concatenate(sigs), np.concatenate(names)
             order = np.argsort(sig, kind="stable")
-            sig, name = sig[order], name[order]
-            again = np.concatenate([[False], sig[1:] == sig[:-1]])
-            twice = again | np.concatenate([again[1:], [False]])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(sig.view(np.int64)), pa.array(name[:, 0]), pa.array(name[:, 1]), pa.array(twice),
-                 pa.array(again)], names=["sig", "s1", "s2", "met", "echo"])
+            again = np.zeros(len(sig), bool)
+            again[1:] = sig[order[1:]] == sig[order[:-1]]
+            twice = again.copy()
+            twice[:-1] |= again[1:]
+            met = np.empty(len(sig), np.int8)
+            met[order] = twice.astype(np.int8) + again
+            return pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(name), pa.array(met)],
+                                              names=["sig", "s1", "met"])
+
+        def indexed():
+            sig, owner = subsets_of(sets, scheme)
+            sigs.append(sig)
+            names.append(np.array(owners, np.int64)[owner])
+            return len(sig)
 
         for batch in batches:
-            for t in batch.column(0).to_pylist():
+            for t in Texts(batch.column(0)):
                 found = shingles(t, words)
                 if not len(found):
                     continue
-                name = _name(found)
+                name = _start(_name(found))
                 if name in seen:
                     continue
                 if len(seen) >= _SEEN:
                     seen.clear()
                 seen.add(name)
-                for band, segments, _ in scheme.roles(len(found)):
-                    sig = subsets(found, band, segments)[0]
-                    sigs.append(sig)
-                    names.append(np.broadcast_to(np.frombuffer(name, np.int64), (len(sig), 2)))
-                    held += len(sig)
+                sets.append(found)
+                owners.append(name)
+                shingles_held += len(found)
+                if shingles_held >= _BLOCK_SHINGLES:
+                    held += indexed()
+                    sets, owners, shingles_held = [], [], 0
                 if held >= _BLOCK_ROWS:
                     yield flushed()
                     sigs, names, held = [], [], 0
+        if sets:
+            indexed()
         if sigs:
             yield flushed()
 
     def search(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        last = None     # the row that may still find a partner: signature, name, whether it has one
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sig, s1, s2 = (np.asarray(batch.column(i)) for i in range(3))
-            met = batch.column(3).to_numpy(zero_copy_only=False)
-            if last is not None:
-                sig, s1, s2 = (np.concatenate([[a], b]) for a, b in zip(last[:3], (sig, s1, s2)))
-                met = np.concatenate([[last[3]], met])
-            # rows of one set side by side count once, as met if any was
-            fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])])
-            heads = np.flatnonzero(fresh)
-            met = np.logical_or.reduceat(met, heads)
-            sig, s1, s2 = sig[heads], s1[heads], s2[heads]
-            same = sig[1:] == sig[:-1]
-            met[1:] |= same
-            met[:-1] |= same
-            last = (sig[-1], s1[-1], s2[-1], met[-1])
-            keep = met[:-1]
-            yield answer(pa, sig[:-1][keep], s1[:-1][keep], s2[:-1][keep])
-        if last is not None and last[3]:
-            yield answer(pa, *(np.array([x]) for x in last[:3]))
-
-    def answer(pa, sig, s1, s2):
-        raw = np.ascontiguousarray(np.stack([s1, s2], axis=1).astype(np.int64)).tobytes()
-        offsets = np.arange(0, len(raw) + 1, 16, dtype=np.int32).tobytes()
-        names = pa.Array.from_buffers(pa.binary(), len(sig), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
-        return pa.RecordBatch.from_arrays([pa.array(sig.astype(np.int64)), names], names=["sig", "s"])
-
-    rows = docs.select(text).mapInArrow(emit, "sig bigint, s1 bigint, s2 bigint, met boolean, echo boolean")
-    # rows that a task knows to be met are dealt by set and only pass through
-    dealt = rows.withColumn("__deal", F.when(F.col("echo"), F.xxhash64("s1", "sig")).otherwise(F.col("sig")))
-    return (dealt.repartition("__deal").sortWithinPartitions("sig", "s1", "s2").select("sig", "s1", "s2", "met")
-            .mapInArrow(search, "sig bigint, s binary"))
+        parts = [[np.asarray(c) for c in batch.columns] for batch in batches if batch.num_rows]
+        if not parts:
+            return
+        sig, name, met = (np.concatenate(c) for c in zip(*parts))
+        del parts
+        order = np.argsort(sig, kind="stable")
+        same = sig[order[1:]] == sig[order[:-1]]
+        several = np.zeros(len(sig), bool)
+        several[order[1:]] |= same
+        several[order[:-1]] |= same
+        some = np.flatnonzero(several | (met > 0))
+        sig, name, met = sig[some], name[some], met[some] > 0
+        order = np.lexsort((name, sig))
+        sig, name, met = sig[order], name[order], met[order]
+        # rows of one set count once, as met if any was
+        heads = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (name[1:] != name[:-1])])[:len(sig)])
+        if not len(heads):
+            return
+        met = np.logical_or.reduceat(met, heads)
+        sig, name = sig[heads], name[heads]
+        same = sig[1:] == sig[:-1]
+        met[1:] |= same
+        met[:-1] |= same
+        yield answer(pa, sig[met], name[met])
+
+    def answer(pa, sig, name):
+        return pa.RecordBatch.from_arrays([pa.array(sig.astype(np.int64)), pa.array(name.astype(np.int64))], names=["sig", "s1"])
+
+    rows = docs.select(text).mapInArrow(emit, "sig bigint, s1 bigint, met tinyint")
+    # rows that a task knows to be met a second time are dealt by set and only pass through
+    deal = F.when(F.col("met") == 2, F.xxhash64("s1", "sig")).otherwise(F.col("sig"))
+    return rows.repartition(partitions, deal).mapInArrow(search, "sig bigint, s1 bigint")
 
 
 def _near_sizes(a: str, b: str, share: int) -> Column:
@@ -293,6 +361,11 @@ def _sketches_near(share: int) -> Column:
     return differ * (100 + share) <= (F.col("a_n") + F.col("b_n")) * (100 - share)
 
 
+def _small(rows: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored table, marked for broadcast if its counted rows stay below the bound."""
+    return F.broadcast(rows) if rows.count() * row_bytes <= BROADCAST_BYTES else rows
+
+
 class Sets:
     """The distinct sets of a table of texts, and what verifies pairs of them."""
 
@@ -300,32 +373,31 @@ class Sets:
         self.docs, self.key, self.text, self.words, self.share = docs, key, text, words, share
         self.marks = stored(marked(docs, key, text, words, share), "sets")
         named = self.marks.where("s is not null").groupBy("s").agg(
-            F.min("__key").alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+            F.min("__key").alias("first"), F.min("place").alias("place"), F.first("s1").alias("s1"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
             F.first("spare").alias("spare"))
         self.classes = stored(named.withColumn("id", F.monotonically_increasing_id()), "set-classes")
 
     def shingles_of(self, ids: DataFrame) -> DataFrame:
-        """``(id, shingles)`` of the sets named by ``ids`` (column id, distinct), read from a text of each."""
-        wanted = stored(ids.join(self.classes, "id").select("id", F.col("s").alias("__s"), F.col("first").alias("__first")),
-                        "wanted")
-        if wanted.count() * 40 <= BROADCAST_BYTES:
-            wanted = F.broadcast(wanted)
+        """``(id, shingles, wide)`` of the sets named by ``ids`` (column id, distinct), read from one
+        text of each, found by its place in the table."""
+        wanted = stored(ids.join(self.classes, "id").select("id", F.col("s").alias("__s"), F.col("place").alias("__at")), "wanted")
+        wanted = _small(wanted, 48)
         words = self.words
 
         def run(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
             for batch in batches:
-                found = [shingles(t, words) for t in batch.column(2).to_pylist()]
-                fits = [_name(f) == s for f, s in zip(found, batch.column(1).to_pylist())]
+                found = [shingles(t, words) for t in Texts(batch.column(2))]
+                if [_name(f) for f in found] != batch.column(1).to_pylist():
+                    raise ValueError("the table's rows have changed their places: store it first")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).filter(pa.array(fits, pa.bool_())),
-                     pa.array([f.tobytes() for f, fit in zip(found, fits) if fit], pa.binary())], names=["id", "shingles"])
+                    [batch.column(0), pa.array([f.tobytes() for f in found], pa.binary()),
+                     pa.array([wide_sketch(f) for f in found], pa.binary())], names=["id", "shingles", "wide"])
 
-        rows = self.docs.select(F.col(self.key).alias("__k"), F.col(self.text).alias("__t"))
-        read = (rows.join(wanted, F.col("__k").eqNullSafe(F.col("__first"))).select("id", "__s", "__t")
-                .mapInArrow(run, "id bigint, shingles binary"))
-        return stored(read.groupBy("id").agg(F.first("shingles").alias("shingles")), "shingles")
+        rows = self.docs.select(F.monotonically_increasing_id().alias("__place"), F.col(self.text).alias("__t"))
+        return stored(rows.join(wanted, F.col("__place") == F.col("__at")).select("id", "__s", "__t")
+                      .mapInArrow(run, "id bigint, shingles binary, wide binary"), "shingles")
 
     def candidates(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) whose sizes and sketches allow a link."""
@@ -335,12 +407,33 @@ class Sets:
                                            F.col("sketch").alias(f"{side}_sketch")), side)
         return pairs.where(_near_sizes("a_n", "b_n", self.share) & _sketches_near(self.share)).select("a", "b")
 
-    def linked(self, pairs: DataFrame, held: DataFrame | None = None) -> DataFrame:
-        """The pairs ``(a, b)`` of stored candidates that are links, verified on the whole sets."""
-        if held is None:
-            held = self.shingles_of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-                                    .distinct())
+    def measured(self, pairs: DataFrame, held: DataFrame) -> DataFrame:
+        """The pairs that wide sketches leave room for a link, with the least number of shingles they
+        differ in, ``d``, and their shingles in total, ``n``."""
         share = self.share
+        for side in "ab":
+            pairs = pairs.join(held.select(F.col("id").alias(side), F.col("wide").alias(f"{side}_wide"),
+                                           (F.octet_length("shingles") / 8).cast("bigint").alias(f"{side}_n")), side)
+
+        def run(batches: Iterator) -> Iterator:
+            import pyarrow as pa
+
+            for batch in batches:
+                apart = np.array([least_differences(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3))],
+                                 np.int64)
+                total = np.asarray(batch.column(4))
+                fits = pa.array(apart * (100 + share) <= total * (100 - share))
+                yield pa.RecordBatch.from_arrays(
+                    [c.filter(fits) for c in (batch.column(0), batch.column(1), pa.array(apart), batch.column(4))],
+                    names=["a", "b", "d", "n"])
+
+        laid = pairs.select("a", "b", "a_wide", "b_wide", (F.col("a_n") + F.col("b_n")).alias("n"))
+        return stored(laid.mapInArrow(run, "a bigint, b bigint, d bigint, n bigint"), "measured")
+
+    def verified(self, pairs: DataFrame, held: DataFrame) -> DataFrame:
+        """The stored pairs ``(a, b)`` that are links, by their whole sets."""
+        share = self.share
+        pairs = _small(pairs.select("a", "b"), 16)
         for side in "ab":
             pairs = pairs.join(held.select(F.col("id").alias(side), F.col("shingles").alias(f"{side}_set")), side)
 
@@ -352,13 +445,48 @@ class Sets:
                 for x, y in zip(batch.column(2), batch.column(3)):
                     x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                     both = len(x) + len(y)
-                    common = both - len(np.unique(np.concatenate([x, y])))
+                    merged = np.concatenate([x, y])
+                    merged.sort()
+                    common = int(np.count_nonzero(merged[1:] == merged[:-1]))
                     fits.append(100 * common >= share * (both - common))
                 fits = pa.array(fits, pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column(i).filter(fits) for i in (0, 1)], names=["a", "b"])
 
         return stored(pairs.select("a", "b", "a_set", "b_set").mapInArrow(run, "a bigint, b bigint"), "links")
 
+    def linked(self, pairs: DataFrame, known: DataFrame | None = None, held: DataFrame | None = None,
+               direct_bytes: int = DIRECT_BYTES) -> DataFrame:
+        """Links among stored candidates ``(a, b)`` that connect all that their links connect.
+
+        Many candidates lie between the same two components of the ``known`` links: of these the pair
+        that differs least is verified first, and what it connects needs no other pair.  After
+        two such rounds, or where the sets of all pairs are few bytes, the rest is verified whole."""
+        if held is None:
+            held = self.shingles_of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+                                    .distinct())
+        pairs, found, rounds = self.measured(pairs, held), None, 0
+        while known is not None and rounds < 2 and (pairs.agg(F.sum("n")).first()[0] or 0) * 8 > direct_bytes:
+            apart = _apart(pairs, known if found is None else known.unionByName(found))
+            nearest = apart.groupBy("low", "high").agg(F.min(F.struct("d", "a", "b")).alias("p")).select("p.a", "p.b")
+            nearest = stored(nearest, "nearest")
+            links = self.verified(nearest, held)
+            found = links if found is None else found.unionByName(links)
+            pairs = stored(apart.join(nearest, ["a", "b"], "left_anti").select("a", "b", "d", "n"), "open-pairs")
+            rounds += 1
+        if rounds:
+            pairs = stored(_apart(pairs, known.unionByName(found)).select("a", "b"), "open-pairs")
+        links = self.verified(pairs, held)
+        return links if found is None else found.unionByName(links)
+
+
+def _apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """The pairs that ``links`` do not connect, with their components as ``low`` and ``high``."""
+    roots = stored(components(links), "roots")
+    for side in "ab":
+        pairs = pairs.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root")), side, "left")
+    ends = [F.coalesce(f"{side}_root", side) for side in "ab"]
+    return pairs.select("a", "b", "d", "n", F.least(*ends).alias("low"), F.greatest(*ends).alias("high")).where("low < high")
+
 
 def _rooted(rows: DataFrame, links: DataFrame) -> DataFrame:
     """``rows`` with the component of their ``id`` by ``links`` as ``root``."""
@@ -394,12 +522,20 @@ def _across(rows: DataFrame, share: int) -> DataFrame:
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _leaders(hits: DataFrame) -> DataFrame:
-    """A pair (a, b) per set: the leader (least id of an entry) with which it shares most entries."""
-    lead = hits.groupBy("sig").agg(F.min("id").alias("lead"))
-    votes = hits.join(lead, "sig").where("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("votes"))
+def _leaders(rows: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """A pair (a, b) per set b outside its entries' largest components: the leader (least id of such a
+    component) with which it shares most entries, of those not yet ``tried``."""
+    if tried is None:       # nothing is linked yet: every entry's least id leads
+        entries = rows.groupBy("sig").agg(F.min("id").alias("lead")).withColumn("main", F.col("lead"))
+    else:
+        parts = rows.groupBy("sig", "root").agg(F.count("*").alias("d"), (-F.min("id")).alias("lead"))
+        entries = parts.groupBy("sig").agg(F.max(F.struct("d", "lead", "root")).alias("m"), F.count("*").alias("roots")).where(
+            "roots > 1").select("sig", (-F.col("m.lead")).alias("lead"), F.col("m.root").alias("main"))
+    votes = rows.join(entries, "sig").where("root <> main").groupBy("id", "lead").agg(F.count("*").alias("votes"))
+    if tried is not None:
+        votes = votes.join(tried.select(F.col("a").alias("lead"), F.col("b").alias("id")), ["id", "lead"], "left_anti")
     best = votes.groupBy("id").agg(F.max(F.struct("votes", (-F.col("lead")).alias("lead")))["lead"].alias("lead"))
-    return best.select((-F.col("lead")).alias("a"), F.col("id").alias("b"))
+    return stored(best.select((-F.col("lead")).alias("a"), F.col("id").alias("b")), "leaders")
 
 
 def _deep_rows(held: DataFrame, share: int) -> DataFrame:
@@ -434,18 +570,28 @@ def _deep_rows(held: DataFrame, share: int) -> DataFrame:
     return held.mapInArrow(run, "id bigint, role int, place bigint, less boolean, sig bigint, cap bigint")
 
 
-def links(sets: Sets, mean_pairs: int = MEAN_PAIRS) -> DataFrame:
+def links(sets: Sets, mean_pairs: int = MEAN_PAIRS, direct_bytes: int = DIRECT_BYTES) -> DataFrame:
     """Pairs (a, b) of set ids, each a verified link, that connect all linked sets: a pair is left
     out only if others of the result connect it already."""
     share = sets.share
-    hits = stored(shared_subsets(sets.docs, sets.text, sets.words, share)
-                  .join(sets.classes.select("s", "id", "n"), "s").select("sig", "id", "n").distinct(), "entries")
-    found = sets.linked(stored(sets.candidates(_leaders(hits)), "candidates"))
-
-    rows = _rooted(hits, found).withColumn("less", F.lit(False))
+    # about half as many signatures as shingles
+    rows = sets.classes.agg(F.sum("n")).first()[0] or 0
+    hits = stored(shared_subsets(sets.docs, sets.text, sets.words, share, max(1, rows // (2 * SEARCH_ROWS)))
+                  .join(sets.classes.select("s1", "id", "n"), "s1").select("sig", "id", "n").distinct(), "entries")
+    rows, tried, found = hits.withColumn("root", F.col("id")), None, None
+    for _ in range(LEADER_ROUNDS):
+        nearest = _leaders(rows, tried)
+        new = sets.linked(stored(sets.candidates(nearest), "candidates"))
+        found = new if found is None else found.unionByName(new)
+        rows = stored(_rooted(hits, found), "rooted-entries")
+        tried = nearest if tried is None else tried.unionByName(nearest)
+        if new.isEmpty():
+            break
+
+    rows = rows.withColumn("less", F.lit(False))
     priced = stored(_priced(rows, mean_pairs), "priced")
     pairs = stored(sets.candidates(_across(priced.where("not dear"), share)), "candidates")
-    found = found.unionByName(sets.linked(pairs))
+    found = found.unionByName(sets.linked(pairs, found, direct_bytes=direct_bytes))
 
     # sets whose cheap segments do not reach the pigeonhole's sum
     dear = priced.where("dear").groupBy("id").agg(F.count("*").alias("dear"))
@@ -462,20 +608,22 @@ def links(sets: Sets, mean_pairs: int = MEAN_PAIRS) -> DataFrame:
     last = lost.groupBy("id", "role", "cap").agg(F.sum("v").alias("v")).where("v > cap").select("id").distinct()
     rest = priced.where("dear and not less").join(last, "id", "left_semi")
     pairs = stored(sets.candidates(pairs.unionByName(_across(rest, share)).distinct()), "candidates")
-    return found.unionByName(sets.linked(pairs, held))
+    return found.unionByName(sets.linked(pairs, found, held, direct_bytes))
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, share: int = SHARE,
-           mean_pairs: int = MEAN_PAIRS) -> DataFrame:
+           mean_pairs: int = MEAN_PAIRS, direct_bytes: int = DIRECT_BYTES) -> DataFrame:
     """``key, n_shingles, component`` for every row of ``docs``: the size of its set of distinct shingles
     and the least key reachable over links, its own included.
 
     Null, empty or blank texts have an empty set and are linked with nothing.  Equal sets are
     linked, so repeated rows share a component; a null key names one only if all keys of it
-    are null.  ``mean_pairs`` sets where allowances fall, never the result.
+    are null.  ``mean_pairs`` sets where allowances fall and ``direct_bytes`` the order in which pairs are
+    verified, never the result.  ``docs`` has to be a
+    stored table: a set's text is read again by its row's place.
     """
     sets = Sets(docs, key, text, words, share)
-    tied = stored(components(links(sets, mean_pairs)), "set-components")
+    tied = stored(components(links(sets, mean_pairs, direct_bytes)), "set-components")
     rooted = sets.classes.join(tied, F.col("id") == F.col("node"), "left").select(
         "s", "first", F.coalesce("root", "id").alias("root"))
     rooted = stored(rooted, "rooted")

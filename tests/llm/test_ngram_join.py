@@ -101,11 +101,22 @@ def test_pigeonhole():
         assert 2 * (segments - agree) <= apart
 
 
-@pytest.mark.parametrize("seed, mean_pairs", [(1, 32), (2, 1), (3, 0)])
-def test_groups_against_brute_force(spark, seed, mean_pairs):
+def test_sketches_never_overstate():
+    draw = np.random.default_rng(7)
+    for _ in range(200):
+        a = np.unique(draw.integers(0, 1 << 64, int(draw.integers(1, 900)), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[draw.random(len(a)) < 0.8], draw.integers(0, 1 << 64, int(draw.integers(0, 900)), dtype=np.uint64)]))
+        apart = len(a) + len(b) - 2 * len(np.intersect1d(a, b))
+        assert ngram_join.least_differences(ngram_join.wide_sketch(a), ngram_join.wide_sketch(b)) <= apart
+        assert int(np.bitwise_count((ngram_join.sketch(a) ^ ngram_join.sketch(b)).view(np.uint64)).sum()) <= apart
+    assert ngram_join.least_differences(ngram_join.wide_sketch(a), ngram_join.wide_sketch(a)) == 0
+
+
+@pytest.mark.parametrize("seed, mean_pairs, direct_bytes", [(1, 32, 1 << 20), (2, 1, 0), (3, 0, 0)])
+def test_groups_against_brute_force(spark, seed, mean_pairs, direct_bytes):
     rows = corpus(seed, 220)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = ngram_join.groups(docs, mean_pairs=mean_pairs).collect()
+    got = ngram_join.groups(docs, mean_pairs=mean_pairs, direct_bytes=direct_bytes).collect()
     assert sorted(map(tuple, got), key=str) == brute(rows)
 
 
