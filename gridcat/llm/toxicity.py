@@ -22,12 +22,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Texts, worker_memory
+
 THRESHOLD = 0.3
 WINDOW, STRIDE = 32, 16
 SAMPLE_PER_CLASS = 2000          # labelled documents of each class that the network is trained on, about
 SAMPLE_CHARS = 20_000            # longer documents are not used for training
 VOCABULARY, BUCKETS = 4096, 8192
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 12, 12, 8, 8
+EVIDENCE, ENOUGH = 0.3, 1200     # part of a word's log odds that its embedding starts with, less the more documents
 EPOCHS, MIN_STEPS, BATCH, RATE = 6, 500, 128, 0.01
 SPARE_WINDOWS = 4000             # random windows of clean documents, about
 HELD_OUT_MODULUS, HELD_OUT_REST = 4, 2
@@ -209,18 +212,24 @@ class Scorer:
     def __init__(self, network: Network):
         self.network = network
         self.rows: dict[str, int] = {}
-        self.inputs = np.zeros((1, 6 * HIDDEN), np.float32)     # row 0 pads
+        self.inputs = np.zeros((1024, 6 * HIDDEN), np.float32)     # row 0 pads
+        self.used = 1
 
     def _learn(self, words: set[str]) -> None:
         fresh = [w for w in words if w not in self.rows]
         if not fresh:
             return
         if len(self.rows) + len(fresh) > _CACHED_WORDS:
-            self.rows, self.inputs, fresh = {}, self.inputs[:1], list(words)
+            self.rows, self.used, fresh = {}, 1, list(words)
         vectors, _ = self.network.embed([trimmed(w) for w in fresh])
-        n = len(self.inputs)
-        self.inputs = np.concatenate([self.inputs, self.network.project(vectors)])
-        self.rows.update(zip(fresh, range(n, n + len(fresh))))
+        n, end = self.used, self.used + len(fresh)
+        if end > len(self.inputs):
+            grown = np.zeros((max(end, 2 * len(self.inputs)), 6 * HIDDEN), np.float32)
+            grown[:n] = self.inputs[:n]
+            self.inputs = grown
+        self.inputs[n:end] = self.network.project(vectors)
+        self.rows.update(zip(fresh, range(n, end)))
+        self.used = end
 
     def window_logits(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Logits of all windows of some texts' words, their text and first word."""
@@ -243,7 +252,7 @@ class Scorer:
             out[some] = self.network.forward(rows[some], lengths[some], self.inputs)
         return out, owner, first
 
-    def scores(self, texts: list) -> np.ndarray:
+    def scores(self, texts) -> np.ndarray:
         """Score of each text; one without words has the empty window's."""
         out = np.full(len(texts), -np.inf)
         block, size = [], 0
@@ -306,6 +315,8 @@ def train(texts: list[str], labels: list[int], seed: int = 1, epochs: int = EPOC
     known = sorted((w for w, n in seen.items() if n >= 3), key=lambda w: (-abs(odds[w]), w))[:VOCABULARY]
     network = Network({w: i + 1 for i, w in enumerate(known)}, seed)
     network.p["b"][:] = -2.0
+    # a few documents show each word too seldom to train its embedding: its first entry starts at the word's log odds
+    network.p["word"][1:, 0] = EVIDENCE * max(0, 1 - len(docs) / ENOUGH) * np.clip([odds[w] for w in known], -6, 6)
 
     # few clean documents give more windows each: what is ordinary has to be seen
     spare = int(np.clip(SPARE_WINDOWS // max(1, int((y == 0).sum())), 1, 12))
@@ -391,10 +402,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     for value, n in counts.items():
         wanted = F.when(F.col("__label") == value, min(1 << 20, (1 << 20) * per_class // n)).otherwise(wanted)
     # the sample's size is bounded by its parameter, so it is broadcast to the texts
-    sample = known.where(part < wanted).limit(4 * per_class)
+    sample = known.where(part < wanted).orderBy(part, "__key").limit(4 * per_class)
     body = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).where(
         F.length("__text").between(1, characters))
-    rows = body.join(F.broadcast(sample), "__key").select("__key", "__text", "__label").limit(8 * per_class).collect()
+    rows = (body.join(F.broadcast(sample), "__key").select("__key", "__text", "__label")
+            .orderBy(part, "__key", F.xxhash64("__text")).limit(8 * per_class).collect())
     rows = sorted({(r[0], r[1], r[2]) for r in rows})
     return train([r[1] for r in rows], [r[2] for r in rows])
 
@@ -408,11 +420,13 @@ def score(docs: DataFrame, network: Network, key: str = "doc_id", text: str = "t
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        scorer = Scorer(network)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(scorer.scores(batch.column(2).to_pylist()), pa.float64())],
-                names=[key, "held_out", "score"])
+        with worker_memory():
+            scorer = Scorer(network)
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(scorer.scores(Texts(batch.column(2))), pa.float64())],
+                    names=[key, "held_out", "score"])
+            del scorer
 
     scored = docs.select(key, held_out(key).alias("held_out"), text).mapInArrow(
         run, f"`{key}` {kind}, held_out boolean, score double")
@@ -426,8 +440,10 @@ def drop_toxic(docs: DataFrame, network: Network, text: str = "text", threshold:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        scorer = Scorer(network)
-        for batch in batches:
-            yield batch.filter(pa.array(scorer.scores(batch.column(place).to_pylist()) < threshold, pa.bool_()))
+        with worker_memory():
+            scorer = Scorer(network)
+            for batch in batches:
+                yield batch.filter(pa.array(scorer.scores(Texts(batch.column(place))) < threshold, pa.bool_()))
+            del scorer
 
     return docs.mapInArrow(run, docs.schema)
