@@ -18,6 +18,7 @@ inputs are cast on the way in and outputs cast back.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from gridcat.functions.jobs import FAILED_STATES, SUCCESS_STATES
 from gridcat.operators.upsert import dedupe_last_wins
+from gridcat.session import STATE_CONF
 
 
 def to_event_time(df: DataFrame, col: str) -> DataFrame:
@@ -45,9 +47,28 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, glob: str =
     return r.parquet(path)
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB whatever the session's own provider: ``job_gate``
+    cannot run on another, and state stays off the heap.  A stream takes its settings when it starts and a
+    checkpoint keeps the provider it began with, so the session's settings are put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def run_available(writer, checkpoint: str) -> None:
-    """Run a stream over everything available now and wait for it."""
-    q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Run a stream over everything available now, its state in RocksDB, and wait for it."""
+    with rocksdb_state(SparkSession.active()):
+        q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
