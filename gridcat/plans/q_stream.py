@@ -13,7 +13,6 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcat.operators.upsert import dedupe_last_wins
 from gridcat.plans.q_catalog import DUCK_LI, ITEM_KEYS, ITEM_ORDER, _li_items
 from gridcat.plans.registry import query
 from gridcat.plans.views import table
@@ -122,11 +121,10 @@ def stream_upsert(spark, sf):
     base = scratch_dir(spark, f"stream-upsert-{uuid.uuid4().hex}")
     li = ST.with_bucket(_li_items(spark, sf), "item_id", UPSERT_BUCKETS)
     order, parts = ["side", *ITEM_ORDER], ["collection_id", "bucket"]  # 'new' sorts after 'existing'
-    v0 = dedupe_last_wins(li.filter(F.col("side") == "existing"), ITEM_KEYS, order)
-    v0.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(f"{base}/table/live")
+    merge = ST.upsert_batch_partitioned(f"{base}/table", ITEM_KEYS, order, parts, LI_SCHEMA)
+    merge(li.filter(F.col("side") == "existing"), 0)  # into an empty table
     li.filter(F.col("side") == "new").repartition(4, "item_id").write.parquet(f"{base}/in")
     stream = ST.read_files(spark, f"{base}/in", LI_SCHEMA, max_files=2)
-    merge = ST.upsert_batch_partitioned(f"{base}/table", ITEM_KEYS, order, parts, LI_SCHEMA)
     ST.run_available(stream.writeStream.foreachBatch(merge), f"{base}/ckpt")
     return spark.read.schema(LI_SCHEMA).parquet(f"{base}/table/live").select(*[f.name for f in LI_SCHEMA.fields[:-1]])
 

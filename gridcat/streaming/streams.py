@@ -211,23 +211,68 @@ def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
     return df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
 
 
+SLICE_ROWS = 1 << 20     # rows that a slice of a partition holds, one file each
+
+
+def partition_slices(rows: DataFrame, partition_by: Sequence[str], held: DataFrame | None = None) -> DataFrame:
+    """How many slices of ``SLICE_ROWS`` each partition of ``rows`` takes together with the rows of
+    ``held`` in it: (``partition_by``..., ``_slices``)."""
+    n = rows.groupBy(*partition_by).agg(F.count("*").alias("_n"))
+    if held is not None:
+        n_held = held.groupBy(*partition_by).agg(F.count("*").alias("_n"))
+        n = n_held.join(n.select(*partition_by), list(partition_by), "left_semi").unionByName(n)
+    return n.groupBy(*partition_by).agg(F.ceil(F.sum("_n") / SLICE_ROWS).cast("int").alias("_slices"))
+
+
+def dedupe_by_partition(rows: DataFrame, slices: DataFrame, keys: Sequence[str], order: Sequence[str],
+                        partition_by: Sequence[str]) -> DataFrame:
+    """``dedupe_last_wins`` with the rows laid out as ``partition_by`` writes them, in one shuffle: by
+    partition and, where one is large, by slices of its keys (``slices``, of ``partition_slices``; partitions
+    that it does not name are left out).  A partition is written by as many tasks as it has slices, whose rows
+    are in its order already."""
+    parts, keys = list(partition_by), list(keys)
+    s = slices.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(parts)], "_slices")
+    same = [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(parts)]
+    sliced = rows.join(s, same).select(*rows.columns, F.pmod(F.xxhash64(*keys), F.col("_slices")).alias("_slice"))
+    laid = sliced.repartition(*parts, "_slice")
+    by = list(dict.fromkeys([*parts, "_slice", *keys]))
+    return dedupe_last_wins(laid, by, order).select(*rows.columns)
+
+
+def _swap(spark: SparkSession, stage: str, live: str, partition_by: Sequence[str]) -> None:
+    """Puts the partition folders of ``stage`` in the place of those of ``live``.  A swap that was cut short
+    goes on with the folders still staged."""
+    fs, to = _hadoop(spark, live)
+    fs.mkdirs(to)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for status in fs.globStatus(path("/".join([stage, *(f"{c}=*" for c in partition_by)]))) or []:
+        staged, place = status.getPath(), live
+        for name in str(staged.toString()).split("/")[-len(partition_by):]:
+            place = f"{place}/{name}"
+        target = path(place)
+        fs.delete(target, True)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(staged, target):
+            raise OSError(f"cannot move {staged.toString()} to {place}")
+
+
 def upsert_batch_partitioned(root: str, keys: Sequence[str], order: Sequence[str], partition_by: Sequence[str],
                              schema: T.StructType, fail_after_stage: Callable[[int], bool] | None = None):
     """T3 without rewriting the table: ``foreachBatch`` body for a live table
     at ``root/live`` partitioned by ``partition_by``, columns that follow from
     ``keys`` (e.g. the collection and a hash bucket of the id).
 
-    1. the partitions the batch touches are read (a semi join on the partition
-       columns, pruned at run time), merged with the batch - newest by
-       ``order`` wins per key - and written to a stage of this stream's own,
-       ``root/_staging/<query id>/batch=<id>``;
-    2. the staged rows replace exactly those partitions (dynamic partition
-       overwrite); untouched partitions are never read or written;
+    1. the table's rows are counted by partition (from the files' footers); the partitions the batch
+       touches are read, merged with the batch - newest by ``order`` wins per key - and written,
+       partitioned as the table is, to a stage of this stream's own,
+       ``root/_staging/<query id>/batch=<id>``: one shuffle and one write;
+    2. the staged folders are moved into the place of exactly those partitions;
+       the rows of untouched partitions are never read or written;
     3. the stage is dropped.
 
     The query id belongs to the checkpoint, so a second stream with a new
     checkpoint never meets the stages of the first.  A batch replayed after a crash
-    in step 2 finds its staged rows complete and repeats the swap; one replayed after
+    in step 2 finds its stage complete and moves the folders that are left; one replayed after
     step 3 merges the same rows again - the same table either way.  Readers
     see each partition replaced whole, not a snapshot across partitions (that
     needs a table format with MERGE); one writer at a time.
@@ -239,17 +284,22 @@ def upsert_batch_partitioned(root: str, keys: Sequence[str], order: Sequence[str
         spark = batch.sparkSession
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
         stage = f"{root}/_staging/{query_id}/batch={batch_id:08d}"
+        counts = f"{root}/_staging/{query_id}/slices={batch_id:08d}"
         if not _has_success(spark, stage):
             rows = batch.select(*cols)
-            if _exists(spark, live):
-                touched = rows.select(*partition_by).distinct()
-                cur = spark.read.schema(schema).parquet(live).join(touched, partition_by, "left_semi")
-                rows = cur.select(*cols).unionByName(rows)
-            dedupe_last_wins(rows, keys, order).write.mode("overwrite").parquet(stage)
+            live_rows = spark.read.schema(schema).parquet(live).select(*cols) if _exists(spark, live) else None
+            # written first: a row a partition, whose size is then known, so that the table is never shuffled to meet it
+            slices = partition_slices(rows, partition_by, live_rows)
+            slices.coalesce(1).write.mode("overwrite").parquet(counts)
+            slices = spark.read.schema(slices.schema).parquet(counts)
+            if live_rows is not None:
+                rows = live_rows.join(slices, partition_by, "left_semi").select(*cols).unionByName(rows)
+            dedupe_by_partition(rows, slices, keys, order, partition_by).write.mode("overwrite") \
+                .partitionBy(*partition_by).parquet(stage)
         if fail_after_stage and fail_after_stage(batch_id):
             raise RuntimeError("stopped between the stage and the swap")
-        (spark.read.schema(schema).parquet(stage).hint("rebalance", *partition_by).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(live))
+        _swap(spark, stage, live, partition_by)
+        _drop(spark, counts)
         _drop(spark, stage)
     return fn
 
