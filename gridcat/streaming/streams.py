@@ -19,6 +19,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -220,7 +222,8 @@ def partition_slices(rows: DataFrame, partition_by: Sequence[str], held: DataFra
     n = rows.groupBy(*partition_by).agg(F.count("*").alias("_n"))
     if held is not None:
         n_held = held.groupBy(*partition_by).agg(F.count("*").alias("_n"))
-        n = n_held.join(n.select(*partition_by), list(partition_by), "left_semi").unionByName(n)
+        same = [n_held[c].eqNullSafe(n[c]) for c in partition_by]
+        n = n_held.join(n, same, "left_semi").unionByName(n)
     return n.groupBy(*partition_by).agg(F.ceil(F.sum("_n") / SLICE_ROWS).cast("int").alias("_slices"))
 
 
@@ -293,7 +296,10 @@ def upsert_batch_partitioned(root: str, keys: Sequence[str], order: Sequence[str
             slices.coalesce(1).write.mode("overwrite").parquet(counts)
             slices = spark.read.schema(slices.schema).parquet(counts)
             if live_rows is not None:
-                rows = live_rows.join(slices, partition_by, "left_semi").select(*cols).unionByName(rows)
+                # equal names prune the folders that are read; those of null names, which equal nothing, are read besides
+                unnamed = live_rows.where(reduce(or_, [F.col(c).isNull() for c in partition_by]))
+                rows = (live_rows.join(slices, partition_by, "left_semi").select(*cols)
+                        .unionByName(unnamed).unionByName(rows))
             dedupe_by_partition(rows, slices, keys, order, partition_by).write.mode("overwrite") \
                 .partitionBy(*partition_by).parquet(stage)
         if fail_after_stage and fail_after_stage(batch_id):

@@ -446,6 +446,17 @@ def test_upsert_batch_shuffles_its_rows_once(spark, tmp_path, monkeypatch):
     assert spark.read.schema(schema).parquet(f"{root}/live").count() == 12
 
 
+def test_upsert_keeps_rows_of_a_null_partition(spark, tmp_path):
+    """Rows whose partition has no name outlast batches that bring more of them, and those that do not."""
+    schema, root = _upsert_schema(), str(tmp_path / "tbl")
+    fn = ST.upsert_batch_partitioned(root, ["cid", "id"], ["seq"], ["cid"], schema)
+    for n, rows_ in enumerate(([(None, "x", 0, "old"), (None, "y", 0, "old"), ("A", "a", 0, "old")],
+                               [(None, "x", 1, "new"), (None, "z", 1, "new")], [("A", "a", 2, "new")])):
+        fn(spark.createDataFrame(rows_, schema), n)
+    got = {(r.cid, r.id): r.v for r in spark.read.schema(schema).parquet(f"{root}/live").collect()}
+    assert got == {(None, "x"): "new", (None, "y"): "old", (None, "z"): "new", ("A", "a"): "new"}
+
+
 def test_upsert_swap_goes_on_after_a_crash_in_it(spark, tmp_path, monkeypatch):
     """A swap that ended with one folder moved and the next one's place empty is finished by the replay."""
     schema, root = _upsert_schema(), str(tmp_path / "tbl")
