@@ -57,7 +57,7 @@ def _statuses(spark, sf):
 def _run_gate(spark, sf, base: str) -> str:
     out = f"{base}/gate"
     gate = ST.job_gate(_statuses(spark, sf))
-    ST.run_available(gate.writeStream.format("parquet").option("path", out).outputMode("append"), f"{base}/ckpt-gate")
+    ST.run_available(gate.writeStream.format("parquet").option("path", out).outputMode("append"), f"{base}/ckpt-gate", spark)
     return out
 
 
@@ -83,7 +83,7 @@ def stream_new_files(spark, sf):
     def sink(df, _batch_id):
         df.write.mode("overwrite").parquet(out)
     ST.run_available(ST.file_counts(stream, "event_type").writeStream.outputMode("complete").foreachBatch(sink),
-                     f"{base}/ckpt")
+                     f"{base}/ckpt", spark)
     return spark.read.parquet(out).select("event_type", "n")
 
 
@@ -96,7 +96,7 @@ def stream_file_rows(spark, sf):
     base = scratch_dir(spark, f"stream-rows-{uuid.uuid4().hex}")
     for _ in range(2):
         rows = ST.with_file(_events(spark, sf)).select("event_id", "event_type", "file")
-        ST.run_available(rows.writeStream.format("parquet").option("path", f"{base}/rows").outputMode("append"), f"{base}/ckpt")
+        ST.run_available(rows.writeStream.format("parquet").option("path", f"{base}/rows").outputMode("append"), f"{base}/ckpt", spark)
     return spark.read.parquet(f"{base}/rows")
 
 
@@ -125,7 +125,7 @@ def stream_upsert(spark, sf):
     merge(li.filter(F.col("side") == "existing"), 0)  # into an empty table
     li.filter(F.col("side") == "new").repartition(4, "item_id").write.parquet(f"{base}/in")
     stream = ST.read_files(spark, f"{base}/in", LI_SCHEMA, max_files=2)
-    ST.run_available(stream.writeStream.foreachBatch(merge), f"{base}/ckpt")
+    ST.run_available(stream.writeStream.foreachBatch(merge), f"{base}/ckpt", spark)
     return spark.read.schema(LI_SCHEMA).parquet(f"{base}/table/live").select(*[f.name for f in LI_SCHEMA.fields[:-1]])
 
 
@@ -152,7 +152,7 @@ def stream_product_gate(spark, sf):
     joined = ST.product_gate(p, g).select("product_id", F.col("p_job_id").alias("job_id"), "p_ts", "g_ts")
     out = f"{base}/released"
     ST.run_available(joined.writeStream.format("parquet").option("path", out).outputMode("append"),
-                     f"{base}/ckpt-join")
+                     f"{base}/ckpt-join", spark)
     return (spark.read.parquet(out)
             .select("product_id", "job_id", F.col("p_ts").cast("timestamp_ntz").alias("p_ts"),
                     F.col("g_ts").cast("timestamp_ntz").alias("g_ts")))
@@ -176,7 +176,7 @@ def stream_product_outcomes(spark, sf):
     p, g = _products_and_successes(spark, sf, _run_gate(spark, sf, base))
     out = f"{base}/outcomes"
     ST.run_available(ST.product_outcomes(p, g).writeStream.format("parquet").option("path", out).outputMode("append"),
-                     f"{base}/ckpt-outcomes")
+                     f"{base}/ckpt-outcomes", spark)
     return (spark.read.parquet(out).select("product_id", "job_id", F.col("p_ts").cast("timestamp_ntz").alias("p_ts"),
                                            F.col("g_ts").cast("timestamp_ntz").alias("g_ts"), "outcome"))
 
@@ -190,7 +190,7 @@ def stream_status_dedupe(spark, sf):
     base = scratch_dir(spark, f"stream-dedupe-{uuid.uuid4().hex}")
     out = f"{base}/out"
     ST.run_available(ST.dedupe_statuses(_statuses(spark, sf)).writeStream.format("parquet").option("path", out)
-                     .outputMode("append"), f"{base}/ckpt")
+                     .outputMode("append"), f"{base}/ckpt", spark)
     return spark.read.parquet(out).groupBy("job_id", "status").agg(F.count("*").cast("bigint").alias("n"))
 
 
@@ -214,5 +214,5 @@ def notification_sink(spark, sf):
         F.concat("event_type", F.lit(" of job "), F.col("user_id").cast("string")).alias("payload"))
     messages.repartition(4, "message_id").write.parquet(f"{base}/in")
     stream = ST.read_files(spark, f"{base}/in", messages.schema, max_files=1)
-    ST.run_available(stream.writeStream.foreachBatch(ST.notification_batches(f"{base}/out", _refusing)), f"{base}/ckpt")
+    ST.run_available(stream.writeStream.foreachBatch(ST.notification_batches(f"{base}/out", _refusing)), f"{base}/ckpt", spark)
     return ST.notification_results(spark, f"{base}/out").select("message_id", "sent", "error")

@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 from operator import or_
+from threading import Lock
 
 import numpy as np
 import pandas as pd
@@ -49,27 +50,33 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, glob: str =
     return r.parquet(path)
 
 
+_STARTING = Lock()
+
+
 @contextmanager
 def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Streams started inside keep their state in RocksDB whatever the session's own provider: ``job_gate``
-    cannot run on another, and state stays off the heap.  A stream takes its settings when it starts and a
-    checkpoint keeps the provider it began with, so the session's settings are put back afterwards."""
-    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
-    for k, v in STATE_CONF.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
-def run_available(writer, checkpoint: str) -> None:
-    """Run a stream over everything available now, its state in RocksDB, and wait for it."""
-    with rocksdb_state(SparkSession.active()):
+    """Streams of ``spark`` started inside keep their state in RocksDB whatever the session's own provider:
+    ``job_gate`` cannot run on another, and state stays off the heap.  A stream takes its settings when it starts
+    and a checkpoint keeps the provider it began with, so the session's settings are put back afterwards; streams
+    started by several threads start one after the other, so none puts them back under another."""
+    with _STARTING:
+        before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+        for k, v in STATE_CONF.items():
+            spark.conf.set(k, v)
+        try:
+            yield
+        finally:
+            for k, v in before.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
+
+
+def run_available(writer, checkpoint: str, spark: SparkSession | None = None) -> None:
+    """Run a stream over everything available now, its state in RocksDB, and wait for it.  ``spark`` is
+    the session that the stream was made in, where that is not the active one."""
+    with rocksdb_state(spark or SparkSession.active()):
         q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
