@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import Texts, shared_dir, stored
+from .common import shared_dir, stored
 
 END_ID = 2
 SHARD_BYTES = 16 << 20      # of text per shard
@@ -79,23 +79,24 @@ def write_shards(docs: DataFrame, path: str, folder: str, key: str = "doc_id", t
                 name = f"ids-{batch.column(2)[0].as_py():06d}-{uuid.uuid4().hex}.bin"
                 store.create_dir(base, recursive=True)
                 out = store.open_output_stream(f"{base}/{name}")
-            offsets, counts, copies = [], [], []
-            for k, t in zip(batch.column(0).to_pylist(), Texts(batch.column(1))):
-                packed = encoder.encode(t) + end
-                out.write(packed)
+            counts, copies = [], []
+            for part in bpe.text_slices(batch.column(1)):
+                ids, n = encoder.encode_column(part, end)
+                out.write(ids.tobytes())
+                counts.append(n)
+            for k in batch.column(0).to_pylist():
                 copy = copy + 1 if k == last else 0
                 last = k
-                offsets.append(at)
-                counts.append(len(packed) // encoder.width)
                 copies.append(copy)
-                at += counts[-1]
+            counts = np.concatenate(counts)
+            upto = at + np.cumsum(counts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(copies, pa.int64()), batch.column(2), pa.array([name] * len(counts)),
-                 pa.array(offsets, pa.int64()), pa.array(counts, pa.int64())],
+                 pa.array(upto - counts), pa.array(counts)],
                 names=[key, "copy", "shard", "file", "offset", "n"])
+            at = int(upto[-1])
         if out is not None:
             out.close()
-        encoder.forget()
 
     manifest = stored(dealt.mapInArrow(
         run, f"`{key}` {kind}, copy bigint, shard int, file string, offset bigint, n bigint"), "manifest")

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from gridcat.llm import bpe, chunk_bpe, queries, token_index
@@ -30,6 +31,40 @@ def test_units_equal_the_library(tokenizer):
         assert encoder.decode(packed) == tokenizer.decode(ids, skip_special_tokens=False)
 
 
+def test_columns_equal_the_library(tokenizer):
+    """op10: a column's ids are those of its texts, tails between, whatever slices it is cut into; punctuation
+    after Latin letters is told apart without the library."""
+    encoder = bpe.Bpe(tokenizer_path(), cached_units=50)
+    marks = random.Random(5).choices([*PIECES, "*", "$$", "&#%", "ß", "é.\na", "ñ,", "!?", "\xa0", "\u2028", "\u1680"], k=20_000)
+    many = [*texts(3, 2000, 30), "", " ", "a ", "".join(marks), prose(2, 300), "x" * 5000, "", " " * 300, "a b"]
+    many += ["".join(marks[i:i + 9]) for i in range(0, 18_000, 9)]
+    tail = np.array([2, 7], encoder.dtype).tobytes()
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2, 7] for t in many]
+    for kind in (pa.string(), pa.large_string()):
+        for slice_bytes in (50, 1 << 30):
+            parts = list(bpe.text_slices(pa.array(["outside", *many], kind).slice(1), slice_bytes))
+            got = [encoder.encode_column(part, tail) for part in parts]
+            assert sum(map(len, parts)) == len(many) and (slice_bytes == 50) == (len(parts) > 100)
+            assert np.concatenate([n for _, n in got]).tolist() == [len(w) for w in want]
+            assert np.concatenate([ids for ids, _ in got]).tolist() == [i for w in want for i in w]
+    ids, n = encoder.encode_column(pa.array([], pa.string()), tail)
+    assert not len(ids) and not len(n) and not list(bpe.text_slices(pa.array([], pa.string())))
+
+
+def test_units_of_a_column_are_looked_up_once(tokenizer):
+    asked = []
+
+    class Counting(dict):
+        def __getitem__(self, unit):
+            asked.append(unit)
+            return b"\1\0"
+
+    encoder = bpe.Bpe(tokenizer_path(), cached_units=50)
+    encoder.spaced = Counting()
+    ids, n = encoder.encode_column(pa.array(["the one and the other one"] * 100))
+    assert sorted(asked) == ["and", "one", "other", "the"] and n.tolist() == [6] * 100 and len(ids) == 600
+
+
 def test_decoding_ids_that_are_no_text(tokenizer):
     encoder = bpe.load(tokenizer_path())
     for ids in ([255], [160, 94], [50256, 3, 160], list(range(300))):
