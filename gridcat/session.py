@@ -14,6 +14,8 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # A partition of a join keeps four stores; their logs take the disk they fill, none in advance.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 # Settings every gridcat job relies on; a cluster may override the sizing ones.
 DEFAULT_CONF = {
