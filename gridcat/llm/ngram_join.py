@@ -3,17 +3,19 @@
 The universe of shingles is cut by hash into segments, whose number depends on a
 set's size band.  Two sets that differ in at most H shingles, spread over
 segments with allowances v, agree in some segment up to its allowance as soon as
-the allowances sum to more than H: allowance 1 asks for equal subsets, 2 for
-subsets that are equal after one deletion, 0 asks for nothing.
+the allowances sum to more than H: allowance 1 asks for equal subsets, 0 asks for
+nothing.
 
 Allowances are allotted by cost.  Every set first indexes all its segments'
 subsets.  In a few rounds each set is linked to the leader with which it shares most entries, a
 pair a set.  What that connects needs no further look, so the cost of an index entry is its number of
 pairs across components; cheap entries (a bounded mean per row) are paired, dear ones
 get allowance 0.  A set whose cheap segments still sum to more than H has met all
-its partners.  The few others index their one-deletion neighbourhoods too and
-allot 2, 1 or 0 the same way, and only pairs of sets that are short even then
-are taken from the dear entries.  Every candidate is verified on the whole sets.
+its partners.  The few others can only be linked with each other: they share their rarest
+shingles, so each indexes as many of these as linked sets may differ in on one side
+(prefix filter), rarity being read from a table of counters of fixed size.  Pairs leave an entry only
+if the sketches, which the rows bring along, leave room for a link.  Every candidate is verified on
+the whole sets.
 
 Of equal sets one takes part.  A set's size picks its own band's scheme, and also the
 next smaller band's if a partner can be in it.
@@ -40,6 +42,8 @@ MEAN_PAIRS = 32         # pairs a row of an index entry that is paired, on avera
 BROADCAST_BYTES = 8 << 20
 DIRECT_BYTES = 64 << 20     # of sets that are sent for pairs without asking first which pairs matter
 _SKETCH_BITS = 512
+_COUNTERS = 1 << 20     # counters of shingles, by low bits: a fixed size, as any order of shingles is right
+_COUNTER_PARTS = 16
 _BLOCK_ROWS = 1 << 20   # signatures that a task groups at a time
 _BLOCK_SHINGLES = 1 << 16
 SEARCH_ROWS = 1 << 20     # signatures that a task searches, about
@@ -356,8 +360,7 @@ def _near_sizes(a: str, b: str, share: int) -> Column:
 
 def _sketches_near(share: int) -> Column:
     """Whether two sets' sketches (a_sketch, b_sketch) leave room for a link at their sizes."""
-    differ = F.aggregate(F.zip_with("a_sketch", "b_sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
-                         lambda total, bits: total + bits)
+    differ = sum((F.bit_count(F.col("a_sketch")[i].bitwiseXOR(F.col("b_sketch")[i])) for i in range(_SKETCH_BITS // 64)), F.lit(0))
     return differ * (100 + share) <= (F.col("a_n") + F.col("b_n")) * (100 - share)
 
 
@@ -399,6 +402,10 @@ class Sets:
         return stored(rows.join(wanted, F.col("__place") == F.col("__at")).select("id", "__s", "__t")
                       .mapInArrow(run, "id bigint, shingles binary, wide binary"), "shingles")
 
+    def sketched(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the sketch of their ``id``."""
+        return rows.join(self.classes.select("id", "sketch"), "id")
+
     def candidates(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) whose sizes and sketches allow a link."""
         mine = self.classes.select("id", "n", "sketch")
@@ -433,9 +440,14 @@ class Sets:
     def verified(self, pairs: DataFrame, held: DataFrame) -> DataFrame:
         """The stored pairs ``(a, b)`` that are links, by their whole sets."""
         share = self.share
-        pairs = _small(pairs.select("a", "b"), 16)
+        ends = pairs.select("a", "b")
+        few = ends.count() * 16 <= BROADCAST_BYTES
+        pairs = F.broadcast(ends) if few else ends
         for side in "ab":
-            pairs = pairs.join(held.select(F.col("id").alias(side), F.col("shingles").alias(f"{side}_set")), side)
+            of = held.select(F.col("id").alias(side), F.col("shingles").alias(f"{side}_set"))
+            if few:         # sets that no pair asks for are not shuffled
+                of = of.join(F.broadcast(ends.select(side).distinct()), side, "left_semi")
+            pairs = pairs.join(of, side)
 
         def run(batches: Iterator) -> Iterator:
             import pyarrow as pa
@@ -495,31 +507,35 @@ def _rooted(rows: DataFrame, links: DataFrame) -> DataFrame:
         *rows.columns, F.coalesce("__root", "id").alias("root"))
 
 
-def _priced(rows: DataFrame, mean_pairs: int) -> DataFrame:
-    """Rows of index entries (sig, id, n, root, less) that pair different components, with ``main``, the
-    entry's largest component, and ``dear``, whether its pairs exceed ``mean_pairs`` a row.  Rows
-    after a deletion (``less``) pair with whole subsets only."""
-    by_root = rows.groupBy("sig", "root").agg(F.count("*").alias("d"), F.count_if(~F.col("less")).alias("f"))
+def _mixed_entries(rows: DataFrame) -> DataFrame:
+    """Rows of index entries (sig, id, n, root) that pair different components, with ``main``, the
+    entry's largest component, and ``across``, its pairs across components a row, each counted twice."""
+    by_root = rows.groupBy("sig", "root").agg(F.count("*").alias("d"))
     entries = by_root.groupBy(F.col("sig").alias("__sig")).agg(
-        F.sum("d").alias("d"), F.sum("f").alias("f"), F.sum(F.col("d") * F.col("f")).alias("own"),
+        F.sum("d").alias("d"), F.sum(F.col("d") * F.col("d")).alias("own"),
         F.count("*").alias("roots"), F.max(F.struct("d", "root"))["root"].alias("main"))
-    entries = entries.where("roots > 1 and f > 0").select(
-        "__sig", "main", (F.col("d") * F.col("f") - F.col("own") > 2 * mean_pairs * F.col("d")).alias("dear"))
+    entries = entries.where("roots > 1").select(
+        "__sig", "main", (F.col("d") - F.col("own") / F.col("d")).alias("across"))
     return rows.join(entries, rows.sig == F.col("__sig")).drop("__sig")
 
 
+def _priced(rows: DataFrame, mean_pairs: int) -> DataFrame:
+    """``_mixed_entries`` with ``dear``, whether the entry's pairs exceed ``mean_pairs`` a row."""
+    return _mixed_entries(rows).withColumn("dear", F.col("across") > 2 * mean_pairs)
+
+
 def _across(rows: DataFrame, share: int) -> DataFrame:
-    """Distinct pairs (a, b) of different components in one entry.  One side is never of the entry's
-    largest component, so its rows are not compared with each other."""
-    minor = rows.where("root <> main").select("sig", F.col("id").alias("a"), F.col("n").alias("a_n"),
-                                              F.col("root").alias("a_root"), F.col("less").alias("a_less"))
-    other = rows.select("sig", F.col("id").alias("b"), F.col("n").alias("b_n"), F.col("root").alias("b_root"),
-                        F.col("less").alias("b_less"), "main")
+    """Distinct pairs (a, b) of different components in one entry that sizes and sketches leave room for a
+    link; the smaller set's row has to be a ``lead``.  One side is never of the entry's largest component, so its
+    rows are not compared with each other."""
+    minor = rows.where("root <> main").select("sig", *(F.col(c).alias(f"a_{c}") for c in ("id", "n", "root", "lead", "sketch")))
+    other = rows.select("sig", "main", *(F.col(c).alias(f"b_{c}") for c in ("id", "n", "root", "lead", "sketch")))
     met = minor.join(other, "sig").where(
-        (F.col("a_root") != F.col("b_root")) & ~(F.col("a_less") & F.col("b_less"))
-        & ((F.col("b_root") == F.col("main")) | (F.col("a") < F.col("b")) | F.col("a_less") | F.col("b_less"))
-        & _near_sizes("a_n", "b_n", share))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        (F.col("a_root") != F.col("b_root"))
+        & ((F.col("b_root") == F.col("main")) | (F.col("a_id") < F.col("b_id")))
+        & F.when(F.col("a_n") <= F.col("b_n"), F.col("a_lead")).otherwise(F.col("b_lead"))
+        & _near_sizes("a_n", "b_n", share) & _sketches_near(share))
+    return met.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
 
 
 def _leaders(rows: DataFrame, tried: DataFrame | None) -> DataFrame:
@@ -538,36 +554,73 @@ def _leaders(rows: DataFrame, tried: DataFrame | None) -> DataFrame:
     return stored(best.select((-F.col("lead")).alias("a"), F.col("id").alias("b")), "leaders")
 
 
-def _deep_rows(held: DataFrame, share: int) -> DataFrame:
-    """``(id, role, place, less, sig, cap)``: all subsets of short sets and their one-deletion
-    neighbourhoods; ``cap`` is how far allowances of 2 may fall in total."""
+def _shingle_counts(held: DataFrame, counters: int) -> np.ndarray:
+    """How many shingles of the sets ``held`` (id, shingles) have each value of their low bits."""
+    width = counters // _COUNTER_PARTS
 
-    def run(batches: Iterator) -> Iterator:
+    def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        scheme, parts, held_rows = Scheme(share), [], 0
+        total = np.zeros(counters, np.int64)
+        for batch in batches:
+            for raw in batch.column(0):
+                found = np.frombuffer(raw.as_buffer(), np.uint64)
+                np.add.at(total, (found & np.uint64(counters - 1)).astype(np.int64), 1)
+        for part in range(_COUNTER_PARTS):
+            at = np.flatnonzero(total[part * width:(part + 1) * width])
+            if len(at):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part], pa.int32()), pa.array([at.astype(np.int32).tobytes()], pa.binary()),
+                     pa.array([total[part * width + at].tobytes()], pa.binary())], names=["part", "at", "n"])
 
-        def flushed():
-            columns = [np.concatenate(c) for c in zip(*parts)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns],
-                                              names=["id", "role", "place", "less", "sig", "cap"])
+    def merge(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for owner, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = np.frombuffer(raw, np.uint64)
-                for role, (band, segments, need) in enumerate(scheme.roles(len(found))):
-                    sig, place, less = neighbourhoods(found, band, segments)
-                    n = len(sig)
-                    parts.append((np.full(n, owner, np.int64), np.full(n, role, np.int32), place.astype(np.int64), less,
-                                  sig.view(np.int64), np.full(n, 2 * segments - need, np.int64)))
-                    held_rows += n
-                if held_rows >= _BLOCK_ROWS:
-                    yield flushed()
-                    parts, held_rows = [], 0
-        if parts:
-            yield flushed()
+            for part, at, n in zip(*(c.to_pylist() for c in batch.columns)):
+                sums.setdefault(part, np.zeros(width, np.int64))[np.frombuffer(at, np.int32)] += np.frombuffer(n, np.int64)
+        for part, n in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n.tobytes()], pa.binary())],
+                                             names=["part", "n"])
+
+    parts = held.select("shingles").mapInArrow(count, "part int, at binary, n binary")
+    total = np.zeros(counters, np.int64)
+    for row in parts.repartition(_COUNTER_PARTS, "part").mapInArrow(merge, "part int, n binary").toLocalIterator():
+        total[row.part * width:(row.part + 1) * width] = np.frombuffer(row.n, np.int64)
+    return total
+
+
+def prefix(found: np.ndarray, counts: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of a set, least counted first, of which each partner has one in its own prefix, and which
+    of them are enough (lead) for partners of at least its size.  Shingles that no other set has are left out."""
+    n = len(found)
+    count = counts[(found & np.uint64(len(counts) - 1)).astype(np.int64)]
+    order = np.lexsort((found, count))[:n - -(-share * n // 100) + 1]
+    lead = np.arange(len(order)) < n - -(-2 * share * n // (100 + share)) + 1
+    met = count[order] > 1
+    return found[order][met], lead[met]
+
+
+def _prefixes(held: DataFrame, share: int, counters: int = _COUNTERS) -> DataFrame:
+    """``(id, sig, lead)``: the prefixes of the sets ``held`` (id, shingles), each set once."""
+    counts = held.sparkSession.sparkContext.broadcast(_shingle_counts(held, counters))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            ids, sigs, leads = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, bool)]
+            for owner, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sig, lead = prefix(np.frombuffer(raw.as_buffer(), np.uint64), counts.value, share)
+                ids.append(np.full(len(sig), owner, np.int64))
+                sigs.append(sig)
+                leads.append(lead)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(ids)), pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(leads))],
+                names=["id", "sig", "lead"])
 
-    return held.mapInArrow(run, "id bigint, role int, place bigint, less boolean, sig bigint, cap bigint")
+    return held.select("id", "shingles").mapInArrow(run, "id bigint, sig bigint, lead boolean")
 
 
 def links(sets: Sets, mean_pairs: int = MEAN_PAIRS, direct_bytes: int = DIRECT_BYTES) -> DataFrame:
@@ -588,9 +641,8 @@ def links(sets: Sets, mean_pairs: int = MEAN_PAIRS, direct_bytes: int = DIRECT_B
         if new.isEmpty():
             break
 
-    rows = rows.withColumn("less", F.lit(False))
-    priced = stored(_priced(rows, mean_pairs), "priced")
-    pairs = stored(sets.candidates(_across(priced.where("not dear"), share)), "candidates")
+    priced = stored(_priced(rows.withColumn("lead", F.lit(True)), mean_pairs), "priced")
+    pairs = stored(_across(sets.sketched(priced.where("not dear")), share), "candidates")
     found = found.unionByName(sets.linked(pairs, found, direct_bytes=direct_bytes))
 
     # sets whose cheap segments do not reach the pigeonhole's sum
@@ -601,13 +653,8 @@ def links(sets: Sets, mean_pairs: int = MEAN_PAIRS, direct_bytes: int = DIRECT_B
         return found
     held = sets.shingles_of(short)
     known = _rooted(short.join(sets.classes.select("id", "n"), "id"), found)
-    deep = stored(_deep_rows(held, share).join(known, "id"), "neighbourhoods")
-    priced = stored(_priced(deep, mean_pairs), "priced-neighbourhoods")
-    pairs = _across(priced.where("not dear"), share)
-    lost = priced.where("dear").groupBy("id", "role", "place", "cap").agg(F.max(F.when(F.col("less"), 1).otherwise(2)).alias("v"))
-    last = lost.groupBy("id", "role", "cap").agg(F.sum("v").alias("v")).where("v > cap").select("id").distinct()
-    rest = priced.where("dear and not less").join(last, "id", "left_semi")
-    pairs = stored(sets.candidates(pairs.unionByName(_across(rest, share)).distinct()), "candidates")
+    rows = stored(_prefixes(held, share).join(known, "id"), "prefixes")
+    pairs = stored(_across(sets.sketched(_mixed_entries(rows)), share), "candidates")
     return found.unionByName(sets.linked(pairs, found, held, direct_bytes))
 
 

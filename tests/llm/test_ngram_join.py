@@ -134,3 +134,39 @@ def test_query(spark):
     got = queries.op13_ngram_join(spark, SF_SMALL)
     assert got.columns == ["doc_id", "n_shingles", "component_id"]
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
+
+
+def test_prefixes_meet():
+    """Linked sets share a shingle of their prefixes, in the smaller one's lead, whatever the counts are."""
+    draw = np.random.default_rng(11)
+    for _ in range(400):
+        n = int(draw.integers(1, 200))
+        a = np.unique(draw.integers(0, 1 << 64, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[draw.random(len(a)) < draw.choice([0.85, 0.95, 1.0])],
+                                      draw.integers(0, 1 << 64, int(draw.integers(0, 1 + n // 4)), dtype=np.uint64)]))
+        a, b = sorted((a, b), key=len)
+        common = len(np.intersect1d(a, b))
+        if not common or 100 * common < 80 * (len(a) + len(b) - common):
+            continue
+        counts = np.zeros(int(draw.choice([16, 1024])), np.int64)
+        for found in (a, b, np.concatenate([a, a[:5]])):
+            np.add.at(counts, (found & np.uint64(len(counts) - 1)).astype(np.int64), 1)
+        (few, lead), (many, _) = (ngram_join.prefix(x, counts, 80) for x in (a, b))
+        assert len(np.intersect1d(few[lead], many))
+
+
+def test_shared_passage_makes_no_rows(spark):
+    """Texts of their own about a passage of all meet in its entries, yet neither entries' pairs nor rows of
+    short sets grow with the square of their number."""
+    passage = prose(99, 30)
+    rows = [(i, f"{prose(1000 + i, 40)} {passage}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = ngram_join.Sets(docs, "doc_id", "text", 5, 80)
+    ids = sets.classes.select("id", "n")
+    entries = ids.selectExpr("1L AS sig", "id", "n", "id AS root", "true AS lead")
+    assert ngram_join._across(sets.sketched(ngram_join._mixed_entries(entries)), 80).count() == 0
+    held = sets.shingles_of(ids.select("id"))
+    total = ngram_join._shingle_counts(held, ngram_join._COUNTERS)
+    assert total.sum() == ids.groupBy().sum("n").first()[0] and total.max() >= 60
+    assert ngram_join._prefixes(held, 80).count() < 60          # shingles of a set's own are not indexed
+    assert sorted(map(tuple, ngram_join.groups(docs, mean_pairs=0).collect()), key=str) == brute(rows)
